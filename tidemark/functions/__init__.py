@@ -4,11 +4,12 @@ from tidemark.functions.expressions import (  # noqa: F401
     event_key,
     first_param,
     has_elements,
-    lossless_sum,
     param_max,
     parse_day,
     parse_iso_timestamp,
     safe_divide,
+    steady_avg,
+    steady_sum,
     sunday_of,
     try_parse_day,
 )

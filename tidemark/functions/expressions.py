@@ -69,9 +69,16 @@ def first_param(key: str, field: str, params: Column | str = "event_params") ->
     return F.get(matching, F.lit(0))["value"][field]
 
 
-def lossless_sum(value: Column) -> Column:
-    """Sum of doubles that does not depend on the order rows arrive in.
+def steady_sum(value: Column | str) -> Column:
+    """Sum of doubles to the millionth.
 
-    Used where a re-run after a lost executor must reproduce the same digits.
+    The digits below depend on the order rows arrive in; settling them once per
+    group keeps a re-run after a lost executor, and every ratio built on the
+    sum, at the same value.
     """
-    return F.sum(value.cast("decimal(28,6)")).cast("double")
+    return F.round(F.sum(_col(value)), 6)
+
+
+def steady_avg(value: Column | str) -> Column:
+    """Mean of doubles on top of ``steady_sum``; NULL for a group without values."""
+    return safe_divide(steady_sum(value), F.count(_col(value)))

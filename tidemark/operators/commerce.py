@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import parse_iso_timestamp
+from tidemark.functions import parse_iso_timestamp, steady_avg, steady_sum
 
 # Published silver column -> path in the nested event, in published order.
 SILVER_COLUMNS = {
@@ -91,7 +91,7 @@ def hourly_category_revenue(silver: DataFrame) -> DataFrame:
         silver.filter((F.col("event_type") == "order_paid") & F.col("product_id").isNotNull())
         .groupBy(F.date_trunc("hour", "event_timestamp").alias("hour"), "product_category")
         .agg(
-            F.sum(F.col("product_price") * F.col("quantity")).alias("revenue"),
+            steady_sum(F.col("product_price") * F.col("quantity")).alias("revenue"),
             F.sum("quantity").alias("units"),
         )
     )
@@ -113,7 +113,7 @@ def customer_ltv(silver: DataFrame) -> DataFrame:
         .groupBy("customer_id")
         .agg(
             F.count("*").alias("orders"),
-            F.sum("order_total").alias("lifetime_value"),
+            steady_sum("order_total").alias("lifetime_value"),
             F.sum("units").alias("total_quantity"),
         )
     )
@@ -129,7 +129,7 @@ def channel_performance(silver: DataFrame) -> DataFrame:
     return (
         _paid_orders(silver, "channel")
         .groupBy("channel")
-        .agg(F.count("*").alias("orders"), F.sum("order_total").alias("revenue"))
+        .agg(F.count("*").alias("orders"), steady_sum("order_total").alias("revenue"))
     )
 
 
@@ -138,5 +138,5 @@ def average_order_value(silver: DataFrame) -> DataFrame:
     return (
         _paid_orders(silver, "customer_country")
         .groupBy(F.col("customer_country").alias("country"))
-        .agg(F.count("*").alias("orders"), F.avg("order_total").alias("avg_order_value"))
+        .agg(F.count("*").alias("orders"), steady_avg("order_total").alias("avg_order_value"))
     )

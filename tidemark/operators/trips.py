@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import safe_divide, steady_avg, steady_sum
+
 MIN_MINUTES, MAX_MINUTES = 1, 240
 
 # Quarantine reasons in order of precedence; the first that holds is reported.
@@ -158,8 +160,8 @@ def city_daily_kpis(silver: DataFrame, weather: DataFrame) -> DataFrame:
     """Trips, revenue and averages per day with the day's weather."""
     daily = silver.groupBy("pickup_date", "year", "month").agg(
         F.count("*").alias("trips"),
-        F.sum("total_amount").alias("revenue"),
-        *[F.avg(measure).alias(name) for name, measure in AVERAGES.items()],
+        steady_sum("total_amount").alias("revenue"),
+        *[steady_avg(measure).alias(name) for name, measure in AVERAGES.items()],
     )
     return daily.withColumnRenamed("pickup_date", "date").join(
         weather.select("date", *WEATHER_CONTEXT), "date", "left"
@@ -188,8 +190,8 @@ def zone_daily_kpis(silver: DataFrame, zones: DataFrame, weather: DataFrame) ->
         .groupBy("pickup_date", "year", "month", "borough", "zone", "service_zone")
         .agg(
             F.sum("trips").alias("trips"),
-            F.sum("revenue").alias("revenue"),
-            *[F.try_divide(F.sum(total), F.sum(n)).alias(name) for name, (total, n) in totals.items()],
+            steady_sum("revenue").alias("revenue"),
+            *[safe_divide(steady_sum(total), F.sum(n)).alias(name) for name, (total, n) in totals.items()],
         )
     )
     return per_zone.withColumnRenamed("pickup_date", "date").join(
@@ -203,8 +205,8 @@ def city_daily_simple(silver: DataFrame) -> DataFrame:
     """Daily totals and averages without weather."""
     return silver.groupBy("pickup_date").agg(
         F.count("*").alias("total_trips"),
-        F.sum("total_amount").alias("total_revenue"),
-        *[F.avg(measure).alias(name) for name, measure in AVERAGES.items()],
+        steady_sum("total_amount").alias("total_revenue"),
+        *[steady_avg(measure).alias(name) for name, measure in AVERAGES.items()],
     ).orderBy("pickup_date")
 
 
@@ -212,8 +214,8 @@ def zone_daily_simple(silver: DataFrame) -> DataFrame:
     """Daily demand per pickup location."""
     return silver.groupBy("pickup_date", "pickup_location_id").agg(
         F.count("*").alias("trip_count"),
-        F.sum("total_amount").alias("revenue"),
-        F.avg("trip_distance").alias("avg_distance"),
+        steady_sum("total_amount").alias("revenue"),
+        steady_avg("trip_distance").alias("avg_distance"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import event_key, first_param, safe_divide
+from tidemark.functions import event_key, first_param, safe_divide, steady_avg, steady_sum
 from tidemark.operators.web_purchases import session_commerce
 
 
@@ -14,7 +14,7 @@ def agg_daily_sessions(sessions: DataFrame) -> DataFrame:
     total, converted = F.count("*"), F.count_if("is_converted")
     viewed, carted = F.count_if(F.col("product_views") > 0), F.count_if(F.col("add_to_carts") > 0)
     started = F.count_if(F.col("checkouts_started") > 0)
-    bounced, revenue = F.count_if("is_bounce"), F.sum("session_revenue")
+    bounced, revenue = F.count_if("is_bounce"), steady_sum("session_revenue")
     new, returning = F.count_if("is_first_session"), F.count_if(~F.col("is_first_session"))
     return sessions.groupBy("session_date", "platform", "operating_system", "browser", "device_category").agg(
         total.alias("total_sessions"),
@@ -34,7 +34,7 @@ def agg_daily_sessions(sessions: DataFrame) -> DataFrame:
         safe_divide(carted, viewed).alias("add_to_cart_rate"),
         safe_divide(converted, started).alias("checkout_completion_rate"),
         revenue.alias("total_revenue"),
-        F.avg(F.when(F.col("is_converted"), F.col("session_revenue"))).alias("avg_order_value"),
+        steady_avg(F.when(F.col("is_converted"), F.col("session_revenue"))).alias("avg_order_value"),
         safe_divide(revenue, total).alias("revenue_per_session"),
         safe_divide(returning, new).alias("returning_to_new_ratio"),
     )
@@ -70,7 +70,7 @@ def agg_weekly_dropoff_rates(daily_sessions: DataFrame) -> DataFrame:
 def agg_daily_geo(sessions: DataFrame) -> DataFrame:
     """Daily session metrics per place. Rates are percentages rounded to two digits."""
     places = ["country", "region", "city", "continent", "sub_continent"]
-    total, revenue = F.count("*"), F.sum("session_revenue")
+    total, revenue = F.count("*"), steady_sum("session_revenue")
     converted, bounced = F.count_if("is_converted"), F.count_if("is_bounce")
     return sessions.groupBy("session_date", *[F.col(f"geo.{p}").alias(p) for p in places]).agg(
         total.alias("total_sessions"),
@@ -118,13 +118,13 @@ def dim_funnel_daily(sessions: DataFrame, user_scoped: bool = False) -> DataFram
         .groupBy(*cut, *identity)
         .agg(
             *[F.max(F.when(F.col(counter) > 0, 1).otherwise(0)).alias(step) for step, counter in steps.items()],
-            F.sum("session_revenue").alias("revenue"),
+            steady_sum("session_revenue").alias("revenue"),
         )
     )
     return per_id.groupBy(*cut).agg(
         F.count("*").alias("total_sessions"),
         *[F.sum(step).alias(step) for step in steps],
-        F.sum("revenue").alias("total_revenue"),
+        steady_sum("revenue").alias("total_revenue"),
         safe_divide(F.sum("sessions_purchase"), F.count("*")).alias("session_conversion_rate"),
     )
 
@@ -139,7 +139,7 @@ def fct_daily_web_metrics(session_facts: DataFrame, purchases: DataFrame, user_s
     )
     sales = purchases.groupBy("event_date").agg(
         F.count_distinct("transaction_id").alias("total_transactions"),
-        F.sum("total_revenue").alias("total_revenue"),
+        steady_sum("total_revenue").alias("total_revenue"),
         F.sum("total_quantity").alias("total_quantity"),
     )
     rate = safe_divide("total_transactions", "total_sessions")
@@ -231,7 +231,7 @@ def rpt_sessions_wide(events: DataFrame, session_facts: DataFrame, lines: DataFr
             .agg(F.lit(1).alias("_one"))
             .groupBy(*keys)
             .agg(F.count_distinct("transaction_id").alias("total_transactions"),
-                 F.sum("total_revenue").alias("total_revenue"))
+                 steady_sum("total_revenue").alias("total_revenue"))
         )
     else:
         keys = ["session_id"]

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import event_key, param_max, parse_day, repeat_rows, sunday_of
+from tidemark.functions import event_key, param_max, parse_day, repeat_rows, safe_divide, steady_sum, sunday_of
 from tidemark.operators.web_sessions import distinct_events
 
 LINE_COLUMNS = [
@@ -161,7 +161,7 @@ def session_commerce(lines: DataFrame) -> DataFrame:
         .groupBy(F.col("ga_session_id").alias("session_id"))
         .agg(
             F.count_distinct("transaction_id").alias("total_transactions"),
-            F.sum("total_revenue").alias("total_revenue"),
+            steady_sum("total_revenue").alias("total_revenue"),
         )
     )
 
@@ -176,8 +176,8 @@ def agg_daily_product_revenue(lines: DataFrame) -> DataFrame:
         .agg(
             F.count_distinct("transaction_id").alias("transactions"),
             F.sum(F.col("quantity") * copies).alias("units_sold"),
-            F.sum(F.col("item_revenue") * copies).alias("total_revenue"),
-            F.try_divide(F.sum(F.col("unit_price") * copies), F.sum(priced)).alias("avg_unit_price"),
+            steady_sum(F.col("item_revenue") * copies).alias("total_revenue"),
+            safe_divide(steady_sum(F.col("unit_price") * copies), F.sum(priced)).alias("avg_unit_price"),
         )
     )
 
@@ -194,7 +194,7 @@ def analysis_incomplete_purchases(lines: DataFrame) -> DataFrame:
     )
     per_day = incomplete.groupBy("event_date").agg(
         F.sum("copies").alias("daily_incomplete_count"),
-        F.sum(F.coalesce("total_revenue", F.lit(0.0)) * F.col("copies")).alias("daily_potential_revenue"),
+        steady_sum(F.coalesce("total_revenue", F.lit(0.0)) * F.col("copies")).alias("daily_potential_revenue"),
     )
     return repeat_rows(incomplete.join(F.broadcast(per_day), "event_date", "left"), "copies").select(
         *[c for c in incomplete.columns if c != "copies"], "daily_incomplete_count", "daily_potential_revenue"
@@ -238,7 +238,7 @@ def dim_product_daily(events: DataFrame) -> DataFrame:
     )
     return items.groupBy("event_date", "item_id", "item_name", "item_brand", "item_category").agg(
         *[F.count_if(F.col("event_name") == name).alias(column) for column, name in actions.items()],
-        F.sum("amount").alias("item_revenue"),
+        steady_sum("amount").alias("item_revenue"),
     )
 
 
@@ -294,7 +294,7 @@ def incomplete_by_week(events: DataFrame) -> DataFrame:
         .groupBy(sunday_of("event_date").alias("week_start"))
         .agg(
             F.sum("copies").alias("incomplete_purchases"),
-            F.coalesce(F.sum(F.col("value") * F.col("copies")), F.lit(0.0)).alias("revenue_lost"),
+            F.coalesce(steady_sum(F.col("value") * F.col("copies")), F.lit(0.0)).alias("revenue_lost"),
         )
     )
 
@@ -312,7 +312,7 @@ def purchase_completeness(events: DataFrame) -> DataFrame:
         weigh(F.col("is_complete")).alias("complete_events"),
         weigh(F.col("transaction_id").isNull()).alias("missing_transaction_id"),
         weigh(F.col("items") == 0).alias("missing_items"),
-        F.coalesce(F.sum(F.when(incomplete, F.col("value") * copies)), F.lit(0.0)).alias("revenue_at_risk"),
+        F.coalesce(steady_sum(F.when(incomplete, F.col("value") * copies)), F.lit(0.0)).alias("revenue_at_risk"),
         F.count_distinct(F.when(incomplete, F.col("user_pseudo_id"))).alias("users_affected"),
     ).withColumn(
         "complete_pct",

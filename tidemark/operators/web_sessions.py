@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import event_key, parse_day
+from tidemark.functions import event_key, parse_day, steady_sum
 from tidemark.operators.web_staging import PIVOT_KEYS, in_row_params
 
 # First-touch attributes a session can carry, in published order.
@@ -110,7 +110,7 @@ def int_sessions(events: DataFrame, touch: tuple[str, ...] = ALL_TOUCH,
             F.sum(F.when(F.col("event_name") == name, F.col("copies")).otherwise(F.lit(0))).alias(counter)
             for counter, name in COUNTERS.items()
         ],
-        F.sum(F.when(is_purchase, F.col("value") * F.col("copies")).otherwise(F.lit(0.0))).alias("session_revenue"),
+        steady_sum(F.when(is_purchase, F.col("value") * F.col("copies")).otherwise(F.lit(0.0))).alias("session_revenue"),
         F.max("currency").alias("currency"),
     ]
     if first:

@@ -386,7 +386,7 @@ def _(spark, sf):
 
 @query("station_latest_snapshot")
 def _(spark, sf):
-    return stations.status_readings(snapshots.latest_snapshot(inputs.station_status(spark, sf)))
+    return stations.status_readings(snapshots.latest_snapshot(inputs.station_status(spark, sf)), False, "source_file")
 
 
 # --- trips ------------------------------------------------------------------
