@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import event_key, first_param, safe_divide, steady_avg, steady_sum
+from tidemark.functions import event_key, first_param, repeat_rows, safe_divide, steady_avg, steady_sum
 from tidemark.operators.web_purchases import session_commerce
 
 
@@ -257,8 +257,6 @@ def rpt_product_sales(lines: DataFrame, events: DataFrame, session_facts: DataFr
     a line appears once however many session rows share its id. Ids without a
     published session have no place.
     """
-    from tidemark.functions import repeat_rows
-
     published = session_facts.select("session_id").distinct()
     places = session_places(events).join(published, "session_id", "left_semi")
     return repeat_rows(

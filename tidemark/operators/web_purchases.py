@@ -230,7 +230,8 @@ def dim_product_daily(events: DataFrame) -> DataFrame:
     earned = F.coalesce("i.item_revenue", F.col("i.price") * F.col("i.quantity"), F.lit(0.0))
     items = (
         events.filter(F.col("event_name").isin(*actions.values()))
-        .select(parse_day("event_date").alias("event_date"), "event_name", F.explode("items").alias("i"))
+        .select(parse_day("event_date").alias("event_date"), "event_name", "items")
+        .select("event_date", "event_name", F.explode("items").alias("i"))
         .select(
             "event_date", "event_name", "i.item_id", "i.item_name", "i.item_brand", "i.item_category",
             F.when(F.col("event_name") == "purchase", earned).otherwise(F.lit(0.0)).alias("amount"),

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import event_key, parse_day, steady_sum
-from tidemark.operators.web_staging import PIVOT_KEYS, in_row_params
+from tidemark.operators.web_staging import IDENTITY, PIVOT_KEYS, in_row_params, int_event_param_pivot, stg_events
 
 # First-touch attributes a session can carry, in published order.
 FIRST_TOUCH = {
@@ -31,7 +31,6 @@ FIRST_TOUCH = {
 PAGE_TOUCH = ("landing_page", "exit_page", "referrer")
 ALL_TOUCH = (*FIRST_TOUCH, *PAGE_TOUCH)
 
-EVENT_GRAIN = ["event_id", "event_date", "event_ts", "user_pseudo_id", "event_name"]
 
 # Session counters and the event name each one counts.
 COUNTERS = {
@@ -74,7 +73,7 @@ def distinct_events(events: DataFrame, touch: tuple[str, ...] = (), unique_ids:
         flat = flat.filter(identified)
     if unique_ids:
         return flat.withColumn("copies", F.lit(1).cast("bigint"))
-    return flat.groupBy(*EVENT_GRAIN).agg(
+    return flat.groupBy(*IDENTITY).agg(
         *[F.max(name).alias(name) for name in PIVOT_KEYS],
         F.sum("items").alias("items"),
         *( [F.min("touch").alias("touch")] if attributes else [] ),
@@ -173,8 +172,6 @@ def fct_events(events: DataFrame) -> DataFrame:
     Events without an id find no parameters. They get a private join key, so a
     large share of anonymous rows does not gather in the partition of NULL.
     """
-    from tidemark.operators.web_staging import int_event_param_pivot, stg_events
-
     wanted = ["ga_session_id", "transaction_id", F.col("value_param").alias("event_value"),
               "currency", "page_location", "page_title"]
     anonymous = F.concat(F.lit("-"), F.xxhash64("event_ts", "event_date", "event_name", "user_pseudo_id").cast("string"))

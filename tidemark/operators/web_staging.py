@@ -42,6 +42,9 @@ ITEM_FIELDS = [
 ]
 
 
+IDENTITY = ["event_id", "event_date", "event_ts", "user_pseudo_id", "event_name"]
+
+
 def in_row_params(keys: dict[str, tuple[str, tuple[str, ...]]]) -> dict[str, Column]:
     return {name: param_max(key, *fields) for name, (key, fields) in keys.items()}
 
@@ -83,9 +86,10 @@ def _identified(events: DataFrame, *extra: Column | str) -> DataFrame:
 
 def stg_event_params(events: DataFrame) -> DataFrame:
     """One row per event and parameter; events without parameters disappear."""
-    exploded = _identified(events, F.explode("event_params").alias("p"))
+    # The id is hashed in the row that owns the array, not once per element.
+    exploded = _identified(events, "event_params").select(*IDENTITY, F.explode("event_params").alias("p"))
     return exploded.select(
-        "event_id", "event_date", "event_ts", "user_pseudo_id", "event_name",
+        *IDENTITY,
         F.col("p.key").alias("param_key"),
         "p.value.string_value", "p.value.int_value", "p.value.float_value", "p.value.double_value",
     )
@@ -93,11 +97,8 @@ def stg_event_params(events: DataFrame) -> DataFrame:
 
 def stg_items(events: DataFrame) -> DataFrame:
     """One row per event and item; events without items disappear."""
-    exploded = _identified(events, F.explode("items").alias("i"))
-    return exploded.select(
-        "event_id", "event_date", "event_ts", "user_pseudo_id", "event_name",
-        *[f"i.{name}" for name in ITEM_FIELDS],
-    )
+    exploded = _identified(events, "items").select(*IDENTITY, F.explode("items").alias("i"))
+    return exploded.select(*IDENTITY, *[f"i.{name}" for name in ITEM_FIELDS])
 
 
 def _pivot(events: DataFrame, keys, grain: list[str]) -> DataFrame:

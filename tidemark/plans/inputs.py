@@ -4,11 +4,14 @@ Each function reshapes ``events`` and the order tables into the layout one
 pipeline expects. They are row-wise except for two keyed joins, and an order's
 lines are folded into seven item slots with sums and minima, so an array never
 outgrows seven items however many lines one order has.
+
+The vocabulary below is this module's own; it only has to be the same in
+``oracle.py``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLOTS = 7
@@ -18,338 +21,263 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def pick(values: list[str | None], index: Column) -> Column:
-    """The list element at a zero-based, wrapping position."""
-    return F.get(F.array(*[F.lit(v) for v in values]), F.pmod(index, F.lit(len(values))))
+def pick(index: str, *values: str | None) -> str:
+    """SQL for the list element at a zero-based, wrapping position."""
+    listed = ", ".join("CAST(NULL AS STRING)" if v is None else f"'{v}'" for v in values)
+    return f"array({listed})[pmod({index}, {len(values)})]"
+
 
+def numbered_events(spark: SparkSession, sf_dir: str, *texts: str) -> DataFrame:
+    """Events with the number ``k`` from their properties and zone-free time parts.
 
-def numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with the number ``k`` from their properties and zone-free time parts."""
-    ts = F.col("ts").cast("timestamp_ntz")
-    return table(spark, sf_dir, "events").select(
-        "event_id", ts.alias("ts"), "user_id", "event_type", "value",
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
-        F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST(ts AS TIMESTAMP_NTZ))")
-        .alias("micros"),
+    ``k`` and any further ``texts`` (SQL, aliased) come out of a generator, which
+    evaluates them once per row; as plain columns they would be repeated in every
+    expression that mentions them.
+    """
+    events = table(spark, sf_dir, "events").selectExpr(
+        "event_id", "CAST(ts AS TIMESTAMP_NTZ) AS ts", "user_id", "event_type", "value", "props"
     )
+    settled = ", ".join([
+        "CAST(get_json_object(props, '$.k') AS INT) AS k",
+        "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) AS micros",
+        *texts,
+    ])
+    return events.selectExpr("event_id", "ts", "user_id", "event_type", "value", f"inline(array(struct({settled})))")
 
 
 def baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item slots per order: the smallest part and the total quantity of each slot."""
-    slot = F.pmod(F.col("l_linenumber") - 1, F.lit(SLOTS))
+    slot = f"pmod(l_linenumber - 1, {SLOTS})"
     folded = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
-        *[F.min(F.when(slot == s, F.col("l_partkey"))).alias(f"part{s}") for s in range(SLOTS)],
-        *[F.sum(F.when(slot == s, F.col("l_quantity"))).alias(f"qty{s}") for s in range(SLOTS)],
+        *[F.expr(f"min(l_partkey) FILTER (WHERE {slot} = {s}) AS part{s}") for s in range(SLOTS)],
+        *[F.expr(f"sum(l_quantity) FILTER (WHERE {slot} = {s}) AS qty{s}") for s in range(SLOTS)],
     )
-    slots = F.array(*[
-        F.when(
-            F.col(f"part{s}").isNotNull(),
-            F.struct(F.lit(s).alias("slot"), F.col(f"part{s}").alias("part"),
-                     F.col(f"qty{s}").cast("bigint").alias("qty")),
-        )
+    slots = ", ".join(
+        f"IF(part{s} IS NOT NULL, named_struct('slot', {s}, 'part', part{s}, 'qty', CAST(qty{s} AS BIGINT)), NULL)"
         for s in range(SLOTS)
-    ])
-    return folded.select("l_orderkey", F.array_compact(slots).alias("basket"))
-
-
-def price_cents(part: Column) -> Column:
-    return F.lit(90000) + F.pmod(part, F.lit(1000)) * 10
-
-
-def _web_item(i: Column) -> Column:
-    part, last = i["part"], i["slot"] == SLOTS - 1
-    text = part.cast("string")
-    none = F.lit(None).cast("string")
-    cents = price_cents(part)
-    return F.struct(
-        F.when(~last, text).alias("item_id"),
-        F.when(~(last & (part % 5 == 0)), F.concat(F.lit("Part "), text)).alias("item_name"),
-        F.concat(F.lit("Brand#"), (part % 25).cast("string")).alias("item_brand"),
-        F.concat(F.lit("V"), (part % 3).cast("string")).alias("item_variant"),
-        F.concat(F.lit("Category "), (part % 10).cast("string")).alias("item_category"),
-        F.concat(F.lit("Sub "), (part % 4).cast("string")).alias("item_category2"),
-        none.alias("item_category3"), none.alias("item_category4"), none.alias("item_category5"),
-        (cents / 100.0).alias("price"),
-        i["qty"].alias("quantity"),
-        F.when(part % 3 != 0, cents * i["qty"] * 90 / 10000.0).alias("item_revenue"),
     )
+    return folded.selectExpr("l_orderkey", f"array_compact(array({slots})) AS basket")
+
+
+CENTS = "(90000 + pmod(i.part, 1000) * 10)"
+
+WEB_ITEM = f"""named_struct(
+  'item_id', IF(i.slot <> 6, CAST(i.part AS STRING), NULL),
+  'item_name', IF(i.slot = 6 AND i.part % 5 = 0, NULL, 'Part ' || i.part),
+  'item_brand', 'Brand#' || i.part % 25,
+  'item_variant', 'V' || i.part % 3,
+  'item_category', 'Category ' || i.part % 10,
+  'item_category2', 'Sub ' || i.part % 4,
+  'item_category3', CAST(NULL AS STRING),
+  'item_category4', CAST(NULL AS STRING),
+  'item_category5', CAST(NULL AS STRING),
+  'price', {CENTS} / 100D,
+  'quantity', i.qty,
+  'item_revenue', IF(i.part % 3 <> 0, {CENTS} * i.qty * 90 / 10000D, NULL))"""
+
+EMPTY_BASKET = "array_repeat(named_struct('slot', 0, 'part', 0L, 'qty', 0L), 0)"
+
+
+def _param(key: str, when: str, **typed: str) -> str:
+    kinds = {"string_value": "STRING", "int_value": "BIGINT", "float_value": "DOUBLE", "double_value": "DOUBLE"}
+    slots = ", ".join(f"'{slot}', CAST({typed.get(slot, 'NULL')} AS {kind})" for slot, kind in kinds.items())
+    return f"IF({when}, named_struct('key', '{key}', 'value', named_struct({slots})), NULL)"
+
+
+WEB_PARAMS = ", ".join([
+    _param("ga_session_id", "k % 11 <> 0", int_value="sid"),
+    _param("ga_session_number", "true", int_value="bucket"),
+    _param("page_location", "k % 2 = 0", string_value="'/page/' || k"),
+    _param("page_referrer", "k % 3 = 0", string_value="'/from/' || k % 7"),
+    _param("page_title", "true", string_value="'Title ' || k % 10"),
+    _param("transaction_id", "event_type = 'purchase' AND k % 7 <> 0", string_value="'T' || event_id"),
+    _param("currency", "event_type = 'purchase'", string_value="'USD'"),
+    _param("value", "event_type = 'purchase'",
+           int_value="IF(k % 13 = 0, value, NULL)",
+           float_value="IF(k % 13 <> 0 AND k % 5 = 0, value, NULL)",
+           double_value="IF(k % 13 <> 0 AND k % 5 <> 0, value, NULL)"),
+])
+
+
+def homes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer, nation, region = (table(spark, sf_dir, t) for t in ("customer", "nation", "region"))
+    places = nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
+    return customer.join(places, customer.c_nationkey == places.n_nationkey, "left")
 
 
 def web_events(spark: SparkSession, sf_dir: str, items: bool = False, geo: bool = False) -> DataFrame:
     """Nested web events. ``items`` and ``geo`` add the joins only their readers need."""
-    e = numbered_events(spark, sf_dir)
-    k = F.col("k")
-    # Fixed values of the test adapter: vocabulary per position.
-    e = e.withColumns({
-        "name": F.when(F.col("event_type") == "view", "view_item")
-        .when(F.col("event_type") == "click", "add_to_cart")
-        .when(F.col("event_type") == "signup", "begin_checkout")
-        .when(F.col("event_type") == "error", pick(["scroll", "click", "page_view", "page_view"], k))
-        .otherwise(F.col("event_type")),
-        "bucket": (F.floor(F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")) / 3) + 1).cast("bigint"),
-    }).withColumn("sid", F.floor(F.col("user_id") / 2) * 1000 + F.col("bucket"))
+    name = f"""CASE event_type WHEN 'view' THEN 'view_item' WHEN 'click' THEN 'add_to_cart'
+                 WHEN 'signup' THEN 'begin_checkout'
+                 WHEN 'error' THEN {pick('k', 'scroll', 'click', 'page_view', 'page_view')}
+                 ELSE event_type END"""
+    e = numbered_events(
+        spark, sf_dir,
+        "date_format(ts, 'yyyyMMdd') AS day",
+        "floor(datediff(CAST(ts AS DATE), DATE'2024-01-01') / 3) + 1 AS bucket",
+    ).selectExpr("*", "floor(user_id / 2) * 1000 + bucket AS sid")
     if geo:
-        customer, nation, region = (table(spark, sf_dir, t) for t in ("customer", "nation", "region"))
-        places = nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
-        home = customer.join(places, customer.c_nationkey == places.n_nationkey, "left")
+        home = homes(spark, sf_dir)
         e = e.join(home, e.user_id == home.c_custkey, "left")
-        place = F.struct(
-            F.col("r_name").alias("continent"),
-            F.col("r_name").alias("sub_continent"),
-            F.col("n_name").alias("country"),
-            F.concat(F.lit("R"), F.col("n_nationkey").cast("string")).alias("region"),
-            F.col("c_mktsegment").alias("city"),
-        )
     else:
-        none = F.lit(None).cast("string")
-        place = F.struct(*[none.alias(n) for n in ("continent", "sub_continent", "country", "region", "city")])
+        e = e.selectExpr("*", "CAST(NULL AS STRING) AS r_name", "CAST(NULL AS STRING) AS n_name",
+                         "CAST(NULL AS INT) AS n_nationkey", "CAST(NULL AS STRING) AS c_mktsegment")
     if items:
         folded = baskets(spark, sf_dir)
         e = e.join(folded, e.event_id == folded.l_orderkey, "left")
-        content = F.transform("basket", _web_item)
-        content = F.when(k % 10 == 9, F.slice(content, 1, 0)).otherwise(content)
     else:
-        one = F.struct(F.lit(0).alias("slot"), F.lit(0).cast("bigint").alias("part"), F.lit(0).cast("bigint").alias("qty"))
-        content = F.slice(F.array(_web_item(one)), 1, 0)
-
-    bought = F.col("event_type") == "purchase"
-
-    def param(key: str, when: Column, text=None, integer=None, single=None, double=None) -> Column:
-        def slot(value, kind):
-            return (F.lit(None) if value is None else value).cast(kind)
-
-        value = F.struct(
-            slot(text, "string").alias("string_value"), slot(integer, "bigint").alias("int_value"),
-            slot(single, "double").alias("float_value"), slot(double, "double").alias("double_value"),
-        )
-        return F.when(when, F.struct(F.lit(key).alias("key"), value.alias("value")))
-
-    amount = F.col("value")
-    params = F.array_compact(F.array(
-        param("ga_session_id", k % 11 != 0, integer=F.col("sid")),
-        param("ga_session_number", F.lit(True), integer=F.col("bucket")),
-        param("page_location", k % 2 == 0, text=F.concat(F.lit("/page/"), k.cast("string"))),
-        param("page_referrer", k % 3 == 0, text=F.concat(F.lit("/from/"), (k % 7).cast("string"))),
-        param("page_title", F.lit(True), text=F.concat(F.lit("Title "), (k % 10).cast("string"))),
-        param("transaction_id", bought & (k % 7 != 0), text=F.concat(F.lit("T"), F.col("event_id").cast("string"))),
-        param("currency", bought, text=F.lit("USD")),
-        param(
-            "value", bought,
-            integer=F.when(k % 13 == 0, amount),
-            single=F.when((k % 13 != 0) & (k % 5 == 0), amount),
-            double=F.when((k % 13 != 0) & (k % 5 != 0), amount),
-        ),
-    ))
-    params = F.when(k == 99, F.lit(None)).when(k == 49, F.slice(params, 1, 0)).otherwise(params)
-    day = F.date_format("ts", "yyyyMMdd")
-    return e.select(
-        day.alias("event_suffix"),
-        day.alias("event_date"),
-        F.col("micros").alias("event_timestamp"),
-        F.col("name").alias("event_name"),
-        F.col("user_id").cast("string").alias("user_pseudo_id"),
-        pick(["WEB", "IOS", "ANDROID"], k).alias("platform"),
-        F.struct(
-            pick(["Windows", "Macintosh", "iOS", "Android"], k).alias("operating_system"),
-            pick(["desktop", "mobile"], k).alias("category"),
-            pick(["Apple", "Google", "Samsung", "Huawei", None], k).alias("mobile_brand_name"),
-            F.struct(pick(["Chrome", "Safari", "Edge"], k).alias("browser")).alias("web_info"),
-        ).alias("device"),
-        place.alias("geo"),
-        F.struct(
-            pick(["google", "(direct)", "newsletter", None], k).alias("source"),
-            pick(["organic", "cpc", "(none)"], k).alias("medium"),
-            pick(["(organic)", "spring", "summer", "autumn", "winter", None], k).alias("name"),
-        ).alias("traffic_source"),
-        params.alias("event_params"),
-        content.alias("items"),
+        e = e.selectExpr("*", f"{EMPTY_BASKET} AS basket")
+    return e.selectExpr(
+        "day AS event_suffix",
+        "day AS event_date",
+        "micros AS event_timestamp",
+        f"{name} AS event_name",
+        "CAST(user_id AS STRING) AS user_pseudo_id",
+        f"{pick('k', 'WEB', 'IOS', 'ANDROID')} AS platform",
+        f"""named_struct(
+              'operating_system', {pick('k', 'Windows', 'Macintosh', 'iOS', 'Android')},
+              'category', {pick('k', 'desktop', 'mobile')},
+              'mobile_brand_name', {pick('k', 'Apple', 'Google', 'Samsung', 'Huawei', None)},
+              'web_info', named_struct('browser', {pick('k', 'Chrome', 'Safari', 'Edge')})) AS device""",
+        """named_struct('continent', r_name, 'sub_continent', r_name, 'country', n_name,
+                        'region', 'R' || n_nationkey, 'city', c_mktsegment) AS geo""",
+        f"""named_struct('source', {pick('k', 'google', '(direct)', 'newsletter', None)},
+                         'medium', {pick('k', 'organic', 'cpc', '(none)')},
+                         'name', {pick('k', '(organic)', 'spring', 'summer', 'autumn', 'winter', None)}) AS traffic_source""",
+        f"""CASE WHEN k = 99 THEN NULL WHEN k = 49 THEN slice(array_compact(array({WEB_PARAMS})), 1, 0)
+                 ELSE array_compact(array({WEB_PARAMS})) END AS event_params""",
+        f"transform(IF(k % 10 = 9, slice(basket, 1, 0), basket), i -> {WEB_ITEM}) AS items",
     )
 
 
 def commerce_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested commerce events; order amounts are whole cents until the last step."""
-    e = numbered_events(spark, sf_dir)
-    customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
-    home = customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left")
-    folded = baskets(spark, sf_dir)
-    e = e.join(home, e.user_id == home.c_custkey, "left").join(folded, e.event_id == folded.l_orderkey, "left")
-    k, kind = F.col("k"), F.col("event_type")
-
-    def product(i: Column) -> Column:
-        return F.struct(
-            i["part"].cast("int").alias("id"),
-            F.concat(F.lit("Part "), i["part"].cast("string")).alias("name"),
-            F.concat(F.lit("Category "), (i["part"] % 10).cast("string")).alias("category"),
-            (price_cents(i["part"]) / 100.0).alias("price"),
-        )
-
-    def line(i: Column) -> Column:
-        return F.struct(product(i).alias("product"), i["qty"].cast("int").alias("quantity"))
-
-    number = F.col("event_id").cast("string")
-    lines = F.transform("basket", line)
-    subtotal = F.aggregate(
-        F.coalesce("basket", F.array()), F.lit(0).cast("bigint"),
-        lambda total, i: total + price_cents(i["part"]) * i["qty"],
+    home, folded = homes(spark, sf_dir), baskets(spark, sf_dir)
+    e = numbered_events(
+        spark, sf_dir,
+        "date_format(ts, 'yyyyMMdd') AS day",
+        """date_format(ts, "yyyy-MM-dd'T'HH:mm:ss") AS stamp""",
     )
-    e = e.withColumns({
-        "lines": lines,
-        "subtotal": subtotal,
-        "rate": F.coalesce(F.col("c_nationkey") % 4, F.lit(0)) + 5,
-        "stamp": F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"),
-    }).withColumns({
-        "tax": F.floor((F.col("subtotal") * F.col("rate") + 50) / 100),
-        "shipping": F.lit(500) + k * 10,
-    })
-    # Every tenth order is stated one unit too high, for the arithmetic check.
-    stated = F.col("subtotal") + F.col("tax") + F.col("shipping") + F.when(k % 10 == 3, 100).otherwise(0)
-    bought = kind == "purchase"
-    order_kind = pick(["order_create", "order_paid", "order_paid", "order_fulfilled", "order_cancelled"], k)
-    event_type = (
-        F.when(kind == "view", "product_view").when(kind == "click", "cart_add").when(kind == "signup", "checkout_start")
-        .when(bought, order_kind).otherwise("cart_abandon")
-    )
-    none = F.lit(None).cast("string")
-    empty = F.slice("lines", 1, 0)
-    return e.select(
-        F.when(F.col("event_id") % 97 != 0, F.concat(F.lit("E"), number)).alias("event_id"),
-        event_type.alias("event_type"),
-        F.concat(F.lit("S"), (F.col("user_id")).cast("string"), F.lit("-"), F.date_format("ts", "yyyyMMdd")).alias("session_id"),
-        F.when(F.col("event_id") % 50 == 0, F.col("stamp"))
-        .otherwise(F.concat("stamp", F.lit("."), F.lpad(F.pmod("micros", F.lit(1000000)).cast("string"), 6, "0")))
-        .alias("event_timestamp"),
-        F.struct(
-            F.col("user_id").cast("int").alias("customer_id"),
-            F.lit("Customer").alias("first_name"),
-            F.substring("c_name", 10, 20).alias("last_name"),
-            F.concat(F.lit("c"), F.col("user_id").cast("string"), F.lit("@example.com")).alias("email"),
-            F.col("n_name").alias("country"),
-            F.lit("2025-12-01T00:00:00.000Z").alias("created_at"),
-            (F.col("rate") / 100.0).alias("tax_rate"),
-        ).alias("customer"),
-        F.struct(
-            pick(["Google", "Facebook", "Email", "Direct"], k).alias("channel"),
-            pick(["mobile", "desktop", "tablet"], k).alias("device"),
-        ).alias("session"),
-        F.when(kind == "view", F.get(F.col("lines"), F.lit(0))["product"]).alias("product"),
-        F.when(
-            kind.isin("click", "signup", "error") | (bought & (k % 20 == 2)),
-            F.struct(
-                F.concat(F.lit("C"), number).alias("cart_id"), F.col("lines").alias("items"),
-                F.col("stamp").alias("created_at"),
-            ),
-        ).alias("cart"),
-        F.when(
-            bought,
-            F.struct(
-                F.concat(F.lit("O"), number).alias("order_id"),
-                F.col("user_id").cast("int").alias("customer_id"),
-                # Some orders state an empty list next to a filled cart.
-                F.when(k % 20 == 2, empty).otherwise(F.col("lines")).alias("items"),
-                (F.col("subtotal") / 100.0).alias("subtotal"),
-                (F.col("tax") / 100.0).alias("tax"),
-                (F.col("rate") / 100.0).alias("tax_rate"),
-                (F.col("shipping") / 100.0).alias("shipping"),
-                (stated / 100.0).alias("total_amount"),
-                F.lit("USD").alias("currency"),
-                F.lit("fulfilled").alias("status"),
-                F.col("stamp").alias("created_at"),
-                F.when(order_kind != "order_create", F.col("stamp")).alias("paid_at"),
-                F.when(order_kind == "order_fulfilled", F.col("stamp")).alias("fulfilled_at"),
-                F.when(order_kind == "order_cancelled", F.col("stamp")).alias("cancelled_at"),
-                F.when(order_kind == "order_cancelled", F.lit("changed mind")).alias("cancel_reason"),
-            ),
-        ).alias("order"),
-        F.when(kind == "error", pick(["cart", "checkout"], k)).otherwise(none).alias("abandon_stage"),
+    e = e.join(home, e.user_id == home.c_custkey, "left").join(folded, e.event_id == folded.l_orderkey, "left")
+    product = f"""named_struct('id', CAST(i.part AS INT), 'name', 'Part ' || i.part,
+                               'category', 'Category ' || i.part % 10, 'price', {CENTS} / 100D)"""
+    e = e.selectExpr(
+        "*",
+        "event_type = 'purchase' AS bought",
+        f"""CASE event_type WHEN 'view' THEN 'product_view' WHEN 'click' THEN 'cart_add'
+              WHEN 'signup' THEN 'checkout_start' WHEN 'purchase'
+              THEN {pick('k', 'order_create', 'order_paid', 'order_paid', 'order_fulfilled', 'order_cancelled')}
+              ELSE 'cart_abandon' END AS kind""",
+        f"transform(basket, i -> named_struct('product', {product}, 'quantity', CAST(i.qty AS INT))) AS lines",
+        f"aggregate(coalesce(basket, {EMPTY_BASKET}), 0L, (total, i) -> total + {CENTS} * i.qty) AS subtotal",
+        "coalesce(c_nationkey % 4, 0) + 5 AS rate",
+    ).selectExpr("*", "floor((subtotal * rate + 50) / 100) AS tax", "500 + k * 10 AS shipping")
+    return e.selectExpr(
+        "IF(event_id % 97 <> 0, 'E' || event_id, NULL) AS event_id",
+        "kind AS event_type",
+        "'S' || user_id || '-' || day AS session_id",
+        "IF(event_id % 50 = 0, stamp, stamp || '.' || lpad(CAST(pmod(micros, 1000000) AS STRING), 6, '0')) AS event_timestamp",
+        """named_struct('customer_id', CAST(user_id AS INT), 'first_name', 'Customer', 'last_name', substring(c_name, 10),
+                        'email', 'c' || user_id || '@example.com', 'country', n_name,
+                        'created_at', '2025-12-01T00:00:00.000Z', 'tax_rate', rate / 100D) AS customer""",
+        f"""named_struct('channel', {pick('k', 'Google', 'Facebook', 'Email', 'Direct')},
+                         'device', {pick('k', 'mobile', 'desktop', 'tablet')}) AS session""",
+        "IF(event_type = 'view', get(lines, 0).product, NULL) AS product",
+        """IF(event_type IN ('click', 'signup', 'error') OR (bought AND k % 20 = 2),
+              named_struct('cart_id', 'C' || event_id, 'items', lines, 'created_at', stamp), NULL) AS cart""",
+        # Some orders state an empty list next to a filled cart; every tenth total is one unit too high.
+        """IF(bought, named_struct(
+             'order_id', 'O' || event_id, 'customer_id', CAST(user_id AS INT),
+             'items', IF(k % 20 = 2, slice(lines, 1, 0), lines),
+             'subtotal', subtotal / 100D, 'tax', tax / 100D, 'tax_rate', rate / 100D, 'shipping', shipping / 100D,
+             'total_amount', (subtotal + tax + shipping + IF(k % 10 = 3, 100, 0)) / 100D,
+             'currency', 'USD', 'status', 'fulfilled', 'created_at', stamp,
+             'paid_at', IF(kind <> 'order_create', stamp, NULL),
+             'fulfilled_at', IF(kind = 'order_fulfilled', stamp, NULL),
+             'cancelled_at', IF(kind = 'order_cancelled', stamp, NULL),
+             'cancel_reason', IF(kind = 'order_cancelled', 'changed mind', NULL)), NULL) AS order""",
+        f"IF(event_type = 'error', {pick('k', 'cart', 'checkout')}, NULL) AS abandon_stage",
     )
 
 
 def station_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status documents: one per event, holding two stations, or none when k is a multiple of 17."""
-    e = numbered_events(spark, sf_dir)
-    stations = table(spark, sf_dir, "supplier").agg(F.max("s_suppkey") + 3).scalar()
-    k, n = F.col("k"), F.col("event_id")
-
-    def reading(station: Column, shift: int) -> Column:
-        return F.struct(
-            station.cast("string").alias("station_id"),
-            F.struct(
-                F.when(k % 9 != 0, k + shift).cast("bigint").alias("electric"),
-                F.when(k % 8 != 0, 100 - k).cast("bigint").alias("classic"),
-            ).alias("num_bikes_available_types"),
-            (k + 100).cast("bigint").alias("num_bikes_available"),
-            (k % 15).cast("bigint").alias("num_docks_available"),
-            F.floor((F.col("micros") / 1000000) - shift).cast("bigint").alias("last_reported"),
-        )
-
-    pair = F.array(reading(n % stations, 0), reading((n * 7 + 3) % stations, 60))
-    folder = F.when(k == 97, "raw/status/undated/xx/yy/").otherwise(
-        F.concat(F.lit("raw/status/"), F.date_format("ts", "yyyy/MM/dd/"))
+    e = numbered_events(
+        spark, sf_dir,
+        "date_format(ts, 'yyyy/MM/dd/') AS folder",
+        "date_format(ts, 'HHmmss') || '.json' AS file",
     )
-    return e.select(
-        F.concat(folder, F.date_format("ts", "HHmmss"), F.lit(".json")).alias("source_file"),
-        F.struct(F.when(k % 17 == 0, F.slice(pair, 1, 0)).otherwise(pair).alias("stations")).alias("data"),
+    stations = table(spark, sf_dir, "supplier").agg(F.max("s_suppkey") + 3).scalar()
+
+    def reading(station: str, shift: int) -> str:
+        return f"""named_struct(
+          'station_id', CAST({station} % stations AS STRING),
+          'num_bikes_available_types', named_struct('electric', IF(k % 9 <> 0, CAST(k + {shift} AS BIGINT), NULL),
+                                                    'classic', IF(k % 8 <> 0, CAST(100 - k AS BIGINT), NULL)),
+          'num_bikes_available', CAST(k + 100 AS BIGINT), 'num_docks_available', CAST(k % 15 AS BIGINT),
+          'last_reported', CAST(floor(micros / 1000000 - {shift}) AS BIGINT))"""
+
+    pair = f"array({reading('event_id', 0)}, {reading('(event_id * 7 + 3)', 60)})"
+    return e.withColumn("stations", stations).selectExpr(
+        "'raw/status/' || IF(k = 97, 'undated/xx/yy/', folder) || file AS source_file",
+        f"named_struct('stations', IF(k % 17 = 0, slice({pair}, 1, 0), {pair})) AS data",
     )
 
 
 def station_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metadata documents, one station each."""
-    s = F.col("s_suppkey")
-    one = F.struct(
-        s.cast("string").alias("station_id"), F.col("s_name").alias("name"),
-        F.concat(s.cast("string"), F.lit(" Main St")).alias("address"),
-        (F.lit(40.0) + (s % 100) / 100.0).alias("lat"), (F.lit(-111.0) - (s % 100) / 100.0).alias("lon"),
+    return table(spark, sf_dir, "supplier").selectExpr(
+        """named_struct('stations', array(named_struct(
+             'station_id', CAST(s_suppkey AS STRING), 'name', s_name, 'address', s_suppkey || ' Main St',
+             'lat', 40D + (s_suppkey % 100) / 100D, 'lon', -111D - (s_suppkey % 100) / 100D))) AS data"""
     )
-    return table(spark, sf_dir, "supplier").select(F.struct(F.array(one).alias("stations")).alias("data"))
 
 
 def trips_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw trips with text times; one k in a hundred each is undated, too short, or in the wrong folder."""
-    e = numbered_events(spark, sf_dir)
-    k, ts = F.col("k"), F.col("ts")
-    pattern = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-    later = F.when(k == 7, F.expr("ts + INTERVAL 30 SECONDS")).otherwise(
-        F.expr("ts + make_dt_interval(0, 0, 3 * (k - 5), 0)")
+    minutes = "3 * (CAST(get_json_object(props, '$.k') AS INT) - 5)"
+    e = numbered_events(
+        spark, sf_dir,
+        "CAST(ts AS STRING) AS pickup",
+        f"CAST(ts + make_dt_interval(0, 0, {minutes}, 0) AS STRING) AS dropoff",
     )
-    return e.select(
-        (F.col("event_id") % 2 + 1).alias("VendorID"),
-        F.date_format(ts, pattern).alias("tpep_pickup_datetime"),
-        F.when(k != 60, F.date_format(later, pattern)).alias("tpep_dropoff_datetime"),
-        (k % 6).cast("double").alias("passenger_count"),
-        F.when(k % 2 == 0, F.col("value") - 20).otherwise(F.col("value")).alias("trip_distance"),
-        F.lit(1.0).alias("RatecodeID"),
-        F.lit("N").alias("store_and_fwd_flag"),
-        (F.col("user_id") % 27).alias("PULocationID"),
-        (F.col("event_id") % 27).alias("DOLocationID"),
-        (k % 4).cast("bigint").alias("payment_type"),
-        (F.col("value") * 0.8).alias("fare_amount"),
-        (F.col("value") * 0.1).alias("tip_amount"),
-        (F.col("value") - 30).alias("total_amount"),
-        F.year(ts).alias("year"),
-        (F.month(ts) + F.when(k == 50, 1).otherwise(0)).alias("month"),
+    return e.selectExpr(
+        "event_id % 2 + 1 AS VendorID",
+        "pickup AS tpep_pickup_datetime",
+        """CASE WHEN k = 60 THEN NULL WHEN k = 7 THEN CAST(ts + INTERVAL 30 SECONDS AS STRING)
+                ELSE dropoff END AS tpep_dropoff_datetime""",
+        "CAST(k % 6 AS DOUBLE) AS passenger_count",
+        "IF(k % 2 = 0, value - 20, value) AS trip_distance",
+        "1D AS RatecodeID",
+        "'N' AS store_and_fwd_flag",
+        "user_id % 27 AS PULocationID",
+        "event_id % 27 AS DOLocationID",
+        "CAST(k % 4 AS BIGINT) AS payment_type",
+        "value * 0.8D AS fare_amount",
+        "value * 0.1D AS tip_amount",
+        "value - 30 AS total_amount",
+        "year(ts) AS year",
+        "month(ts) + IF(k = 50, 1, 0) AS month",
     )
 
 
 def zone_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey, "left").select(
-        F.col("n_nationkey").cast("string").alias("LocationID"),
-        F.col("r_name").alias("Borough"),
-        F.col("n_name").alias("Zone"),
-        pick(["Yellow Zone", "Boro Zone", "Airports"], F.col("n_nationkey")).alias("service_zone"),
+    return nation.join(region, nation.n_regionkey == region.r_regionkey, "left").selectExpr(
+        "CAST(n_nationkey AS STRING) AS LocationID", "r_name AS Borough", "n_name AS Zone",
+        f"{pick('n_nationkey', 'Yellow Zone', 'Boro Zone', 'Airports')} AS service_zone",
     )
 
 
 def weather_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One weather row per day trips were taken on, except days 29 and later."""
-    days = table(spark, sf_dir, "events").select(F.to_date("ts").alias("d")).distinct()
-    day = F.dayofmonth("d")
-    return days.filter(day < 29).select(
-        F.col("d").cast("string").alias("date"),
-        (day - 10).cast("string").alias("tmin_c"),
-        (day + F.when(day == 13, 100).otherwise(0)).cast("string").alias("tmax_c"),
-        ((day % 5) * 2).cast("string").alias("prcp_mm"),
-        F.when(day % 10 == 0, F.lit("-1")).otherwise((day % 3).cast("string")).alias("snow_mm"),
-        F.year("d").cast("string").alias("year"),
-        F.month("d").cast("string").alias("month"),
+    days = table(spark, sf_dir, "events").selectExpr("CAST(ts AS DATE) AS d", "day(ts) AS n").distinct()
+    return days.filter("n < 29").selectExpr(
+        "CAST(d AS STRING) AS date",
+        "CAST(n - 10 AS STRING) AS tmin_c",
+        "CAST(n + IF(n = 13, 100, 0) AS STRING) AS tmax_c",
+        "CAST(n % 5 * 2 AS STRING) AS prcp_mm",
+        "IF(n % 10 = 0, '-1', CAST(n % 3 AS STRING)) AS snow_mm",
+        "CAST(year(d) AS STRING) AS year",
+        "CAST(month(d) AS STRING) AS month",
     )

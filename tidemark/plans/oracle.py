@@ -326,7 +326,7 @@ FROM raw GROUP BY 1
 
 define("int_page_views", """
 SELECT event_id, event_date, event_ts, user_pseudo_id, platform, device_category, country, traffic_source
-FROM ev WHERE event_name = 'page_view'
+FROM ev WHERE event_name = 'page_view' AND user_pseudo_id IS NOT NULL
 """, "ev")
 
 define("int_purchase", f"""
@@ -430,7 +430,7 @@ SELECT DISTINCT product_key, item_id, item_name, item_brand, item_category FROM
 
 define("dim_views", """
 SELECT event_date, count(*) AS total_page_views, count(DISTINCT user_pseudo_id) AS unique_users
-FROM raw WHERE event_name = 'page_view' GROUP BY 1
+FROM raw WHERE event_name = 'page_view' AND user_pseudo_id IS NOT NULL GROUP BY 1
 """, "raw")
 
 define("fct_events", f"""
@@ -609,6 +609,14 @@ cte("shop_items", """
 SELECT l_orderkey, slot, part, qty, row_number() OVER (PARTITION BY l_orderkey ORDER BY slot) AS place FROM slots
 """, "slots")
 
+# Of several rows with one key the smallest survives, column by column.
+_SILVER_ORDER = ["event_type", "session_id", "event_timestamp", "event_date", "customer_id", "customer_first_name",
+                 "customer_last_name", "customer_email", "customer_country", "customer_tax_rate", "channel", "device",
+                 "cart_id", "abandon_stage", "order_subtotal", "order_tax", "order_tax_rate", "order_shipping",
+                 "order_total_amount", "order_status", "order_created_at_raw", "order_paid_at_raw",
+                 "order_fulfilled_at_raw", "order_cancelled_at_raw", "order_cancel_reason", "product_name",
+                 "product_category", "product_price", "quantity"]
+
 cte("silver", """
 SELECT DISTINCT ON (event_id, product_id, order_id) *
 FROM (
@@ -646,8 +654,7 @@ FROM shop LEFT JOIN shop_items
  AND CASE WHEN event_type = 'purchase' THEN k % 20 <> 2 WHEN kind = 'product_view' THEN place = 1 ELSE true END
 WHERE n % 97 <> 0
 )
-ORDER BY event_id, product_id, order_id, quantity
-""", "shop", "shop_items")
+ORDER BY event_id, product_id, order_id, """ + ", ".join(f"{c} NULLS FIRST" for c in _SILVER_ORDER), "shop", "shop_items")
 
 _SILVER = f"""
 SELECT * REPLACE ({rnd('customer_tax_rate')} AS customer_tax_rate, {rnd('order_subtotal')} AS order_subtotal,
