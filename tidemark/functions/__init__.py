@@ -1,6 +1,7 @@
 """Column expressions shared by the operators."""
 
 from tidemark.functions.expressions import (  # noqa: F401
+    array_fields,
     event_key,
     first_param,
     has_elements,

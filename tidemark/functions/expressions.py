@@ -51,6 +51,15 @@ def has_elements(array: Column | str) -> Column:
     return F.coalesce(F.size(_col(array)) > 0, F.lit(False))
 
 
+def array_fields(array: str, *fields: str) -> Column:
+    """The same array of structs with only ``fields``, for use in front of a generator.
+
+    A generator hands on whole elements, so every field of them is read from the
+    file; picking the fields first lets the scan skip the others.
+    """
+    return F.arrays_zip(*[F.col(f"{array}.{field}").alias(field) for field in fields])
+
+
 def param_max(key: str, *fields: str, params: Column | str = "event_params") -> Column:
     """Greatest value stored under ``key``, read inside the row.
 

@@ -12,7 +12,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import event_key, param_max, parse_day, repeat_rows, safe_divide, steady_sum, sunday_of
+from tidemark.functions import (
+    array_fields,
+    event_key,
+    param_max,
+    parse_day,
+    repeat_rows,
+    safe_divide,
+    steady_sum,
+    sunday_of,
+)
 from tidemark.operators.web_sessions import distinct_events
 
 LINE_COLUMNS = [
@@ -63,12 +72,12 @@ def purchase_lines(events: DataFrame, unique_ids: bool = False) -> DataFrame:
         known("value", "double_value", "float_value").alias("total_revenue"),
         known("currency", "string_value").alias("currency"),
         known("ga_session_id", "int_value").alias("ga_session_id"),
-        "items",
+        array_fields("items", "item_id", "item_name", "item_brand", "item_category", "price", "quantity").alias("items"),
     )
     header = ["event_id", "event_date", "purchase_ts", "user_pseudo_id",
               "_transaction", "total_revenue", "currency", "ga_session_id"]
     exploded = ["_key", F.posexplode_outer("items").alias("_pos", "i")]
-    matched = identified & F.col("i").isNotNull()
+    matched = identified & F.col("_pos").isNotNull()
     alone = ~identified & F.coalesce(F.col("_pos") == 0, F.lit(True))
     if unique_ids:
         weight = F.when(matched | alone | F.col("_pos").isNull(), F.lit(1))
@@ -230,7 +239,11 @@ def dim_product_daily(events: DataFrame) -> DataFrame:
     earned = F.coalesce("i.item_revenue", F.col("i.price") * F.col("i.quantity"), F.lit(0.0))
     items = (
         events.filter(F.col("event_name").isin(*actions.values()))
-        .select(parse_day("event_date").alias("event_date"), "event_name", "items")
+        .select(
+            parse_day("event_date").alias("event_date"), "event_name",
+            array_fields("items", "item_id", "item_name", "item_brand", "item_category",
+                         "price", "quantity", "item_revenue").alias("items"),
+        )
         .select("event_date", "event_name", F.explode("items").alias("i"))
         .select(
             "event_date", "event_name", "i.item_id", "i.item_name", "i.item_brand", "i.item_category",

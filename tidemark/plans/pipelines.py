@@ -102,7 +102,6 @@ def run_stations_incremental(spark: SparkSession, info_root: str, status_root: s
     use_utc(spark)
     recent = _paths(snapshots.recent_snapshots(_listing(spark, status_root), as_of, hours_back))
     curated = stations.station_curated(readers.station_status(spark, recent), _latest_info(spark, info_root))
-    curated = curated.drop("source_file")
     if idempotent:
         curated = stations.once_per_reading(curated)
         held = _existing(spark, output_path)
@@ -119,7 +118,7 @@ def run_stations_backfill(spark: SparkSession, info_root: str, status_root: str,
     use_utc(spark)
     quality.require_rows(_listing(spark, status_root), status_root)
     status = readers.station_status(spark, status_root)
-    curated = stations.station_curated(status, _latest_info(spark, info_root)).drop("source_file")
+    curated = stations.station_curated(status, _latest_info(spark, info_root))
     sinks.overwrite_partitioned(curated, output_path, ["year", "month", "day"], max_records_per_file)
 
 
@@ -137,7 +136,7 @@ def _paths(files: DataFrame) -> list[str]:
 
 def _latest_info(spark: SparkSession, root: str) -> DataFrame:
     newest = _paths(snapshots.latest_snapshot(_listing(spark, root)))
-    return readers.station_info(spark, newest).drop("source_file")
+    return readers.station_info(spark, newest)
 
 
 def _existing(spark: SparkSession, path: str) -> DataFrame | None:
