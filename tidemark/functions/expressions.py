@@ -60,6 +60,11 @@ def array_fields(array: str, *fields: str) -> Column:
     return F.arrays_zip(*[F.col(f"{array}.{field}").alias(field) for field in fields])
 
 
+def element_count(array: str, field: str) -> Column:
+    """Number of elements, 0 for a NULL array, reading only ``field`` of them."""
+    return F.coalesce(F.greatest(F.size(array_fields(array, field)), F.lit(0)), F.lit(0)).cast("bigint")
+
+
 def param_max(key: str, *fields: str, params: Column | str = "event_params") -> Column:
     """Greatest value stored under ``key``, read inside the row.
 

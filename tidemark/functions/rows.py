@@ -24,6 +24,17 @@ def repeat_rows(df: DataFrame, times: str) -> DataFrame:
     return unrolled.withColumn("_copy", F.explode(inside)).select(*keep)
 
 
+def loose(lookup: DataFrame) -> DataFrame:
+    """Hand a grouped table to a join without its layout.
+
+    Adaptive execution can only split a hot key of a join when both sides come
+    straight out of an exchange. A lookup grouped by the join key would be joined
+    in place and leave the whole key to one task; redistributing its few columns
+    buys the split. It is still broadcast when its measured size allows.
+    """
+    return lookup.hint("rebalance")
+
+
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round DOUBLE columns and show timestamps without a zone, for comparisons."""
     out = []

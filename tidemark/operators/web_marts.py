@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import event_key, first_param, repeat_rows, safe_divide, steady_avg, steady_sum
+from tidemark.functions import event_key, first_param, loose, repeat_rows, safe_divide, steady_avg, steady_sum
 from tidemark.operators.web_purchases import session_commerce
 
 
@@ -219,8 +219,9 @@ def rpt_sessions_wide(events: DataFrame, session_facts: DataFrame, lines: DataFr
     """Session facts with the place and the sales of their client session id.
 
     Place and sales are looked up by the client session id alone, as published;
-    ``user_scoped=True`` keeps users who share an id apart. Both lookups hold
-    one row per key, so a popular id never multiplies rows.
+    ``user_scoped=True`` keeps users who share an id apart. Place and sales are
+    grouped by the same key, so they are put together in place into a lookup of
+    one row per key; a popular id never multiplies rows.
     """
     if user_scoped:
         keys = ["session_id", "user_pseudo_id"]
@@ -237,9 +238,9 @@ def rpt_sessions_wide(events: DataFrame, session_facts: DataFrame, lines: DataFr
         keys = ["session_id"]
         sales = session_commerce(lines)
     transactions = F.coalesce("total_transactions", F.lit(0))
+    lookup = session_places(events, user_scoped).join(sales, keys, "full")
     return (
-        session_facts.join(session_places(events, user_scoped), keys, "left")
-        .join(sales, keys, "left")
+        session_facts.join(loose(lookup), keys, "left")
         .select(
             "session_id", "user_pseudo_id", "event_date", "session_start", "session_end",
             "session_length", "session_number", "country", "region", "city",
@@ -260,7 +261,7 @@ def rpt_product_sales(lines: DataFrame, events: DataFrame, session_facts: DataFr
     published = session_facts.select("session_id").distinct()
     places = session_places(events).join(published, "session_id", "left_semi")
     return repeat_rows(
-        lines.withColumnRenamed("ga_session_id", "session_id").join(places, "session_id", "left"), "copies"
+        lines.withColumnRenamed("ga_session_id", "session_id").join(loose(places), "session_id", "left"), "copies"
     ).select(
         "event_id", "user_pseudo_id", "event_date", "purchase_ts", "transaction_id", "session_id",
         "item_id", "item_name", "item_brand", "item_category",

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import (
     array_fields,
+    element_count,
     event_key,
     param_max,
     parse_day,
@@ -47,10 +48,10 @@ def int_purchase(events: DataFrame) -> DataFrame:
 def purchase_lines(events: DataFrame, unique_ids: bool = False) -> DataFrame:
     """Weighted purchase lines: the published columns plus event_id, ga_session_id and copies.
 
-    Both sides of the join come from purchase events only and are laid out by
-    event, so the fold and the join share one exchange. The join is inner with
-    the raw copies on its left, which lets adaptive execution split an event
-    that holds a large share of all rows.
+    Both sides of the join come from purchase events only. The fold combines on
+    the map side; grouping it by event and day, while the join uses the event,
+    puts an exchange on both sides of the join, which is what lets adaptive
+    execution split an event that holds a large share of all rows.
     """
     bought = events.filter(F.col("event_name") == "purchase")
     identified = F.col("event_id").isNotNull()
@@ -58,36 +59,44 @@ def purchase_lines(events: DataFrame, unique_ids: bool = False) -> DataFrame:
         "|", F.lit("no-id"), F.coalesce("user_pseudo_id", F.lit("")), F.col("event_timestamp").cast("string")
     )
 
-    def known(key, *fields):
-        return F.when(identified, param_max(key, *fields))
-
-    rows = bought.withColumn("event_id", event_key()).select(
+    # Everything that reads a nested column sits directly above the scan, so it can prune fields.
+    base = bought.select(
+        event_key().alias("event_id"),
+        "event_date",
+        "event_timestamp",
+        "user_pseudo_id",
+        param_max("transaction_id", "string_value").alias("transaction"),
+        param_max("value", "double_value", "float_value").alias("amount"),
+        param_max("currency", "string_value").alias("currency"),
+        param_max("ga_session_id", "int_value").alias("session"),
+        array_fields("items", "item_id", "item_name", "item_brand", "item_category", "price", "quantity").alias("items"),
+        element_count("items", "item_id").alias("_n"),
+    )
+    rows = base.select(
         # One key that is never NULL: the event, or the anonymous row, on its day.
         F.concat_ws("|", F.coalesce("event_id", anonymous), "event_date").alias("_key"),
         "event_id",
         parse_day("event_date").alias("event_date"),
         F.timestamp_micros("event_timestamp").alias("purchase_ts"),
         "user_pseudo_id",
-        known("transaction_id", "string_value").alias("_transaction"),
-        known("value", "double_value", "float_value").alias("total_revenue"),
-        known("currency", "string_value").alias("currency"),
-        known("ga_session_id", "int_value").alias("ga_session_id"),
-        array_fields("items", "item_id", "item_name", "item_brand", "item_category", "price", "quantity").alias("items"),
+        F.when(identified, F.col("transaction")).alias("_transaction"),
+        F.when(identified, F.col("amount")).alias("total_revenue"),
+        F.when(identified, F.col("currency")).alias("currency"),
+        F.when(identified, F.col("session")).alias("ga_session_id"),
+        "items",
+        "_n",
     )
-    header = ["event_id", "event_date", "purchase_ts", "user_pseudo_id",
-              "_transaction", "total_revenue", "currency", "ga_session_id"]
+    header = ["event_id", "purchase_ts", "user_pseudo_id", "_transaction", "total_revenue", "currency", "ga_session_id"]
     exploded = ["_key", F.posexplode_outer("items").alias("_pos", "i")]
     matched = identified & F.col("_pos").isNotNull()
     alone = ~identified & F.coalesce(F.col("_pos") == 0, F.lit(True))
     if unique_ids:
         weight = F.when(matched | alone | F.col("_pos").isNull(), F.lit(1))
-        lines = rows.select(*exploded, *header)
+        lines = rows.select(*exploded, "event_date", *header)
     else:
-        # Reading one field is enough to count the items without loading the rest.
-        item_count = F.greatest(F.coalesce(F.size("items.item_id"), F.lit(0)), F.lit(0))
-        purchases = rows.groupBy("_key").agg(
+        purchases = rows.groupBy("_key", "event_date").agg(
             *[F.max(name).alias(name) for name in header],
-            F.sum(item_count).alias("_items"),
+            F.sum("_n").alias("_items"),
             F.count("*").alias("_copies"),
         )
         # A copy without items only counts when no copy has any.

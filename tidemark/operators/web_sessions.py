@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import event_key, parse_day, steady_sum
+from tidemark.functions import element_count, event_key, parse_day, steady_sum
 from tidemark.operators.web_staging import IDENTITY, PIVOT_KEYS, in_row_params, int_event_param_pivot, stg_events
 
 # First-touch attributes a session can carry, in published order.
@@ -54,7 +54,6 @@ def distinct_events(events: DataFrame, touch: tuple[str, ...] = (), unique_ids:
     and its exchange, are skipped. Rows whose id is NULL match no parameters.
     """
     attributes = [F.col(path).alias(name) for name, path in FIRST_TOUCH.items() if name in touch]
-    item_count = F.coalesce(F.size("items.item_id"), F.lit(0))
     flat = events.select(
         event_key().alias("event_id"),
         parse_day("event_date").alias("event_date"),
@@ -62,8 +61,8 @@ def distinct_events(events: DataFrame, touch: tuple[str, ...] = (), unique_ids:
         "user_pseudo_id",
         "event_name",
         *[c.alias(name) for name, c in in_row_params(PIVOT_KEYS).items()],
-        F.greatest(item_count, F.lit(0)).cast("bigint").alias("items"),
-        *( [F.struct(*attributes).alias("touch")] if attributes else [] ),
+        element_count("items", "item_id").alias("items"),
+        *([F.struct(*attributes).alias("touch")] if attributes else []),
     )
     identified = F.col("event_id").isNotNull()
     if keep_unidentified:
@@ -76,7 +75,7 @@ def distinct_events(events: DataFrame, touch: tuple[str, ...] = (), unique_ids:
     return flat.groupBy(*IDENTITY).agg(
         *[F.max(name).alias(name) for name in PIVOT_KEYS],
         F.sum("items").alias("items"),
-        *( [F.min("touch").alias("touch")] if attributes else [] ),
+        *([F.min("touch").alias("touch")] if attributes else []),
         F.count("*").alias("copies"),
     )
 

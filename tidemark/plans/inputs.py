@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions import loose
+
 SLOTS = 7
 
 
@@ -56,7 +58,7 @@ def baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"IF(part{s} IS NOT NULL, named_struct('slot', {s}, 'part', part{s}, 'qty', CAST(qty{s} AS BIGINT)), NULL)"
         for s in range(SLOTS)
     )
-    return folded.selectExpr("l_orderkey", f"array_compact(array({slots})) AS basket")
+    return loose(folded.selectExpr("l_orderkey", f"array_compact(array({slots})) AS basket"))
 
 
 CENTS = "(90000 + pmod(i.part, 1000) * 10)"
