@@ -1,4 +1,4 @@
-"""Time the headline queries and print one JSON line.
+"""Time the headline queries (or those named on the command line, or ``all``) and print one JSON line.
 
     BENCH_SF_DIR   data to read    (default /root/testdata/sf0.1)
     BENCH_CPUS     local cores     (default 8)
@@ -21,11 +21,24 @@ from tidemark.plans.catalog import QUERIES  # noqa: E402
 from tidemark.session import build_session  # noqa: E402
 
 
+HEADLINE = [
+    "stg_event_params", "stg_items", "stg_event_param_pivot",
+    "int_sessions", "int_purchase_items", "int_users",
+    "agg_daily_sessions", "agg_daily_geo", "agg_daily_product_revenue", "agg_weekly_dropoff_rates",
+    "fct_events", "fct_purchases", "fct_daily_web_metrics", "dim_funnel_daily", "dim_product_daily",
+    "rpt_funnel_sessions", "rpt_sessions_wide", "rpt_product_sales", "filter_loss_audit",
+    "commerce_silver", "customer_ltv", "hourly_category_revenue",
+    "station_curated", "station_incremental",
+    "trips_silver", "trips_quarantine", "city_daily_kpis", "zone_daily_kpis",
+    "dq_order_arithmetic", "bronze_stream_counts",
+]
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "2"))
-    only = sys.argv[1:]
+    chosen = sys.argv[1:] or HEADLINE
     spark = build_session(
         "tidemark-bench", f"local[{cpus}]",
         **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false"},
@@ -33,7 +46,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     timings: dict[str, float] = {}
     for name, build in QUERIES.items():
-        if only and name not in only:
+        if name not in chosen and "all" not in chosen:
             continue
         best = None
         for _ in range(runs):

@@ -133,3 +133,9 @@ def test_rescued_json(spark, tmp_path):
     kept = {(a, b): json.loads(x) if x and x.startswith("{") else x for a, b, x in found}
     assert kept == {(1, "x"): None, (None, "y"): {"a": "many"}, (2, None): {"c": '{"d":1}'},
                     (None, None): "not json", (3, None): None}
+
+
+def test_lineage_columns(spark, tmp_path):
+    spark.range(2).write.parquet(str(tmp_path / "t"))
+    rows = readers.with_lineage(spark.read.parquet(str(tmp_path / "t"))).collect()
+    assert all(r.source_file.endswith(".parquet") and r.source_file_mod_time and r.ingest_ts for r in rows)

@@ -516,7 +516,8 @@ def _(spark, sf):
     root = f"{shared_folder(spark)}/bronze-{uuid.uuid4().hex}"
     schema = inputs.table(spark, sf, "events").schema
     for _run in range(2):
-        stream = ingest.file_stream(spark, sf, schema, pathGlobFilter="events.parquet")
+        # As a pattern the source may be one file or a folder of files.
+        stream = ingest.file_stream(spark, f"{sf}/events.{{parquet}}", schema)
         dated = stream.withColumns({"year": F.year("ts"), "month": F.month("ts")})
         ingest.ingest_available(dated, f"{root}/table", f"{root}/checkpoint", ["year", "month"])
     return trips.partition_counts(spark.read.parquet(f"{root}/table"), rows="events")

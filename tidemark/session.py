@@ -39,6 +39,9 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_private: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster.
 
@@ -48,6 +51,7 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
-    private = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set("spark.checkpoint.dir", private)
-    return private
+    application = spark.sparkContext.applicationId
+    if application not in _private:
+        _private[application] = tempfile.mkdtemp(prefix="tidemark-")
+    return _private[application]
