@@ -7,7 +7,10 @@ taken by ``Observation`` while the output is written, not by extra jobs.
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
+from operator import and_, or_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -103,12 +106,7 @@ def run_stations_incremental(spark: SparkSession, info_root: str, status_root: s
     recent = _paths(snapshots.recent_snapshots(_listing(spark, status_root), as_of, hours_back))
     curated = stations.station_curated(readers.station_status(spark, recent), _latest_info(spark, info_root))
     if idempotent:
-        curated = stations.once_per_reading(curated)
-        held = _existing(spark, output_path)
-        if held is not None:
-            days = ["year", "month", "day"]
-            curated = curated.join(held.select("station_id", "timestamp", *days),
-                                   ["station_id", "timestamp", *days], "left_anti")
+        curated = _not_held(spark, stations.once_per_reading(curated), output_path)
     sinks.append_partitioned(curated, output_path, ["year", "month", "day"])
 
 
@@ -139,10 +137,20 @@ def _latest_info(spark: SparkSession, root: str) -> DataFrame:
     return readers.station_info(spark, newest)
 
 
-def _existing(spark: SparkSession, path: str) -> DataFrame | None:
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = location.getFileSystem(spark._jsc.hadoopConfiguration())
-    return spark.read.parquet(path) if files.exists(location) else None
+def _not_held(spark: SparkSession, curated: DataFrame, path: str) -> DataFrame:
+    """Readings the target does not hold yet; only the days at hand are looked at."""
+    try:
+        held = spark.read.parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return curated
+    by = ["year", "month", "day"]
+    # At most one row per calendar day; as literals they prune the target's partitions.
+    days = curated.select(*by).distinct().collect()
+    same_day = [reduce(and_, [F.col(c).eqNullSafe(day[c]) for c in by]) for day in days]
+    held = held.filter(reduce(or_, same_day, F.lit(False)))
+    return curated.join(held.select("station_id", "timestamp"), ["station_id", "timestamp"], "left_anti")
 
 
 def ingest_trips(spark: SparkSession, source: str, table: str, checkpoint: str,
