@@ -9,6 +9,12 @@ from tidemark.functions import safe_divide, steady_avg, steady_sum
 
 MIN_MINUTES, MAX_MINUTES = 1, 240
 
+# A trip is plausible when its length, distance and amount are, and it started in the month of its folder.
+PLAUSIBLE = f"""
+  trip_minutes BETWEEN {MIN_MINUTES} AND {MAX_MINUTES} AND trip_distance > 0 AND total_amount > 0
+  AND pickup_year = year AND pickup_month = month
+"""
+
 # Quarantine reasons in order of precedence; the first that holds is reported.
 QUARANTINE_RULES = [
     ("NULL_TIMESTAMP", "pickup_ts IS NULL OR dropoff_ts IS NULL"),
@@ -54,14 +60,7 @@ def _measures(*names: str) -> list[Column]:
 
 def trips_silver(bronze: DataFrame) -> DataFrame:
     """Plausible trips in the published 14-column layout."""
-    valid = (
-        F.col("trip_minutes").between(MIN_MINUTES, MAX_MINUTES)
-        & (F.col("trip_distance") > 0)
-        & (F.col("total_amount") > 0)
-        & (F.col("pickup_year") == F.col("year"))
-        & (F.col("pickup_month") == F.col("month"))
-    )
-    return with_trip_times(bronze).filter(valid).select(
+    return with_trip_times(bronze).filter(PLAUSIBLE).select(
         "pickup_ts", "dropoff_ts", "pickup_date", "pickup_hour", *_measures(*MEASURES), "trip_minutes", "year", "month"
     )
 
@@ -92,11 +91,7 @@ def quarantine_summary(quarantine: DataFrame) -> DataFrame:
 
 def trip_reconciliation(bronze: DataFrame) -> DataFrame:
     """Where bronze rows end up. Very short trips and NULL measures end up in neither output."""
-    valid = F.expr(
-        f"trip_minutes BETWEEN {MIN_MINUTES} AND {MAX_MINUTES} AND trip_distance > 0 AND total_amount > 0 "
-        "AND pickup_year = year AND pickup_month = month"
-    )
-    kept, held = F.coalesce(valid, F.lit(False)), quarantine_reason().isNotNull()
+    kept, held = F.coalesce(F.expr(PLAUSIBLE), F.lit(False)), quarantine_reason().isNotNull()
     return with_trip_times(bronze).agg(
         F.count("*").alias("bronze_rows"),
         F.count_if(kept).alias("silver_rows"),

@@ -223,20 +223,8 @@ def rpt_sessions_wide(events: DataFrame, session_facts: DataFrame, lines: DataFr
     grouped by the same key, so they are put together in place into a lookup of
     one row per key; a popular id never multiplies rows.
     """
-    if user_scoped:
-        keys = ["session_id", "user_pseudo_id"]
-        sales = (
-            lines.filter("is_complete")
-            .groupBy("transaction_id", "user_pseudo_id", "event_date", "purchase_ts", "currency", "total_revenue",
-                     F.col("ga_session_id").alias("session_id"))
-            .agg(F.lit(1).alias("_one"))
-            .groupBy(*keys)
-            .agg(F.count_distinct("transaction_id").alias("total_transactions"),
-                 steady_sum("total_revenue").alias("total_revenue"))
-        )
-    else:
-        keys = ["session_id"]
-        sales = session_commerce(lines)
+    keys = ["session_id", "user_pseudo_id"] if user_scoped else ["session_id"]
+    sales = session_commerce(lines, user_scoped)
     transactions = F.coalesce("total_transactions", F.lit(0))
     lookup = session_places(events, user_scoped).join(sales, keys, "full")
     return (

@@ -172,11 +172,12 @@ def fct_purchases(lines: DataFrame) -> DataFrame:
     )
 
 
-def session_commerce(lines: DataFrame) -> DataFrame:
-    """Transactions and revenue per client session id, from complete purchases."""
+def session_commerce(lines: DataFrame, user_scoped: bool = False) -> DataFrame:
+    """Transactions and revenue per client session id (and user, on request), from complete purchases."""
+    keys = ["session_id", "user_pseudo_id"] if user_scoped else ["session_id"]
     return (
-        _purchase_grain(lines, "ga_session_id").agg(F.lit(1).alias("_one"))
-        .groupBy(F.col("ga_session_id").alias("session_id"))
+        _purchase_grain(lines.withColumnRenamed("ga_session_id", "session_id"), "session_id").agg(F.lit(1).alias("_one"))
+        .groupBy(*keys)
         .agg(
             F.count_distinct("transaction_id").alias("total_transactions"),
             steady_sum("total_revenue").alias("total_revenue"),
