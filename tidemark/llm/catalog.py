@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import simhash
+from tidemark.llm import bpe, simhash
 from tidemark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +29,12 @@ def query(name: str, oracle: str | None = None):
 def _(spark, sf):
     found = simhash.near_duplicates(table(spark, sf, "documents"))
     return found.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
+
+@query("op6_bpe")
+def _(spark, sf):
+    path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
+    return bpe.digests(bpe.decode(bpe.encode(table(spark, sf, "documents"), path, pattern), path, pattern))
