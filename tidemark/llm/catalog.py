@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, simhash
-from tidemark.llm.common import table
+from tidemark.llm import bpe, simhash, suffix_dedup
+from tidemark.llm.common import bare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -38,3 +38,9 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 def _(spark, sf):
     path, pattern = public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN
     return bpe.digests(bpe.decode(bpe.encode(table(spark, sf, "documents"), path, pattern), path, pattern))
+
+
+@query("op9_suffix_dedup")
+def _(spark, sf):
+    out = suffix_dedup.remove_repeats(bare(table(spark, sf, "documents"), "doc_id", "text"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
