@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, simhash, suffix_dedup
+from tidemark.llm import bpe, quality_rules, simhash, suffix_dedup, toxicity
 from tidemark.llm.common import bare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,13 @@ def _(spark, sf):
 def _(spark, sf):
     out = suffix_dedup.remove_repeats(bare(table(spark, sf, "documents"), "doc_id", "text"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op7_quality_rules")
+def _(spark, sf):
+    return quality_rules.judge(table(spark, sf, "documents")).drop("rejected_by")
+
+
+@query("op4_toxicity")
+def _(spark, sf):
+    return toxicity.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
