@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, quality_rules, simhash, suffix_dedup, toxicity
+from tidemark.llm import bpe, language_crf, quality_rules, simhash, suffix_dedup, toxicity
 from tidemark.llm.common import bare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,8 @@ def _(spark, sf):
 @query("op4_toxicity")
 def _(spark, sf):
     return toxicity.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op5_language_crf")
+def _(spark, sf):
+    return language_crf.judge(table(spark, sf, "documents"))
