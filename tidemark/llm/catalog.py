@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, language_crf, quality_rules, simhash, suffix_dedup, toxicity
-from tidemark.llm.common import bare, table
+from tidemark.llm import bpe, language_crf, quality_rules, simhash, suffix_dedup, toxicity, warc
+from tidemark.llm.common import bare, fresh_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -59,3 +59,17 @@ def _(spark, sf):
 @query("op5_language_crf")
 def _(spark, sf):
     return language_crf.judge(table(spark, sf, "documents"))
+
+
+@query("op2_warc", oracle="""
+    WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha256(coalesce(html, '')) AS d,
+                      octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+    f AS (SELECT d, min(page_id) AS first_id FROM p WHERE n >= 100 GROUP BY d)
+    SELECT page_id, n AS payload_bytes, p.d AS payload_digest,
+           CASE WHEN page_id IS DISTINCT FROM first_id AND first_id IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+    FROM p LEFT JOIN f ON p.d = f.d""")
+def _(spark, sf):
+    path = fresh_path(spark, "warc")
+    warc.write(warc.page_records(table(spark, sf, "pages")), path)
+    return warc.page_digests(warc.read(spark, path, payloads="response"))
