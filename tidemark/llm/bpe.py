@@ -181,10 +181,10 @@ class Codec:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         cut = [self.pattern.findall(t or "") for t in texts]
-        new = list({p for c in cut for p in c} - self.known.keys())
+        new = list({p for c in cut for p in c}.difference(self.known))
         if not self.late.isdisjoint("".join(new)):
             cut = [c if self.late.isdisjoint(t or "") else self.cut(t) for t, c in zip(texts, cut)]
-            new = list({p for c in cut for p in c} - self.known.keys())
+            new = list({p for c in cut for p in c}.difference(self.known))
         if len(self.known) + len(new) > KNOWN:
             new = list({p for c in cut for p in c})
             self.known = {}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, language_crf, quality_rules, simhash, suffix_dedup, toxicity, warc
+from tidemark.llm import bpe, decontaminate, language_crf, quality_rules, simhash, suffix_dedup, toxicity, warc
 from tidemark.llm.common import bare, fresh_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,8 @@ def _(spark, sf):
     path = fresh_path(spark, "warc")
     warc.write(warc.page_records(table(spark, sf, "pages")), path)
     return warc.page_digests(warc.read(spark, path, payloads="response"))
+
+
+@query("op10_decontamination")
+def _(spark, sf):
+    return decontaminate.judge(table(spark, sf, "documents"), table(spark, sf, "benchmark"))

@@ -145,7 +145,7 @@ class Field:
         flat = [c for own in cut for c in own]
         if not flat:
             return [(None, 0.0, [])] * len(texts)
-        new = list({w for c in flat for w in c} - self.known.keys())
+        new = list({w for c in flat for w in c}.difference(self.known))
         if len(self.known) + len(new) > KNOWN:
             self.known, self.held = {}, self.held[:0]
             new = list({w for c in flat for w in c})
