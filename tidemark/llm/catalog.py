@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, decontaminate, language_crf, quality_rules, simhash, suffix_dedup, toxicity, warc
+from tidemark.llm import bpe, decontaminate, language_crf, quality_rules, simhash, suffix_dedup, toxicity, url_filter, warc
 from tidemark.llm.common import bare, fresh_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +78,8 @@ def _(spark, sf):
 @query("op10_decontamination")
 def _(spark, sf):
     return decontaminate.judge(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query("op3_url_filter")
+def _(spark, sf):
+    return url_filter.judge(table(spark, sf, "pages"))
