@@ -262,7 +262,7 @@ def decode(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
     return bare(tokens, "doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids binary, decoded binary")
 
 
-def digests(decoded: DataFrame) -> DataFrame:
+def digests(decoded: DataFrame, *more: str) -> DataFrame:
     return decoded.select(
         "doc_id", F.expr("cast(octet_length(ids) / 4 as bigint)").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), *more)

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tidemark.llm import bpe, decontaminate, language_crf, quality_rules, simhash, suffix_dedup, toxicity, url_filter, warc
 from tidemark.llm.common import bare, fresh_path, table
 
@@ -83,3 +84,8 @@ def _(spark, sf):
 @query("op3_url_filter")
 def _(spark, sf):
     return url_filter.judge(table(spark, sf, "pages"))
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -255,3 +255,32 @@ def judge(docs: DataFrame, folds: int = FOLDS, held: int = HELD) -> DataFrame:
     out = predict(docs, train(docs, folds, held))
     return out.select("doc_id", F.coalesce(crc_fold(F.col("doc_id"), folds) == held, F.lit(False)).alias("held_out"),
                       "lang_pred", "score")
+
+
+def confident(docs: DataFrame, least: float, folds: int = FOLDS, held: int = HELD) -> DataFrame:
+    """The rows of ``docs``, all columns, with a letter and a language that holds ``least`` or more of the words.
+
+    The field is trained on the rows that have a language. Without any such row nothing can be told apart and
+    every text with a letter stays. Null and empty texts go.
+    """
+    field = train(docs, folds, held)
+    lettered = docs.filter(F.col("text").rlike(r"\p{L}"))
+    if field is None:
+        return lettered
+    shared = docs.sparkSession.sparkContext.broadcast(
+        (tuple(field.labels), field.lexicon, field.w.astype(np.float32).tobytes(), field.move.tobytes(), field.start.tobytes()))
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = _rebuild(*shared.value)
+        for batch in batches:
+            at, held = 0, []
+            for i in range(batch.num_rows):
+                held.append(batch.column(place)[i].as_py())
+                if sum(map(len, held[-1:])) < GROUP_CHARS and len(held) < 300 and i + 1 < batch.num_rows:
+                    continue
+                keep = [m[0] is not None and m[1] >= least for m in own.label(held)]
+                yield batch.slice(at, len(held)).filter(pa.array(keep, pa.bool_()))
+                at, held = at + len(held), []
+
+    return lettered.mapInArrow(run, docs.schema)

@@ -255,9 +255,11 @@ def _covered(spans: list[dict] | None, length: int) -> list[tuple[int, int]]:
     return out
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, as_text: bool = False) -> DataFrame:
     """``docs`` with n_bytes, n_removed, n_spans and ``kept`` (the bytes that are left), all rows.
 
+    With ``as_text``, ``kept`` is a string; of a character that a removed span cuts through nothing is left.
+
     A byte goes if a ``length``-byte string over it starts anywhere else, in the same text or another one,
     as judged on the input. Null texts count as empty; texts shorter than ``length`` stay whole. A repeated
     row repeats its text. Other columns pass through, whatever they are called but the four above.
@@ -279,14 +281,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                     full, gone = text.as_py(), _covered(spans.as_py(), length)
                     edges = [0, *[e for span in gone for e in span], len(full)]
                     kept = b"".join(full[a:b] for a, b in zip(edges[::2], edges[1::2]))
-                    made.append((len(full), len(full) - len(kept), len(gone), kept))
+                    made.append((len(full), len(full) - len(kept), len(gone),
+                                 kept.decode("utf-8", "ignore") if as_text else kept))
                 own = [batch.column(i) for i in range(n_own)]
-                new = [pa.array(c, t) for c, t in zip(zip(*made), [pa.int64()] * 3 + [pa.binary()])]
+                new = [pa.array(c, t) for c, t in zip(zip(*made), [pa.int64()] * 3 + [pa.string() if as_text else pa.binary()])]
                 yield pa.RecordBatch.from_arrays(own + new, names=names)
 
     added = ["n_bytes", "n_removed", "n_spans", "kept"]
     n_own = len(docs.columns)
     names = [f"c{i}" for i in range(n_own)] + added
     kinds = [f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema)]
-    out = held.mapInArrow(run, ", ".join([*kinds, "n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"]))
+    kinds.append("n_bytes bigint, n_removed bigint, n_spans bigint, kept " + ("string" if as_text else "binary"))
+    out = held.mapInArrow(run, ", ".join(kinds))
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)], *added)
