@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import bpe, decontaminate, language_crf, quality_rules, simhash, suffix_dedup, toxicity, url_filter, warc
+from tidemark.llm import bpe, decontaminate, language_crf, quality_rules, simhash, suffix_dedup, token_shards, toxicity, url_filter, warc
 from tidemark.llm.common import bare, fresh_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,6 +86,18 @@ def _(spark, sf):
     return url_filter.judge(table(spark, sf, "pages"))
 
 
+ORDER_KEY = "epoch-1"
+
+
+@query("op8_training_order")
+def _(spark, sf):
+    docs, path = table(spark, sf, "documents"), fresh_path(spark, "token-shards")
+    with open(public_tokenizers.path(VOCABULARY), "rb") as f:
+        encode = token_shards.library_encoder(f.read(), public_tokenizers.PATTERN)
+    found = token_shards.read(spark, token_shards.write(docs, path, encode, ORDER_KEY))
+    return found.withColumn("ids_sha256", F.sha2("ids", 256)).drop("ids")
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
