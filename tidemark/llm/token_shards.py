@@ -33,7 +33,8 @@ from tidemark.llm.common import bare
 CONTEXT = 256            # ids of a sequence
 SHARD_BYTES = 16 << 20   # bytes of a shard at most, about
 ROUNDS = 8
-HEAD = struct.Struct("<qiH")        # doc_id, part, ids; part -1 - k: part k of a text without doc_id
+HEAD = "<qiH"            # a record's doc_id, part and ids; part -1 - k: part k of a text without doc_id
+HEAD_BYTES = struct.calcsize(HEAD)
 
 
 def round_keys(key: str) -> np.ndarray:
@@ -83,7 +84,7 @@ class Layout:
 
     @property
     def stride(self) -> int:
-        return HEAD.size + self.context * self.id_bytes
+        return HEAD_BYTES + self.context * self.id_bytes
 
     def place(self, slot: int) -> tuple[int, int]:
         """(shard, byte offset) of a slot."""
@@ -157,7 +158,7 @@ def write(docs: DataFrame, path: str, encode: Callable[[list], list], key: str,
     for r in sorted(per.collect()):          # one row per partition
         base[r["pid"]] = (n, n + r["n"])
         n += r["n"]
-    stride = HEAD.size + context * id_bytes
+    stride = HEAD_BYTES + context * id_bytes
     per_shard = max(1, shard_bytes // stride)
     shards = -(-n // per_shard)
     fs, root = pafs.FileSystem.from_uri(path)
@@ -173,8 +174,8 @@ def write(docs: DataFrame, path: str, encode: Callable[[list], list], key: str,
         docs, parts, sizes, ids = (group[c].to_pylist() for c in ("doc_id", "part", "n_tokens", "ids"))
         for k, i in enumerate(order.tolist()):
             at = k * stride
-            HEAD.pack_into(out, at, docs[i] or 0, -1 - parts[i] if docs[i] is None else parts[i], sizes[i])
-            out[at + HEAD.size:at + stride] = zlib.decompress(ids[i]).ljust(width, b"\0")
+            struct.pack_into(HEAD, out, at, docs[i] or 0, -1 - parts[i] if docs[i] is None else parts[i], sizes[i])
+            out[at + HEAD_BYTES:at + stride] = zlib.decompress(ids[i]).ljust(width, b"\0")
         fs, root = pafs.FileSystem.from_uri(path)
         hidden = f"{root}/_{shard}-{uuid.uuid4().hex}"
         with fs.open_output_stream(hidden, compression=None) as file:
@@ -213,8 +214,8 @@ def read(spark: SparkSession, layout: Layout, first: int = 0, end: int | None =
                     data, rows = file.read(many * layout.stride), []
                     for k in range(many):
                         where = k * layout.stride
-                        doc, part, size = HEAD.unpack_from(data, where)
-                        body = where + HEAD.size
+                        doc, part, size = struct.unpack_from(HEAD, data, where)
+                        body = where + HEAD_BYTES
                         rows.append((at + k, None if part < 0 else doc, -1 - part if part < 0 else part, size,
                                      data[body:body + size * layout.id_bytes], shard, (at + k - start) * layout.stride))
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
