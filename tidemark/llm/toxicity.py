@@ -1,8 +1,9 @@
 """Toxicity: a linear classifier over character n-grams scaled by naive Bayes log-count ratios.
 
 Features are the different 4-, 6- and 8-grams of the lower-cased text, hashed. How many toxic and other texts hold
-a feature is counted over all labelled rows; the log ratio of the two shares scales it. The features that
-correlate most with the label go into a logistic regression, fitted on a bounded sample of the labelled rows.
+a feature is counted; the log ratio of the two shares scales it. The features that correlate most with the label
+go into a logistic regression. All of this is learnt from a bounded sample of the labelled rows, so the sample is
+found with a broadcast of its ids and no text is shuffled; scoring reads every text once.
 """
 
 from __future__ import annotations
@@ -14,12 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bare, crc_fold
+from tidemark.llm.common import bare, crc_fold, store
 
 ORDERS = (4, 6, 8)
 BITS = 18                # hashed features: 2 ** BITS
 FEATURES = 4_000         # features the regression uses
-TRAIN_ROWS = 20_000      # labelled rows it is fitted on, about (by hash of the id)
+TRAIN_ROWS = 20_000      # labelled rows the classifier is fitted on, about (by hash of the id)
 SMOOTH = 1.0
 PENALTY = 0.1
 ROUNDS = 150
@@ -50,16 +51,18 @@ class Once:
         return ids[self.last[ids] == at]
 
 
-def _labelled(docs: DataFrame, labels: DataFrame, folds: int, held: int) -> DataFrame:
-    """(doc_id, text, toxic) of the rows to learn from; of several labels the highest counts."""
-    known = bare(labels, "doc_id", "toxic").filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(
+def _labelled(docs: DataFrame, labels: DataFrame, folds: int, held: int, rows: int) -> DataFrame:
+    """(text, toxic) of about ``rows`` rows to learn from; of several labels the highest counts."""
+    known = bare(labels, "doc_id", "toxic").filter("toxic is not null and doc_id is not null").filter(
+        crc_fold(F.col("doc_id"), folds) != held)
+    part = int(1_000_000 * min(1.0, rows / max(1, known.count())))
+    drawn = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < part).groupBy("doc_id").agg(
         F.max("toxic").alias("toxic"))
-    own = bare(docs, "doc_id", "text").filter(crc_fold(F.col("doc_id"), folds) != held)
-    return own.join(known, "doc_id")
+    return store(bare(docs, "doc_id", "text").join(F.broadcast(drawn), "doc_id").select("text", "toxic"), "toxicity-train")
 
 
 def _counts(train: DataFrame) -> tuple[np.ndarray, int, int]:
-    """Texts of either class that hold each feature, over all rows, and the texts of either class."""
+    """Texts of either class that hold each feature, and the texts of either class."""
     size = 1 << BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,7 +102,7 @@ def _regress(ids: list[np.ndarray], y: np.ndarray, scale: np.ndarray) -> tuple[n
 def train(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held: int = HELD,
           features: int = FEATURES, rows: int = TRAIN_ROWS) -> tuple[np.ndarray, float]:
     """(weights of all hashed features, bias). Without rows of both classes: no weights, and the prior alone."""
-    own = _labelled(docs, labels, folds, held)
+    own = _labelled(docs, labels, folds, held, rows)
     counts, clean, toxic = _counts(own)
     weights = np.zeros(1 << BITS, np.float32)
     if not clean or not toxic:
@@ -121,9 +124,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, held: int = HE
                 [batch.column(1).cast(pa.int64()), pa.array([i[i >= 0].tobytes() for i in ids], pa.binary())],
                 names=["toxic", "ids"])
 
-    part = min(1.0, rows / (clean + toxic))
-    sample = own.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.lit(int(part * 1_000_000)))
-    held_rows = sample.select("text", "toxic").mapInArrow(run, "toxic bigint, ids binary").toPandas()
+    held_rows = own.select("text", "toxic").mapInArrow(run, "toxic bigint, ids binary").toPandas()
     y = (held_rows.toxic.to_numpy() > 0).astype(float)
     if not 0 < y.sum() < len(y):
         return weights, float(np.log(toxic / clean))
