@@ -63,3 +63,14 @@ def crc_fold(doc_id: Column, parts: int) -> Column:
 def bare(df: DataFrame, *names: str) -> DataFrame:
     """Only the columns named: extra columns of the input cannot clash with an operator's own."""
     return df.select(*[F.col(f"`{n}`") for n in names])
+
+
+def stash(docs: DataFrame, **own: Column) -> DataFrame:
+    """``docs`` with its columns renamed to c0, c1, .. beside an operator's ``own``, so that no names clash."""
+    held = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    return docs.select(*held, *[c.alias(n) for n, c in own.items()])
+
+
+def unstash(held: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` under their names again, nothing else."""
+    return held.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.rows import loose
-from tidemark.llm.common import bare, store, text_key
+from tidemark.llm.common import bare, stash, store, text_key, unstash
 from tidemark.llm.components import components
 
 SHINGLE = 3          # words per shingle
@@ -145,8 +145,7 @@ def one_per_group(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) ->
     held = prints.join(loose(rooted.select("fp", "root")), "fp")
     first = held.groupBy("root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_id")).alias("k"))
-    winners = store(first.select(F.col("k.doc_id").alias("_id"), F.col("k.text_id").alias("_text_id")), "simhash-kept")
-    keyed = docs.withColumn("_text_id", text_key(F.col("text"))).withColumn("_id", F.col("doc_id"))
-    kept = keyed.join(winners, keyed["_id"].eqNullSafe(winners["_id"]) & (keyed["_text_id"] == winners["_text_id"]),
-                      "left_semi")
-    return kept.dropDuplicates(["_id", "_text_id"]).drop("_id", "_text_id")
+    winners = store(first.select(F.col("k.doc_id").alias("id"), F.col("k.text_id").alias("text_id")), "simhash-kept")
+    own = stash(docs, id=F.col("doc_id"), text_id=text_key(F.col("text")))
+    same = own["id"].eqNullSafe(winners["id"]) & (own["text_id"] == winners["text_id"])
+    return unstash(own.join(winners, same, "left_semi").dropDuplicates(["id", "text_id"]), docs)

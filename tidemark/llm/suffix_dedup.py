@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.rows import loose
-from tidemark.llm.common import store, text_key
+from tidemark.llm.common import stash, store, text_key
 from tidemark.llm.run_index import repeated_windows
 
 LENGTH = 400               # bytes of a string that counts as repeated
@@ -266,9 +266,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, as_text: bool = False)
     """
     if length < GRAM:
         raise ValueError(f"length must be {GRAM} or more")
-    columns = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)]
-    keyed = docs.select(*columns, text_key(F.col("text")).alias("tid"),
-                        F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
+    keyed = stash(docs, tid=text_key(F.col("text")), text=F.coalesce(F.col("text"), F.lit("")).cast("binary"))
     spans = repeated_spans(keyed.select("tid", "text").filter(F.octet_length("text") >= length), length)
     held = keyed.join(loose(spans), "tid", "left").drop("tid")
 

@@ -114,10 +114,10 @@ def library_encoder(ranks: bytes, pattern: str) -> Callable[[list], list]:
 def _numbered(docs: DataFrame, encode: Callable[[list], list], context: int, id_bytes: int, base: dict, n: int, key: str,
               per_shard: int) -> DataFrame:
     """(shard, number, doc_id, part, n_tokens, ids) of every sequence; ``base``: first number of each partition."""
-    shared = docs.sparkSession.sparkContext.broadcast((base, encode))
+    shared = docs.sparkSession.sparkContext.broadcast(base)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (first, end), encode = shared.value[0].get(TaskContext.get().partitionId(), (0, 0)), shared.value[1]
+        first, end = shared.value.get(TaskContext.get().partitionId(), (0, 0))
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 own, rows, numbers = batch.slice(at, 500), [], []

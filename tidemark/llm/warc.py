@@ -239,7 +239,7 @@ class Files(InputPartition):
 class WarcReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path = options["path"]
-        self.bytes = int(options.get("partitionBytes", 64 << 20))
+        self.bytes = int(options.get("partitionbytes", 64 << 20))
         wanted = options.get("payloads", "*")
         self.payloads = None if wanted == "*" else frozenset(filter(None, wanted.split(",")))
         self.filters: list[Filter] = []
@@ -289,7 +289,7 @@ class Written(WriterCommitMessage):
 class WarcWriter(DataSourceArrowWriter):
     def __init__(self, options: dict):
         self.path = options["path"]
-        self.bytes = int(options.get("fileBytes", 256 << 20))
+        self.bytes = int(options.get("filebytes", 256 << 20))
         self.level = int(options.get("level", 6))
         self.ending = ".warc.gz" if self.level else ".warc"
 
@@ -339,12 +339,12 @@ class WarcDataSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
-        return WarcReader(dict(self.options))
+        return WarcReader({k.lower(): v for k, v in self.options.items()})
 
     def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
         if overwrite:
             raise ValueError("archives are only appended to")
-        return WarcWriter(dict(self.options))
+        return WarcWriter({k.lower(): v for k, v in self.options.items()})
 
 
 def register(spark: SparkSession) -> None:
