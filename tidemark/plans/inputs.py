@@ -1,9 +1,9 @@
 """Pipeline inputs derived from the benchmark tables.
 
 Each function reshapes ``events`` and the order tables into the layout one
-pipeline expects. They are row-wise except for two keyed joins, and an order's
-lines are folded into seven item slots with sums and minima, so an array never
-outgrows seven items however many lines one order has.
+pipeline expects. They are row-wise except for two keyed joins. An event nests
+the items of its order, as the export formats do: web events one item per line,
+commerce events one per part with the quantities of its lines added up.
 
 The vocabulary below is this module's own; it only has to be the same in
 ``oracle.py``.
@@ -14,9 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import loose
-
-SLOTS = 7
+POSITIONS = 7
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,18 +45,21 @@ def numbered_events(spark: SparkSession, sf_dir: str, *texts: str) -> DataFrame:
     return events.selectExpr("event_id", "ts", "user_id", "event_type", "value", f"inline(array(struct({settled})))")
 
 
-def baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Item slots per order: the smallest part and the total quantity of each slot."""
-    slot = f"pmod(l_linenumber - 1, {SLOTS})"
-    folded = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
-        *[F.expr(f"min(l_partkey) FILTER (WHERE {slot} = {s}) AS part{s}") for s in range(SLOTS)],
-        *[F.expr(f"sum(l_quantity) FILTER (WHERE {slot} = {s}) AS qty{s}") for s in range(SLOTS)],
-    )
-    slots = ", ".join(
-        f"IF(part{s} IS NOT NULL, named_struct('slot', {s}, 'part', part{s}, 'qty', CAST(qty{s} AS BIGINT)), NULL)"
-        for s in range(SLOTS)
-    )
-    return loose(folded.selectExpr("l_orderkey", f"array_compact(array({slots})) AS basket"))
+def line_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines of each order, by position, part and quantity."""
+    line = f"""named_struct('slot', CAST(pmod(l_linenumber - 1, {POSITIONS}) AS INT), 'part', l_partkey,
+                            'qty', CAST(l_quantity AS BIGINT))"""
+    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+        F.array_sort(F.collect_list(F.expr(line))).alias("basket"))
+
+
+def part_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts of each order with their total quantity, by their first position."""
+    per_part = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_partkey").agg(
+        F.expr(f"CAST(min(pmod(l_linenumber - 1, {POSITIONS})) AS INT) AS slot"),
+        F.expr("CAST(sum(l_quantity) AS BIGINT) AS qty"))
+    return per_part.groupBy("l_orderkey").agg(
+        F.array_sort(F.collect_list(F.expr("named_struct('slot', slot, 'part', l_partkey, 'qty', qty)"))).alias("basket"))
 
 
 CENTS = "(90000 + pmod(i.part, 1000) * 10)"
@@ -125,7 +126,7 @@ def web_events(spark: SparkSession, sf_dir: str, items: bool = False, geo: bool
         e = e.selectExpr("*", "CAST(NULL AS STRING) AS r_name", "CAST(NULL AS STRING) AS n_name",
                          "CAST(NULL AS INT) AS n_nationkey", "CAST(NULL AS STRING) AS c_mktsegment")
     if items:
-        folded = baskets(spark, sf_dir)
+        folded = line_baskets(spark, sf_dir)
         e = e.join(folded, e.event_id == folded.l_orderkey, "left")
     else:
         e = e.selectExpr("*", f"{EMPTY_BASKET} AS basket")
@@ -154,7 +155,7 @@ def web_events(spark: SparkSession, sf_dir: str, items: bool = False, geo: bool
 
 def commerce_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nested commerce events; order amounts are whole cents until the last step."""
-    home, folded = homes(spark, sf_dir), baskets(spark, sf_dir)
+    home, folded = homes(spark, sf_dir), part_baskets(spark, sf_dir)
     e = numbered_events(
         spark, sf_dir,
         "date_format(ts, 'yyyyMMdd') AS day",

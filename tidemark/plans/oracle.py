@@ -64,8 +64,13 @@ SELECT event_id AS n, ts, user_id, event_type, value,
 FROM events
 """)
 
-cte("slots", """
-SELECT l_orderkey, (l_linenumber - 1) % 7 AS slot, min(l_partkey) AS part, CAST(sum(l_quantity) AS BIGINT) AS qty
+cte("order_lines", """
+SELECT l_orderkey, (l_linenumber - 1) % 7 AS slot, l_partkey AS part, CAST(l_quantity AS BIGINT) AS qty
+FROM lineitem
+""")
+
+cte("parts", """
+SELECT l_orderkey, l_partkey AS part, min((l_linenumber - 1) % 7) AS slot, CAST(sum(l_quantity) AS BIGINT) AS qty
 FROM lineitem GROUP BY 1, 2
 """)
 
@@ -172,9 +177,9 @@ SELECT event_id, event_date, event_ts, user_pseudo_id, event_name, k,
        (90000 + part % 1000 * 10) / 100.0::DOUBLE AS price,
        qty AS quantity,
        CASE WHEN part % 3 <> 0 THEN (90000 + part % 1000 * 10) * qty * 90 / 10000.0::DOUBLE END AS own_revenue
-FROM raw JOIN slots ON raw.n = slots.l_orderkey
+FROM raw JOIN order_lines ON raw.n = l_orderkey
 WHERE k % 10 <> 9
-""", "raw", "slots")
+""", "raw", "order_lines")
 
 cte("sessions", """
 SELECT ev.user_pseudo_id, piv.ga_session_id,
@@ -293,9 +298,9 @@ SELECT event_id, event_date, event_ts, user_pseudo_id, event_name, platform, ope
          2 + CAST(k % 11 <> 0 AS INTEGER) + CAST(k % 2 = 0 AS INTEGER) + CAST(k % 3 = 0 AS INTEGER)
          + CASE WHEN event_name = 'purchase' THEN 2 + CAST(k % 7 <> 0 AS INTEGER) ELSE 0 END END AS param_count,
        CASE WHEN k % 10 = 9 AND c.item_count IS NOT NULL THEN 0 ELSE c.item_count END AS item_count
-FROM ev LEFT JOIN (SELECT l_orderkey, CAST(count(*) AS INTEGER) AS item_count FROM slots GROUP BY 1) c
+FROM ev LEFT JOIN (SELECT l_orderkey, CAST(count(*) AS INTEGER) AS item_count FROM order_lines GROUP BY 1) c
   ON c.l_orderkey = ev.n
-""", "ev", "slots")
+""", "ev", "order_lines")
 
 define("stg_event_params", f"""
 SELECT event_id, event_date, event_ts, user_pseudo_id, event_name, param_key,
@@ -588,8 +593,8 @@ FROM purchase_state
 # --- commerce -------------------------------------------------------------------
 
 cte("order_sums", """
-SELECT l_orderkey, CAST(sum((90000 + part % 1000 * 10) * qty) AS BIGINT) AS subtotal FROM slots GROUP BY 1
-""", "slots")
+SELECT l_orderkey, CAST(sum((90000 + part % 1000 * 10) * qty) AS BIGINT) AS subtotal FROM parts GROUP BY 1
+""", "parts")
 
 cte("shop", """
 SELECT *, CAST(floor((subtotal * rate + 50) / 100) AS BIGINT) AS tax, 500 + k * 10 AS shipping
@@ -604,10 +609,10 @@ FROM (
 )
 """, "src", "home", "order_sums")
 
-# Which slots each event shows: a view only its first, an order with an empty list none.
+# Which parts each event shows: a view only its first, an order with an empty list none.
 cte("shop_items", """
-SELECT l_orderkey, slot, part, qty, row_number() OVER (PARTITION BY l_orderkey ORDER BY slot) AS place FROM slots
-""", "slots")
+SELECT l_orderkey, part, qty, row_number() OVER (PARTITION BY l_orderkey ORDER BY slot, part) AS place FROM parts
+""", "parts")
 
 # Of several rows with one key the smallest survives, column by column.
 _SILVER_ORDER = ["event_type", "session_id", "event_timestamp", "event_date", "customer_id", "customer_first_name",
