@@ -86,3 +86,49 @@ def test_lakehouse_end_to_end(spark, bronze, tmp_path):
     assert built["zone_daily_kpis"].first().borough == "Manhattan" and built["city_daily_kpis"].count() == 1
     assert spark.table("taxi_gold.kpi_city_daily").first().total_trips == 1
     assert trips.preview(built["weather_raw"]).count() == 1
+
+
+def land(spark, folder, name, *rows, extra=None):
+    """One file of trips in a flat folder: (pickup, distance), written under a name of its own."""
+    out = spark.createDataFrame(
+        [(2, f"2022-{m:02d}-09T04:48:40.000", f"2022-{m:02d}-09T04:58:27.000", 4.0, d, 1.0, "N", 164, 140, 1, 10.0, 2.0, 15.0)
+         for m, d in rows], schemas.parse(schemas.TRIP_DDL))
+    if extra:
+        out = out.selectExpr("*", f"'{extra}' AS extra_fee")
+    out.coalesce(1).write.mode("append").parquet(folder)
+
+
+@pytest.fixture
+def bronze_table(spark):
+    spark.sql("DROP TABLE IF EXISTS taxi_runs.trips_raw")
+    yield "taxi_runs.trips_raw"
+    spark.sql("DROP SCHEMA IF EXISTS taxi_runs CASCADE")
+
+
+@pytest.mark.parametrize("mode", ["addNewColumns", "rescue"])
+def test_every_run_lands_in_its_month(spark, tmp_path, bronze_table, mode):
+    folder, checkpoint = str(tmp_path / "landing"), str(tmp_path / "checkpoint")
+    for name, rows, extra in (("a", [(3, 1.0), (3, 2.0)], None), ("b", [(4, 3.0)], None), ("c", [(5, 4.0), (5, -1.0)], "7")):
+        land(spark, folder, name, *rows, extra=extra)
+        pipelines.ingest_trips(spark, folder, bronze_table, checkpoint, mode)
+    pipelines.ingest_trips(spark, folder, bronze_table, checkpoint, mode)      # nothing new
+    bronze = spark.table(bronze_table)
+    assert sorted((r.year, r.month, r["count"]) for r in bronze.groupBy("year", "month").count().collect()) == [
+        (2022, 3, 2), (2022, 4, 1), (2022, 5, 2)]
+    assert trips.trips_silver(bronze).count() == 4
+    assert [r.dq_reason for r in trips.trips_quarantine(bronze).collect()] == ["NONPOSITIVE_DISTANCE"]
+    if mode == "rescue":
+        assert "extra_fee" not in bronze.columns
+        assert sorted(r._rescued_data or "" for r in bronze.collect()) == ["", "", "", '{"extra_fee":"7"}', '{"extra_fee":"7"}']
+    else:
+        assert sorted(r.extra_fee or "" for r in bronze.collect()) == ["", "", "", "7", "7"]
+
+
+def test_a_run_opens_new_files_only(spark, tmp_path, bronze_table):
+    folder, checkpoint = str(tmp_path / "landing"), str(tmp_path / "checkpoint")
+    land(spark, folder, "a", (3, 1.0))
+    pipelines.ingest_trips(spark, folder, bronze_table, checkpoint)
+    notes = sinks.table_notes(spark, bronze_table)
+    assert notes[pipelines.DERIVED] == "year,month" and notes[pipelines.LOOKED_UNTIL]
+    from tidemark.streaming import ingest
+    assert ingest.observed_schema(spark, folder, modified_after="2099-01-01T00:00:00") is None

@@ -6,7 +6,7 @@ taken by ``Observation`` while the output is written, not by extra jobs.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 from operator import and_, or_
 
@@ -23,6 +23,10 @@ from tidemark.session import use_utc
 from tidemark.sources import readers, sinks, snapshots
 from tidemark.streaming import ingest
 
+# Partition columns of bronze trips, and what its table notes about earlier runs.
+PARTITIONS = ["year", "month"]
+DERIVED, LOOKED_UNTIL = "tidemark.derived_columns", "tidemark.looked_until"
+
 
 def counted(table: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Count the rows that flow past; read ``observation.get["rows"]`` after the write."""
@@ -149,25 +153,52 @@ def _not_held(spark: SparkSession, curated: DataFrame, path: str) -> DataFrame:
     # At most one row per calendar day; as literals they prune the target's partitions.
     days = curated.select(*by).distinct().collect()
     same_day = [reduce(and_, [F.col(c).eqNullSafe(day[c]) for c in by]) for day in days]
-    held = held.filter(reduce(or_, same_day, F.lit(False)))
-    return curated.join(held.select("station_id", "timestamp"), ["station_id", "timestamp"], "left_anti")
+    held = held.filter(reduce(or_, same_day, F.lit(False))).select(
+        F.col("station_id").alias("held_id"), F.col("timestamp").alias("held_at"))
+    # A reading without a time is the same reading when it comes again.
+    same = F.col("station_id").eqNullSafe(F.col("held_id")) & F.col("timestamp").eqNullSafe(F.col("held_at"))
+    return curated.join(held, same, "left_anti")
 
 
 def ingest_trips(spark: SparkSession, source: str, table: str, checkpoint: str,
                  mode: str = ingest.ADD_NEW_COLUMNS) -> None:
-    """Take new trip files into the bronze table and stop."""
+    """Take new trip files into the bronze table and stop.
+
+    The table remembers which columns the folder does not give (they are derived
+    from the pickup time) and until when files were looked at, so a run opens the
+    footers of newer files only. New columns are added to the table before its
+    files hold them; in ``rescue`` mode they are kept as JSON in ``_rescued_data``.
+    """
     use_utc(spark)
-    observed = ingest.observed_schema(spark, source)
-    known = spark.table(table).schema if spark.catalog.tableExists(table) else observed
-    lineage = {"source_file", "source_file_mod_time", "ingest_ts"}
-    known = type(observed)([f for f in known.fields if f.name not in lineage])
-    present = {f.name.lower(): f for f in observed.fields}
+    if "." in table:
+        sinks.create_schema(spark, table.rpartition(".")[0])
+    began = datetime.now(timezone.utc)
+    noted = sinks.table_notes(spark, table)
+    known = ingest.without(spark.table(table).schema, ingest.LINEAGE) if noted is not None else None
+    notes = noted or {}
+    observed = ingest.observed_schema(spark, source, modified_after=notes.get(LOOKED_UNTIL))
+    if observed is None and known is None:
+        raise quality.EmptySourceError(f"no trip files under {source}")
+    if known is not None and DERIVED in notes:
+        known = ingest.without(known, notes[DERIVED].split(","))
+    observed = known if observed is None else observed
+    known = observed if known is None else known
+    derived = [c for c in PARTITIONS if c not in {f.name.lower() for f in observed.fields + known.fields}]
+    kept = ingest.evolve(known, observed, mode)
+    names, present = {f.name.lower() for f in kept.fields}, {f.name.lower(): f for f in observed.fields}
+    extra = [f for f in observed.fields if f.name.lower() not in names]
     # Read with the file's own types; the bronze table's types apply on write.
-    schema = type(observed)([present.get(f.name.lower(), f) for f in ingest.evolve(known, observed, mode).fields])
+    schema = type(kept)([present.get(f.name.lower(), f) for f in kept.fields] + extra)
     bronze = ingest.trip_bronze(ingest.file_stream(spark, source, schema))
-    query = ingest.start_to_table(bronze, table, checkpoint, ["year", "month"], "trips_bronze",
-                                  trigger={"availableNow": True})
+    if mode == ingest.RESCUE:
+        bronze = ingest.rescue_columns(bronze, ingest.without(bronze.schema, [f.name for f in extra]))
+    if noted is not None:
+        sinks.add_columns(spark, table, bronze.schema)
+    query = ingest.start_to_table(bronze, table, checkpoint, PARTITIONS, "trips_bronze", trigger={"availableNow": True})
     ingest.run_once(query)
+    # A minute back: a file that landed while the listing ran is looked at again.
+    until = (began - timedelta(minutes=1)).strftime("%Y-%m-%dT%H:%M:%S")
+    sinks.note_on_table(spark, table, {LOOKED_UNTIL: until, **({DERIVED: ",".join(derived)} if derived else {})})
 
 
 def build_trips(spark: SparkSession, bronze: DataFrame, weather_root: str, zone_path: str,

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # How each layer is kept and the schema it lives in.
 LAYERS = {
@@ -57,6 +58,25 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
+def table_notes(spark: SparkSession, name: str) -> dict[str, str] | None:
+    """The properties of a table; None if there is no such table."""
+    if not spark.catalog.tableExists(name):
+        return None
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+
+
+def note_on_table(spark: SparkSession, name: str, notes: dict[str, str]) -> None:
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({', '.join(f'{k!r} = {v!r}' for k, v in notes.items())})")
+
+
+def add_columns(spark: SparkSession, name: str, schema: StructType) -> None:
+    """Give a table the columns of ``schema`` that it lacks, so that readers see them."""
+    held = {f.name.lower() for f in spark.table(name).schema.fields}
+    new = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name.lower() not in held]
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(new)})")
+
+
 def replace_table(table: DataFrame, name: str, partition_by: list[str] | None = None,
                   options: dict[str, str] | None = None) -> DataFrame:
     """Create or replace a managed Parquet table and return it as read back."""

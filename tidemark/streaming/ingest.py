@@ -6,9 +6,11 @@ new ones and stops. Files present before the first run are included.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 from operator import or_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,20 +20,39 @@ ADD_NEW_COLUMNS = "addNewColumns"
 RESCUE = "rescue"
 FAIL_ON_NEW_COLUMNS = "failOnNewColumns"
 RESCUED = "_rescued_data"
+# What ingestion itself adds to a table.
+LINEAGE = ("source_file", "source_file_mod_time", "ingest_ts", RESCUED)
 
 
 class NewColumnsError(ValueError):
     """The source grew columns and the caller asked to be told."""
 
 
-def observed_schema(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> StructType:
-    """Schema of the files present now, with the columns of all of them."""
+def observed_schema(spark: SparkSession, path: str, fmt: str = "parquet", modified_after: str | None = None,
+                    **options: str) -> StructType | None:
+    """Schema of the files present now, or changed since a time (UTC), with the columns of all of them.
+
+    None if there is no such file.
+    """
     reader = spark.read.format(fmt).options(**options)
+    if modified_after:
+        reader = reader.option("modifiedAfter", modified_after)
     if fmt in ("parquet", "orc"):
         reader = reader.option("mergeSchema", "true")
     elif fmt == "csv":
         reader = reader.option("inferSchema", "true")
-    return reader.load(path).schema
+    try:
+        return reader.load(path).schema
+    except AnalysisException as problem:
+        if problem.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return None
+
+
+def without(schema: StructType, names: Iterable[str]) -> StructType:
+    """A schema less some columns."""
+    gone = {n.lower() for n in names}
+    return StructType([f for f in schema.fields if f.name.lower() not in gone])
 
 
 def evolve(known: StructType, observed: StructType, mode: str = ADD_NEW_COLUMNS) -> StructType:
