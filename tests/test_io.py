@@ -139,3 +139,24 @@ def test_lineage_columns(spark, tmp_path):
     spark.range(2).write.parquet(str(tmp_path / "t"))
     rows = readers.with_lineage(spark.read.parquet(str(tmp_path / "t"))).collect()
     assert all(r.source_file.endswith(".parquet") and r.source_file_mod_time and r.ingest_ts for r in rows)
+
+
+def test_a_cluster_has_to_name_its_shared_folder():
+    from tidemark import session
+
+    class Context:
+        applicationId = "a"
+
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    for master in ("spark://host:7077", "local-cluster[3,2,1024]", "yarn"):
+        Context.master = master
+        with pytest.raises(RuntimeError):
+            session.shared_folder(Session())
+    Context.master = "local[4]"
+    assert session.shared_folder(Session())

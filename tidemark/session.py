@@ -43,15 +43,22 @@ _private: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by the cluster.
+    """Folder every executor can reach, as named by the cluster in ``spark.checkpoint.dir``.
 
-    ``spark.checkpoint.dir`` decides. Only a session that leaves it unset (a
-    local test run) gets a private temporary folder.
+    Only a session whose tasks all run in this process may leave it unset and
+    gets a private temporary folder. On a cluster each executor would write to
+    its own disk and readers would miss files, so there it is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
+    if not one_process(spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     application = spark.sparkContext.applicationId
     if application not in _private:
         _private[application] = tempfile.mkdtemp(prefix="tidemark-")
     return _private[application]
+
+
+def one_process(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
