@@ -98,12 +98,15 @@ def hourly_category_revenue(silver: DataFrame) -> DataFrame:
 
 
 def _paid_orders(silver: DataFrame, *by: str) -> DataFrame:
-    # The order's total is repeated on each of its items: take it once per order.
-    return (
+    # An order's total is repeated on each of its items, and an item on each payment
+    # event of the order: take the units once per product and the total once per order.
+    per_product = (
         silver.filter((F.col("event_type") == "order_paid") & F.col("order_id").isNotNull())
-        .groupBy(*by, "order_id")
-        .agg(F.max("order_total_amount").alias("order_total"), F.sum("quantity").alias("units"))
+        .groupBy(*by, "order_id", "product_id")
+        .agg(F.max("order_total_amount").alias("order_total"), F.max("quantity").alias("units"))
     )
+    return per_product.groupBy(*by, "order_id").agg(
+        F.max("order_total").alias("order_total"), F.sum("units").alias("units"))
 
 
 def customer_ltv(silver: DataFrame) -> DataFrame:
