@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import web_marts, web_purchases, web_sessions
 from tidemark.plans import inputs, pipelines
 from tidemark.plans.catalog import QUERIES
-from tidemark.sources import readers, sinks
+from tidemark.sources import readers, schemas, sinks
 from tidemark.streaming import ingest
 
 
@@ -160,3 +160,21 @@ def test_a_cluster_has_to_name_its_shared_folder():
             session.shared_folder(Session())
     Context.master = "local[4]"
     assert session.shared_folder(Session())
+
+
+def test_misfits_are_kept_at_any_depth(spark):
+    from tidemark.streaming import ingest
+    schema = schemas.parse("a STRING, customer STRUCT<customer_id: INT, name: STRING>, "
+                           "order STRUCT<items: ARRAY<STRUCT<id: INT, product: STRUCT<price: DOUBLE>>>, total: DOUBLE>")
+    lines = [
+        {"a": "x", "customer": {"customer_id": 1, "name": "n"}, "order": {"items": [{"id": 1, "product": {"price": 2.5}}], "total": 3}},
+        {"a": "y", "customer": {"customer_id": "abc", "name": "n", "loyalty": {"tier": 2}}, "new": [1, 2]},
+        {"order": {"items": [{"id": 1}, {"id": "two", "gift": True, "product": {"price": 1.0, "tax": 0.5}}], "coupon": "C"}, "customer": 7},
+    ]
+    rows = spark.createDataFrame([(json.dumps(x),) for x in lines] + [("no json",), ("{}",)], "value string")
+    found = [(r.a, json.loads(r._rescued_data) if (r._rescued_data or "").startswith("{") else r._rescued_data)
+             for r in ingest.rescue_json(rows, schema).collect()]
+    assert found[0] == ("x", None) and found[3] == (None, "no json") and found[4] == (None, None)
+    assert found[1] == ("y", {"customer.customer_id": "abc", "customer.loyalty": '{"tier":2}', "new": "[1,2]"})
+    assert found[2] == (None, {"order.items[1].id": "two", "order.items[1].gift": "true", "order.items[1].product.tax": "0.5",
+                               "order.coupon": "C", "customer": "7"})

@@ -166,7 +166,7 @@ def fct_sessions(sessions: DataFrame) -> DataFrame:
 
 
 def fct_events(events: DataFrame) -> DataFrame:
-    """Every event with its parameters beside it.
+    """Every event with its parameters beside it; an event is known by its id and its day.
 
     Events without an id find no parameters. They get a private join key, so a
     large share of anonymous rows does not gather in the partition of NULL.
@@ -175,9 +175,7 @@ def fct_events(events: DataFrame) -> DataFrame:
               "currency", "page_location", "page_title"]
     anonymous = F.concat(F.lit("-"), F.xxhash64("event_ts", "event_date", "event_name", "user_pseudo_id").cast("string"))
     base = stg_events(events).select("event_id", "event_date", "event_ts", "user_pseudo_id", "event_name")
-    params = int_event_param_pivot(events).filter(F.col("event_id").isNotNull()).select("event_id", *wanted)
-    return (
-        base.withColumn("_key", F.coalesce("event_id", anonymous))
-        .join(params.withColumnRenamed("event_id", "_key"), "_key", "left")
-        .drop("_key")
-    )
+    params = int_event_param_pivot(events).filter(F.col("event_id").isNotNull()).select(
+        F.col("event_id").alias("_key"), F.col("event_date").alias("_day"), *wanted)
+    keyed = base.withColumn("_key", F.coalesce("event_id", anonymous)).withColumn("_day", F.col("event_date"))
+    return keyed.join(params, ["_key", "_day"], "left").drop("_key", "_day")

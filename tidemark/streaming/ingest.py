@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StructType
 
 ADD_NEW_COLUMNS = "addNewColumns"
 RESCUE = "rescue"
@@ -89,21 +89,45 @@ def rescuing_json_stream(spark: SparkSession, path: str, schema: StructType, **o
 
 
 def rescue_json(lines: DataFrame, schema: StructType, text: str = "value") -> DataFrame:
-    """Parse JSON text; fields unknown to the schema or of another type are kept as JSON.
+    """Parse JSON text; what the schema does not hold is kept as a JSON object of path and raw value.
 
-    A line that is no JSON object at all is kept whole.
+    A path names a field unknown to the schema or of another type, at any depth:
+    ``order.coupon``, ``order.items[2].gift``. A line that is no JSON object at
+    all is kept whole.
     """
     raw = F.from_json(F.col(text), "map<string,string>")
     typed = F.from_json(F.col(text), schema)
-    fits: dict[str, Column] = {f.name: F.col(f"_typed.`{f.name}`").isNotNull() for f in schema.fields}
-    fitting = F.array_compact(F.array(*[F.when(ok, F.lit(name)) for name, ok in fits.items()]))
-    left = F.map_filter("_raw", lambda k, v: v.isNotNull() & ~F.array_contains("_fitting", k))
-    rescued = F.when(F.col("_raw").isNull(), F.col(text)).when(F.size(left) > 0, F.to_json(left))
-    return (
-        lines.withColumns({"_raw": raw, "_typed": typed})
-        .withColumn("_fitting", fitting)
-        .select("_typed.*", rescued.alias(RESCUED))
-    )
+    parsed = lines.withColumns({"_raw": raw, "_typed": typed})
+    left = _misfits(F.col("_raw"), F.col("_typed"), schema, F.lit(""))
+    rescued = F.when(F.col("_raw").isNull(), F.col(text)).when(F.size("_left") > 0, F.to_json("_left"))
+    return parsed.withColumn("_left", left).select("_typed.*", rescued.alias(RESCUED))
+
+
+def _misfits(raw: Column, typed: Column, schema: StructType, prefix: Column) -> Column:
+    """Path -> raw value of what ``typed`` does not hold of an object given as ``raw`` name -> value."""
+    nothing = F.from_json(F.lit("{}"), "map<string,string>")
+    held = F.array_compact(F.array(*[F.when(typed[f.name].isNotNull(), F.lit(f.name)) for f in schema.fields]))
+    here = F.map_filter(raw, lambda k, v: v.isNotNull() & ~F.array_contains(held, k))
+    found = [F.transform_keys(here, lambda k, v: F.concat(prefix, k))]
+    for field in schema.fields:
+        kind, value, path = field.dataType, raw[field.name], F.concat(prefix, F.lit(field.name))
+        if isinstance(kind, StructType):
+            inner = _misfits(F.from_json(value, "map<string,string>"), typed[field.name], kind, F.concat(path, F.lit(".")))
+            found.append(F.when(typed[field.name].isNotNull(), inner))
+        elif isinstance(kind, ArrayType) and isinstance(kind.elementType, StructType):
+            found.append(F.when(typed[field.name].isNotNull(), _list_misfits(value, typed[field.name], kind.elementType, path)))
+    return F.map_concat(*[F.coalesce(f, nothing) for f in found])
+
+
+def _list_misfits(value: Column, typed: Column, schema: StructType, path: Column) -> Column:
+    nothing = F.from_json(F.lit("{}"), "map<string,string>")
+
+    def of_element(raw: Column, place: Column) -> Column:
+        prefix = F.concat(path, F.lit("["), place.cast("string"), F.lit("]."))
+        return F.coalesce(_misfits(raw, F.get(typed, place), schema, prefix), nothing)
+
+    each = F.transform(F.from_json(value, "array<map<string,string>>"), of_element)
+    return F.aggregate(each, nothing, lambda whole, one: F.map_concat(whole, one))
 
 
 def rescue_columns(table: DataFrame, schema: StructType) -> DataFrame:
