@@ -91,3 +91,20 @@ def test_empty_feed_is_an_error(spark, feed, tmp_path):
         pipelines.run_stations_backfill(spark, feed[0], str(tmp_path / "nothing"), feed[2])
     with pytest.raises(quality.EmptySourceError):
         pipelines.run_stations_incremental(spark, feed[0], str(tmp_path / "nothing"), feed[2], "2025-12-04 12:00:00")
+
+
+def test_all_fields_and_readings_without_a_time(spark, tmp_path):
+    info, live, out = tmp_path / "info", tmp_path / "live" / "2025" / "12" / "04", str(tmp_path / "out")
+    (info / "2025" / "12" / "04").mkdir(parents=True)
+    live.mkdir(parents=True)
+    bikes = {"electric": 1, "classic": 2}
+    (info / "2025" / "12" / "04" / "100000.json").write_text(json.dumps(
+        {"data": {"stations": [{"station_id": "a", "name": "A", "capacity": 9}]}}))
+    (live / "113000.json").write_text(json.dumps({"data": {"stations": [
+        {"station_id": "a", "num_bikes_available_types": bikes, "is_renting": 1, "last_reported": None},
+        {"station_id": "a", "num_bikes_available_types": bikes, "is_renting": 1, "last_reported": NOON}]}}))
+    ddl = {"status_ddl": readers.document_ddl(spark, str(tmp_path / "live")), "info_ddl": readers.document_ddl(spark, str(info))}
+    for _ in range(2):
+        pipelines.run_stations_incremental(spark, str(info), str(tmp_path / "live"), out, "2025-12-04 12:00:00", idempotent=True, **ddl)
+    rows = spark.read.parquet(out).collect()
+    assert sorted((r.is_renting, r.capacity, r.timestamp is None) for r in rows) == [(1, 9, False), (1, 9, True)]

@@ -44,5 +44,11 @@ def station_curated(status: DataFrame, info: DataFrame, missing_as_zero: bool =
 
 
 def once_per_reading(curated: DataFrame) -> DataFrame:
-    """Drop readings that overlapping incremental runs delivered more than once."""
-    return curated.dropDuplicates(["station_id", "timestamp"])
+    """Drop readings that overlapping incremental runs delivered more than once.
+
+    Which of several stays is settled by their content, so a rerun keeps the same.
+    """
+    key = ["station_id", "timestamp"]
+    rest = [c for c in curated.columns if c not in key]
+    kept = curated.groupBy(*key).agg(F.min(F.struct(*[F.col(f"`{c}`") for c in rest])).alias("_kept"))
+    return kept.select(*key, "_kept.*").select(*[F.col(f"`{c}`") for c in curated.columns])

@@ -20,7 +20,7 @@ from tidemark.operators import web_purchases as purchases
 from tidemark.operators import web_sessions as sessions
 from tidemark.operators import web_staging as staging
 from tidemark.session import use_utc
-from tidemark.sources import readers, sinks, snapshots
+from tidemark.sources import readers, schemas, sinks, snapshots
 from tidemark.streaming import ingest
 
 # Partition columns of bronze trips, and what its table notes about earlier runs.
@@ -100,27 +100,33 @@ def run_commerce(spark: SparkSession, input_path: str, output_path: str) -> dict
 
 
 def run_stations_incremental(spark: SparkSession, info_root: str, status_root: str, output_path: str,
-                             as_of: datetime | str, hours_back: int = 4, idempotent: bool = False) -> None:
+                             as_of: datetime | str, hours_back: int = 4, idempotent: bool = False,
+                             status_ddl: str = schemas.STATION_STATUS_DDL,
+                             info_ddl: str = schemas.STATION_INFO_DDL) -> None:
     """Append the readings of recent snapshots.
 
+    The DDLs name the fields of the documents that are kept; ``readers.document_ddl``
+    finds all of them once.
+
     Overlapping look-backs append a reading again; ``idempotent=True`` drops the
     readings the touched days already hold.
     """
     use_utc(spark)
     recent = _paths(snapshots.recent_snapshots(_listing(spark, status_root), as_of, hours_back))
-    curated = stations.station_curated(readers.station_status(spark, recent), _latest_info(spark, info_root))
+    curated = stations.station_curated(readers.station_status(spark, recent, status_ddl), _latest_info(spark, info_root, info_ddl))
     if idempotent:
         curated = _not_held(spark, stations.once_per_reading(curated), output_path)
     sinks.append_partitioned(curated, output_path, ["year", "month", "day"])
 
 
 def run_stations_backfill(spark: SparkSession, info_root: str, status_root: str, output_path: str,
-                          max_records_per_file: int = 100_000) -> None:
-    """Rebuild all readings from every snapshot."""
+                          max_records_per_file: int = 100_000, status_ddl: str = schemas.STATION_STATUS_DDL,
+                          info_ddl: str = schemas.STATION_INFO_DDL) -> None:
+    """Rebuild all readings from every snapshot; the DDLs as for the incremental run."""
     use_utc(spark)
     quality.require_rows(_listing(spark, status_root), status_root)
-    status = readers.station_status(spark, status_root)
-    curated = stations.station_curated(status, _latest_info(spark, info_root))
+    status = readers.station_status(spark, status_root, status_ddl)
+    curated = stations.station_curated(status, _latest_info(spark, info_root, info_ddl))
     sinks.overwrite_partitioned(curated, output_path, ["year", "month", "day"], max_records_per_file)
 
 
@@ -136,9 +142,9 @@ def _paths(files: DataFrame) -> list[str]:
     return paths
 
 
-def _latest_info(spark: SparkSession, root: str) -> DataFrame:
+def _latest_info(spark: SparkSession, root: str, ddl: str) -> DataFrame:
     newest = _paths(snapshots.latest_snapshot(_listing(spark, root)))
-    return readers.station_info(spark, newest)
+    return readers.station_info(spark, newest, ddl)
 
 
 def _not_held(spark: SparkSession, curated: DataFrame, path: str) -> DataFrame:

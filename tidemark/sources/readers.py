@@ -33,14 +33,20 @@ def commerce_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.schema(schemas.parse(schemas.COMMERCE_EVENT_DDL)).json(path)
 
 
-def station_status(spark: SparkSession, root: str | list[str]) -> DataFrame:
+def station_status(spark: SparkSession, root: str | list[str], ddl: str = schemas.STATION_STATUS_DDL) -> DataFrame:
     """Every status snapshot below ``root``, one row per document, with its file."""
-    return _documents(spark, root, schemas.STATION_STATUS_DDL)
+    return _documents(spark, root, ddl)
 
 
-def station_info(spark: SparkSession, root: str | list[str]) -> DataFrame:
-    """Every metadata snapshot below ``root``, one row per document, with its file."""
-    return _documents(spark, root, schemas.STATION_INFO_DDL)
+def station_info(spark: SparkSession, root: str | list[str], ddl: str = schemas.STATION_INFO_DDL) -> DataFrame:
+    """Every metadata snapshot below ``root``, one row per document, with its file; ``ddl`` names the fields to keep."""
+    return _documents(spark, root, ddl)
+
+
+def document_ddl(spark: SparkSession, root: str | list[str]) -> str:
+    """The fields that the documents below ``root`` hold, to be kept and passed to later reads."""
+    found = spark.read.option("multiLine", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").json(root)
+    return found.select("data").schema.toDDL()
 
 
 def _documents(spark: SparkSession, root: str | list[str], ddl: str) -> DataFrame:
