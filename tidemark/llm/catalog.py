@@ -9,18 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import bpe, decontaminate, language_crf, quality_rules, simhash, suffix_dedup, token_shards, toxicity, url_filter, warc
+from tidemark.llm import bpe, decontaminate, language_crf, oracle, quality_rules, simhash, suffix_dedup, token_shards, toxicity, url_filter, warc
 from tidemark.llm.common import bare, fresh_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
-def query(name: str, oracle: str | None = None):
+def query(name: str, sql: str | None = None):
     def register(build):
         QUERIES[name] = build
-        if oracle:
-            ORACLE[name] = oracle
+        if sql:
+            ORACLE[name] = sql
         return build
 
     return register
@@ -41,13 +41,13 @@ def _(spark, sf):
     return bpe.digests(bpe.decode(bpe.encode(table(spark, sf, "documents"), path, pattern), path, pattern))
 
 
-@query("op9_suffix_dedup")
+@query("op9_suffix_dedup", oracle.SUFFIX_DEDUP)
 def _(spark, sf):
     out = suffix_dedup.remove_repeats(bare(table(spark, sf, "documents"), "doc_id", "text"))
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@query("op7_quality_rules")
+@query("op7_quality_rules", oracle.QUALITY_RULES)
 def _(spark, sf):
     return quality_rules.judge(table(spark, sf, "documents")).drop("rejected_by")
 
@@ -62,14 +62,7 @@ def _(spark, sf):
     return language_crf.judge(table(spark, sf, "documents"))
 
 
-@query("op2_warc", oracle="""
-    WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha256(coalesce(html, '')) AS d,
-                      octet_length(encode(coalesce(html, ''))) AS n FROM pages),
-    f AS (SELECT d, min(page_id) AS first_id FROM p WHERE n >= 100 GROUP BY d)
-    SELECT page_id, n AS payload_bytes, p.d AS payload_digest,
-           CASE WHEN page_id IS DISTINCT FROM first_id AND first_id IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
-           CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
-    FROM p LEFT JOIN f ON p.d = f.d""")
+@query("op2_warc", oracle.WARC)
 def _(spark, sf):
     path = fresh_path(spark, "warc")
     warc.write(warc.page_records(table(spark, sf, "pages")), path)
