@@ -9,21 +9,23 @@ document, whatever that is: a question with other numbers and names is found, a
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import regex
-import xxhash
+from pandas.util import hash_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.rows import loose
-from tidemark.llm.common import bare, store, text_key
+from tidemark.llm.common import bare, stash, store, text_key, unstash
 
 WINDOW = 8               # template words of a window; shorter items count as one window
 COVER = 0.5              # share of an item's windows that a document has to hold
 SHIPPED = 1_000_000      # different window hashes sent to the tasks as a filter; beyond, all windows are joined
-KNOWN = 300_000          # words a worker remembers
+KNOWN = 250_000          # words a worker remembers
+GROUP_CHARS = 1 << 18    # characters of the texts read at once
 # Words for numbers and units that stand behind a number.
 NUMBERS = frozenset(
     "zero two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen "
@@ -32,87 +34,112 @@ UNITS = frozenset(
     "% percent mm cm m km meter meters metre metres inch inches foot feet yard yards mile miles g mg kg gram grams lb lbs "
     "pound pounds oz ton tons l ml liter liters litre litres gallon gallons second seconds minute minutes hour hours day "
     "days week weeks month months year years dollar dollars cent cents euro euros mph kmh degree degrees".split())
-NUMBER, NAME, UNIT, BREAK, NOTHING, WORD = range(6)
+NUMBER, NAME, UNIT, BREAK, NOTHING, WORD, END = range(7)
 QUANTITY = regex.compile(r"(?:\p{Sc})?([+-]?\p{N}[\p{N}.,:/]*)(\p{L}*|%)").fullmatch
 EDGES = regex.compile(r"^[^\p{L}\p{N}%]+|[^\p{L}\p{N}%]+$")
 STOPS = regex.compile(r"[.!?:;][^\p{L}\p{N}]*$").search
 
 
-def _code(word: str) -> int:
-    return xxhash.xxh64_intdigest(word.encode("utf-8", "replace")) | 1
+def _codes(words: list[str]) -> np.ndarray:
+    """A hash of each word, the same in every process."""
+    return hash_array(np.array(words, dtype=object), categorize=False)
 
 
-MARKS = {kind: _code(f"\0{kind}") for kind in (NUMBER, NAME, UNIT)}
+MARKS = dict(zip((NUMBER, NAME, UNIT), _codes(["\0number", "\0name", "\0unit"]).tolist()))
 FACTORS = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) | 1 for k in range(WINDOW)], np.uint64)
 
 
+class _Numbers(dict):
+    """Word -> number in the order met."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        return n
+
+
 class Templates:
     """Turns texts into templates; words met before are looked up."""
 
-    def __init__(self, room: int = KNOWN):
-        self.number: dict[str, int] = {}
-        self.kind, self.code = np.zeros(room, np.int8), np.zeros(room, np.uint64)
-        self.title, self.stop, self.glued = np.zeros(room, bool), np.zeros(room, bool), np.zeros(room, bool)
-        self.plain: list[str] = []
-
-    def _learn(self, words: set[str]) -> None:
-        new = words.difference(self.number)
-        if len(self.number) + len(new) > len(self.kind):
-            self.__init__(max(KNOWN, len(words)))
-            new = words
+    def __init__(self):
+        self.number, self.plain = _Numbers(), []
+        self.kind, self.code = np.zeros(0, np.int8), np.zeros(0, np.uint64)
+        self.title, self.stop, self.glued = np.zeros(0, bool), np.zeros(0, bool), np.zeros(0, bool)
+
+    def _numbered(self, words: list[str]) -> np.ndarray:
+        """The numbers of words; such not met before are described."""
+        if len(self.number) > KNOWN:
+            self.__init__()
         at = len(self.number)
-        rows = [self._describe(w) for w in new]
-        self.number.update(zip(new, range(at, at + len(rows))))
-        self.plain += [r[-1] for r in rows]
-        for held, made in zip((self.kind, self.code, self.title, self.stop, self.glued), zip(*rows)):
-            held[at:at + len(made)] = made
+        ids = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        if len(self.number) > at:
+            self._learn(at, list(islice(self.number, at, None)))
+        return ids
+
+    def _learn(self, at: int, new: list[str]) -> None:
+        end, cores = at + len(new), []
+        if end > len(self.kind):
+            room = 2 * end - len(self.kind)
+            self.kind, self.code, self.title, self.stop, self.glued = (
+                np.concatenate((x, np.zeros(room, x.dtype))) for x in (self.kind, self.code, self.title, self.stop, self.glued))
+        self.kind[at:end] = WORD
+        for i, (word, low) in enumerate(zip(new, "\n".join(new).lower().split("\n")), at):
+            if not low.isalpha():
+                if low[-1] in ".,;:!?" and low[:-1].isalpha():
+                    low, self.stop[i] = low[:-1], low[-1] != ","
+                else:
+                    self.kind[i], low, self.stop[i], self.glued[i] = self._describe(word)
+            if word[:1] != low[:1] and self.kind[i] == WORD:
+                core = word if word.isalpha() else EDGES.sub("", word)
+                self.title[i] = len(core) > 1 and core[0].isupper() and not any(map(str.isupper, core[1:]))
+            if low in NUMBERS:
+                self.kind[i] = NUMBER
+            cores.append(low)
+        self.plain += cores
+        self.code[at:end] = _codes(cores)
+        for kind, mark in MARKS.items():
+            self.code[at:end][self.kind[at:end] == kind] = mark
+        self.title[at:end] &= self.kind[at:end] == WORD
 
     @staticmethod
-    def _describe(w: str) -> tuple:
-        """(kind, code, may be a name, ends a sentence, has its unit glued on, plain form) of a word."""
-        core, stop, glued = w, False, False
-        if not w.isalpha():
-            if w == "\x01":
-                return BREAK, 1, False, False, False, ""
-            if w[:-1].isalpha() and w[-1] in ".,;:!?":
-                core, stop = w[:-1], w[-1] != ","
-            else:
-                core, stop = EDGES.sub("", w), bool(STOPS(w))
-        plain = core.lower()
+    def _describe(word: str) -> tuple[int, str, bool, bool]:
+        """(kind, plain form, ends a sentence, has its unit glued on) of a word that is not letters and a mark."""
+        if word in "\x01\x02":
+            return (BREAK if word == "\x01" else END), "", False, False
+        core = EDGES.sub("", word)
         if not core:
-            kind = NOTHING
-        elif plain in NUMBERS:
-            kind = NUMBER
-        elif not core.isalpha() and (quantity := QUANTITY(core)) and (not quantity[2] or quantity[2].lower() in UNITS):
-            kind, glued = NUMBER, bool(quantity[2])
-        else:
-            kind = WORD
-        title = kind == WORD and len(core) > 1 and core[0].isupper() and not any(map(str.isupper, core[1:]))
-        return kind, MARKS.get(kind) or _code(plain), title, stop, glued, plain
-
-    def read(self, text: str | None):
-        """(codes, kinds, ids) of the template words, and for each the first and last word it came from."""
-        words = (text or "").replace("\n", " \x01 ").split()
-        self._learn(set(words))
-        ids = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        ids = ids[self.kind[ids] != NOTHING] if len(ids) else ids
-        kind, code = self.kind[ids].copy(), self.code[ids].copy()
+            return NOTHING, "", bool(STOPS(word)), False
+        quantity = None if core.isalpha() else QUANTITY(core)
+        if quantity and (not quantity[2] or quantity[2].lower() in UNITS):
+            return NUMBER, core.lower(), bool(STOPS(word)), bool(quantity[2])
+        return WORD, core.lower(), bool(STOPS(word)), False
+
+    def read(self, texts: list[str | None]):
+        """(codes, kinds, word ids, bounds, texts) of the template words of several texts, one after another.
+
+        Word ids and bounds give the words that a template word came from, the last array its text's number.
+        """
+        lines = [(t or "").replace("\x02", " ").replace("\n", " \x01 ") for t in texts]
+        words = (" \x02 ".join(lines) + " \x02").split()
+        ids = self._numbered(words)
+        ids = ids[self.kind[ids] != NOTHING]
+        kind, code = self.kind[ids], self.code[ids]
+        ends, breaks = kind == END, (kind == BREAK) | (kind == END)
+        text = np.cumsum(ends)
         opens = np.ones(len(ids), bool)                     # the word that begins a sentence or line
-        opens[1:] = self.stop[ids[:-1]] | (kind[:-1] == BREAK)
+        opens[1:] = self.stop[ids[:-1]] | breaks[:-1]
         named = self.title[ids] & ~opens
         after = np.zeros(len(ids), bool)
         after[1:] = (kind[:-1] == NUMBER) & ~self.glued[ids[:-1]]
-        if after.any():
-            for i in np.flatnonzero(after & (kind == WORD)):
-                if self.plain[ids[i]] in UNITS:
-                    kind[i], code[i], named[i] = UNIT, MARKS[UNIT], False
+        for i in np.flatnonzero(after & (kind == WORD)).tolist():
+            if self.plain[ids[i]] in UNITS:
+                kind[i], code[i], named[i] = UNIT, MARKS[UNIT], False
         kind[named], code[named] = NAME, MARKS[NAME]
-        live = kind != BREAK
-        ids, kind, code = ids[live], kind[live], code[live]
+        live = ~breaks
+        ids, kind, code, text = ids[live], kind[live], code[live], text[live]
         again = np.zeros(len(ids), bool)                    # a name of several words is one name
         again[1:] = (kind[1:] == NAME) & (kind[:-1] == NAME)
         first = np.flatnonzero(~again)
-        return code[first], kind[first], ids, np.append(first, len(ids))
+        return code[first], kind[first], ids, np.append(first, len(ids)), text[first]
 
     def slots(self, kind: np.ndarray, ids: np.ndarray, bounds: np.ndarray, at: int, width: int) -> list[str]:
         """The values behind the placeholders of a window."""
@@ -137,7 +164,7 @@ def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
         for batch in batches:
             rows = []
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                code, kind, ids, bounds = own.read(text)
+                code, kind, ids, bounds, _ = own.read([text])
                 width = min(window, len(code))
                 found = hashes(code, width).tolist() if width else []
                 rows += [(item, i, width, h, own.slots(kind, ids, bounds, i, width), len(found)) for i, h in enumerate(found)]
@@ -160,21 +187,34 @@ def document_windows(docs: DataFrame, widths: list[int], wanted: np.ndarray | No
         gate = np.zeros(1 << 20, bool)
         if wanted is not None:
             gate[wanted & 0xFFFFF] = True
+
+        def found(texts, keys):
+            code, kind, ids, bounds, text = own.read(texts)
+            for width in widths:
+                h = hashes(code, width)
+                if wanted is None:
+                    hit = np.arange(len(h))
+                else:
+                    hit = np.flatnonzero(gate[h & 0xFFFFF])
+                    hit = hit[np.isin(h[hit], wanted)]
+                hit = hit[text[hit] == text[hit + width - 1]]
+                at = hit - np.searchsorted(text, text[hit])
+                for i, place in zip(hit.tolist(), at.tolist()):
+                    yield keys[text[i]], place, int(h[i]), own.slots(kind, ids, bounds, i, width)
+
         for batch in batches:
-            rows = []
-            for key, text in zip(batch.column(0), batch.column(1)):
-                code, kind, ids, bounds = own.read(text.as_py())
-                for width in widths:
-                    h = hashes(code, width)
-                    if wanted is None:
-                        hit = np.arange(len(h))
-                    else:
-                        hit = np.flatnonzero(gate[h & 0xFFFFF])
-                        hit = hit[np.isin(h[hit], wanted)]
-                    rows += [(key.as_py(), i, int(h[i]), own.slots(kind, ids, bounds, i, width)) for i in hit.tolist()]
-                if len(rows) > 5000:
-                    yield _rows(rows)
-                    rows = []
+            texts, keys, chars, rows = [], [], 0, []
+            for i in range(batch.num_rows):
+                texts.append(batch.column(1)[i].as_py())
+                keys.append(batch.column(0)[i].as_py())
+                chars += len(texts[-1] or "")
+                if chars >= GROUP_CHARS or i + 1 == batch.num_rows:
+                    for row in found(texts, keys):
+                        rows.append(row)
+                        if len(rows) >= 5000:
+                            yield _rows(rows)
+                            rows = []
+                    texts, keys, chars = [], [], 0
             yield _rows(rows)
 
     return docs.select(text_key(F.col("text")).alias("text_id"), "text").mapInArrow(
@@ -225,6 +265,6 @@ def judge(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover: fl
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover: float = COVER) -> DataFrame:
     """The rows of ``docs`` whose text holds no item, with all their columns."""
-    found = store(matches(docs, benchmark, window, cover).select(F.col("text_id").alias("_text_id")).distinct(), "leaks")
-    kept = docs.withColumn("_text_id", text_key(F.col("text"))).join(loose(found), "_text_id", "left_anti")
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = store(matches(docs, benchmark, window, cover).select("text_id").distinct(), "leaks")
+    own = stash(docs, text_id=text_key(F.col("text")))
+    return unstash(own.join(loose(found), "text_id", "left_anti"), docs)
