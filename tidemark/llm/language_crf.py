@@ -12,6 +12,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +37,21 @@ GROUP_CHARS = 1 << 20
 WORDS = regex.compile(r"\p{L}[\p{L}\p{M}'’]*|\n").findall
 
 
-def features(word: str, lexicon: frozenset) -> np.ndarray:
-    """Hashed features of a lower-cased word, at most 6 affixes and 48 n-grams of its ends and middle."""
-    own = f"^{word}$"
-    names = [f"p{word[:k]}" for k in (1, 2, 3)] + [f"s{word[-k:]}" for k in (1, 2, 3)]
-    names += [f"g{own[i:i + n]}" for n in (2, 3) for i in range(len(own) - n + 1)]
+def features(word: str, lexicon: frozenset) -> list[int]:
+    """Hashed features of a lower-cased word, each once: its affixes, its 2- and 3-grams and itself if it is known."""
+    own, mask = f"^{word}$", (1 << BITS) - 1
+    names = [f"p{word[:1]}", f"p{word[:2]}", f"p{word[:3]}", f"s{word[-1:]}", f"s{word[-2:]}", f"s{word[-3:]}"]
+    names += [f"g{own[i:i + 2]}" for i in range(len(own) - 1)]
+    names += [f"g{own[i:i + 3]}" for i in range(len(own) - 2)]
     if word in lexicon:
         names.append(f"w{word}")
-    return np.unique(np.fromiter((zlib.crc32(x.encode("utf-8", "replace")) for x in names), np.int64, len(names)) & ((1 << BITS) - 1))
+    return sorted({zlib.crc32(x.encode("utf-8", "replace")) & mask for x in names})
+
+
+def _flat(found: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All features after one another, how many each word has, and where they begin."""
+    sizes = np.fromiter(map(len, found), np.int64, len(found))
+    return np.fromiter(chain.from_iterable(found), np.int64, int(sizes.sum())), sizes, np.cumsum(sizes) - sizes
 
 
 def chains(text: str | None) -> list[list[str]]:
@@ -90,15 +98,12 @@ class Field:
         self.held = np.zeros((0, k))
 
     def emissions(self, words: list[str]) -> np.ndarray:
-        own = [features(x, self.lexicon) for x in words]
-        cuts = np.concatenate(([0], np.cumsum([len(f) for f in own])[:-1]))
-        return np.add.reduceat(self.w[np.concatenate(own)], cuts, axis=0)
+        flat, _, begin = _flat([features(x, self.lexicon) for x in words])
+        return np.add.reduceat(self.w[flat], begin, axis=0)
 
     def fit(self, data: list[tuple[list[str], list[int]]], rng: np.random.Generator) -> None:
         vocabulary = {w: i for i, w in enumerate(dict.fromkeys(w for words, _ in data for w in words))}
-        own = [features(w, self.lexicon) for w in vocabulary]
-        sizes, flat = np.array([len(f) for f in own]), np.concatenate(own)
-        begin = np.cumsum(sizes) - sizes
+        flat, sizes, begin = _flat([features(w, self.lexicon) for w in vocabulary])
         grad2 = np.full(self.w.shape, 1e-3)
         move2, start2, k = np.full(self.move.shape, 1e-3), np.full(self.start.shape, 1e-3), len(self.labels)
         data = [(np.array([vocabulary[w] for w in words]), np.array(y)) for words, y in data]
