@@ -53,3 +53,29 @@ def test_placeholders():
     assert own.slots(kind, ids, bounds, 0, len(one)) == ["monday ann lee", "3.50", "12kg", "two", "7", "miles"]
     assert one.tolist().count(decontaminate.NUMBER) == 4 and one.tolist().count(decontaminate.UNIT) == 1
     assert one.tolist() == kind[of == 3].tolist() and (of == 1).sum() == 2 and (of == 2).sum() == 0
+
+
+MIDDLE = ITEM.replace("After 2 hours", "After {} 2 hours")
+SPACED = ITEM.replace("After 2", "Nobody had thought of the weather in that season. After 2")
+LONGER = " ".join(f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(59))
+
+
+@pytest.mark.parametrize("text, want", [
+    (MIDDLE.format("about"), (1, 5)),                                           # one word put in
+    (ITEM.replace("After 2", "2"), (1, 5)),                                     # one left out
+    (ITEM.replace("After", "Within"), (1, 5)),                                  # one replaced
+    (CHANGED.replace("After", "After about"), (1, 5)),
+    (TORN.replace("After", "After about"), ()),                                 # each half holds 10 windows, the values differ
+    (SPACED, (1, 5)),
+    (" ".join(ITEM.split()[18:] + ITEM.split()[:18]), ()),                      # the halves swapped
+    (ITEM[:60] + " stop " + "filler words " * 400 + ITEM[60:], ()),             # no half near the other
+])
+def test_windows_on_both_sides_of_a_change_add_up(spark, docs_of, bench, text, want):
+    assert judged(docs_of([(1, "Before that. " + text + " After that.")]), bench) == {(1, want)}
+
+
+def test_long_excerpts_count_by_themselves(spark, docs_of):
+    bench = spark.createDataFrame([(1, LONGER)], "item_id bigint, text string")
+    words = LONGER.split()
+    rows = [(n, "so it says " + " ".join(words[20:20 + n]) + " and no more") for n in (30, 20, 19)]
+    assert judged(docs_of(rows), bench) == {(30, (1,)), (20, (1,)), (19, ())}

@@ -2,14 +2,17 @@
 
 A text becomes a template: lower-cased words without punctuation, with numbers, names and units replaced by
 typed placeholders. Windows of ``WINDOW`` template words are hashed and joined with those of the benchmark.
-Where a document follows an item, every value of the item's placeholders must stand for one value of the
+Where a document follows an item, also around words put in or left out, every value of the item's placeholders must stand for one value of the
 document, whatever that is: a question with other numbers and names is found, a chance likeness is not.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from itertools import islice
+from bisect import bisect_left
+from collections import deque
+from collections.abc import Iterable, Iterator
+from itertools import chain, groupby, islice
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -17,12 +20,14 @@ import regex
 from pandas.util import hash_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.functions.rows import loose
 from tidemark.llm.common import bare, stash, store, text_key, unstash
 
 WINDOW = 8               # template words of a window; shorter items count as one window
 COVER = 0.5              # share of an item's windows that a document has to hold
+LONG = 20                # template words of an item that count by themselves if they follow one another
 SHIPPED = 1_000_000      # different window hashes sent to the tasks as a filter; beyond, all windows are joined
 KNOWN = 250_000          # words a worker remembers
 GROUP_CHARS = 1 << 18    # characters of the texts read at once
@@ -227,10 +232,87 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
                                       names=["text_id", "at", "h", "held"])
 
 
+class _Shift:
+    """The windows that a text and an item share along one shift, and what the item's values stand for there."""
+
+    def __init__(self, shift: int):
+        self.shift, self.places, self.values, self.torn = shift, [], {}, False
+
+    def add(self, place: int, slots: list[str], held: list[str]) -> None:
+        self.places.append(place)
+        for value, other in zip(slots, held):
+            self.torn |= self.values.setdefault(value, other) != other
+
+    def longest(self) -> int:
+        """The most windows that follow one another."""
+        best = n = 0
+        for i, place in enumerate(self.places):
+            n = n + 1 if i and place == self.places[i - 1] + 1 else 1
+            best = max(best, n)
+        return best
+
+
+def _shifts(rows: Iterable[tuple]) -> Iterator[_Shift]:
+    """The shifts of one text and item from rows sorted by shift and place."""
+    for shift, own in groupby(rows, itemgetter(2)):
+        made = _Shift(shift)
+        for _, _, _, place, _, slots, held in own:
+            made.add(place, slots, held)
+        yield made
+
+
+def _in_order(shifts: Iterable[_Shift]) -> int:
+    """The most windows of the shifts whose places rise in the item and in the text."""
+    ends: list[int] = []
+    for _, at in sorted((place, -place - s.shift) for s in shifts for place in s.places):
+        i = bisect_left(ends, -at)
+        ends[i:i + 1] = [-at]
+    return len(ends)
+
+
+def _joined(seed: _Shift, near: list[_Shift], need: float) -> bool:
+    """Whether ``seed`` and shifts that agree with it hold ``need`` windows in order."""
+    best = len(seed.places)
+    if best < need and _in_order([seed, *near]) < need:
+        return False
+    taken, values = [seed], dict(seed.values)
+    for s in sorted(near, key=lambda s: (-len(s.places), abs(s.shift - seed.shift))):
+        if best >= need:
+            break
+        if all(values.get(k, v) == v for k, v in s.values.items()) and (n := _in_order([*taken, s])) > best:
+            best = n
+            taken.append(s)
+            values |= s.values
+    return best >= need
+
+
+def _held(shifts: Iterator[_Shift], windows: int, window: int, cover: float) -> bool:
+    """Whether a text holds an item, by their shifts in order. Only shifts near one another are kept."""
+    reach, need, long = max(window, windows), cover * windows, max(1, LONG - window + 1)
+    near: deque[_Shift] = deque()
+    seed = 0
+    for s in chain(shifts, [None]):
+        while seed < len(near) and (s is None or near[seed].shift + reach < s.shift):
+            own = near[seed]
+            while near[0].shift < own.shift - reach:
+                near.popleft()
+                seed -= 1
+            if _joined(own, [n for n in near if n is not own], need):
+                return True
+            seed += 1
+        if s is not None and not s.torn:
+            if len(s.places) >= need or s.longest() >= long:
+                return True
+            near.append(s)
+    return False
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover: float = COVER) -> DataFrame:
     """(text_id, item_id): texts that hold ``cover`` or more of an item's windows with consistent slots.
 
-    Windows are counted along one alignment of text and item. Copies of a text are folded before the join.
+    Words put in or left out move the shift between text and item. Windows are counted over shifts that differ by the
+    item's length at most, in the order of item and text, if all their values agree; a shift that is torn in itself does
+    not count. ``LONG`` words that follow one another are enough. Copies of a text are folded before the join.
     """
     items = store(item_windows(benchmark, window), "benchmark-windows")
     widths = [r["width"] for r in items.select("width").distinct().collect()]        # ``window`` values at most
@@ -238,14 +320,19 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover:
     few = distinct.count() <= SHIPPED
     wanted = np.sort(distinct.toPandas().h.to_numpy(np.int64)) if few else None
     held = document_windows(bare(docs, "text"), widths, wanted).dropDuplicates(["text_id", "at", "h"])
-    met = store(held.join(items, "h").withColumn("shift", F.col("at") - F.col("place")), "benchmark-met")
-    along = ["text_id", "item_id", "shift"]
-    pairs = met.select(*along, F.explode(F.arrays_zip("slots", "held")).alias("p"))
-    torn = pairs.groupBy(*along, F.col("p.slots").alias("value")).agg(
-        F.min("p.held").alias("low"), F.max("p.held").alias("high")).filter("low != high").select(*along).distinct()
-    runs = met.groupBy(*along).agg(F.countDistinct("place").alias("n"), F.max("windows").alias("windows"))
-    enough = runs.filter(F.col("n") >= F.lit(cover) * F.col("windows"))
-    return enough.join(loose(torn), along, "left_anti").select("text_id", "item_id").distinct()
+    met = held.join(items, "h").withColumn("shift", F.col("at") - F.col("place"))
+    along = met.select("text_id", "item_id", "shift", "place", "windows", "slots", "held").repartition(
+        "text_id", "item_id").sortWithinPartitions("text_id", "item_id", "shift", "place")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        for (text, item), pair in groupby(rows, itemgetter(0, 1)):
+            first = next(pair)
+            if _held(_shifts(chain([first], pair)), first[4], window, cover):
+                yield pa.RecordBatch.from_arrays([pa.array([text], pa.binary()), pa.array([item], kind)], names=["text_id", "item_id"])
+
+    name, kind = met.schema["item_id"].dataType.simpleString(), to_arrow_type(met.schema["item_id"].dataType)
+    return along.mapInArrow(run, f"text_id binary, item_id {name}")
 
 
 def judge(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover: float = COVER) -> DataFrame:
