@@ -68,7 +68,7 @@ LONGER = " ".join(f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(59
     (TORN.replace("After", "After about"), ()),                                 # each half holds 10 windows, the values differ
     (SPACED, (1, 5)),
     (" ".join(ITEM.split()[18:] + ITEM.split()[:18]), ()),                      # the halves swapped
-    (ITEM[:60] + " stop " + "filler words " * 400 + ITEM[60:], ()),             # no half near the other
+    (" ".join(ITEM.split()[:17]) + " stop " + "filler words " * 400 + " ".join(ITEM.split()[17:]), ()),             # no half near the other
 ])
 def test_windows_on_both_sides_of_a_change_add_up(spark, docs_of, bench, text, want):
     assert judged(docs_of([(1, "Before that. " + text + " After that.")]), bench) == {(1, want)}
@@ -79,3 +79,25 @@ def test_long_excerpts_count_by_themselves(spark, docs_of):
     words = LONGER.split()
     rows = [(n, "so it says " + " ".join(words[20:20 + n]) + " and no more") for n in (30, 20, 19)]
     assert judged(docs_of(rows), bench) == {(30, (1,)), (20, (1,)), (19, ())}
+
+
+TOM = "Tom has 5 apples. Tom buys 3 more. How many does Tom have?"
+
+
+@pytest.mark.parametrize("item, text, found", [
+    (ITEM, ITEM.lower(), True),
+    (ITEM, ITEM.upper(), True),
+    (TOM, TOM.replace("Tom", "Ann").replace("5", "7").replace("3", "4"), True),
+    (TOM, "Ann has 7 apples. Bob buys 4 more. How many does Ann have?", False),          # one name became two
+    ("Tom has 5 apples and eats 2.", "Ann has 7 apples and eats 3.", True),              # the name only opens
+    ("Then old McDonald and TOM had 5 farms in all", "Then old O'Brien and ANN had 7 farms in all", True),
+    ("What is the capital of France?", "Paris is the capital of France.", False),
+])
+def test_names_are_told_where_a_sentence_opens_and_copies_match_in_any_case(spark, docs_of, item, text, found):
+    bench = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    assert judged(docs_of([(1, "Before that. " + text + " After that.")]), bench) == {(1, (1,) if found else ())}
+
+
+def test_exact_copies_in_other_case_among_other_rows(spark, docs_of, bench):
+    got = judged(docs_of([(1, ITEM.lower()), (2, OTHER.upper()), (None, ITEM.upper())]), bench)
+    assert got == {(1, (1, 5)), (2, ()), (None, (1, 5))}

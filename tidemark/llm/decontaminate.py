@@ -2,8 +2,9 @@
 
 A text becomes a template: lower-cased words without punctuation, with numbers, names and units replaced by
 typed placeholders. Windows of ``WINDOW`` template words are hashed and joined with those of the benchmark.
-Where a document follows an item, also around words put in or left out, every value of the item's placeholders must stand for one value of the
-document, whatever that is: a question with other numbers and names is found, a chance likeness is not.
+Where a document follows an item, also around words put in or left out, every value of the item's placeholders must
+stand for one value of the document, whatever that is: a question with other numbers and names is found, a chance
+likeness is not. Windows of the plain lower-cased words are hashed beside them, so that copies match in any case.
 """
 
 from __future__ import annotations
@@ -39,6 +40,15 @@ UNITS = frozenset(
     "% percent mm cm m km meter meters metre metres inch inches foot feet yard yards mile miles g mg kg gram grams lb lbs "
     "pound pounds oz ton tons l ml liter liters litre litres gallon gallons second seconds minute minutes hour hours day "
     "days week weeks month months year years dollar dollars cent cents euro euros mph kmh degree degrees".split())
+# Words that are no names where they open a sentence, whatever the benchmark holds.
+OPENERS = frozenset(
+    "a an the this that these those there here it its he she his her they their we our you your my who whom whose what which "
+    "when where why how if is are was were be been am do does did has have had can could will would shall should may might "
+    "must and or but nor so yet for of in on at to from by with without about into over under between through during before "
+    "after since until while as because although though unless then than next now later first second last finally also "
+    "however therefore thus hence each every all any both some no not none many much more most few other another such only "
+    "one once let suppose assume given".split())
+TEMPLATE, PLAIN = range(2)
 NUMBER, NAME, UNIT, BREAK, NOTHING, WORD, END = range(7)
 QUANTITY = regex.compile(r"(?:\p{Sc})?([+-]?\p{N}[\p{N}.,:/]*)(\p{L}*|%)").fullmatch
 EDGES = regex.compile(r"^[^\p{L}\p{N}%]+|[^\p{L}\p{N}%]+$")
@@ -63,17 +73,21 @@ class _Numbers(dict):
 
 
 class Templates:
-    """Turns texts into templates; words met before are looked up."""
+    """Turns texts into templates; words met before are looked up.
 
-    def __init__(self):
-        self.number, self.plain = _Numbers(), []
-        self.kind, self.code = np.zeros(0, np.int8), np.zeros(0, np.uint64)
-        self.title, self.stop, self.glued = np.zeros(0, bool), np.zeros(0, bool), np.zeros(0, bool)
+    ``common`` has the codes of the words that are no names, in order. Without it a capitalised word is a name only
+    within a sentence and one in capitals never, because nothing tells it from other words.
+    """
+
+    def __init__(self, common: np.ndarray | None = None):
+        self.common, self.number, self.plain = common, _Numbers(), []
+        self.kind, self.code, self.bare = np.zeros(0, np.int8), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.title, self.stop, self.glued, self.sure = (np.zeros(0, bool) for _ in range(4))
 
     def _numbered(self, words: list[str]) -> np.ndarray:
         """The numbers of words; such not met before are described."""
         if len(self.number) > KNOWN:
-            self.__init__()
+            self.__init__(self.common)
         at = len(self.number)
         ids = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
         if len(self.number) > at:
@@ -84,8 +98,9 @@ class Templates:
         end, cores = at + len(new), []
         if end > len(self.kind):
             room = 2 * end - len(self.kind)
-            self.kind, self.code, self.title, self.stop, self.glued = (
-                np.concatenate((x, np.zeros(room, x.dtype))) for x in (self.kind, self.code, self.title, self.stop, self.glued))
+            for name in ("kind", "code", "bare", "title", "stop", "glued", "sure"):
+                held = getattr(self, name)
+                setattr(self, name, np.concatenate((held, np.zeros(room, held.dtype))))
         self.kind[at:end] = WORD
         for i, (word, low) in enumerate(zip(new, "\n".join(new).lower().split("\n")), at):
             if not low.isalpha():
@@ -95,15 +110,20 @@ class Templates:
                     self.kind[i], low, self.stop[i], self.glued[i] = self._describe(word)
             if word[:1] != low[:1] and self.kind[i] == WORD:
                 core = word if word.isalpha() else EDGES.sub("", word)
-                self.title[i] = len(core) > 1 and core[0].isupper() and not any(map(str.isupper, core[1:]))
+                self.title[i] = len(core) > 1 and core[0].isupper() and not core.isupper()
+                self.sure[i] = self.common is not None and len(core) > 1 and core[0].isupper()
             if low in NUMBERS:
                 self.kind[i] = NUMBER
             cores.append(low)
         self.plain += cores
-        self.code[at:end] = _codes(cores)
+        self.code[at:end] = self.bare[at:end] = _codes(cores)
+        for i in np.flatnonzero(self.sure[at:end]) + at:
+            k = np.searchsorted(self.common, self.bare[i])
+            self.sure[i] = k == len(self.common) or self.common[k] != self.bare[i]
         for kind, mark in MARKS.items():
             self.code[at:end][self.kind[at:end] == kind] = mark
         self.title[at:end] &= self.kind[at:end] == WORD
+        self.sure[at:end] &= self.kind[at:end] == WORD
 
     @staticmethod
     def _describe(word: str) -> tuple[int, str, bool, bool]:
@@ -132,7 +152,7 @@ class Templates:
         text = np.cumsum(ends)
         opens = np.ones(len(ids), bool)                     # the word that begins a sentence or line
         opens[1:] = self.stop[ids[:-1]] | breaks[:-1]
-        named = self.title[ids] & ~opens
+        named = self.title[ids] & ~opens | self.sure[ids]
         after = np.zeros(len(ids), bool)
         after[1:] = (kind[:-1] == NUMBER) & ~self.glued[ids[:-1]]
         for i in np.flatnonzero(after & (kind == WORD)).tolist():
@@ -140,63 +160,100 @@ class Templates:
                 kind[i], code[i], named[i] = UNIT, MARKS[UNIT], False
         kind[named], code[named] = NAME, MARKS[NAME]
         live = ~breaks
-        ids, kind, code, text = ids[live], kind[live], code[live], text[live]
+        ids, kind, code, text, opens = ids[live], kind[live], code[live], text[live], opens[live]
         again = np.zeros(len(ids), bool)                    # a name of several words is one name
-        again[1:] = (kind[1:] == NAME) & (kind[:-1] == NAME)
+        again[1:] = (kind[1:] == NAME) & (kind[:-1] == NAME) & ~opens[1:]
         first = np.flatnonzero(~again)
         return code[first], kind[first], ids, np.append(first, len(ids)), text[first]
 
+    def views(self, texts: list[str | None]):
+        """(codes, texts, slots of a window by its place and width) of the template and of the plain words."""
+        code, kind, ids, bounds, text = self.read(texts)
+        yield code, text, lambda at, width: self.slots(kind, ids, bounds, at, width)
+        yield self.bare[ids], np.repeat(text, np.diff(bounds)), lambda at, width: []
+
+    def told(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The codes of the words in small letters, and of those that are names by their place in a sentence."""
+        _, kind, ids, bounds, _ = self.read(texts)
+        named = np.repeat(kind, np.diff(bounds)) == NAME
+        low = np.fromiter((w.islower() for w in self.number), bool, len(self.number))
+        return np.unique(self.bare[ids[low[ids] & ~named]]), np.unique(self.bare[ids[named]])
+
     def slots(self, kind: np.ndarray, ids: np.ndarray, bounds: np.ndarray, at: int, width: int) -> list[str]:
         """The values behind the placeholders of a window."""
         return [" ".join(self.plain[w] for w in ids[bounds[i]:bounds[i + 1]])
                 for i in range(at, at + width) if kind[i] in MARKS]
 
 
-def hashes(code: np.ndarray, width: int) -> np.ndarray:
+def hashes(code: np.ndarray, width: int, view: int = TEMPLATE) -> np.ndarray:
     n = len(code) - width + 1
-    h = np.full(max(0, n), width, np.uint64)
+    h = np.full(max(0, n), width | view << 32, np.uint64)
     for k in range(width if n > 0 else 0):
         h = (h ^ code[k:k + n]) * FACTORS[k]
         h ^= h >> np.uint64(29)
     return h.view(np.int64)
 
 
-def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(item_id, place, width, h, slots, windows): the windows of every item that has a word."""
+def common_words(benchmark: DataFrame) -> np.ndarray:
+    """The codes, in order, of the words that are no names where they open a sentence or stand in capitals.
+
+    These are ``OPENERS`` and words that the benchmark has in small letters, but not capitalised within a sentence. The
+    driver gets 9 bytes for each different word of the benchmark.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Templates()
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                low, named = own.told([text])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate((low, named)).view(np.int64)),
+                                                  pa.array(np.repeat([False, True], (len(low), len(named))))], names=["code", "named"])
+
+    words = bare(benchmark, "text").mapInArrow(run, "code bigint, named boolean").groupBy("code").agg(F.max("named").alias("named"))
+    found = words.filter("not named").select("code").toPandas().code.to_numpy(np.int64).view(np.uint64)
+    return np.unique(np.concatenate((found, _codes(sorted(OPENERS)))))
+
+
+def item_windows(benchmark: DataFrame, window: int = WINDOW, common: np.ndarray | None = None) -> DataFrame:
+    """(item_id, view, place, width, h, slots, windows): the windows of every item that has a word, in both views."""
+    shared = benchmark.sparkSession.sparkContext.broadcast(common)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Templates(shared.value)
         for batch in batches:
             rows = []
             for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                code, kind, ids, bounds, _ = own.read([text])
-                width = min(window, len(code))
-                found = hashes(code, width).tolist() if width else []
-                rows += [(item, i, width, h, own.slots(kind, ids, bounds, i, width), len(found)) for i, h in enumerate(found)]
-            cols = zip(*rows) if rows else [[]] * 6
-            types = [batch.schema.field(0).type, pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.int64()]
+                for view, (code, _, slots) in enumerate(own.views([text])):
+                    width = min(window, len(code))
+                    found = hashes(code, width, view).tolist() if width else []
+                    rows += [(item, view, i, width, h, slots(i, width), len(found)) for i, h in enumerate(found)]
+            cols = zip(*rows) if rows else [[]] * 7
+            types = [batch.schema.field(0).type, pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.int64()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
-                                             names=["item_id", "place", "width", "h", "slots", "windows"])
+                                             names=["item_id", "view", "place", "width", "h", "slots", "windows"])
 
     kind = benchmark.schema["item_id"].dataType.simpleString()
     return bare(benchmark, "item_id", "text").mapInArrow(
-        run, f"item_id {kind}, place bigint, width bigint, h bigint, slots array<string>, windows bigint")
+        run, f"item_id {kind}, view bigint, place bigint, width bigint, h bigint, slots array<string>, windows bigint")
 
 
-def document_windows(docs: DataFrame, widths: list[int], wanted: np.ndarray | None) -> DataFrame:
-    """(text_id, at, h, held): the windows of each text whose hash is in ``wanted`` (null: all)."""
-    shared = docs.sparkSession.sparkContext.broadcast((sorted(widths), wanted))
+def document_windows(docs: DataFrame, widths: list[tuple[int, int]], wanted: np.ndarray | None,
+                     common: np.ndarray | None = None) -> DataFrame:
+    """(text_id, at, h, held): the windows of each text, by (view, width), whose hash is in ``wanted`` (null: all)."""
+    shared = docs.sparkSession.sparkContext.broadcast((sorted(widths), wanted, common))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, (widths, wanted) = Templates(), shared.value
+        widths, wanted, common = shared.value
+        own = Templates(common)
         gate = np.zeros(1 << 20, bool)
         if wanted is not None:
             gate[wanted & 0xFFFFF] = True
 
         def found(texts, keys):
-            code, kind, ids, bounds, text = own.read(texts)
-            for width in widths:
-                h = hashes(code, width)
+            views = list(own.views(texts))
+            for view, width in widths:
+                code, text, slots = views[view]
+                h = hashes(code, width, view)
                 if wanted is None:
                     hit = np.arange(len(h))
                 else:
@@ -205,7 +262,7 @@ def document_windows(docs: DataFrame, widths: list[int], wanted: np.ndarray | No
                 hit = hit[text[hit] == text[hit + width - 1]]
                 at = hit - np.searchsorted(text, text[hit])
                 for i, place in zip(hit.tolist(), at.tolist()):
-                    yield keys[text[i]], place, int(h[i]), own.slots(kind, ids, bounds, i, width)
+                    yield keys[text[i]], place, int(h[i]), slots(i, width)
 
         for batch in batches:
             texts, keys, chars, rows = [], [], 0, []
@@ -236,7 +293,7 @@ class _Shift:
     """The windows that a text and an item share along one shift, and what the item's values stand for there."""
 
     def __init__(self, shift: int):
-        self.shift, self.places, self.values, self.torn = shift, [], {}, False
+        self.shift, self.places, self.values, self.torn, self.windows = shift, [], {}, False, 0
 
     def add(self, place: int, slots: list[str], held: list[str]) -> None:
         self.places.append(place)
@@ -253,10 +310,10 @@ class _Shift:
 
 
 def _shifts(rows: Iterable[tuple]) -> Iterator[_Shift]:
-    """The shifts of one text and item from rows sorted by shift and place."""
-    for shift, own in groupby(rows, itemgetter(2)):
+    """The shifts of one text and item in one view, from rows sorted by shift and place."""
+    for shift, own in groupby(rows, itemgetter(3)):
         made = _Shift(shift)
-        for _, _, _, place, _, slots, held in own:
+        for _, _, _, _, place, made.windows, slots, held in own:
             made.add(place, slots, held)
         yield made
 
@@ -286,12 +343,13 @@ def _joined(seed: _Shift, near: list[_Shift], need: float) -> bool:
     return best >= need
 
 
-def _held(shifts: Iterator[_Shift], windows: int, window: int, cover: float) -> bool:
+def _held(shifts: Iterator[_Shift], window: int, cover: float) -> bool:
     """Whether a text holds an item, by their shifts in order. Only shifts near one another are kept."""
-    reach, need, long = max(window, windows), cover * windows, max(1, LONG - window + 1)
-    near: deque[_Shift] = deque()
+    long, near = max(1, LONG - window + 1), deque()
     seed = 0
     for s in chain(shifts, [None]):
+        if s is not None:
+            reach, need = max(window, s.windows), cover * s.windows
         while seed < len(near) and (s is None or near[seed].shift + reach < s.shift):
             own = near[seed]
             while near[0].shift < own.shift - reach:
@@ -314,21 +372,21 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover:
     item's length at most, in the order of item and text, if all their values agree; a shift that is torn in itself does
     not count. ``LONG`` words that follow one another are enough. Copies of a text are folded before the join.
     """
-    items = store(item_windows(benchmark, window), "benchmark-windows")
-    widths = [r["width"] for r in items.select("width").distinct().collect()]        # ``window`` values at most
+    common = common_words(benchmark)
+    items = store(item_windows(benchmark, window, common), "benchmark-windows")
+    widths = [tuple(r) for r in items.select("view", "width").distinct().collect()]     # twice ``window`` at most
     distinct = items.select("h").distinct()
     few = distinct.count() <= SHIPPED
     wanted = np.sort(distinct.toPandas().h.to_numpy(np.int64)) if few else None
-    held = document_windows(bare(docs, "text"), widths, wanted).dropDuplicates(["text_id", "at", "h"])
+    held = document_windows(bare(docs, "text"), widths, wanted, common).dropDuplicates(["text_id", "at", "h"])
     met = held.join(items, "h").withColumn("shift", F.col("at") - F.col("place"))
-    along = met.select("text_id", "item_id", "shift", "place", "windows", "slots", "held").repartition(
-        "text_id", "item_id").sortWithinPartitions("text_id", "item_id", "shift", "place")
+    along = met.select("text_id", "item_id", "view", "shift", "place", "windows", "slots", "held").repartition(
+        "text_id", "item_id").sortWithinPartitions("text_id", "item_id", "view", "shift", "place")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
         for (text, item), pair in groupby(rows, itemgetter(0, 1)):
-            first = next(pair)
-            if _held(_shifts(chain([first], pair)), first[4], window, cover):
+            if any(_held(_shifts(seen), window, cover) for _, seen in groupby(pair, itemgetter(2))):
                 yield pa.RecordBatch.from_arrays([pa.array([text], pa.binary()), pa.array([item], kind)], names=["text_id", "item_id"])
 
     name, kind = met.schema["item_id"].dataType.simpleString(), to_arrow_type(met.schema["item_id"].dataType)
@@ -340,6 +398,7 @@ def judge(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, cover: fl
 
     Null and empty texts and items without a word match nothing; items with one text are all listed. Repeated
     rows get the same answer, other columns are ignored. Of a placeholder-only window the slots decide.
+    A word that opens a sentence is a name unless ``common_words`` has it, which is the same for texts and items.
     """
     found = matches(docs, benchmark, window, cover).groupBy("text_id").agg(
         F.sort_array(F.collect_set("item_id")).alias("item_ids"))
