@@ -101,3 +101,30 @@ def test_names_are_told_where_a_sentence_opens_and_copies_match_in_any_case(spar
 def test_exact_copies_in_other_case_among_other_rows(spark, docs_of, bench):
     got = judged(docs_of([(1, ITEM.lower()), (2, OTHER.upper()), (None, ITEM.upper())]), bench)
     assert got == {(1, (1, 5)), (2, ()), (None, (1, 5))}
+
+
+@pytest.mark.parametrize("number", ["7", "twenty five", "twenty-five", "two hundred and five", "one", "5 million", "Three thousand six"])
+@pytest.mark.parametrize("unit", ["{} kg of", "{}-kg of", "{} pounds of"])
+def test_numbers_and_units_have_one_form(number, unit):
+    own = decontaminate.Templates()
+    codes = [next(own.views([f"then they bought {u} flour, and left"]))[0].tolist() for u in ("9 kg of", unit.format(number))]
+    assert codes[0] == codes[1]
+
+
+def test_glued_units_and_numbers_that_stay_apart():
+    own = decontaminate.Templates()
+
+    def read(text):
+        code, _, slots = next(own.views([text, "next 3kg"]))
+        return slots(0, len(code))
+
+    assert read("load 12kg or 5%, ten-mile") == ["12", "kg", "5", "%", "ten", "mile", "3", "kg"]
+    assert read("one, two. Three\nfour") == ["one", "two", "three", "four", "3", "kg"]
+    assert read("between one hundred and two hundred") == ["one hundred", "two hundred", "3", "kg"]
+    assert read("one hundred and five kg") == ["one hundred and five", "kg", "3", "kg"]
+
+
+def test_finds_items_with_numbers_and_units_written_in_other_ways(spark, docs_of, bench):
+    text = ("A train leaves Paris at 7 with eighty-five people and a load of 44kg per person. After twenty five hours Tom "
+            "counts the eighty-five people again while the train moves on to the coast.")
+    assert judged(docs_of([(1, text), (2, text.replace("the eighty-five", "the ninety"))]), bench) == {(1, (1, 5)), (2, ())}

@@ -34,8 +34,9 @@ KNOWN = 250_000          # words a worker remembers
 GROUP_CHARS = 1 << 18    # characters of the texts read at once
 # Words for numbers and units that stand behind a number.
 NUMBERS = frozenset(
-    "zero two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen "
+    "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen "
     "eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split())
+SCALES = frozenset("hundred thousand million billion".split())
 UNITS = frozenset(
     "% percent mm cm m km meter meters metre metres inch inches foot feet yard yards mile miles g mg kg gram grams lb lbs "
     "pound pounds oz ton tons l ml liter liters litre litres gallon gallons second seconds minute minutes hour hours day "
@@ -50,7 +51,8 @@ OPENERS = frozenset(
     "one once let suppose assume given".split())
 TEMPLATE, PLAIN = range(2)
 NUMBER, NAME, UNIT, BREAK, NOTHING, WORD, END = range(7)
-QUANTITY = regex.compile(r"(?:\p{Sc})?([+-]?\p{N}[\p{N}.,:/]*)(\p{L}*|%)").fullmatch
+QUANTITY = regex.compile(r"(?:\p{Sc})?([+-]?\p{N}[\p{N}.,:/]*)[-\u2010\u2011]?(\p{L}*|%)").fullmatch
+HYPHENS = regex.compile(r"[-\u2010\u2011]")
 EDGES = regex.compile(r"^[^\p{L}\p{N}%]+|[^\p{L}\p{N}%]+$")
 STOPS = regex.compile(r"[.!?:;][^\p{L}\p{N}]*$").search
 
@@ -61,6 +63,7 @@ def _codes(words: list[str]) -> np.ndarray:
 
 
 MARKS = dict(zip((NUMBER, NAME, UNIT), _codes(["\0number", "\0name", "\0unit"]).tolist()))
+AND = _codes(["and"])[0]
 FACTORS = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) | 1 for k in range(WINDOW)], np.uint64)
 
 
@@ -83,6 +86,8 @@ class Templates:
         self.common, self.number, self.plain = common, _Numbers(), []
         self.kind, self.code, self.bare = np.zeros(0, np.int8), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
         self.title, self.stop, self.glued, self.sure = (np.zeros(0, bool) for _ in range(4))
+        self.spelled, self.scale, self.tail = (np.zeros(0, bool) for _ in range(3))
+        self.parts: dict[int, tuple[int, int]] = {}         # a number with its unit glued on -> the two as words
 
     def _numbered(self, words: list[str]) -> np.ndarray:
         """The numbers of words; such not met before are described."""
@@ -90,30 +95,37 @@ class Templates:
             self.__init__(self.common)
         at = len(self.number)
         ids = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        if len(self.number) > at:
-            self._learn(at, list(islice(self.number, at, None)))
+        while len(self.number) > at:                        # parts of words are words met as well
+            new = list(islice(self.number, at, None))
+            self._learn(at, new)
+            at += len(new)
         return ids
 
     def _learn(self, at: int, new: list[str]) -> None:
         end, cores = at + len(new), []
         if end > len(self.kind):
             room = 2 * end - len(self.kind)
-            for name in ("kind", "code", "bare", "title", "stop", "glued", "sure"):
+            for name in ("kind", "code", "bare", "title", "stop", "glued", "sure", "spelled", "scale", "tail"):
                 held = getattr(self, name)
                 setattr(self, name, np.concatenate((held, np.zeros(room, held.dtype))))
         self.kind[at:end] = WORD
         for i, (word, low) in enumerate(zip(new, "\n".join(new).lower().split("\n")), at):
             if not low.isalpha():
                 if low[-1] in ".,;:!?" and low[:-1].isalpha():
-                    low, self.stop[i] = low[:-1], low[-1] != ","
+                    low, self.stop[i], self.tail[i] = low[:-1], low[-1] != ",", True
                 else:
-                    self.kind[i], low, self.stop[i], self.glued[i] = self._describe(word)
+                    self.kind[i], low, self.stop[i], parts = self._describe(word)
+                    self.tail[i], self.glued[i] = not word[-1].isalnum(), bool(parts)
+                    self.spelled[i] = self.kind[i] == NUMBER and low[0].isalpha()
+                    self.scale[i] = self.spelled[i] and not SCALES.isdisjoint(HYPHENS.sub(" ", low).split())
+                    if parts:
+                        self.parts[i] = self.number[parts[0]], self.number[parts[1]]
             if word[:1] != low[:1] and self.kind[i] == WORD:
                 core = word if word.isalpha() else EDGES.sub("", word)
                 self.title[i] = len(core) > 1 and core[0].isupper() and not core.isupper()
                 self.sure[i] = self.common is not None and len(core) > 1 and core[0].isupper()
             if low in NUMBERS:
-                self.kind[i] = NUMBER
+                self.kind[i], self.spelled[i], self.scale[i] = NUMBER, True, low in SCALES
             cores.append(low)
         self.plain += cores
         self.code[at:end] = self.bare[at:end] = _codes(cores)
@@ -126,17 +138,23 @@ class Templates:
         self.sure[at:end] &= self.kind[at:end] == WORD
 
     @staticmethod
-    def _describe(word: str) -> tuple[int, str, bool, bool]:
-        """(kind, plain form, ends a sentence, has its unit glued on) of a word that is not letters and a mark."""
+    def _describe(word: str) -> tuple[int, str, bool, tuple]:
+        """(kind, plain form, ends a sentence, number and unit glued on) of a word that is not letters and a mark."""
         if word in "\x01\x02":
-            return (BREAK if word == "\x01" else END), "", False, False
+            return (BREAK if word == "\x01" else END), "", False, ()
         core = EDGES.sub("", word)
         if not core:
-            return NOTHING, "", bool(STOPS(word)), False
+            return NOTHING, "", bool(STOPS(word)), ()
+        low, stop = core.lower(), bool(STOPS(word))
         quantity = None if core.isalpha() else QUANTITY(core)
         if quantity and (not quantity[2] or quantity[2].lower() in UNITS):
-            return NUMBER, core.lower(), bool(STOPS(word)), bool(quantity[2])
-        return WORD, core.lower(), bool(STOPS(word)), False
+            return NUMBER, low, stop, (quantity[1], quantity[2].lower()) if quantity[2] else ()
+        *spelled, last = HYPHENS.split(low)                 # twenty-five, five-year
+        if spelled and NUMBERS.issuperset(spelled) and (last in NUMBERS or last in UNITS):
+            if last in NUMBERS:
+                return NUMBER, " ".join([*spelled, last]), stop, ()
+            return NUMBER, low, stop, (" ".join(spelled), last)
+        return WORD, low, stop, ()
 
     def read(self, texts: list[str | None]):
         """(codes, kinds, word ids, bounds, texts) of the template words of several texts, one after another.
@@ -163,12 +181,46 @@ class Templates:
         ids, kind, code, text, opens = ids[live], kind[live], code[live], text[live], opens[live]
         again = np.zeros(len(ids), bool)                    # a name of several words is one name
         again[1:] = (kind[1:] == NAME) & (kind[:-1] == NAME) & ~opens[1:]
+        again |= self._spelled_out(kind, ids, opens)        # and a number of several words one number
         first = np.flatnonzero(~again)
         return code[first], kind[first], ids, np.append(first, len(ids)), text[first]
 
+    def _spelled_out(self, kind: np.ndarray, ids: np.ndarray, opens: np.ndarray) -> np.ndarray:
+        """Which words go on with the number before them: twenty five, 5 million, one hundred and five.
+
+        The "and" of a number becomes a number word in ``kind``; one hundred and two hundred are two numbers.
+        """
+        on = np.zeros(len(ids), bool)
+        spelled, scale = self.spelled[ids], self.scale[ids]
+        if not spelled.any():
+            return on
+        close = ~(self.tail[ids[:-1]] | self.glued[ids[:-1]] | opens[1:])
+        number = kind == NUMBER
+        on[1:] = number[1:] & number[:-1] & spelled[1:] & (spelled[:-1] | scale[1:]) & close
+        at = np.flatnonzero(scale[:-2] & (self.bare[ids[1:-1]] == AND) & spelled[2:] & close[:-1] & close[1:]) + 1
+        at = at[~(np.append(scale, False)[at + 2] & np.append(on, False)[at + 2])]
+        kind[at] = NUMBER
+        on[at] = on[at + 1] = True
+        return on
+
+    def _parted(self, code: np.ndarray, kind: np.ndarray, ids: np.ndarray, bounds: np.ndarray, text: np.ndarray):
+        """What ``read`` gives, with a number and the unit glued to it as two words, as if they stood apart."""
+        glued = self.glued[ids]
+        if not glued.any():
+            return code, kind, ids, bounds, text
+        words = np.flatnonzero(glued)
+        at = np.searchsorted(bounds, words, "right")        # a glued word is the last of its template word
+        before = np.concatenate(([0], np.cumsum(glued)))
+        units = words + np.arange(len(words)) + 1
+        both = np.array([self.parts[i] for i in ids[words].tolist()])
+        ids = np.repeat(ids, 1 + glued)
+        ids[units - 1], ids[units] = both.T
+        return (np.insert(code, at, np.uint64(MARKS[UNIT])), np.insert(kind, at, UNIT), ids,
+                np.insert(bounds + before[bounds], at, units), np.insert(text, at, text[at - 1]))
+
     def views(self, texts: list[str | None]):
         """(codes, texts, slots of a window by its place and width) of the template and of the plain words."""
-        code, kind, ids, bounds, text = self.read(texts)
+        code, kind, ids, bounds, text = self._parted(*self.read(texts))
         yield code, text, lambda at, width: self.slots(kind, ids, bounds, at, width)
         yield self.bare[ids], np.repeat(text, np.diff(bounds)), lambda at, width: []
 
