@@ -80,7 +80,7 @@ def test_run_equals_the_stages(spark, stages):
 
 def test_all_operators_are_registered():
     found = Counter(m[1] for n in catalog.QUERIES if (m := re.match(r"op(\d+)_", n)))
-    assert found == Counter(map(str, range(1, 11))) and catalog.QUERIES["pipeline"] is corpus_pipeline.run
+    assert found == Counter(map(str, range(1, 14))) and catalog.QUERIES["pipeline"] is corpus_pipeline.run
     assert set(catalog.ORACLE) <= set(catalog.QUERIES)
 
 
@@ -94,6 +94,7 @@ COLUMNS = {
     "op7_quality_rules": ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"],
     "op9_suffix_dedup": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
     "op10_decontamination": ["doc_id", "contaminated", "item_ids"],
+    "op12_sharding": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
 }
 
 

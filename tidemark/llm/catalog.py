@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidemark.llm import bpe, decontaminate, language_crf, oracle, quality_rules, simhash, suffix_dedup, token_shards, toxicity, url_filter, warc
+from tidemark.llm import bpe, decontaminate, language_crf, oracle, quality_rules, sharding, simhash, spelling, suffix_dedup, token_shards, toxicity, url_filter, warc, whitening
 from tidemark.llm.common import bare, fresh_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,6 +91,24 @@ def _(spark, sf):
     return found.withColumn("ids_sha256", F.sha2("ids", 256)).drop("ids")
 
 
+@query("op11_whitening")
+def _(spark, sf):
+    rows = table(spark, sf, "embeddings")
+    model = whitening.fit(rows)
+    return whitening.components(rows, model, "vec_id").withColumn("deviation", F.col("deviation").cast("bigint"))
+
+
+@query("op12_sharding")
+def _(spark, sf):
+    placed = sharding.placements(table(spark, sf, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op13_spelling")
+def _(spark, sf):
+    return spelling.variants(table(spark, sf, "documents"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
