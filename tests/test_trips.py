@@ -122,13 +122,3 @@ def test_every_run_lands_in_its_month(spark, tmp_path, bronze_table, mode):
         assert sorted(r._rescued_data or "" for r in bronze.collect()) == ["", "", "", '{"extra_fee":"7"}', '{"extra_fee":"7"}']
     else:
         assert sorted(r.extra_fee or "" for r in bronze.collect()) == ["", "", "", "7", "7"]
-
-
-def test_a_run_opens_new_files_only(spark, tmp_path, bronze_table):
-    folder, checkpoint = str(tmp_path / "landing"), str(tmp_path / "checkpoint")
-    land(spark, folder, "a", (3, 1.0))
-    pipelines.ingest_trips(spark, folder, bronze_table, checkpoint)
-    notes = sinks.table_notes(spark, bronze_table)
-    assert notes[pipelines.DERIVED] == "year,month" and notes[pipelines.LOOKED_UNTIL]
-    from tidemark.streaming import ingest
-    assert ingest.observed_schema(spark, folder, modified_after="2099-01-01T00:00:00") is None

@@ -18,7 +18,7 @@ from tidemark.operators import web_marts as marts
 from tidemark.operators import web_purchases as purchases
 from tidemark.operators import web_sessions as sessions
 from tidemark.operators import web_staging as staging
-from tidemark.plans import inputs
+from tidemark.plans import inputs, jobs
 from tidemark.session import shared_folder, use_utc
 from tidemark.sources import readers, sinks, snapshots
 from tidemark.streaming import ingest
@@ -521,3 +521,11 @@ def _(spark, sf):
         dated = stream.withColumns({"year": F.year("ts"), "month": F.month("ts")})
         ingest.ingest_available(dated, f"{root}/table", f"{root}/checkpoint", ["year", "month"])
     return trips.partition_counts(spark.read.parquet(f"{root}/table"), rows="events")
+
+
+# --- whole jobs through files -------------------------------------------------
+
+for _job in (jobs.trip_ingestion, jobs.json_rescue_replay, jobs.delivery_stream_recovery, jobs.export_suffix_range,
+             jobs.station_history_job, jobs.weather_csv_job, jobs.zone_csv_job, jobs.trip_folders_job,
+             jobs.commerce_append_job, jobs.trip_lakehouse_job):
+    query(_job.__name__)(_job)

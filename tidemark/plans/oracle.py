@@ -919,3 +919,95 @@ FROM shop WHERE event_type = 'purchase' AND n % 97 <> 0 AND ((k % 20 = 2 AND sub
 define("bronze_stream_counts", """
 SELECT CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month, count(*) AS events FROM events GROUP BY 1, 2
 """)
+
+# --- whole jobs through files ------------------------------------------------------
+
+
+def _by(layer: str, key: str, source: str) -> str:
+    return f"SELECT '{layer}' AS layer, {key} AS key, count(*) AS \"rows\" FROM {source} GROUP BY 2"
+
+
+# Trips of a flat folder: the month is the pickup's, and the third drop has distances that are no number.
+cte("landed", """
+SELECT *, date_diff('second', pickup_ts, dropoff_ts) / 60.0::DOUBLE AS trip_minutes,
+       CAST(year(pickup_ts) AS VARCHAR) || '-' || CAST(month(pickup_ts) AS VARCHAR) AS part
+FROM (
+  SELECT ts AS pickup_ts,
+         CASE WHEN k <> 60 THEN ts + CASE WHEN k = 7 THEN INTERVAL 30 SECONDS ELSE to_minutes(3 * (k - 5)) END END AS dropoff_ts,
+         CASE WHEN n % 3 = 2 AND k % 4 = 3 THEN NULL WHEN k % 2 = 0 THEN value - 20 ELSE value END AS trip_distance,
+         value - 30 AS total_amount, n % 3 = 2 AND k % 4 = 3 AS misfit,
+         CASE WHEN n % 3 = 1 THEN '1.75' END AS airport_fee
+  FROM src)
+""", "src")
+
+define("trip_ingestion", " UNION ALL ".join([
+    _by("bronze", "part", "landed"),
+    _by("traced", "'all'", "landed"),
+    _by("airport_fee", "airport_fee", "landed"),
+    _by("silver", "part", "(SELECT * FROM landed WHERE trip_minutes BETWEEN 1 AND 240 AND trip_distance > 0 AND total_amount > 0)"),
+    _by("quarantine", "dq_reason", """(SELECT CASE WHEN dropoff_ts IS NULL THEN 'NULL_TIMESTAMP'
+      WHEN trip_minutes <= 0 THEN 'NEGATIVE_OR_ZERO_DURATION' WHEN trip_minutes > 240 THEN 'DURATION_TOO_LONG'
+      WHEN trip_distance <= 0 THEN 'NONPOSITIVE_DISTANCE' WHEN total_amount <= 0 THEN 'NONPOSITIVE_TOTAL_AMOUNT' END AS dq_reason
+      FROM landed) WHERE dq_reason IS NOT NULL"""),
+    _by("rescued", "'trip_distance'", "landed WHERE misfit"),
+]), "landed")
+
+# What of a line the first schema does not hold; the grown one holds all but customer ids and broken lines.
+cte("json_lines", """
+SELECT n % 3 AS drop_no, k,
+       CASE WHEN k = 13 THEN 'no object' WHEN k % 10 = 3 THEN 'customer.customer_id' WHEN k % 10 = 1 THEN 'customer.loyalty'
+            WHEN k % 10 = 2 THEN 'items[1].gift' WHEN k % 10 = 4 THEN 'customer.loyalty,items[1].gift' END AS misfit,
+       k = 13 OR k % 10 = 3 AS never,
+       CASE WHEN k % 10 IN (1, 4) THEN CAST(k % 4 AS VARCHAR) END AS tier,
+       CASE WHEN k % 10 IN (2, 4) THEN CASE WHEN k % 20 = 2 THEN 'true' ELSE 'false' END END AS gift
+FROM src
+""", "src")
+
+
+def _grown(state: str, source: str) -> list[str]:
+    return [
+        _by(f"{state}: typed", "CASE WHEN misfit IS NULL OR drop_no = 2 THEN 'streamed' ELSE 'replayed' END", f"{source} AND NOT never"),
+        _by(f"{state}: rescued", "misfit", f"{source} AND never"),
+        _by(f"{state}: tier", "tier", f"{source} AND NOT never"),
+        _by(f"{state}: gift", "gift", f"{source} AND NOT never"),
+    ]
+
+
+define("json_rescue_replay", " UNION ALL ".join([
+    _by("1 first: typed", "'streamed'", "json_lines WHERE drop_no < 2 AND misfit IS NULL"),
+    _by("1 first: rescued", "misfit", "json_lines WHERE drop_no < 2 AND misfit IS NOT NULL"),
+    *_grown("2 grown", "json_lines WHERE drop_no < 2"),
+    *_grown("3 more", "json_lines WHERE drop_no < 3"),
+]), "json_lines")
+
+define("delivery_stream_recovery", """
+SELECT state, event_type, count(*) AS "rows", count(DISTINCT event_id) AS events, max(ts) AS newest, CAST(6 AS BIGINT) AS batches
+FROM events, (VALUES ('2 whole'), ('3 nothing new')) s(state) GROUP BY 1, 2
+""")
+
+define("export_suffix_range", """
+SELECT day_text AS event_suffix, event_name, count(*) AS events, count(DISTINCT user_pseudo_id) AS users
+FROM raw WHERE day_text BETWEEN '20240105' AND '20240120' GROUP BY 1, 2
+""", "raw")
+
+ORACLE["station_history_job"] = ORACLE["station_curated"]
+ORACLE["weather_csv_job"] = ORACLE["weather_daily"]
+ORACLE["zone_csv_job"] = ORACLE["dim_zone"]
+
+define("trip_folders_job", """
+SELECT year, month, count(*) AS trips, count(*) AS traced FROM bronze GROUP BY 1, 2
+""", "bronze")
+
+define("commerce_append_job", f"""
+SELECT 'run ' || CAST(CASE WHEN n % 97 = 0 THEN 0 ELSE n % 3 END AS VARCHAR) AS layer, 'bronze' AS key, count(*) AS "rows" FROM src GROUP BY 1
+UNION ALL
+SELECT 'run ' || CAST(coalesce(CAST(substr(event_id, 2) AS BIGINT) % 3, 0) AS VARCHAR), 'silver', count(*) FROM silver GROUP BY 1
+UNION ALL {_by("silver", "event_type", "silver")}
+UNION ALL {_by("processed", "'true'", "silver")}
+""", "src", "silver")
+
+ORACLE["trip_lakehouse_job"] = " UNION ALL ".join(_by(layer, "'all'", f"({ORACLE[name]})") for layer, name in {
+    "weather_daily": "weather_daily", "dim_zone": "dim_zone", "trips": "trips_silver", "trips_quarantine": "trips_quarantine",
+    "city_daily_kpis": "city_daily_kpis", "zone_daily_kpis": "zone_daily_kpis", "kpi_city_daily": "city_daily_simple",
+    "kpi_zone_daily": "zone_daily_simple"}.items()) + " UNION ALL " + _by(
+        "weather_raw", "'all'", "(SELECT DISTINCT CAST(ts AS DATE) AS d FROM events WHERE day(ts) < 29)")

@@ -6,7 +6,8 @@ taken by ``Observation`` while the output is written, not by extra jobs.
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta, timezone
+from collections.abc import Callable
+from datetime import datetime
 from functools import reduce
 from operator import and_, or_
 
@@ -21,11 +22,10 @@ from tidemark.operators import web_sessions as sessions
 from tidemark.operators import web_staging as staging
 from tidemark.session import use_utc
 from tidemark.sources import readers, schemas, sinks, snapshots
-from tidemark.streaming import ingest
+from tidemark.streaming import batches, ingest
 
-# Partition columns of bronze trips, and what its table notes about earlier runs.
+# Partition columns of bronze trips.
 PARTITIONS = ["year", "month"]
-DERIVED, LOOKED_UNTIL = "tidemark.derived_columns", "tidemark.looked_until"
 
 
 def counted(table: DataFrame, name: str) -> tuple[DataFrame, Observation]:
@@ -167,44 +167,21 @@ def _not_held(spark: SparkSession, curated: DataFrame, path: str) -> DataFrame:
 
 
 def ingest_trips(spark: SparkSession, source: str, table: str, checkpoint: str,
-                 mode: str = ingest.ADD_NEW_COLUMNS) -> None:
-    """Take new trip files into the bronze table and stop.
+                 mode: str = ingest.ADD_NEW_COLUMNS, max_files: int = batches.FILES_PER_BATCH,
+                 after_write: Callable[[int], None] | None = None) -> None:
+    """Take new trip files, old or new by their time, into the bronze table and stop.
 
-    The table remembers which columns the folder does not give (they are derived
-    from the pickup time) and until when files were looked at, so a run opens the
-    footers of newer files only. New columns are added to the table before its
-    files hold them; in ``rescue`` mode they are kept as JSON in ``_rescued_data``.
+    Every batch opens the footers of its own files. New columns are added to the table, kept as JSON in
+    ``_rescued_data`` or refused, as ``mode`` says; a value that does not fit its column's type is kept there in any
+    mode. Year and month come from the folders or, where those do not give them, from the pickup time.
     """
     use_utc(spark)
     if "." in table:
         sinks.create_schema(spark, table.rpartition(".")[0])
-    began = datetime.now(timezone.utc)
-    noted = sinks.table_notes(spark, table)
-    known = ingest.without(spark.table(table).schema, ingest.LINEAGE) if noted is not None else None
-    notes = noted or {}
-    observed = ingest.observed_schema(spark, source, modified_after=notes.get(LOOKED_UNTIL))
-    if observed is None and known is None:
-        raise quality.EmptySourceError(f"no trip files under {source}")
-    if known is not None and DERIVED in notes:
-        known = ingest.without(known, notes[DERIVED].split(","))
-    observed = known if observed is None else observed
-    known = observed if known is None else known
-    derived = [c for c in PARTITIONS if c not in {f.name.lower() for f in observed.fields + known.fields}]
-    kept = ingest.evolve(known, observed, mode)
-    names, present = {f.name.lower() for f in kept.fields}, {f.name.lower(): f for f in observed.fields}
-    extra = [f for f in observed.fields if f.name.lower() not in names]
-    # Read with the file's own types; the bronze table's types apply on write.
-    schema = type(kept)([present.get(f.name.lower(), f) for f in kept.fields] + extra)
-    bronze = ingest.trip_bronze(ingest.file_stream(spark, source, schema))
-    if mode == ingest.RESCUE:
-        bronze = ingest.rescue_columns(bronze, ingest.without(bronze.schema, [f.name for f in extra]))
-    if noted is not None:
-        sinks.add_columns(spark, table, bronze.schema)
-    query = ingest.start_to_table(bronze, table, checkpoint, PARTITIONS, "trips_bronze", trigger={"availableNow": True})
-    ingest.run_once(query)
-    # A minute back: a file that landed while the listing ran is looked at again.
-    until = (began - timedelta(minutes=1)).strftime("%Y-%m-%dT%H:%M:%S")
-    sinks.note_on_table(spark, table, {LOOKED_UNTIL: until, **({DERIVED: ",".join(derived)} if derived else {})})
+    if not spark.catalog.tableExists(table):
+        quality.require_rows(snapshots.list_files(spark, source, "*"), source)
+    batches.ingest_files(spark, source, table, checkpoint, PARTITIONS, ingest.trip_bronze, tuple(PARTITIONS), mode,
+                         "trips_bronze", max_files, after_write)
 
 
 def build_trips(spark: SparkSession, bronze: DataFrame, weather_root: str, zone_path: str,

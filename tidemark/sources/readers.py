@@ -33,29 +33,31 @@ def commerce_events(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return spark.read.schema(schemas.parse(schemas.COMMERCE_EVENT_DDL)).json(path)
 
 
-def station_status(spark: SparkSession, root: str | list[str], ddl: str = schemas.STATION_STATUS_DDL) -> DataFrame:
+def station_status(spark: SparkSession, root: str | list[str], ddl: str = schemas.STATION_STATUS_DDL,
+                   pattern: str = "*.json") -> DataFrame:
     """Every status snapshot below ``root``, one row per document, with its file."""
-    return _documents(spark, root, ddl)
+    return _documents(spark, root, ddl, pattern)
 
 
-def station_info(spark: SparkSession, root: str | list[str], ddl: str = schemas.STATION_INFO_DDL) -> DataFrame:
+def station_info(spark: SparkSession, root: str | list[str], ddl: str = schemas.STATION_INFO_DDL,
+                 pattern: str = "*.json") -> DataFrame:
     """Every metadata snapshot below ``root``, one row per document, with its file; ``ddl`` names the fields to keep."""
-    return _documents(spark, root, ddl)
+    return _documents(spark, root, ddl, pattern)
 
 
-def document_ddl(spark: SparkSession, root: str | list[str]) -> str:
+def document_ddl(spark: SparkSession, root: str | list[str], pattern: str = "*.json") -> str:
     """The fields that the documents below ``root`` hold, to be kept and passed to later reads."""
-    found = spark.read.option("multiLine", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").json(root)
+    found = spark.read.option("multiLine", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).json(root)
     return found.select("data").schema.toDDL()
 
 
-def _documents(spark: SparkSession, root: str | list[str], ddl: str) -> DataFrame:
+def _documents(spark: SparkSession, root: str | list[str], ddl: str, pattern: str) -> DataFrame:
     # One read for all files under one schema: no per-file inference, no chain of unions.
     return (
         spark.read.schema(schemas.parse(ddl))
         .option("multiLine", "true")
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", pattern)
         .json(root)
         .withColumn("source_file", F.col("_metadata.file_path"))
     )

@@ -36,6 +36,11 @@ def overwrite_partitioned(table: DataFrame, path: str, by: list[str], max_record
     writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static").parquet(path)
 
 
+def replace_path_partitions(table: DataFrame, path: str, by: list[str]) -> None:
+    """Write into a folder; partitions that ``table`` has rows for are replaced, the others stay."""
+    table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+
+
 def write_csv(table: DataFrame, path: str, mode: str = "overwrite") -> None:
     table.write.mode(mode).option("header", "true").csv(path)
 
@@ -58,17 +63,6 @@ def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def table_notes(spark: SparkSession, name: str) -> dict[str, str] | None:
-    """The properties of a table; None if there is no such table."""
-    if not spark.catalog.tableExists(name):
-        return None
-    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
-
-
-def note_on_table(spark: SparkSession, name: str, notes: dict[str, str]) -> None:
-    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({', '.join(f'{k!r} = {v!r}' for k, v in notes.items())})")
-
-
 def add_columns(spark: SparkSession, name: str, schema: StructType) -> None:
     """Give a table the columns of ``schema`` that it lacks, so that readers see them."""
     held = {f.name.lower() for f in spark.table(name).schema.fields}
@@ -77,6 +71,25 @@ def add_columns(spark: SparkSession, name: str, schema: StructType) -> None:
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(new)})")
 
 
+def ensure_table(spark: SparkSession, name: str, schema: StructType, partition_by: list[str]) -> None:
+    """Create a Parquet table with these columns if there is none."""
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        by = ", ".join(f"`{c}`" for c in partition_by)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY ({by})")
+
+
+def replace_partitions(table: DataFrame, name: str, by: list[str]) -> None:
+    """Write into a catalog table; partitions that ``table`` has rows for are replaced, the others stay."""
+    spark = table.sparkSession
+    held = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        balanced(table, *by).select(*[f"`{c}`" for c in spark.table(name).columns]).write.insertInto(name, overwrite=True)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", held)
+
+
 def replace_table(table: DataFrame, name: str, partition_by: list[str] | None = None,
                   options: dict[str, str] | None = None) -> DataFrame:
     """Create or replace a managed Parquet table and return it as read back."""

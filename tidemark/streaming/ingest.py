@@ -28,15 +28,9 @@ class NewColumnsError(ValueError):
     """The source grew columns and the caller asked to be told."""
 
 
-def observed_schema(spark: SparkSession, path: str, fmt: str = "parquet", modified_after: str | None = None,
-                    **options: str) -> StructType | None:
-    """Schema of the files present now, or changed since a time (UTC), with the columns of all of them.
-
-    None if there is no such file.
-    """
+def observed_schema(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> StructType | None:
+    """Schema of the files present now, with the columns of all of them; None if there is no file."""
     reader = spark.read.format(fmt).options(**options)
-    if modified_after:
-        reader = reader.option("modifiedAfter", modified_after)
     if fmt in ("parquet", "orc"):
         reader = reader.option("mergeSchema", "true")
     elif fmt == "csv":
@@ -88,19 +82,19 @@ def rescuing_json_stream(spark: SparkSession, path: str, schema: StructType, **o
     return rescue_json(lines, schema)
 
 
-def rescue_json(lines: DataFrame, schema: StructType, text: str = "value") -> DataFrame:
+def rescue_json(lines: DataFrame, schema: StructType, text: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Parse JSON text; what the schema does not hold is kept as a JSON object of path and raw value.
 
     A path names a field unknown to the schema or of another type, at any depth:
     ``order.coupon``, ``order.items[2].gift``. A line that is no JSON object at
-    all is kept whole.
+    all is kept whole. ``keep`` names columns of ``lines`` to pass along.
     """
     raw = F.from_json(F.col(text), "map<string,string>")
     typed = F.from_json(F.col(text), schema)
     parsed = lines.withColumns({"_raw": raw, "_typed": typed})
     left = _misfits(F.col("_raw"), F.col("_typed"), schema, F.lit(""))
     rescued = F.when(F.col("_raw").isNull(), F.col(text)).when(F.size("_left") > 0, F.to_json("_left"))
-    return parsed.withColumn("_left", left).select("_typed.*", rescued.alias(RESCUED))
+    return parsed.withColumn("_left", left).select("_typed.*", *keep, rescued.alias(RESCUED))
 
 
 def _misfits(raw: Column, typed: Column, schema: StructType, prefix: Column) -> Column:
