@@ -8,7 +8,9 @@ touch both pivots: what lies up to the end of the left one is unchanged, or what
 * it stands there at the same place, counted from the left for the left pivot, from the right for the right one.
 
 The index has each word's prefix bigrams under both places, with the text on the unchanged side; pivots are looked up
-in it by an equi-join, and every pair that meets is verified by its edit distance.
+in it by an equi-join. Where the edit lies also says which longer piece of the word is whole: all in front of the right
+pivot if it is at that pivot or behind, all behind the left pivot if it is there or in front, and for one in between
+both pivots with what is outside of them. A pair that meets is tested for that piece first and then by its edit distance.
 """
 
 from __future__ import annotations
@@ -126,25 +128,26 @@ def pivots(grams: list[tuple[int, int]], count: int = 2) -> list[int]:
 
 
 def _keys(words_: DataFrame, ranks: dict[str, int]) -> DataFrame:
-    """(word, n, pivot, last, key): index and look-up entries of every word.
+    """(word, n, pivot, last, key, head, tail): index and look-up entries of every word.
 
     ``last`` orders prefixes by their last bigram. A key stands for the text up to a bigram's end, or from it on.
+    A near word that a look-up meets starts with its ``head`` or ends with its ``tail``.
     """
 
-    def entries(word: str) -> Iterator[tuple[bool, int, int]]:
+    def entries(word: str) -> Iterator[tuple[bool, int, int, str | None, str | None]]:
         grams = prefix(word, ranks)
         rank, place = grams[-1]
         last = (rank << 40) | place
         left, right = pivots(grams)
-        yield True, last, xxhash.xxh64_intdigest(word[:left + 2], 1)
-        yield True, last, xxhash.xxh64_intdigest(word[right:], 2)
+        yield True, last, xxhash.xxh64_intdigest(word[:left + 2], 1), word[:right], None
+        yield True, last, xxhash.xxh64_intdigest(word[right:], 2), word[:left + 2], word[left + 2:]
         places = [p for _, p in grams]
         # The same bigram one place on: an edit in front of it may have moved it there.
         if word[place + 1:place + 3] == word[place:place + 2]:
             places.append(place + 1)
         for p in places:
-            yield False, last, xxhash.xxh64_intdigest(word[:p + 2], 1)
-            yield False, last, xxhash.xxh64_intdigest(word[p:], 2)
+            yield False, last, xxhash.xxh64_intdigest(word[:p + 2], 1), None, None
+            yield False, last, xxhash.xxh64_intdigest(word[p:], 2), None, None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -154,9 +157,11 @@ def _keys(words_: DataFrame, ranks: dict[str, int]) -> DataFrame:
                 picked = batch.take(pa.array([r[0] for r in rows], pa.int64()))
                 yield pa.RecordBatch.from_arrays([
                     *picked.columns, pa.array([r[1] for r in rows], pa.bool_()), pa.array([r[2] for r in rows], pa.int64()),
-                    pa.array([r[3] - (1 << 63) for r in rows], pa.int64())], names=["word", "n", "pivot", "last", "key"])
+                    pa.array([r[3] - (1 << 63) for r in rows], pa.int64()), pa.array([r[4] for r in rows], pa.string()),
+                    pa.array([r[5] for r in rows], pa.string())], names=["word", "n", "pivot", "last", "key", "head", "tail"])
 
-    return words_.select("word", "n").mapInArrow(run, "word string, n bigint, pivot boolean, last bigint, key bigint")
+    return words_.select("word", "n").mapInArrow(
+        run, "word string, n bigint, pivot boolean, last bigint, key bigint, head string, tail string")
 
 
 def near_words(words_: DataFrame) -> DataFrame:
@@ -165,9 +170,10 @@ def near_words(words_: DataFrame) -> DataFrame:
     Every word comes once; words are ``SHORTEST`` letters or longer.
     """
     entries = store(_keys(words_, gram_ranks(words_)), "spelling-keys")
-    probe = entries.filter("pivot").select("key", F.col("last").alias("last_a"), F.col("word").alias("a"), F.col("n").alias("n_a"))
+    probe = entries.filter("pivot").select("key", F.col("last").alias("last_a"), F.col("word").alias("a"), F.col("n").alias("n_a"), "head", "tail")
     index = entries.filter("not pivot").select("key", F.col("last").alias("last_b"), F.col("word").alias("b"), F.col("n").alias("n_b"))
-    possible = ((F.col("last_a") <= F.col("last_b")) & (F.col("a") != F.col("b")) & (F.abs(F.length("a") - F.length("b")) <= 1))
+    possible = ((F.col("last_a") <= F.col("last_b")) & (F.startswith("b", "head") | F.endswith("b", "tail"))
+                & (F.col("a") != F.col("b")) & (F.abs(F.length("a") - F.length("b")) <= 1))
     met = probe.join(index, (probe["key"] == index["key"]) & possible & (F.levenshtein("a", "b", 1) == 1))
     there = met.select(F.col("a").alias("word"), F.col("b").alias("other"), F.col("n_a").alias("n"), F.col("n_b").alias("other_n"))
     back = met.select(F.col("b").alias("word"), F.col("a").alias("other"), F.col("n_b").alias("n"), F.col("n_a").alias("other_n"))
