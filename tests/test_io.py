@@ -31,7 +31,7 @@ def test_suffix_range_prunes_partitions(spark, exported):
 
 def test_scans_read_only_what_is_used(spark, exported):
     events = readers.web_events(spark, exported)
-    rows = web_sessions.int_sessions(events, touch=("platform",), transaction_ids=False)
+    rows = web_sessions.int_sessions(events, touch=("platform",), transaction_count=False)
     text = plan(rows.groupBy("platform").agg(F.sum("purchases")))
     assert "geo" not in text and "items:" not in text and "traffic_source" not in text
     lines = plan(web_purchases.purchase_lines(events).select("product_key", "copies"))
@@ -53,7 +53,9 @@ def test_no_python_and_no_nested_loops_in_plans(spark, sf_dir):
 
 def test_whole_web_build(spark, exported):
     built = pipelines.build_web(spark, exported, default_schema="default")
-    assert len(built) == 35
+    assert len(built) == 41
+    for name in ("int_purchase_items", "dim_items", "rpt_product_sales", "rpt_purchase_dq_analysis", "analysis_incomplete_purchases"):
+        assert built[name].count() == built[f"{name}_weighted"].agg(F.sum("copies")).first()[0]
     names = {t.name for t in spark.catalog.listTables("marts")}
     assert {"agg_daily_sessions", "rpt_sessions_wide", "dim_products"} <= names and "int_geo" not in {
         t.name for t in spark.catalog.listTables("marts") if not t.isTemporary}

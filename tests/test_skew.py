@@ -70,7 +70,7 @@ def test_hot_event_is_split_and_counted_whole(spark, flood, small_splits):
 
 
 def test_hot_session_id_is_split(spark, flood, small_splits):
-    sessions = web_sessions.int_sessions(flood, touch=(), transaction_ids=False)
+    sessions = web_sessions.int_sessions(flood, touch=(), transaction_count=False)
     facts = web_sessions.fct_sessions(sessions)
     wide = web_marts.rpt_sessions_wide(flood, facts, web_purchases.purchase_lines(flood))
     rows = wide.groupBy("session_id").agg(F.count("*").alias("n")).orderBy(F.col("n").desc()).collect()
@@ -79,6 +79,28 @@ def test_hot_session_id_is_split(spark, flood, small_splits):
     assert "Exchange RoundRobin" in plan
 
 
+def test_hot_session_holds_no_list(spark, small_splits):
+    """Half of all events and 3,000 transactions in one session: counted by id first, so no row or task holds them."""
+    def param(key, **value):
+        kinds = {"string_value": "STRING", "int_value": "BIGINT", "float_value": "DOUBLE", "double_value": "DOUBLE"}
+        slots = ", ".join(f"'{k}', CAST({value.get(k, 'NULL')} AS {t})" for k, t in kinds.items())
+        return f"named_struct('key', '{key}', 'value', named_struct({slots}))"
+
+    empty = {f.name: f.dataType.simpleString() for f in schemas.parse(schemas.WEB_EVENT_DDL).fields}
+    made = {
+        "event_date": "'20240101'", "event_timestamp": "1704067200000000 + id * 1000000", "event_name": "'purchase'",
+        "user_pseudo_id": "IF(id < 3000, 'hot', 'u' || id)",
+        "event_params": "array(" + ", ".join([param("ga_session_id", int_value="1"), param("ga_session_number", int_value="1"),
+                                               param("transaction_id", string_value="'T' || id")]) + ")"}
+    events = spark.range(0, 6000, numPartitions=6).selectExpr(*[f"{made.get(n, f'CAST(NULL AS {t})')} AS {n}" for n, t in empty.items()])
+    rows = web_sessions.int_sessions(events)
+    text = final_plan(rows.select("user_pseudo_id", "transaction_count"))
+    assert "collect_" not in text and "transaction_id" in text.split("Exchange hashpartitioning", 1)[1]
+    assert {(r.user_pseudo_id, r.transaction_count) for r in rows.filter("transaction_count > 1").collect()} == {("hot", 3000)}
+    bridge = web_sessions.session_transactions(events)
+    assert bridge.count() == 6000 and "collect_" not in final_plan(bridge)
+
+
 def test_loose_lookup_lets_the_join_split(spark, small_splits):
     left = spark.range(0, 60000, numPartitions=6).selectExpr("IF(id % 3 = 0, id, 1L) AS k", "sha2(CAST(id AS STRING), 256) AS v")
     lookup = spark.range(0, 60000).selectExpr("id AS k", "id AS w").repartition(6).groupBy("k").agg(F.max("w").alias("w"))

@@ -15,4 +15,4 @@ from tidemark.functions.expressions import (  # noqa: F401
     sunday_of,
     try_parse_day,
 )
-from tidemark.functions.rows import loose, repeat_rows, round_doubles  # noqa: F401
+from tidemark.functions.rows import loose, repeat_rows, round_doubles, unrolled  # noqa: F401

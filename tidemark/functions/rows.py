@@ -24,6 +24,22 @@ def repeat_rows(df: DataFrame, times: str) -> DataFrame:
     return unrolled.withColumn("_copy", F.explode(inside)).select(*keep)
 
 
+def unrolled(weighted: DataFrame, times: str = "copies") -> DataFrame:
+    """The rows that a weighted table stands for: every row ``times`` times, without the weight.
+
+    A table with weights is linear in the records it was made from; this is not, so it is for readers that need each
+    row. Rows of more than one block are dealt over tasks block by block before they are unrolled, so that neither
+    one event's lines nor one heavy line is unrolled in one place.
+    """
+    keep = [c for c in weighted.columns if c != times]
+    blocks = F.ceil(F.col(times) / F.lit(REPEAT_BLOCK)).cast("int")
+    dealt = weighted.filter(F.col(times) > 0).withColumn("_block", F.explode(F.sequence(F.lit(1), blocks)))
+    dealt = dealt.hint("rebalance")
+    left = F.col(times) - (F.col("_block") - 1) * REPEAT_BLOCK
+    inside = F.sequence(F.lit(1), F.least(left, F.lit(REPEAT_BLOCK)).cast("int"))
+    return dealt.withColumn("_copy", F.explode(inside)).select(*keep)
+
+
 def loose(lookup: DataFrame) -> DataFrame:
     """Hand a grouped table to a join without its layout.
 

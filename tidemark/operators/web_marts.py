@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import event_key, first_param, loose, repeat_rows, safe_divide, steady_avg, steady_sum
+from tidemark.functions import event_key, first_param, loose, safe_divide, steady_avg, steady_sum
 from tidemark.operators.web_purchases import session_commerce
 
 
@@ -194,8 +194,7 @@ def rpt_funnel_sessions(sessions: DataFrame) -> DataFrame:
         dropped("reached_product_view", "add_to_carts").alias("dropped_at_product_view"),
         dropped("reached_add_to_cart", "checkouts_started").alias("dropped_at_add_to_cart"),
         dropped("reached_checkout", "purchases").alias("dropped_at_checkout"),
-        "session_revenue", "currency", "transaction_ids",
-        F.array_size("transaction_ids").alias("transaction_count"),
+        "session_revenue", "currency", "transaction_count",
     )
 
 
@@ -240,7 +239,7 @@ def rpt_sessions_wide(events: DataFrame, session_facts: DataFrame, lines: DataFr
 
 
 def rpt_product_sales(lines: DataFrame, events: DataFrame, session_facts: DataFrame) -> DataFrame:
-    """Purchase lines with the place of their session.
+    """Purchase lines, weighted by ``copies``, with the place of their session.
 
     The place depends on the session id only, so it is looked up once per id:
     a line appears once however many session rows share its id. Ids without a
@@ -248,11 +247,9 @@ def rpt_product_sales(lines: DataFrame, events: DataFrame, session_facts: DataFr
     """
     published = session_facts.select("session_id").distinct()
     places = session_places(events).join(published, "session_id", "left_semi")
-    return repeat_rows(
-        lines.withColumnRenamed("ga_session_id", "session_id").join(loose(places), "session_id", "left"), "copies"
-    ).select(
+    return lines.withColumnRenamed("ga_session_id", "session_id").join(loose(places), "session_id", "left").select(
         "event_id", "user_pseudo_id", "event_date", "purchase_ts", "transaction_id", "session_id",
         "item_id", "item_name", "item_brand", "item_category",
         F.col("unit_price").alias("price"), "quantity", "item_revenue",
-        "country", "region", "city",
+        "country", "region", "city", "copies",
     )

@@ -2,9 +2,10 @@
 
 A purchase line is a purchase event beside one of its items. An event recorded
 ``n`` times matches the items of all its copies, so its lines come out ``n``
-times each. Lines are therefore kept once with a ``copies`` weight: aggregates
-multiply by the weight and stay linear in the input, and only the published
-line table unrolls it.
+times each. Lines are therefore a bag: kept once with a ``copies`` weight.
+Aggregates multiply by the weight, tables made from lines carry it on, and all
+stay linear in the input. ``functions.unrolled`` gives the rows of such a table
+to whoever asks for each of them.
 """
 
 from __future__ import annotations
@@ -134,18 +135,15 @@ def purchase_lines(events: DataFrame, unique_ids: bool = False) -> DataFrame:
 
 
 def int_purchase_items(lines: DataFrame) -> DataFrame:
-    """The published line table: every line as often as its event was recorded."""
-    return repeat_rows(lines.select(*LINE_COLUMNS, "copies"), "copies")
+    """The published line columns; ``copies`` says how often a line stands in the table."""
+    return lines.select(*LINE_COLUMNS, "copies")
 
 
 def dim_items(lines: DataFrame) -> DataFrame:
-    """Item attributes of every complete line."""
-    return repeat_rows(
-        lines.filter("is_valid_transaction AND has_items").select(
-            "transaction_id", "item_id", "item_name", "item_brand", "item_category",
-            F.col("unit_price").alias("price"), "copies",
-        ),
-        "copies",
+    """Item attributes of every complete line, weighted by ``copies``."""
+    return lines.filter("is_valid_transaction AND has_items").select(
+        "transaction_id", "item_id", "item_name", "item_brand", "item_category",
+        F.col("unit_price").alias("price"), "copies",
     )
 
 
@@ -202,7 +200,7 @@ def agg_daily_product_revenue(lines: DataFrame) -> DataFrame:
 
 
 def analysis_incomplete_purchases(lines: DataFrame) -> DataFrame:
-    """Incomplete lines beside the totals of their day.
+    """Incomplete lines, weighted by ``copies``, beside the totals of their day.
 
     The day totals are broadcast: they hold at most one row per calendar day.
     """
@@ -215,25 +213,22 @@ def analysis_incomplete_purchases(lines: DataFrame) -> DataFrame:
         F.sum("copies").alias("daily_incomplete_count"),
         steady_sum(F.coalesce("total_revenue", F.lit(0.0)) * F.col("copies")).alias("daily_potential_revenue"),
     )
-    return repeat_rows(incomplete.join(F.broadcast(per_day), "event_date", "left"), "copies").select(
-        *[c for c in incomplete.columns if c != "copies"], "daily_incomplete_count", "daily_potential_revenue"
+    return incomplete.join(F.broadcast(per_day), "event_date", "left").select(
+        *[c for c in incomplete.columns if c != "copies"], "daily_incomplete_count", "daily_potential_revenue", "copies"
     )
 
 
 def rpt_purchase_dq(lines: DataFrame) -> DataFrame:
-    """Lines that cannot be used for analytics, with the reason."""
+    """Lines that cannot be used for analytics, weighted by ``copies``, with the reason."""
     reason = (
         F.when(~F.col("is_valid_transaction") & ~F.col("has_items"), "MISSING_BOTH")
         .when(~F.col("is_valid_transaction"), "MISSING_TRANSACTION_ID")
         .otherwise("MISSING_ITEMS")
     )
-    return repeat_rows(
-        lines.filter("NOT is_complete").select(
-            "transaction_id", "user_pseudo_id", "event_date", "event_id",
-            reason.alias("invalid_reason"), "item_name",
-            F.col("item_revenue").alias("estimated_revenue"), "quantity", "copies",
-        ),
-        "copies",
+    return lines.filter("NOT is_complete").select(
+        "transaction_id", "user_pseudo_id", "event_date", "event_id",
+        reason.alias("invalid_reason"), "item_name",
+        F.col("item_revenue").alias("estimated_revenue"), "quantity", "copies",
     )
 
 

@@ -80,16 +80,39 @@ def distinct_events(events: DataFrame, touch: tuple[str, ...] = (), unique_ids:
     )
 
 
+def _in_sessions(events: DataFrame, touch: tuple[str, ...], unique_ids: bool) -> DataFrame:
+    return distinct_events(events, touch=touch, unique_ids=unique_ids).filter(F.col("ga_session_id").isNotNull())
+
+
+def _session_key() -> Column:
+    return F.concat("user_pseudo_id", F.lit("-"), F.col("ga_session_id").cast("string")).alias("session_key")
+
+
+def session_transactions(events: DataFrame, unique_ids: bool = False) -> DataFrame:
+    """The transactions of every session, one row each: a session row itself never holds a list of them."""
+    return (
+        _in_sessions(events, (), unique_ids).filter(F.col("transaction_id").isNotNull())
+        .select("user_pseudo_id", "ga_session_id", _session_key(), F.col("event_date").alias("session_date"), "transaction_id")
+        .distinct()
+    )
+
+
+def with_transaction_ids(sessions: DataFrame, transactions: DataFrame) -> DataFrame:
+    """Session rows with their ids as one sorted list, for exports that nest them; a session's ids meet in its row."""
+    key = ["user_pseudo_id", "ga_session_id", "session_date"]
+    lists = transactions.groupBy(*key).agg(F.sort_array(F.collect_list("transaction_id")).alias("transaction_ids"))
+    same = [sessions[k].eqNullSafe(lists[k]) for k in key]
+    return sessions.join(lists, same, "left").select(*[sessions[c] for c in sessions.columns], "transaction_ids")
+
+
 def int_sessions(events: DataFrame, touch: tuple[str, ...] = ALL_TOUCH,
-                 transaction_ids: bool = True, unique_ids: bool = False) -> DataFrame:
+                 transaction_count: bool = True, unique_ids: bool = False) -> DataFrame:
     """Session aggregates. Ties in time are settled by the event id.
 
-    ``touch`` and ``transaction_ids`` let a mart ask only for what it reads; the
-    id list is the one unbounded column, so marts that need no ids leave it out.
+    ``touch`` and ``transaction_count`` let a mart ask only for what it reads. The ids that are counted lie in
+    ``session_transactions``; counting spreads a session over tasks by id before it is put together.
     """
-    base = distinct_events(events, touch=touch, unique_ids=unique_ids).filter(
-        F.col("ga_session_id").isNotNull()
-    )
+    base = _in_sessions(events, touch, unique_ids)
     order = F.struct("event_ts", "event_id")
     first_fields = [name for name in FIRST_TOUCH if name in touch]
     first: list[Column] = [F.col(f"touch.{name}").alias(name) for name in first_fields]
@@ -116,8 +139,8 @@ def int_sessions(events: DataFrame, touch: tuple[str, ...] = ALL_TOUCH,
     if "exit_page" in touch:
         # Wrapped in a struct: the latest event decides even when it names no page.
         aggregates.append(F.max_by(F.struct("page_location"), order).alias("last"))
-    if transaction_ids:
-        aggregates.append(F.collect_set("transaction_id").alias("ids"))
+    if transaction_count:
+        aggregates.append(F.count_distinct("transaction_id").alias("ids"))
 
     grouped = base.groupBy("user_pseudo_id", "ga_session_id", "event_date").agg(*aggregates)
 
@@ -128,12 +151,12 @@ def int_sessions(events: DataFrame, touch: tuple[str, ...] = ALL_TOUCH,
         touched.append(F.col("last.page_location").alias("exit_page"))
     if "referrer" in touch:
         touched.append(F.col("first.referrer").alias("referrer"))
-    ids = [F.when(F.size("ids") > 0, F.sort_array("ids")).alias("transaction_ids")] if transaction_ids else []
+    counted = [F.when(F.col("ids") > 0, F.col("ids").cast("int")).alias("transaction_count")] if transaction_count else []
 
     return grouped.select(
         "user_pseudo_id",
         "ga_session_id",
-        F.concat("user_pseudo_id", F.lit("-"), F.col("ga_session_id").cast("string")).alias("session_key"),
+        _session_key(),
         F.col("event_date").alias("session_date"),
         "session_start_ts",
         "session_end_ts",
@@ -145,7 +168,7 @@ def int_sessions(events: DataFrame, touch: tuple[str, ...] = ALL_TOUCH,
         *COUNTERS,
         "session_revenue",
         "currency",
-        *ids,
+        *counted,
         (F.col("purchases") > 0).alias("is_converted"),
         (F.col("session_number") == 1).alias("is_first_session"),
         (F.col("page_views") == 1).alias("is_bounce"),

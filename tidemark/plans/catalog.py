@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import round_doubles
+from tidemark.functions import round_doubles, unrolled
 from tidemark.operators import commerce, quality, stations, trips
 from tidemark.operators import web_marts as marts
 from tidemark.operators import web_purchases as purchases
@@ -44,6 +44,21 @@ def query(name: str):
     return register
 
 
+def bag(name: str):
+    """Register a weighted table twice: its rows one by one, and each different row with how often it stands there."""
+    def register(build: Query) -> Query:
+        query(name)(lambda spark, sf: unrolled(build(spark, sf)))
+
+        @query(f"{name}_weighted")
+        def _(spark, sf):
+            rows = round_doubles(build(spark, sf))
+            return rows.groupBy(*[c for c in rows.columns if c != "copies"]).agg(F.sum("copies").alias("copies"))
+
+        return build
+
+    return register
+
+
 def _web(spark, sf, **parts):
     return inputs.web_events(spark, sf, **parts)
 
@@ -113,7 +128,7 @@ def _(spark, sf):
     return purchases.int_purchase(_web(spark, sf))
 
 
-@query("int_purchase_items")
+@bag("int_purchase_items")
 def _(spark, sf):
     return purchases.int_purchase_items(_lines(spark, sf))
 
@@ -122,16 +137,20 @@ def _(spark, sf):
 def _(spark, sf):
     rows = sessions.int_sessions(_web(spark, sf, geo=True))
     return rows.select(
-        *[c for c in rows.columns if c not in ("device", "geo", "traffic_source", "transaction_ids")],
+        *[c for c in rows.columns if c not in ("device", "geo", "traffic_source")],
         F.col("device.mobile_brand_name").alias("mobile_brand"),
         "geo.continent", "geo.country", "geo.region", "geo.city",
         F.col("traffic_source.source").alias("traffic_source"),
         F.col("traffic_source.medium").alias("traffic_medium"),
         F.col("traffic_source.name").alias("traffic_campaign"),
-        F.array_join("transaction_ids", ",").alias("transaction_ids"),
     )
 
 
+@query("int_session_transactions")
+def _(spark, sf):
+    return sessions.session_transactions(_web(spark, sf))
+
+
 @query("int_users")
 def _(spark, sf):
     return staging.int_users(_web(spark, sf))
@@ -145,12 +164,12 @@ def _lines(spark, sf):
 
 def _daily(spark, sf):
     return marts.agg_daily_sessions(
-        sessions.int_sessions(_web(spark, sf), touch=DAILY_TOUCH, transaction_ids=False)
+        sessions.int_sessions(_web(spark, sf), touch=DAILY_TOUCH, transaction_count=False)
     )
 
 
 def _session_facts(spark, sf):
-    return sessions.fct_sessions(sessions.int_sessions(_web(spark, sf), touch=(), transaction_ids=False))
+    return sessions.fct_sessions(sessions.int_sessions(_web(spark, sf), touch=(), transaction_count=False))
 
 
 @query("agg_daily_sessions")
@@ -171,7 +190,7 @@ def _(spark, sf):
 @query("agg_daily_geo")
 def _(spark, sf):
     return marts.agg_daily_geo(
-        sessions.int_sessions(_web(spark, sf, geo=True), touch=("geo",), transaction_ids=False)
+        sessions.int_sessions(_web(spark, sf, geo=True), touch=("geo",), transaction_count=False)
     )
 
 
@@ -180,7 +199,7 @@ def _(spark, sf):
     return purchases.agg_daily_product_revenue(_lines(spark, sf))
 
 
-@query("analysis_incomplete_purchases")
+@bag("analysis_incomplete_purchases")
 def _(spark, sf):
     return purchases.analysis_incomplete_purchases(_lines(spark, sf))
 
@@ -200,7 +219,7 @@ def _(spark, sf):
     return staging.int_users(_web(spark, sf))
 
 
-@query("dim_items")
+@bag("dim_items")
 def _(spark, sf):
     return purchases.dim_items(_lines(spark, sf))
 
@@ -250,7 +269,7 @@ def _(spark, sf):
 
 def _funnel(spark, sf, user_scoped):
     rows = sessions.int_sessions(
-        _web(spark, sf, geo=True), touch=("geo", "platform", "device_category"), transaction_ids=False
+        _web(spark, sf, geo=True), touch=("geo", "platform", "device_category"), transaction_count=False
     )
     return marts.dim_funnel_daily(rows, user_scoped)
 
@@ -273,9 +292,8 @@ def _(spark, sf):
 def funnel_sessions(spark: SparkSession, sf: str) -> DataFrame:
     report = marts.rpt_funnel_sessions(sessions.int_sessions(_web(spark, sf, geo=True)))
     return report.select(
-        *[c for c in report.columns if c not in ("device", "transaction_ids")],
+        *[c for c in report.columns if c != "device"],
         F.col("device.mobile_brand_name").alias("mobile_brand"),
-        F.array_join("transaction_ids", ",").alias("transaction_ids"),
     )
 
 
@@ -298,12 +316,12 @@ def _(spark, sf):
     return _wide(spark, sf, True)
 
 
-@query("rpt_product_sales")
+@bag("rpt_product_sales")
 def _(spark, sf):
     return marts.rpt_product_sales(_lines(spark, sf), _web(spark, sf, geo=True), _session_facts(spark, sf))
 
 
-@query("rpt_purchase_dq")
+@bag("rpt_purchase_dq")
 def _(spark, sf):
     return purchases.rpt_purchase_dq(_lines(spark, sf))
 
@@ -468,7 +486,7 @@ def _checked_tables(spark, sf):
         "stg_items": staging.stg_items(events),
         "stg_event_param_pivot": staging.stg_event_param_pivot(events),
         "int_purchase_items": lines,
-        "int_sessions": sessions.int_sessions(events, touch=(), transaction_ids=False),
+        "int_sessions": sessions.int_sessions(events, touch=(), transaction_count=False),
         "dim_views": marts.dim_views(staging.int_page_views(events)),
         "fct_purchases": purchases.fct_purchases(lines),
         "dim_products": purchases.dim_products(lines),

@@ -213,8 +213,7 @@ SELECT ev.user_pseudo_id, piv.ga_session_id,
        count(*) FILTER (WHERE ev.event_name = 'purchase') AS purchases,
        round(sum(CASE WHEN ev.event_name = 'purchase' THEN piv.value ELSE 0 END), 6) AS session_revenue,
        max(currency) AS currency,
-       string_agg(DISTINCT transaction_id, ',' ORDER BY transaction_id) AS transaction_ids,
-       count(DISTINCT transaction_id) AS transaction_count
+       CAST(nullif(count(DISTINCT transaction_id), 0) AS INTEGER) AS transaction_count
 FROM ev JOIN piv ON ev.event_id = piv.event_id
 WHERE piv.ga_session_id IS NOT NULL
 GROUP BY 1, 2, 3, 4
@@ -347,8 +346,14 @@ SELECT * EXCLUDE (event_id, ga_session_id)
 FROM lines
 """, "lines")
 
+define("int_session_transactions", """
+SELECT DISTINCT ev.user_pseudo_id, piv.ga_session_id, ev.user_pseudo_id || '-' || CAST(piv.ga_session_id AS VARCHAR) AS session_key,
+       ev.event_date AS session_date, piv.transaction_id
+FROM ev JOIN piv ON ev.event_id = piv.event_id WHERE piv.ga_session_id IS NOT NULL AND piv.transaction_id IS NOT NULL
+""", "ev", "piv")
+
 define("int_sessions", f"""
-SELECT * EXCLUDE (transaction_count) REPLACE ({rnd('session_revenue')} AS session_revenue) FROM flagged
+SELECT * REPLACE ({rnd('session_revenue')} AS session_revenue) FROM flagged
 """, "flagged")
 
 # --- web: marts -----------------------------------------------------------------
@@ -502,8 +507,7 @@ SELECT user_pseudo_id, ga_session_id AS session_id, session_key, session_date, s
        product_views > 0 AND add_to_carts = 0 AS dropped_at_product_view,
        add_to_carts > 0 AND checkouts_started = 0 AS dropped_at_add_to_cart,
        checkouts_started > 0 AND purchases = 0 AS dropped_at_checkout,
-       {rnd('session_revenue')} AS session_revenue, currency, transaction_ids,
-       CAST(nullif(transaction_count, 0) AS INTEGER) AS transaction_count
+       {rnd('session_revenue')} AS session_revenue, currency, transaction_count
 FROM (SELECT *, greatest(CASE WHEN purchases > 0 THEN 4 ELSE 0 END, CASE WHEN checkouts_started > 0 THEN 3 ELSE 0 END,
                          CASE WHEN add_to_carts > 0 THEN 2 ELSE 0 END, CASE WHEN product_views > 0 THEN 1 ELSE 0 END)
              AS level FROM flagged)
@@ -1011,3 +1015,8 @@ ORACLE["trip_lakehouse_job"] = " UNION ALL ".join(_by(layer, "'all'", f"({ORACLE
     "city_daily_kpis": "city_daily_kpis", "zone_daily_kpis": "zone_daily_kpis", "kpi_city_daily": "city_daily_simple",
     "kpi_zone_daily": "zone_daily_simple"}.items()) + " UNION ALL " + _by(
         "weather_raw", "'all'", "(SELECT DISTINCT CAST(ts AS DATE) AS d FROM events WHERE day(ts) < 29)")
+
+# --- weighted tables ------------------------------------------------------------------
+
+for _bag in ("int_purchase_items", "dim_items", "analysis_incomplete_purchases", "rpt_purchase_dq", "rpt_product_sales"):
+    ORACLE[f"{_bag}_weighted"] = f"SELECT *, count(*) AS copies FROM ({ORACLE[_bag]}) GROUP BY ALL"

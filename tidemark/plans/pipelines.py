@@ -15,6 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions import unrolled
 from tidemark.operators import commerce, quality, stations, trips
 from tidemark.operators import web_marts as marts
 from tidemark.operators import web_purchases as purchases
@@ -50,6 +51,11 @@ def build_web(spark: SparkSession, path: str, start: str | None = None, end: str
         built[name] = sinks.materialize(table, name, layer, kind, by, default_schema)
         return built[name]
 
+    def publish_bag(name: str, weighted: DataFrame, layer: str, by: list[str] | None = None):
+        """The weighted table is what is written; its rows one by one are a view of it."""
+        held = publish(f"{name}_weighted", weighted, layer, by=by)
+        return publish(name, unrolled(held), layer, "view")
+
     publish("stg_events", staging.stg_events(events), "staging")
     publish("stg_event_params", staging.stg_event_params(events), "staging")
     publish("stg_items", staging.stg_items(events), "staging")
@@ -62,19 +68,21 @@ def build_web(spark: SparkSession, path: str, start: str | None = None, end: str
     publish("int_users", staging.int_users(events), "intermediate")
     publish("int_purchase", purchases.int_purchase(events), "intermediate")
     lines = publish("purchase_lines", purchases.purchase_lines(events), "intermediate", "table", ["event_date"])
-    publish("int_purchase_items", purchases.int_purchase_items(lines), "intermediate")
+    publish_bag("int_purchase_items", purchases.int_purchase_items(lines), "intermediate")
     rows = publish("int_sessions", sessions.int_sessions(events), "intermediate", "table", ["session_date"])
 
+    publish("int_session_transactions", sessions.session_transactions(events), "intermediate", "table", ["session_date"])
+
     daily = publish("agg_daily_sessions", marts.agg_daily_sessions(rows), "marts")
     publish("agg_daily_funnel_long", marts.agg_daily_funnel_long(daily), "marts")
     publish("agg_weekly_dropoff_rates", marts.agg_weekly_dropoff_rates(daily), "marts")
     publish("agg_daily_geo", marts.agg_daily_geo(rows), "marts")
     publish("agg_daily_product_revenue", purchases.agg_daily_product_revenue(lines), "marts")
-    publish("analysis_incomplete_purchases", purchases.analysis_incomplete_purchases(lines), "marts")
+    publish_bag("analysis_incomplete_purchases", purchases.analysis_incomplete_purchases(lines), "marts")
     publish("dim_geo", built["int_geo"], "marts")
     publish("dim_platform", built["int_platform"], "marts")
     publish("dim_users", built["int_users"], "marts")
-    publish("dim_items", purchases.dim_items(lines), "marts")
+    publish_bag("dim_items", purchases.dim_items(lines), "marts")
     publish("dim_products", purchases.dim_products(lines), "marts")
     publish("dim_views", marts.dim_views(views), "marts")
     publish("fct_events", sessions.fct_events(events), "marts", by=["event_date"])
@@ -85,8 +93,8 @@ def build_web(spark: SparkSession, path: str, start: str | None = None, end: str
     publish("dim_product_daily", purchases.dim_product_daily(events), "marts")
     publish("rpt_funnel_sessions", marts.rpt_funnel_sessions(rows), "marts")
     publish("rpt_sessions_wide", marts.rpt_sessions_wide(events, facts, lines), "marts")
-    publish("rpt_product_sales", marts.rpt_product_sales(lines, events, facts), "marts")
-    publish("rpt_purchase_dq_analysis", purchases.rpt_purchase_dq(lines), "marts")
+    publish_bag("rpt_product_sales", marts.rpt_product_sales(lines, events, facts), "marts")
+    publish_bag("rpt_purchase_dq_analysis", purchases.rpt_purchase_dq(lines), "marts")
     return built
 
 
