@@ -1,6 +1,9 @@
 import json
+import os
 
 import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from tidemark.operators import quality, stations
 from tidemark.plans import pipelines
@@ -108,3 +111,49 @@ def test_all_fields_and_readings_without_a_time(spark, tmp_path):
         pipelines.run_stations_incremental(spark, str(info), str(tmp_path / "live"), out, "2025-12-04 12:00:00", idempotent=True, **ddl)
     rows = spark.read.parquet(out).collect()
     assert sorted((r.is_renting, r.capacity, r.timestamp is None) for r in rows) == [(1, 9, False), (1, 9, True)]
+
+
+def files_read(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().collectLeaves().head().metrics().apply("numFiles").value()
+
+
+def test_the_window_decides_which_files_are_opened(spark, feed):
+    every = readers.station_status(spark, feed[1])
+    assert files_read(every) == 4
+    assert files_read(every.filter(snapshots.in_window("2025-12-04 12:00:00", 4))) == 3
+    assert files_read(every.filter(snapshots.in_window("2026-01-01 00:00:00", 4))) == 1      # the one without a readable date
+
+
+def test_only_the_days_at_hand_are_compared(spark, feed, tmp_path):
+    info, live, out = feed
+    pipelines.run_stations_backfill(spark, info, live, out)
+    other = spark.read.parquet(out).withColumn("day", F.lit(9))
+    other.write.mode("append").partitionBy("year", "month", "day").parquet(out)
+    recent = stations.station_curated(readers.station_status(spark, live), readers.station_info(spark, info))
+    left = pipelines._not_held(spark, recent, out)
+    assert left.count() == 0
+    text = left._sc._jvm.PythonSQLUtils.explainString(left._jdf.queryExecution(), "formatted")
+    assert "dynamicpruning" in text.lower()
+
+
+def test_the_checkpoint_is_the_look_back(spark, feed, tmp_path):
+    info, live, out = feed
+    mark = str(tmp_path / "mark")
+
+    def lost(number):
+        raise RuntimeError("lost")
+    with pytest.raises(PySparkException):
+        pipelines.run_stations_stream(spark, info, live, out, mark, max_files=2, after_write=lost)
+    for _ in range(2):
+        pipelines.run_stations_stream(spark, info, live, out, mark, max_files=2)
+        assert spark.read.parquet(out).count() == 3
+    late = os.path.join(live, "2025", "11", "30")
+    os.makedirs(late)
+    path = os.path.join(late, "080000.json")
+    with open(path, "w") as f:
+        json.dump({"data": {"stations": [{"station_id": "a", "num_bikes_available_types": {"electric": 5}, "last_reported": None}]}}, f)
+    os.utime(path, (NOON - 90 * 86_400,) * 2)
+    pipelines.run_stations_stream(spark, info, live, out, mark)
+    rows = spark.read.parquet(out).collect()
+    assert len(rows) == 4 and sum(r.timestamp is None and r.electric == 5 for r in rows) == 1

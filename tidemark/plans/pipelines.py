@@ -8,8 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
-from functools import reduce
-from operator import and_, or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -117,16 +115,40 @@ def run_stations_incremental(spark: SparkSession, info_root: str, status_root: s
     finds all of them once.
 
     Overlapping look-backs append a reading again; ``idempotent=True`` drops the
-    readings the touched days already hold.
+    readings the touched days already hold. Without a snapshot in the window the
+    newest one is taken. ``run_stations_stream`` needs no window.
     """
     use_utc(spark)
-    recent = _paths(snapshots.recent_snapshots(_listing(spark, status_root), as_of, hours_back))
-    curated = stations.station_curated(readers.station_status(spark, recent, status_ddl), _latest_info(spark, info_root, info_ddl))
+    every = readers.station_status(spark, status_root, status_ddl)
+    recent = every.filter(snapshots.in_window(as_of, hours_back))
+    if recent.isEmpty():
+        recent = readers.station_status(spark, _newest(spark, status_root), status_ddl)
+    curated = stations.station_curated(recent, _latest_info(spark, info_root, info_ddl))
     if idempotent:
         curated = _not_held(spark, stations.once_per_reading(curated), output_path)
     sinks.append_partitioned(curated, output_path, ["year", "month", "day"])
 
 
+def run_stations_stream(spark: SparkSession, info_root: str, status_root: str, output_path: str, checkpoint: str,
+                        max_files: int = batches.FILES_PER_BATCH, status_ddl: str = schemas.STATION_STATUS_DDL,
+                        info_ddl: str = schemas.STATION_INFO_DDL, after_write: Callable[[int], None] | None = None) -> None:
+    """Take the status snapshots that no run has taken yet, whenever they are from, into dated partitions.
+
+    The checkpoint is the look-back: every snapshot is read once, and a batch that is run again replaces what it had
+    written (partition ``ingest_batch``).
+    """
+    use_utc(spark)
+    info = _newest(spark, info_root)
+
+    def take(session: SparkSession, paths: list[str], mark: str) -> None:
+        status = readers.station_status(session, [batches.literal_path(p) for p in paths], status_ddl)
+        curated = stations.station_curated(status, readers.station_info(session, info, info_ddl))
+        by = ["year", "month", "day", batches.BATCH]
+        sinks.replace_path_partitions(sinks.balanced(curated.withColumn(batches.BATCH, F.lit(mark)), *by), output_path, by)
+
+    batches.each_batch(spark, status_root, checkpoint, take, max_files, "stations", after_write, "*.json")
+
+
 def run_stations_backfill(spark: SparkSession, info_root: str, status_root: str, output_path: str,
                           max_records_per_file: int = 100_000, status_ddl: str = schemas.STATION_STATUS_DDL,
                           info_ddl: str = schemas.STATION_INFO_DDL) -> None:
@@ -142,36 +164,35 @@ def _listing(spark: SparkSession, root: str) -> DataFrame:
     return snapshots.list_files(spark, root)
 
 
-def _paths(files: DataFrame) -> list[str]:
-    """Input paths of the next read: the look-back window's files, names only."""
-    paths = [row[0] for row in files.select(snapshots.PATH).collect()]
-    if not paths:
+def _newest(spark: SparkSession, root: str) -> str:
+    """The newest snapshot below ``root``, as a path that means just this file."""
+    newest = snapshots.latest_snapshot(_listing(spark, root)).select(snapshots.PATH).first()
+    if newest is None:
         raise quality.EmptySourceError("no snapshot files found")
-    return paths
+    return batches.literal_path(newest[0])
 
 
 def _latest_info(spark: SparkSession, root: str, ddl: str) -> DataFrame:
-    newest = _paths(snapshots.latest_snapshot(_listing(spark, root)))
-    return readers.station_info(spark, newest, ddl)
+    return readers.station_info(spark, _newest(spark, root), ddl)
 
 
 def _not_held(spark: SparkSession, curated: DataFrame, path: str) -> DataFrame:
-    """Readings the target does not hold yet; only the days at hand are looked at."""
+    """Readings the target does not hold yet; only partitions of the days at hand are read."""
+    by = ["year", "month", "day"]
     try:
         held = spark.read.parquet(path)
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
         return curated
-    by = ["year", "month", "day"]
-    # At most one row per calendar day; as literals they prune the target's partitions.
-    days = curated.select(*by).distinct().collect()
-    same_day = [reduce(and_, [F.col(c).eqNullSafe(day[c]) for c in by]) for day in days]
-    held = held.filter(reduce(or_, same_day, F.lit(False))).select(
+    # At most one row per calendar day; joined on the partition columns it prunes the target when it runs.
+    # Spark prunes only by a side that is filtered by more than a test for NULL.
+    days = F.broadcast(curated.select(*by).filter("year > 0").distinct())
+    touched = held.join(days, by, "left_semi").unionByName(held.filter("year IS NULL OR year <= 0")).select(
         F.col("station_id").alias("held_id"), F.col("timestamp").alias("held_at"))
     # A reading without a time is the same reading when it comes again.
     same = F.col("station_id").eqNullSafe(F.col("held_id")) & F.col("timestamp").eqNullSafe(F.col("held_at"))
-    return curated.join(held, same, "left_anti")
+    return curated.join(touched, same, "left_anti")
 
 
 def ingest_trips(spark: SparkSession, source: str, table: str, checkpoint: str,

@@ -48,6 +48,16 @@ def latest_snapshot(files: DataFrame, path: str = PATH) -> DataFrame:
     return files.filter(F.col(path) == newest)
 
 
+def in_window(as_of: datetime | str, hours_back: int = 4, path: Column | str = PATH) -> Column:
+    """Whether a file is at most ``hours_back`` old at ``as_of``, to the minute, or dated without a readable time.
+
+    It depends on the path alone: as a filter on a read it decides which files are opened.
+    """
+    path = F.col(path) if isinstance(path, str) else path
+    cutoff = F.lit(str(as_of)).cast("timestamp") - F.expr(f"INTERVAL {int(hours_back)} HOURS")
+    return F.coalesce(path_time(path, seconds=False) >= cutoff, path.rlike(_DATED_FOLDERS))
+
+
 def recent_snapshots(files: DataFrame, as_of: datetime | str, hours_back: int = 4, path: str = PATH) -> DataFrame:
     """Rows of files at most ``hours_back`` old at ``as_of``, to the minute.
 
@@ -55,9 +65,7 @@ def recent_snapshots(files: DataFrame, as_of: datetime | str, hours_back: int =
     nothing, only the newest file is taken. Both facts are scalar subqueries over
     the paths.
     """
-    at = path_time(path, seconds=False)
-    cutoff = F.lit(str(as_of)).cast("timestamp") - F.expr(f"INTERVAL {int(hours_back)} HOURS")
-    wanted = F.coalesce(at >= cutoff, F.col(path).rlike(_DATED_FOLDERS))
+    wanted = in_window(as_of, hours_back, path)
     anything = files.agg(F.bool_or(wanted)).scalar()
     newest = files.agg(_newest(path).alias("n")).select("n.path").scalar()
     return files.filter(wanted | (~anything & (F.col(path) == newest)))

@@ -30,15 +30,16 @@ FILES_PER_BATCH = 1000
 LATE = "36500d"
 
 
-def file_names(spark: SparkSession, path: str, max_files: int = FILES_PER_BATCH, late: str = LATE) -> DataFrame:
-    """Stream of the files below ``path``: names, lengths and times, not their contents.
+def file_names(spark: SparkSession, path: str, max_files: int = FILES_PER_BATCH, pattern: str = "*",
+               late: str = LATE) -> DataFrame:
+    """Stream of the files below ``path`` whose names match: names, lengths and times, not their contents.
 
     ``max_files`` bounds a batch; a file older than the newest one seen by more than ``late`` is never taken.
     """
     return (
         spark.readStream.format("binaryFile").schema("path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY")
         .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files).option("maxFileAge", late)
-        .load(path).select("path", "length", "modificationTime")
+        .option("pathGlobFilter", pattern).load(path).select("path", "length", "modificationTime")
     )
 
 
@@ -48,6 +49,24 @@ def batch_mark(spark: SparkSession, checkpoint: str, batch: int) -> str:
     return f"{found[0]}-{batch:09d}"
 
 
+def each_batch(spark: SparkSession, source: str, checkpoint: str, take: Callable[[SparkSession, list[str], str], None],
+               max_files: int = FILES_PER_BATCH, name: str | None = None, after_write: Callable[[int], None] | None = None,
+               pattern: str = "*") -> None:
+    """Give the new files below ``source`` to ``take(session, paths, mark)``, ``max_files`` at a time, and stop.
+
+    A batch counts once ``take`` and ``after_write`` (told its number) are through; else it comes again, as it was.
+    """
+    def run(batch: DataFrame, number: int) -> None:
+        paths = sorted(r["path"] for r in batch.select("path").collect())       # at most max_files names
+        if paths:
+            take(batch.sparkSession, paths, batch_mark(batch.sparkSession, checkpoint, number))
+            if after_write:
+                after_write(number)
+
+    writer = file_names(spark, source, max_files, pattern).writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    ingest.run_once((writer.queryName(name) if name else writer).trigger(availableNow=True).start())
+
+
 def literal_path(path: str) -> str:
     """A file's name as a path that means just this file."""
     return re.sub(r"([\\{}\[\]*?,])", r"\\\1", path)
@@ -135,11 +154,7 @@ def ingest_files(spark: SparkSession, source: str, table: str, checkpoint: str,
     """
     refused: list[ingest.NewColumnsError] = []
 
-    def take(batch: DataFrame, number: int) -> None:
-        session = batch.sparkSession
-        paths = sorted(r["path"] for r in batch.select("path").collect())       # at most max_files names
-        if not paths:
-            return
+    def take(session: SparkSession, paths: list[str], mark: str) -> None:
         groups = [readers.with_lineage(g) for g in same_schema_groups(session, paths, source)]
         exists = session.catalog.tableExists(table)
         known = ingest.without(session.table(table).schema if exists else prepare(groups[0]).schema, OWN)
@@ -150,17 +165,13 @@ def ingest_files(spark: SparkSession, source: str, table: str, checkpoint: str,
             raise
         rows = [_prepared(g, known, prepare, derived) for g in groups]
         out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
-        out = out.withColumn(BATCH, F.lit(batch_mark(session, checkpoint, number)))
+        out = out.withColumn(BATCH, F.lit(mark))
         sinks.ensure_table(session, table, out.schema, [*partition_by, BATCH])
         sinks.add_columns(session, table, out.schema)
         sinks.replace_partitions(out, table, [*partition_by, BATCH])
-        if after_write:
-            after_write(number)
 
-    writer = file_names(spark, source, max_files).writeStream.foreachBatch(take).option("checkpointLocation", checkpoint)
-    query = (writer.queryName(name) if name else writer).trigger(availableNow=True).start()
     try:
-        ingest.run_once(query)
+        each_batch(spark, source, checkpoint, take, max_files, name, after_write)
     except PySparkException as failure:
         if refused:
             raise refused[0] from failure
