@@ -1,4 +1,5 @@
 import gzip
+import random
 import hashlib
 
 import pytest
@@ -72,6 +73,39 @@ def test_foreign_archives(spark, tmp_path):
     assert [r.headers["X-Own"] for r in found.filter("record_type = 'resource'").collect() if r.headers] == ["1"]
 
 
+@pytest.mark.parametrize("size", [0, 3, 70_000, 3_000_000])
+@pytest.mark.parametrize("payloads", ["all", "none", "metadata"])
+def test_a_file_compressed_as_a_whole(tmp_path, size, payloads):
+    def rec(kind, body, extra=""):
+        return f"WARC/1.0\r\nWARC-Type: {kind}\r\n{extra}Content-Length: {len(body)}\r\n\r\n".encode() + body + b"\r\n\r\n"
+    bodies = [bytes([97 + k]) * (size + k) for k in range(4)]
+    twice = "WARC-Concurrent-To: <urn:a>\r\nWARC-Concurrent-To: <urn:b>\r\n"
+    plain = b"".join(rec(kind, b, twice) for kind, b in zip(("resource", "metadata", "resource", "metadata"), bodies))
+    found = {}
+    for name, data in {"plain": plain, "whole": gzip.compress(plain), "two": gzip.compress(plain) + gzip.compress(rec("resource", b"last"))}.items():
+        path = tmp_path / name
+        path.write_bytes(data)
+        kinds = {"all": None, "none": frozenset(), "metadata": frozenset(["metadata"])}[payloads]
+        with path.open("rb") as file:
+            found[name] = [(r["record_type"], r["payload"], r["headers"].get("WARC-Concurrent-To"))
+                           for r in warc.records(file, name != "plain", [], kinds)]
+    read = {"all": ("resource", "metadata"), "none": (), "metadata": ("metadata",)}[payloads]
+    want = [(k, b if k in read else None, "<urn:a>, <urn:b>") for k, b in zip(("resource", "metadata", "resource", "metadata"), bodies)]
+    assert [(k, bytes(p) if p is not None else None, h) for k, p, h in found["plain"]] == want
+    assert found["whole"] == found["plain"] == found["two"][:4] and found["two"][4][0] == "resource" and len(found["two"]) == 5
+
+
+@pytest.mark.parametrize("payloads", ["all", "none"])
+@pytest.mark.parametrize("zipped", [False, True])
+def test_a_cut_file_is_an_error(tmp_path, payloads, zipped):
+    record = b"WARC/1.0\r\nWARC-Type: resource\r\nContent-Length: 500000\r\n\r\n" + bytes(random.Random(1).randbytes(400_000))
+    data = gzip.compress(record) if zipped else record
+    path = tmp_path / ("a.warc.gz" if zipped else "a.warc")
+    path.write_bytes(data)
+    with path.open("rb") as file, pytest.raises(ValueError, match="cut short"):
+        list(warc.records(file, zipped, [], None if payloads == "all" else frozenset()))
+
+
 def test_no_rows(spark, pages, tmp_path):
     path = str(tmp_path / "w")
     warc.write(warc.page_records(pages.limit(0)), path)

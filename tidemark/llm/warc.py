@@ -111,20 +111,26 @@ class _Plain:
         beyond = n - len(self.held)
         self.held = self.held[n:]
         if beyond > 0:
-            self.file.seek(beyond, io.SEEK_CUR)
+            self.file.seek(beyond - 1, io.SEEK_CUR)
+            if not self.file.read(1):
+                raise ValueError("a WARC record is cut short")
 
     def end(self) -> None:
         """Nothing lies between records but line ends."""
 
 
 class _Zipped(_Plain):
-    """Bytes of the record in one gzip member after another."""
+    """Bytes of the records in one gzip member after another; a member may hold any number of records."""
 
     def __init__(self, file):
         super().__init__(file)
         self.at, self.raw, self.inflate, self.next = 0, b"", None, None
+        self.inside = False         # the next record is in the same member
 
     def begin(self) -> bool:
+        if self.inside:
+            self.inside = False
+            return True
         self.held, self.raw = b"", b""
         self.file.seek(self.at)
         self.raw = self.file.read(CHUNK)
@@ -153,13 +159,23 @@ class _Zipped(_Plain):
         if self.next is None:
             super_n = n - len(self.held)
             self.held = self.held[n:]
-            while super_n > 0 and (got := self.more()):
+            while super_n > 0:
+                got = self.more()
+                if not got:
+                    raise ValueError("a WARC record is cut short")
+                self.held = got[super_n:]
                 super_n -= len(got)
 
     def end(self) -> None:
         if self.next is None:
-            while self.more():
-                pass
+            self.held = self.held.lstrip(b"\r\n")
+            while not self.held and (got := self.more()):
+                self.held = got.lstrip(b"\r\n")
+            if self.held:
+                self.inside = True
+                return
+            if not self.inflate.eof:
+                raise ValueError("a gzip member is cut short")
             self.next = self.at + self.fed - len(self.inflate.unused_data)
         self.at = self.next
 
@@ -212,7 +228,7 @@ def records(file, zipped: bool, filters: list[Filter], payloads: frozenset | Non
             elif key.lower() in STANDARD:
                 head[STANDARD[key.lower()]] = value.strip(" ")
             else:
-                other[key] = value.strip(" ")
+                other[key] = f"{other[key]}, {value.strip(' ')}" if key in other else value.strip(" ")
         if not all(holds(head, f) for f in filters):
             source.skip(size)
         else:
