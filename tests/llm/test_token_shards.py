@@ -56,3 +56,22 @@ def test_no_rows_and_ids_too_large(spark, docs_of, tmp_path, by_bytes):
     assert shards.write(docs_of([]), str(tmp_path / "f"), by_bytes, "key").n == 0
     with pytest.raises(Exception, match="does not fit"):
         shards.write(docs_of([(1, "é")]), str(tmp_path / "g"), lambda ts: [np.array([300], np.uint32)] * len(ts), "key", id_bytes=1)
+
+
+def test_another_process_reads_and_resumes_by_the_path(spark, docs_of, awkward, tmp_path, by_bytes):
+    import subprocess
+    import sys
+    path = str(tmp_path / "s")
+    layout = shards.write(docs_of(awkward), path, by_bytes, "key", id_bytes=1, context=100, shard_bytes=10_000)
+    assert shards.load(path) == layout
+    whole = [tuple(r) for r in shards.read(spark, path).orderBy("slot").collect()]
+    half = layout.n // 2
+    assert [tuple(r) for r in shards.read(spark, path, half).orderBy("slot").collect()] == whole[half:]
+    code = f"from tidemark.llm import token_shards as t; x = t.load({path!r}); print(x.n, x.place({half}))"
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=sys.path[0] or ".", env={**__import__("os").environ, "PYTHONPATH": ":".join(sys.path)})
+    assert out.stdout.strip() == f"{layout.n} {layout.place(half)}", out.stderr
+
+
+def test_shards_without_a_layout_are_not_whole(tmp_path):
+    with pytest.raises(FileNotFoundError):
+        shards.load(str(tmp_path))

@@ -6,10 +6,13 @@ lands in the numbers' range, permutes them under a key without a sort, a random
 permuted numbers are cut into equal ranges. A range is one task, which writes its records, all of one length,
 in order to one file. A sequence's global slot is its rank: the records of the files before plus its place.
 Where slot s lies follows from s and the files' counts, so a reader starts anywhere and goes on where it stopped.
+The counts are written beside the shards as the last step: shards without them are not whole, and any process can
+read by the path alone.
 """
 
 from __future__ import annotations
 
+import json
 import struct
 import uuid
 import zlib
@@ -32,6 +35,7 @@ from tidemark.llm.common import bare
 
 CONTEXT = 256            # ids of a sequence
 SHARD_BYTES = 16 << 20   # bytes of a shard at most, about
+MOST_TASKS = 20_000      # tasks that write shards at most
 ROUNDS = 8
 HEAD = "<qiH"            # a record's doc_id, part and ids; part -1 - k: part k of a text without doc_id
 HEAD_BYTES = struct.calcsize(HEAD)
@@ -92,6 +96,26 @@ class Layout:
         return shard, (slot - self.starts[shard]) * self.stride
 
 
+LAYOUT = "layout.json"
+
+
+def save(layout: Layout) -> None:
+    """Put the layout beside its shards, under its name only when it is whole."""
+    fs, root = pafs.FileSystem.from_uri(layout.path)
+    hidden = f"{root}/_{uuid.uuid4().hex}"
+    with fs.open_output_stream(hidden, compression=None) as file:
+        file.write(json.dumps({"context": layout.context, "id_bytes": layout.id_bytes, "starts": layout.starts}).encode())
+    fs.move(hidden, f"{root}/{LAYOUT}")
+
+
+def load(path: str) -> Layout:
+    """The layout of shards that were written whole."""
+    fs, root = pafs.FileSystem.from_uri(path)
+    with fs.open_input_file(f"{root}/{LAYOUT}") as file:
+        held = json.loads(file.read())
+    return Layout(path, held["context"], held["id_bytes"], tuple(held["starts"]))
+
+
 def shard_file(shard: int) -> str:
     return f"shard-{shard:08d}.bin"
 
@@ -184,16 +208,22 @@ def write(docs: DataFrame, path: str, encode: Callable[[list], list], key: str,
         return pa.table({"shard": pa.array([shard], pa.int64()), "records": pa.array([len(order)], pa.int64())})
 
     counts = np.zeros(shards + 1, np.int64)
-    for r in rows.groupBy("shard").applyInArrow(put, "shard bigint, records bigint").collect():      # one row per file
+    # As many tasks as files, so that few files share a task.
+    dealt = rows.repartition(min(max(1, shards), MOST_TASKS), "shard")
+    for r in dealt.groupBy("shard").applyInArrow(put, "shard bigint, records bigint").collect():      # one row per file
         counts[r["shard"] + 1] = r["records"]
-    return Layout(path, context, id_bytes, tuple(np.cumsum(counts).tolist()))
+    layout = Layout(path, context, id_bytes, tuple(np.cumsum(counts).tolist()))
+    save(layout)
+    return layout
 
 
-def read(spark: SparkSession, layout: Layout, first: int = 0, end: int | None = None, block: int = 4096) -> DataFrame:
+def read(spark: SparkSession, layout: Layout | str, first: int = 0, end: int | None = None, block: int = 4096) -> DataFrame:
     """(slot, doc_id, part, n_tokens, ids binary, shard, offset) of slots ``first`` to ``end`` (not included).
 
-    Each file's part is read in order, ``block`` records at a time; to resume, pass the first slot still wanted.
+    ``layout`` is what ``write`` returned or the path it wrote to. Each file's part is read in order, ``block``
+    records at a time; to resume, pass the first slot still wanted.
     """
+    layout = load(layout) if isinstance(layout, str) else layout
     end = layout.n if end is None else min(end, layout.n)
     names = ["slot", "doc_id", "part", "n_tokens", "ids", "shard", "offset"]
     types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64(), pa.int64()]
