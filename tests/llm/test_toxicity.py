@@ -62,3 +62,15 @@ def test_repeats_are_dropped_once():
     ids = toxicity.grams("abcdef abcdef abcdef")
     assert sorted(once(ids).tolist()) == sorted(set(ids.tolist()))
     assert len(toxicity.grams(None)) == 0
+
+
+def test_the_share_of_a_sample_never_rounds_to_nothing(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.llm.common import share_of_hashes
+    n = 20_000
+    few = spark.range(n).filter(F.xxhash64("id") <= share_of_hashes(500, n)).count()
+    assert 400 < few < 600
+    assert spark.range(n).filter(F.xxhash64("id") <= share_of_hashes(500, 400)).count() == n
+    limits = spark.range(1).select(share_of_hashes(20_000, 10 ** 14).alias("a"), share_of_hashes(20_000, 0).alias("b")).first()
+    assert limits.a + 2 ** 63 == 2 ** 64 * 20_000 // 10 ** 14 > 0 and limits.b == 2 ** 63 - 1

@@ -60,6 +60,11 @@ def crc_fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % parts
 
 
+def share_of_hashes(rows: int, among: int) -> Column:
+    """The largest 64-bit hash to take so that of ``among`` rows about ``rows`` are taken (all, if there are fewer)."""
+    return F.lit(min(2 ** 63 - 1, -2 ** 63 + 2 ** 64 * rows // max(1, among)))
+
+
 def bare(df: DataFrame, *names: str) -> DataFrame:
     """Only the columns named: extra columns of the input cannot clash with an operator's own."""
     return df.select(*[F.col(f"`{n}`") for n in names])

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bare, crc_fold, store
+from tidemark.llm.common import bare, crc_fold, share_of_hashes, store
 
 ORDERS = (4, 6, 8)
 BITS = 18                # hashed features: 2 ** BITS
@@ -55,8 +55,7 @@ def _labelled(docs: DataFrame, labels: DataFrame, folds: int, held: int, rows: i
     """(text, toxic) of about ``rows`` rows to learn from; of several labels the highest counts."""
     known = bare(labels, "doc_id", "toxic").filter("toxic is not null and doc_id is not null").filter(
         crc_fold(F.col("doc_id"), folds) != held)
-    part = int(1_000_000 * min(1.0, rows / max(1, known.count())))
-    drawn = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < part).groupBy("doc_id").agg(
+    drawn = known.filter(F.xxhash64("doc_id") <= share_of_hashes(rows, known.count())).groupBy("doc_id").agg(
         F.max("toxic").alias("toxic"))
     return store(bare(docs, "doc_id", "text").join(F.broadcast(drawn), "doc_id").select("text", "toxic"), "toxicity-train")
 

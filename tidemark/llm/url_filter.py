@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.rows import loose
-from tidemark.llm.common import bare, store
+from tidemark.llm.common import bare, share_of_hashes, store
 
 # Fixed values: (rule, verdict); a rule is a host and the beginning of a path.
 RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
@@ -95,8 +95,7 @@ def train(featured: DataFrame, rows: int = TRAIN_ROWS) -> GBTClassificationModel
     """Trees fitted on about ``rows`` URLs with a ``label`` (1: block); null without both labels."""
     known = featured.filter("label is not null")
     n = known.count()
-    part = int(1_000_000 * min(1.0, rows / max(1, n)))
-    drawn = store(known.filter(F.pmod(F.xxhash64("url"), F.lit(1_000_000)) < part).select("url", *LEXICAL, *SUFFIX, "label"), "url-train")
+    drawn = store(known.filter(F.xxhash64("url") <= share_of_hashes(rows, n)).select("url", *LEXICAL, *SUFFIX, "label"), "url-train")
     if drawn.select("label").distinct().count() < 2:
         return None
     # few rows: one order and few partitions make the trees the same from run to run
