@@ -83,3 +83,35 @@ def test_confident_keeps_rows_whole(table):
     assert kept.columns == table.columns
     ids = [r.doc_id for r in kept.collect()]
     assert len(ids) == 163 and not {900, 901, 902} & set(ids)
+
+
+def test_words_of_mixed_text_are_labelled(spark, table, rows):
+    """Code-switched lines: each word's label and score equal the enumeration of all labellings of its chain."""
+    import itertools
+    field = crf.train(table)
+    mixed = "the house would\nnicht über the thing schon und 12 of"
+    k, out = len(field.labels), crf.label_words(spark.createDataFrame([(1, mixed), (2, None), (3, "12"), (1, mixed)], "doc_id bigint, text string"), field).collect()
+    assert {r.doc_id for r in out} == {1} and len(out) == 20
+    got = sorted({(r.start, r.end, r.lang, round(r.score, 6)) for r in out})
+    want = []
+    for line in crf.chains(mixed):
+        e = field.emissions(line)
+        total = np.zeros((len(line), k))
+        for ys in itertools.product(range(k), repeat=len(line)):
+            score = field.start[ys[0]] + sum(e[i, y] for i, y in enumerate(ys)) + sum(field.move[a, b] for a, b in zip(ys, ys[1:]))
+            for i, y in enumerate(ys):
+                total[i, y] += np.exp(score)
+        total /= total.sum(axis=1, keepdims=True)
+        want += [(w, field.labels[p.argmax()], p.max()) for w, p in zip(line, total)]
+    assert [(mixed[a:b].lower(), lang) for a, b, lang, _ in got] == [(w, lang) for w, lang, _ in want]
+    assert np.allclose([x[3] for x in got], [x[2] for x in want], atol=1e-3)
+    by = {mixed[a:b]: lang for a, b, lang, _ in got}
+    assert by["nicht"] == by["schon"] == "de" and by["house"] == by["thing"] == "en"
+    assert crf.label_words(table, None).count() == 0
+
+
+def test_words_of_a_long_line_keep_their_places(table):
+    field = crf.train(table)
+    text = "  ".join(["the", "Über", "house"] * 60) + "\n\nthing"
+    found = field.label_words(text)
+    assert [text[a:b] for a, b, _, _ in found] == ["the", "Über", "house"] * 60 + ["thing"]

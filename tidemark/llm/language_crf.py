@@ -34,7 +34,8 @@ RATE, PENALTY = 0.3, 1e-6
 SPLICE = 0.3              # share of training chains that switch language
 KNOWN = 200_000           # words a worker remembers
 GROUP_CHARS = 1 << 20
-WORDS = regex.compile(r"\p{L}[\p{L}\p{M}'’]*|\n").findall
+WORD = regex.compile(r"\p{L}[\p{L}\p{M}'’]*|\n")
+WORDS, FOUND = WORD.findall, WORD.finditer
 
 
 def features(word: str, lexicon: frozenset) -> list[int]:
@@ -144,12 +145,8 @@ class Field:
                 self.move += RATE * pair / np.sqrt(move2)
                 self.start += RATE * first_gap / np.sqrt(start2)
 
-    def label(self, texts: list[str | None]) -> list[tuple[str | None, float, list[float]]]:
-        """For each text its language (null without words), that language's share, and all shares."""
-        cut = [chains(t) for t in texts]
-        flat = [c for own in cut for c in own]
-        if not flat:
-            return [(None, 0.0, [])] * len(texts)
+    def word_marginals(self, flat: list[list[str]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(chains, mask, marginals) of some of the chains at a time: by chain, place and label, padded."""
         new = list({w for c in flat for w in c}.difference(self.known))
         if len(self.known) + len(new) > KNOWN:
             self.known, self.held = {}, self.held[:0]
@@ -158,14 +155,22 @@ class Field:
             self.known.update(zip(new, range(len(self.held), len(self.held) + len(new))))
             self.held = np.concatenate((self.held, self.emissions(new)))
         size = np.array([len(c) for c in flat])
-        shares = np.zeros((len(flat), len(self.labels)))
         by = np.argsort(size, kind="stable")
         for at in range(0, len(by), 2048):
             part = by[at:at + 2048]
             mask = np.arange(size[part].max()) < size[part][:, None]
             ids = np.zeros(mask.shape, np.int64)
             ids[mask] = np.fromiter((self.known[w] for i in part for w in flat[i]), np.int64, int(size[part].sum()))
-            word = marginals(np.where(mask[..., None], self.held[ids], 0.0), self.move, self.start, mask)[0]
+            yield part, mask, marginals(np.where(mask[..., None], self.held[ids], 0.0), self.move, self.start, mask)[0]
+
+    def label(self, texts: list[str | None]) -> list[tuple[str | None, float, list[float]]]:
+        """For each text its language (null without words), that language's share, and all shares."""
+        cut = [chains(t) for t in texts]
+        flat = [c for own in cut for c in own]
+        if not flat:
+            return [(None, 0.0, [])] * len(texts)
+        shares = np.zeros((len(flat), len(self.labels)))
+        for part, mask, word in self.word_marginals(flat):
             shares[part] = (word * mask[..., None]).sum(axis=1)
         out, at = [], 0
         for own in cut:
@@ -179,6 +184,27 @@ class Field:
         return out
 
 
+    def label_words(self, text: str) -> list[tuple[int, int, str, float]]:
+        """(start, end, language, its marginal) of every word, in order; places count code points of ``text``."""
+        places, flat, open_chain = [], [], False
+        for m in FOUND(text):
+            if m[0] == "\n":
+                open_chain = False
+                continue
+            if not open_chain or len(flat[-1]) == CHAIN:
+                flat.append([])
+                open_chain = True
+            flat[-1].append(m[0].lower())
+            places.append(m.span())
+        rows: list[list] = [[] for _ in flat]
+        for part, mask, word in self.word_marginals(flat) if flat else ():
+            for chain_, live, p in zip(part.tolist(), mask, word):
+                best = p[live].argmax(axis=1)
+                rows[chain_] = list(zip(best.tolist(), p[live][np.arange(len(best)), best].tolist()))
+        found = chain.from_iterable(rows)
+        return [(a, b, self.labels[k], min(1.0, score)) for (a, b), (k, score) in zip(places, found)]
+
+
 def train(docs: DataFrame, folds: int = FOLDS, held: int = HELD, rows: int = TRAIN_ROWS, seed: int = 11) -> Field | None:
     """Fit on about ``rows`` labelled texts, equally many of each language as far as there are; null without any."""
     own = bare(docs, "doc_id", "text", "lang").filter(
@@ -228,14 +254,19 @@ def _rebuild(labels: tuple, lexicon: frozenset, weights: bytes, move: bytes, sta
     return field
 
 
+def _parts(field: Field | None) -> tuple | None:
+    """What a task rebuilds the field from."""
+    return None if field is None else (
+        tuple(field.labels), field.lexicon, field.w.astype(np.float32).tobytes(), field.move.tobytes(), field.start.tobytes())
+
+
 def predict(docs: DataFrame, field: Field | None) -> DataFrame:
     """(doc_id, lang_pred, score) of every row by its whole text; ``und`` with score 0 for null or no letter.
 
     Repeated rows and null ids come out as they came; other columns are ignored.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    shared = docs.sparkSession.sparkContext.broadcast(None if field is None else (
-        tuple(field.labels), field.lexicon, field.w.astype(np.float32).tobytes(), field.move.tobytes(), field.start.tobytes()))
+    shared = docs.sparkSession.sparkContext.broadcast(_parts(field))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = None if shared.value is None else _rebuild(*shared.value)
@@ -255,6 +286,28 @@ def predict(docs: DataFrame, field: Field | None) -> DataFrame:
     return bare(docs, "doc_id", "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
 
 
+def label_words(docs: DataFrame, field: Field | None) -> DataFrame:
+    """(doc_id, start, end, lang, score) of every word of every text: code-switched texts change language between words.
+
+    ``text[start:end]`` is the word, ``score`` the language's marginal there. Texts without a letter and a null field
+    give no rows; repeated rows theirs as often as they come.
+    """
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    shared = docs.sparkSession.sparkContext.broadcast(_parts(field))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = None if shared.value is None else _rebuild(*shared.value)
+        for batch in batches if own is not None else ():
+            for i in range(batch.num_rows):
+                rows = own.label_words(batch.column(1)[i].as_py() or "")
+                if rows:
+                    columns = [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64(), pa.int64(), pa.string(), pa.float64()])]
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([i] * len(rows))), *columns], names=names)
+
+    names = ["doc_id", "start", "end", "lang", "score"]
+    return bare(docs, "doc_id", "text").mapInArrow(run, f"doc_id {kind}, start bigint, end bigint, lang string, score double")
+
+
 def judge(docs: DataFrame, folds: int = FOLDS, held: int = HELD) -> DataFrame:
     """(doc_id, held_out, lang_pred, score) of every row; a null doc_id is neither held out nor learnt from."""
     out = predict(docs, train(docs, folds, held))
@@ -272,8 +325,7 @@ def confident(docs: DataFrame, least: float, folds: int = FOLDS, held: int = HEL
     lettered = docs.filter(F.col("text").rlike(r"\p{L}"))
     if field is None:
         return lettered
-    shared = docs.sparkSession.sparkContext.broadcast(
-        (tuple(field.labels), field.lexicon, field.w.astype(np.float32).tobytes(), field.move.tobytes(), field.start.tobytes()))
+    shared = docs.sparkSession.sparkContext.broadcast(_parts(field))
     place = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
