@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import web_marts, web_purchases, web_sessions
+from tidemark.operators import quality, web_marts, web_purchases, web_sessions
 from tidemark.plans import inputs, pipelines
 from tidemark.plans.catalog import QUERIES
 from tidemark.sources import readers, schemas, sinks
@@ -52,7 +52,14 @@ def test_no_python_and_no_nested_loops_in_plans(spark, sf_dir):
 
 
 def test_whole_web_build(spark, exported):
-    built = pipelines.build_web(spark, exported, default_schema="default")
+    checks = quality.Checks()
+    built = pipelines.build_web(spark, exported, default_schema="default", checks=checks)
+    counted = {(r.table_name, r.column_name): r.failures for r in checks.rows(spark).collect()}
+    names = {n for n, _ in counted}
+    assert {"stg_event_param_pivot", "int_sessions", "fct_purchases", "dim_products", "agg_daily_sessions"} <= names
+    for name in names:
+        again = quality.null_counts(built[name], name).collect()
+        assert {r.column_name: r.failures for r in again} == {c: n for (t, c), n in counted.items() if t == name}
     assert len(built) == 41
     for name in ("int_purchase_items", "dim_items", "rpt_product_sales", "rpt_purchase_dq_analysis", "analysis_incomplete_purchases"):
         assert built[name].count() == built[f"{name}_weighted"].agg(F.sum("copies")).first()[0]
@@ -62,6 +69,15 @@ def test_whole_web_build(spark, exported):
     assert built["fct_events"].count() == spark.read.parquet(exported).count()
 
 
+def test_null_checks_read_each_raw_table_once(spark, sf_dir, monkeypatch):
+    """The check's raw scans: the job that stores the events; what it returns reads stored models only."""
+    stored = []
+    real = inputs.table
+    monkeypatch.setattr(inputs, "table", lambda s, d, name: stored.append(name) or real(s, d, name))
+    text = plan(QUERIES["dq_not_null"](spark, sf_dir))
+    assert sorted(stored) == ["events", "lineitem"] and f"{sf_dir}/" not in text
+
+
 def test_schema_names():
     assert sinks.schema_name("  marts ") == "marts" and sinks.schema_name(None, "dev") == "dev"
 

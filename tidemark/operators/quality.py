@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Columns declared never NULL, per table.
@@ -37,6 +37,28 @@ def null_counts(table: DataFrame, name: str, columns: list[str] | None = None) -
     return counted.selectExpr(f"'{name}' AS table_name", f"stack({len(columns)}, {rows}) AS (column_name, failures)")
 
 
+class Checks:
+    """NULL counts taken while tables are written: a watched table counts its rows' NULLs as they flow past.
+
+    ``rows`` holds a count for every watched table once each has been written in full, exactly once.
+    """
+
+    def __init__(self) -> None:
+        self._held: list[tuple[str, list[str], Observation]] = []
+
+    def watch(self, table: DataFrame, name: str, columns: list[str] | None = None) -> DataFrame:
+        """The same table; to be written instead of it."""
+        columns = columns or NOT_NULL[name]
+        observation = Observation()
+        self._held.append((name, columns, observation))
+        return table.observe(observation, *[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        """(table_name, column_name, failures); one row per checked column."""
+        found = [(name, c, o.get[c]) for name, columns, o in self._held for c in columns]
+        return spark.createDataFrame(found, "table_name string, column_name string, failures bigint")
+
+
 def unique_violations(table: DataFrame, column: str) -> DataFrame:
     """Values that occur more than once, with how often."""
     return (

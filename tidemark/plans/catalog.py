@@ -478,22 +478,32 @@ def _(spark, sf):
 
 # --- quality ----------------------------------------------------------------
 
-def _checked_tables(spark, sf):
-    events, lines, daily = _web(spark, sf, items=True), _lines(spark, sf), _daily(spark, sf)
-    return {
+@query("dq_not_null")
+def _(spark, sf):
+    """The events are read once; models that jobs write are checked while they are written, the others from those."""
+    checks = quality.Checks()
+
+    def written(table, name, watched=True):
+        path = jobs.fresh(spark, f"checked-{name}")
+        (checks.watch(table, name) if watched else table).write.parquet(path)
+        return spark.read.schema(table.schema).parquet(path)
+
+    events = written(_web(spark, sf, items=True), "events", watched=False)
+    written(staging.stg_event_param_pivot(events), "stg_event_param_pivot")
+    lines = written(purchases.purchase_lines(events), "int_purchase_items")
+    rows = written(sessions.int_sessions(events, touch=DAILY_TOUCH, transaction_count=False), "int_sessions")
+    daily = written(marts.agg_daily_sessions(rows), "agg_daily_sessions")
+    views = {
         "stg_events": staging.stg_events(events),
         "stg_event_params": staging.stg_event_params(events),
         "stg_items": staging.stg_items(events),
-        "stg_event_param_pivot": staging.stg_event_param_pivot(events),
-        "int_purchase_items": lines,
-        "int_sessions": sessions.int_sessions(events, touch=(), transaction_count=False),
         "dim_views": marts.dim_views(staging.int_page_views(events)),
         "fct_purchases": purchases.fct_purchases(lines),
         "dim_products": purchases.dim_products(lines),
         "agg_daily_product_revenue": purchases.agg_daily_product_revenue(lines),
         "agg_daily_funnel_long": marts.agg_daily_funnel_long(daily),
-        "agg_daily_sessions": daily,
     }
+    return _union([checks.rows(spark), *[quality.null_counts(t, name) for name, t in views.items()]])
 
 
 def _union(frames):
@@ -503,14 +513,10 @@ def _union(frames):
     return first
 
 
-@query("dq_not_null")
-def _(spark, sf):
-    return _union([quality.null_counts(t, name) for name, t in _checked_tables(spark, sf).items()])
-
-
 @query("dq_unique")
 def _(spark, sf):
-    tables = _checked_tables(spark, sf)
+    events = _web(spark, sf)
+    tables = {"stg_event_param_pivot": staging.stg_event_param_pivot(events), "dim_views": marts.dim_views(staging.int_page_views(events))}
     return _union([quality.unique_failures(tables[name], name) for name in quality.UNIQUE])
 
 

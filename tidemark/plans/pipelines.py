@@ -34,9 +34,11 @@ def counted(table: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def build_web(spark: SparkSession, path: str, start: str | None = None, end: str | None = None,
-              default_schema: str = "default") -> dict[str, DataFrame]:
+              default_schema: str = "default", checks: quality.Checks | None = None) -> dict[str, DataFrame]:
     """Build every web model from the event export.
 
+    With ``checks``, declared NOT NULL columns of the tables are counted while those are written.
+
     Early layers are views. Session rows, purchase lines and the parameter pivot
     feed several marts each, so they are written once and read back; marts are
     tables.
@@ -46,6 +48,8 @@ def build_web(spark: SparkSession, path: str, start: str | None = None, end: str
     built: dict[str, DataFrame] = {}
 
     def publish(name: str, table: DataFrame, layer: str, kind: str | None = None, by: list[str] | None = None):
+        if checks and name in quality.NOT_NULL and sinks.is_table(layer, kind):
+            table = checks.watch(table, name)
         built[name] = sinks.materialize(table, name, layer, kind, by, default_schema)
         return built[name]
 

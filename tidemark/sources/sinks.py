@@ -103,6 +103,11 @@ def replace_table(table: DataFrame, name: str, partition_by: list[str] | None =
     return table.sparkSession.table(name)
 
 
+def is_table(layer: str, kind: str | None = None) -> bool:
+    """Whether a model of this layer is written, rather than kept as a view."""
+    return (kind or LAYERS.get(layer, ("view", None))[0]) == "table"
+
+
 def materialize(table: DataFrame, name: str, layer: str, kind: str | None = None,
                 partition_by: list[str] | None = None, default_schema: str = "default") -> DataFrame:
     """Publish a model as its layer prescribes: a view for early layers, a table for marts."""
