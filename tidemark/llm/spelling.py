@@ -2,15 +2,12 @@
 
 Every bigram of a word has its place in one order, rarest first. A word's prefix is its three rarest bigrams; two of
 them that do not overlap are its pivots, chosen by dynamic programming so that they are rare together. One edit cannot
-touch both pivots: what lies up to the end of the left one is unchanged, or what lies from the right one on. So
+touch both pivots. So of two words one edit apart, that with the rarer prefix has a pivot among the other's prefix
+bigrams, at the same place from the left if the edit is behind it, from the right if the edit is in front of it.
 
-* of two words one edit apart, that with the rarer prefix has a pivot among the other's prefix bigrams, and
-* it stands there at the same place, counted from the left for the left pivot, from the right for the right one.
-
-The index has each word's prefix bigrams under both places, with the text on the unchanged side; pivots are looked up
-in it by an equi-join. Where the edit lies also says which longer piece of the word is whole: all in front of the right
-pivot if it is at that pivot or behind, all behind the left pivot if it is there or in front, and for one in between
-both pivots with what is outside of them. A pair that meets is tested for that piece first and then by its edit distance.
+Where the edit lies, seen from the two pivots, also says which piece of the word around a pivot is whole (``looked_up``):
+the index has such pieces around each word's prefix bigrams (``indexed``). Both sides meet in an equi-join of the
+pieces' hashes, so that a pair meets only if it agrees in place and text, and is then verified by its edit distance.
 """
 
 from __future__ import annotations
@@ -127,27 +124,52 @@ def pivots(grams: list[tuple[int, int]], count: int = 2) -> list[int]:
     return ends[-1][count][1]
 
 
-def _keys(words_: DataFrame, ranks: dict[str, int]) -> DataFrame:
-    """(word, n, pivot, last, key, head, tail): index and look-up entries of every word.
+# Which side of an edit a piece is from, and what it is anchored to: each kind of piece is hashed apart from the others.
+FROM_LEFT_PIVOT, TO_RIGHT_PIVOT, AROUND, BEHIND_LEFT, BEHIND_START, BEFORE_RIGHT, BEFORE_END = range(1, 8)
 
-    ``last`` orders prefixes by their last bigram. A key stands for the text up to a bigram's end, or from it on.
-    A near word that a look-up meets starts with its ``head`` or ends with its ``tail``.
-    """
 
-    def entries(word: str) -> Iterator[tuple[bool, int, int, str | None, str | None]]:
+def looked_up(word: str, left: int, right: int) -> Iterator[tuple[int, str]]:
+    """(kind, piece): of any word one edit away, one of these is whole there too. ``left`` and ``right`` are the pivots."""
+    # The edit is in front of the left pivot, in it, between both, in the right one, or behind that.
+    yield FROM_LEFT_PIVOT, word[left:]
+    yield (BEHIND_LEFT, f"{word[:2]} {word[right:]}") if left >= 2 else (BEHIND_START, word[left + 2:])
+    yield AROUND, f"{word[:left + 2]} {word[right:]}"
+    yield (BEFORE_RIGHT, f"{word[:left + 2]} {word[-2:]}") if len(word) - right >= 4 else (BEFORE_END, word[:right])
+    yield TO_RIGHT_PIVOT, word[:right + 2]
+
+
+def indexed(word: str, places: list[int]) -> Iterator[tuple[int, str]]:
+    """(kind, piece): all pieces around the prefix bigrams at ``places`` that a look-up may ask for."""
+    for p in places:
+        yield FROM_LEFT_PIVOT, word[p:]
+        yield TO_RIGHT_PIVOT, word[:p + 2]
+        yield BEHIND_LEFT, f"{word[:2]} {word[p:]}"
+        yield BEFORE_RIGHT, f"{word[:p + 2]} {word[-2:]}"
+        for q in places:
+            if q >= p + 2:
+                yield AROUND, f"{word[:p + 2]} {word[q:]}"
+    # An edit in a pivot at the word's edge: one to four letters there, and a prefix bigram in the rest.
+    for k in range(1, 5):
+        if max(places) >= k:
+            yield BEHIND_START, word[k:]
+        if min(places) + 2 <= len(word) - k:
+            yield BEFORE_END, word[:-k]
+
+
+def _keys(words_: DataFrame, ranks: dict[str, int]) -> DataFrame:
+    """(word, n, pivot, key): index and look-up entries of every word; a key stands for a piece and its kind."""
+
+    def entries(word: str) -> Iterator[tuple[bool, int]]:
         grams = prefix(word, ranks)
-        rank, place = grams[-1]
-        last = (rank << 40) | place
-        left, right = pivots(grams)
-        yield True, last, xxhash.xxh64_intdigest(word[:left + 2], 1), word[:right], None
-        yield True, last, xxhash.xxh64_intdigest(word[right:], 2), word[:left + 2], word[left + 2:]
+        for kind, piece in looked_up(word, *pivots(grams)):
+            yield True, xxhash.xxh64_intdigest(piece, kind)
         places = [p for _, p in grams]
         # The same bigram one place on: an edit in front of it may have moved it there.
+        place = places[-1]
         if word[place + 1:place + 3] == word[place:place + 2]:
             places.append(place + 1)
-        for p in places:
-            yield False, last, xxhash.xxh64_intdigest(word[:p + 2], 1), None, None
-            yield False, last, xxhash.xxh64_intdigest(word[p:], 2), None, None
+        for kind, piece in indexed(word, places):
+            yield False, xxhash.xxh64_intdigest(piece, kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -156,12 +178,10 @@ def _keys(words_: DataFrame, ranks: dict[str, int]) -> DataFrame:
                 rows = [(i, *e) for i, word in enumerate(batch.column(0).to_pylist()) for e in entries(word)]
                 picked = batch.take(pa.array([r[0] for r in rows], pa.int64()))
                 yield pa.RecordBatch.from_arrays([
-                    *picked.columns, pa.array([r[1] for r in rows], pa.bool_()), pa.array([r[2] for r in rows], pa.int64()),
-                    pa.array([r[3] - (1 << 63) for r in rows], pa.int64()), pa.array([r[4] for r in rows], pa.string()),
-                    pa.array([r[5] for r in rows], pa.string())], names=["word", "n", "pivot", "last", "key", "head", "tail"])
+                    *picked.columns, pa.array([r[1] for r in rows], pa.bool_()),
+                    pa.array([r[2] - (1 << 63) for r in rows], pa.int64())], names=["word", "n", "pivot", "key"])
 
-    return words_.select("word", "n").mapInArrow(
-        run, "word string, n bigint, pivot boolean, last bigint, key bigint, head string, tail string")
+    return words_.select("word", "n").mapInArrow(run, "word string, n bigint, pivot boolean, key bigint")
 
 
 def near_words(words_: DataFrame) -> DataFrame:
@@ -170,10 +190,9 @@ def near_words(words_: DataFrame) -> DataFrame:
     Every word comes once; words are ``SHORTEST`` letters or longer.
     """
     entries = store(_keys(words_, gram_ranks(words_)), "spelling-keys")
-    probe = entries.filter("pivot").select("key", F.col("last").alias("last_a"), F.col("word").alias("a"), F.col("n").alias("n_a"), "head", "tail")
-    index = entries.filter("not pivot").select("key", F.col("last").alias("last_b"), F.col("word").alias("b"), F.col("n").alias("n_b"))
-    possible = ((F.col("last_a") <= F.col("last_b")) & (F.startswith("b", "head") | F.endswith("b", "tail"))
-                & (F.col("a") != F.col("b")) & (F.abs(F.length("a") - F.length("b")) <= 1))
+    probe = entries.filter("pivot").select("key", F.col("word").alias("a"), F.col("n").alias("n_a"))
+    index = entries.filter("not pivot").select("key", F.col("word").alias("b"), F.col("n").alias("n_b"))
+    possible = (F.abs(F.length("a") - F.length("b")) <= 1) & (F.col("a") != F.col("b"))
     met = probe.join(index, (probe["key"] == index["key"]) & possible & (F.levenshtein("a", "b", 1) == 1))
     there = met.select(F.col("a").alias("word"), F.col("b").alias("other"), F.col("n_a").alias("n"), F.col("n_b").alias("other_n"))
     back = met.select(F.col("b").alias("word"), F.col("a").alias("other"), F.col("n_b").alias("n"), F.col("n_a").alias("other_n"))
