@@ -3,6 +3,7 @@ import json
 import pytest
 
 from tidemark.operators import commerce, quality
+from tidemark.plans import inputs
 from tidemark.sources import readers, sinks
 
 KETTLE = {"id": 11, "name": "Tin kettle", "category": "Kitchen", "price": 20.25}
@@ -100,3 +101,10 @@ def test_units_count_once_however_often_an_order_is_paid(bronze):
     silver = commerce.commerce_silver(bronze(event("e1", order=two), event("e2", order=two), event("e3", order=two)))
     row = commerce.customer_ltv(silver).first()
     assert (row.orders, row.lifetime_value, row.total_quantity) == (1, 49.55, 3)
+
+
+def test_item_rows_give_what_lists_give(spark, sf_dir):
+    nested = commerce.commerce_silver(inputs.commerce_events(spark, sf_dir), processed_at=False)
+    rows = commerce.commerce_silver(inputs.commerce_item_rows(spark, sf_dir), processed_at=False)
+    assert nested.columns == rows.columns
+    assert sorted(map(str, nested.collect())) == sorted(map(str, rows.collect()))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import loose, repeat_rows
 from tidemark.operators import web_marts, web_purchases, web_sessions
+from tidemark.plans.catalog import QUERIES
 from tidemark.sources import schemas, sinks
 
 SETTINGS = {
@@ -101,6 +102,32 @@ def test_hot_session_holds_no_list(spark, small_splits):
     assert bridge.count() == 6000 and "collect_" not in final_plan(bridge)
 
 
+def test_an_order_with_a_third_of_all_lines_is_split(spark, sf_dir, tmp_path, small_splits):
+    """Item-level queries never nest an order's lines, so one order may have any number of them."""
+    hot = spark.read.parquet(f"{sf_dir}/events.parquet").filter("event_type = 'purchase' AND event_id % 10 <> 9").filter(
+        F.get_json_object("props", "$.k").cast("int").isin(3, 14, 25, 36, 63, 74, 85)).agg(F.min("event_id")).first()[0]
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    n = 30_000
+    more = lines.limit(1).crossJoin(spark.range(n)).withColumns({
+        "l_orderkey": F.lit(hot).cast(lines.schema["l_orderkey"].dataType), "l_partkey": F.pmod(F.xxhash64("id"), F.lit(10 ** 9)).cast(lines.schema["l_partkey"].dataType)}).drop("id")
+    lines.filter(F.col("l_orderkey") != hot).unionByName(more).repartition(6).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.read.parquet(f"{sf_dir}/events.parquet").repartition(6).write.parquet(str(tmp_path / "events.parquet"))
+    for other in ("customer", "nation", "region"):
+        spark.read.parquet(f"{sf_dir}/{other}.parquet").write.parquet(str(tmp_path / f"{other}.parquet"))
+    for name in ("stg_items", "int_purchase_items", "dim_items", "dim_product_daily", "agg_daily_product_revenue", "filter_loss_audit",
+                 "hourly_category_revenue", "customer_ltv"):
+        text = QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+        assert "collect_list" not in text and "collect_set" not in text, name
+    items = QUERIES["stg_items"](spark, str(tmp_path))
+    assert "skew=true" in final_plan(items.select("event_id", "item_id", "price"))
+    hot_rows = items.groupBy("event_id").count().agg(F.max("count")).first()[0]
+    assert hot_rows == n
+    bought = QUERIES["int_purchase_items"](spark, str(tmp_path))
+    assert bought.groupBy("user_pseudo_id", "purchase_ts").count().agg(F.max("count")).first()[0] == n
+    units = lines.agg(F.sum("l_quantity")).first()[0]
+    assert QUERIES["commerce_silver"](spark, str(tmp_path)).groupBy("event_id").count().agg(F.max("count")).first()[0] > 20_000 and units > 0
+
+
 def test_loose_lookup_lets_the_join_split(spark, small_splits):
     left = spark.range(0, 60000, numPartitions=6).selectExpr("IF(id % 3 = 0, id, 1L) AS k", "sha2(CAST(id AS STRING), 256) AS v")
     lookup = spark.range(0, 60000).selectExpr("id AS k", "id AS w").repartition(6).groupBy("k").agg(F.max("w").alias("w"))

@@ -203,6 +203,19 @@ def test_a_much_repeated_event_stays_linear(frame):
     assert one(purchases.fct_purchases(lines)).items_count == 3600
 
 
+def test_item_rows_give_what_arrays_give(copies):
+    rows = copies.select(*[c for c in copies.columns if c != "items"], F.explode("items").alias("item"))
+    counted = copies.withColumn("item_count", F.coalesce(F.size("items"), F.lit(0)).cast("bigint")).withColumn(
+        "item_count", F.greatest("item_count", F.lit(0))).drop("items")
+    same = staging.stg_items(copies)
+    assert bag(same, same.columns) == bag(staging.stg_items(counted, rows), same.columns)
+    daily = purchases.dim_product_daily(copies)
+    assert bag(daily, daily.columns) == bag(purchases.dim_product_daily(counted, rows), daily.columns)
+    lines = unrolled(purchases.purchase_lines(copies))
+    assert bag(lines, lines.columns) == bag(unrolled(purchases.purchase_lines(counted, items=rows)), lines.columns)
+    assert bag(purchases.filter_loss_audit(copies), ["position", "count"]) == bag(purchases.filter_loss_audit(counted), ["position", "count"])
+
+
 def test_lists_of_transactions_on_request(frame):
     def buy(t):
         return [param("transaction_id", string_value=t)]

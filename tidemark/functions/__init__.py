@@ -5,7 +5,9 @@ from tidemark.functions.expressions import (  # noqa: F401
     element_count,
     event_key,
     first_param,
+    item_count,
     has_elements,
+    item_count,
     param_max,
     parse_day,
     parse_iso_timestamp,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -65,6 +65,11 @@ def element_count(array: str, field: str) -> Column:
     return F.coalesce(F.greatest(F.size(array_fields(array, field)), F.lit(0)), F.lit(0)).cast("bigint")
 
 
+def item_count(events: DataFrame) -> Column:
+    """Items of an event: as stated by a column of that name, or counted in its array."""
+    return F.col("item_count") if "item_count" in events.columns else element_count("items", "item_id")
+
+
 def param_max(key: str, *fields: str, params: Column | str = "event_params") -> Column:
     """Greatest value stored under ``key``, read inside the row.
 

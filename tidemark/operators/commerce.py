@@ -44,7 +44,8 @@ def item_rows(bronze: DataFrame) -> DataFrame:
     """One row per event and item; an event without items keeps one row with a NULL item.
 
     The order's list wins over the cart's even when it is empty; a lone product
-    counts as a list of one.
+    counts as a list of one. Events that come as such rows (a column ``item``)
+    are taken as they are.
     """
     single = F.when(
         F.col("product").isNotNull(), F.array(F.struct("product", F.lit(1).alias("quantity")))
@@ -52,6 +53,8 @@ def item_rows(bronze: DataFrame) -> DataFrame:
     typed = bronze.filter(F.col("event_id").isNotNull()).withColumn(
         "event_timestamp", parse_iso_timestamp("event_timestamp")
     )
+    if "item" in bronze.columns:
+        return typed
     return typed.withColumn("item", F.explode_outer(F.coalesce("order.items", "cart.items", single)))
 
 

@@ -10,13 +10,13 @@ to whoever asks for each of them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import (
     array_fields,
-    element_count,
     event_key,
+    item_count,
     param_max,
     parse_day,
     repeat_rows,
@@ -46,19 +46,28 @@ def int_purchase(events: DataFrame) -> DataFrame:
     )
 
 
-def purchase_lines(events: DataFrame, unique_ids: bool = False) -> DataFrame:
+LINE_FIELDS = ["item_id", "item_name", "item_brand", "item_category", "price", "quantity"]
+
+
+def _purchase_key() -> Column:
+    """One key that is never NULL: the event, or the anonymous row, on its day."""
+    anonymous = F.concat_ws(
+        "|", F.lit("no-id"), F.coalesce("user_pseudo_id", F.lit("")), F.col("event_timestamp").cast("string")
+    )
+    return F.concat_ws("|", F.coalesce(event_key(), anonymous), "event_date")
+
+
+def purchase_lines(events: DataFrame, unique_ids: bool = False, items: DataFrame | None = None) -> DataFrame:
     """Weighted purchase lines: the published columns plus event_id, ga_session_id and copies.
 
     Both sides of the join come from purchase events only. The fold combines on
     the map side; grouping it by event and day, while the join uses the event,
     puts an exchange on both sides of the join, which is what lets adaptive
-    execution split an event that holds a large share of all rows.
+    execution split an event that holds a large share of all rows. With item
+    rows (``items``) no event's items ever meet in one array.
     """
     bought = events.filter(F.col("event_name") == "purchase")
     identified = F.col("event_id").isNotNull()
-    anonymous = F.concat_ws(
-        "|", F.lit("no-id"), F.coalesce("user_pseudo_id", F.lit("")), F.col("event_timestamp").cast("string")
-    )
 
     # Everything that reads a nested column sits directly above the scan, so it can prune fields.
     base = bought.select(
@@ -66,16 +75,16 @@ def purchase_lines(events: DataFrame, unique_ids: bool = False) -> DataFrame:
         "event_date",
         "event_timestamp",
         "user_pseudo_id",
+        _purchase_key().alias("_key"),
         param_max("transaction_id", "string_value").alias("transaction"),
         param_max("value", "double_value", "float_value").alias("amount"),
         param_max("currency", "string_value").alias("currency"),
         param_max("ga_session_id", "int_value").alias("session"),
-        array_fields("items", "item_id", "item_name", "item_brand", "item_category", "price", "quantity").alias("items"),
-        element_count("items", "item_id").alias("_n"),
+        *([array_fields("items", *LINE_FIELDS).alias("items")] if items is None else []),
+        item_count(events).alias("_n"),
     )
     rows = base.select(
-        # One key that is never NULL: the event, or the anonymous row, on its day.
-        F.concat_ws("|", F.coalesce("event_id", anonymous), "event_date").alias("_key"),
+        "_key",
         "event_id",
         parse_day("event_date").alias("event_date"),
         F.timestamp_micros("event_timestamp").alias("purchase_ts"),
@@ -84,14 +93,14 @@ def purchase_lines(events: DataFrame, unique_ids: bool = False) -> DataFrame:
         F.when(identified, F.col("amount")).alias("total_revenue"),
         F.when(identified, F.col("currency")).alias("currency"),
         F.when(identified, F.col("session")).alias("ga_session_id"),
-        "items",
+        *(["items"] if items is None else []),
         "_n",
     )
     header = ["event_id", "purchase_ts", "user_pseudo_id", "_transaction", "total_revenue", "currency", "ga_session_id"]
     exploded = ["_key", F.posexplode_outer("items").alias("_pos", "i")]
     matched = identified & F.col("_pos").isNotNull()
     alone = ~identified & F.coalesce(F.col("_pos") == 0, F.lit(True))
-    if unique_ids:
+    if unique_ids and items is None:
         weight = F.when(matched | alone | F.col("_pos").isNull(), F.lit(1))
         lines = rows.select(*exploded, "event_date", *header)
     else:
@@ -100,9 +109,16 @@ def purchase_lines(events: DataFrame, unique_ids: bool = False) -> DataFrame:
             F.sum("_n").alias("_items"),
             F.count("*").alias("_copies"),
         )
-        # A copy without items only counts when no copy has any.
-        weight = F.when(matched, F.col("_copies")).when(alone | (identified & (F.col("_items") == 0)), F.lit(1))
-        lines = rows.select(*exploded).join(purchases, "_key")
+        if items is None:
+            # A copy without items only counts when no copy has any.
+            weight = F.when(matched, F.col("_copies")).when(alone | (identified & (F.col("_items") == 0)), F.lit(1))
+            lines = rows.select(*exploded).join(purchases, "_key")
+        else:
+            weight = F.col("_copies")
+            item = F.struct(*[F.col(f"item.{f}").alias(f) for f in LINE_FIELDS]).alias("i")
+            known = items.filter((F.col("event_name") == "purchase") & event_key().isNotNull()).select(_purchase_key().alias("_key"), item)
+            bare = purchases.filter(~identified | (F.col("_items") == 0))
+            lines = known.join(purchases, "_key").unionByName(bare, allowMissingColumns=True)
     lines = lines.withColumn("copies", weight.cast("bigint")).filter(F.col("copies") > 0)
 
     def item(field):
@@ -232,8 +248,8 @@ def rpt_purchase_dq(lines: DataFrame) -> DataFrame:
     )
 
 
-def dim_product_daily(events: DataFrame) -> DataFrame:
-    """Views, cart additions, checkouts, purchases and revenue per day and item."""
+def dim_product_daily(events: DataFrame, items: DataFrame | None = None) -> DataFrame:
+    """Views, cart additions, checkouts, purchases and revenue per day and item; ``items`` are item rows."""
     # The event names that concern an item.
     actions = {
         "item_views": "view_item",
@@ -242,20 +258,18 @@ def dim_product_daily(events: DataFrame) -> DataFrame:
         "item_purchases": "purchase",
     }
     earned = F.coalesce("i.item_revenue", F.col("i.price") * F.col("i.quantity"), F.lit(0.0))
-    items = (
-        events.filter(F.col("event_name").isin(*actions.values()))
-        .select(
-            parse_day("event_date").alias("event_date"), "event_name",
-            array_fields("items", "item_id", "item_name", "item_brand", "item_category",
-                         "price", "quantity", "item_revenue").alias("items"),
-        )
-        .select("event_date", "event_name", F.explode("items").alias("i"))
-        .select(
-            "event_date", "event_name", "i.item_id", "i.item_name", "i.item_brand", "i.item_category",
-            F.when(F.col("event_name") == "purchase", earned).otherwise(F.lit(0.0)).alias("amount"),
-        )
+    day = parse_day("event_date").alias("event_date")
+    if items is None:
+        nested = events.filter(F.col("event_name").isin(*actions.values())).select(
+            day, "event_name", array_fields("items", *LINE_FIELDS, "item_revenue").alias("items"))
+        rows = nested.select("event_date", "event_name", F.explode("items").alias("i"))
+    else:
+        rows = items.filter(F.col("event_name").isin(*actions.values())).select(day, "event_name", F.col("item").alias("i"))
+    shown = rows.select(
+        "event_date", "event_name", "i.item_id", "i.item_name", "i.item_brand", "i.item_category",
+        F.when(F.col("event_name") == "purchase", earned).otherwise(F.lit(0.0)).alias("amount"),
     )
-    return items.groupBy("event_date", "item_id", "item_name", "item_brand", "item_category").agg(
+    return shown.groupBy("event_date", "item_id", "item_name", "item_brand", "item_category").agg(
         *[F.count_if(F.col("event_name") == name).alias(column) for column, name in actions.items()],
         steady_sum("amount").alias("item_revenue"),
     )

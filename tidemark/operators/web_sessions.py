@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import element_count, event_key, parse_day, steady_sum
+from tidemark.functions import event_key, item_count, parse_day, steady_sum
 from tidemark.operators.web_staging import IDENTITY, PIVOT_KEYS, in_row_params, int_event_param_pivot, stg_events
 
 # First-touch attributes a session can carry, in published order.
@@ -61,7 +61,7 @@ def distinct_events(events: DataFrame, touch: tuple[str, ...] = (), unique_ids:
         "user_pseudo_id",
         "event_name",
         *[c.alias(name) for name, c in in_row_params(PIVOT_KEYS).items()],
-        element_count("items", "item_id").alias("items"),
+        item_count(events).alias("items"),
         *([F.struct(*attributes).alias("touch")] if attributes else []),
     )
     identified = F.col("event_id").isNotNull()

@@ -2,6 +2,10 @@
 
 Input everywhere is the raw nested export: one row per event, with its
 parameters and items as arrays (see ``sources.schemas.WEB_EVENT_DDL``).
+
+Operators on items also take *item rows*: an event's columns beside one of its
+items, a struct ``item``. Where items arrive as rows they need not be nested
+first; events then state their ``item_count`` instead of an array.
 """
 
 from __future__ import annotations
@@ -95,9 +99,12 @@ def stg_event_params(events: DataFrame) -> DataFrame:
     )
 
 
-def stg_items(events: DataFrame) -> DataFrame:
-    """One row per event and item; events without items disappear."""
-    exploded = _identified(events, "items").select(*IDENTITY, F.explode("items").alias("i"))
+def stg_items(events: DataFrame, items: DataFrame | None = None) -> DataFrame:
+    """One row per event and item; events without items disappear. ``items`` are item rows, if there are such."""
+    if items is None:
+        exploded = _identified(events, "items").select(*IDENTITY, F.explode("items").alias("i"))
+    else:
+        exploded = _identified(items, F.col("item").alias("i"))
     return exploded.select(*IDENTITY, *[f"i.{name}" for name in ITEM_FIELDS])
 
 

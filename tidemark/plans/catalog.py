@@ -88,7 +88,7 @@ def _(spark, sf):
 
 @query("stg_items")
 def _(spark, sf):
-    return staging.stg_items(_web(spark, sf, items=True))
+    return staging.stg_items(_web(spark, sf), inputs.web_item_rows(spark, sf))
 
 
 @query("stg_event_param_pivot")
@@ -159,7 +159,7 @@ def _(spark, sf):
 # --- web: marts -------------------------------------------------------------
 
 def _lines(spark, sf):
-    return purchases.purchase_lines(_web(spark, sf, items=True))
+    return purchases.purchase_lines(_web(spark, sf, items="count"), items=inputs.web_item_rows(spark, sf))
 
 
 def _daily(spark, sf):
@@ -286,7 +286,7 @@ def _(spark, sf):
 
 @query("dim_product_daily")
 def _(spark, sf):
-    return purchases.dim_product_daily(_web(spark, sf, items=True))
+    return purchases.dim_product_daily(_web(spark, sf), inputs.web_item_rows(spark, sf))
 
 
 def funnel_sessions(spark: SparkSession, sf: str) -> DataFrame:
@@ -333,28 +333,28 @@ def _(spark, sf):
 
 @query("filter_loss_audit")
 def _(spark, sf):
-    return purchases.filter_loss_audit(_web(spark, sf, items=True))
+    return purchases.filter_loss_audit(_web(spark, sf, items="count"))
 
 
 @query("incomplete_by_os")
 def _(spark, sf):
-    return purchases.incomplete_by_os(_web(spark, sf, items=True))
+    return purchases.incomplete_by_os(_web(spark, sf, items="count"))
 
 
 @query("incomplete_by_week")
 def _(spark, sf):
-    return purchases.incomplete_by_week(_web(spark, sf, items=True))
+    return purchases.incomplete_by_week(_web(spark, sf, items="count"))
 
 
 @query("purchase_completeness")
 def _(spark, sf):
-    return purchases.purchase_completeness(_web(spark, sf, items=True))
+    return purchases.purchase_completeness(_web(spark, sf, items="count"))
 
 
 # --- commerce ---------------------------------------------------------------
 
 def _silver(spark, sf):
-    return commerce.commerce_silver(inputs.commerce_events(spark, sf), processed_at=False)
+    return commerce.commerce_silver(inputs.commerce_item_rows(spark, sf), processed_at=False)
 
 
 @query("commerce_silver")

@@ -1,9 +1,10 @@
 """Pipeline inputs derived from the benchmark tables.
 
 Each function reshapes ``events`` and the order tables into the layout one
-pipeline expects. They are row-wise except for two keyed joins. An event nests
-the items of its order, as the export formats do: web events one item per line,
-commerce events one per part with the quantities of its lines added up.
+pipeline expects. They are row-wise except for two keyed joins. As the export
+formats do, an event nests the items of its order: web events one item per line,
+commerce events one per part with the quantities of its lines added up. Queries
+on items take them as rows instead (``web_item_rows``).
 
 The vocabulary below is this module's own; it only has to be the same in
 ``oracle.py``.
@@ -45,21 +46,28 @@ def numbered_events(spark: SparkSession, sf_dir: str, *texts: str) -> DataFrame:
     return events.selectExpr("event_id", "ts", "user_id", "event_type", "value", f"inline(array(struct({settled})))")
 
 
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line as (l_orderkey, i): its position, part and quantity."""
+    return table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", f"""named_struct(
+        'slot', CAST(pmod(l_linenumber - 1, {POSITIONS}) AS INT), 'part', l_partkey, 'qty', CAST(l_quantity AS BIGINT)) AS i""")
+
+
 def line_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All lines of each order, by position, part and quantity."""
-    line = f"""named_struct('slot', CAST(pmod(l_linenumber - 1, {POSITIONS}) AS INT), 'part', l_partkey,
-                            'qty', CAST(l_quantity AS BIGINT))"""
-    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_list(F.expr(line))).alias("basket"))
+    """All lines of each order in one array, as the nested export has them."""
+    return order_lines(spark, sf_dir).groupBy("l_orderkey").agg(F.array_sort(F.collect_list("i")).alias("basket"))
 
 
-def part_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The parts of each order with their total quantity, by their first position."""
+def order_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts of each order as (l_orderkey, i): first position, part and total quantity."""
     per_part = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_partkey").agg(
         F.expr(f"CAST(min(pmod(l_linenumber - 1, {POSITIONS})) AS INT) AS slot"),
         F.expr("CAST(sum(l_quantity) AS BIGINT) AS qty"))
-    return per_part.groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_list(F.expr("named_struct('slot', slot, 'part', l_partkey, 'qty', qty)"))).alias("basket"))
+    return per_part.selectExpr("l_orderkey", "named_struct('slot', slot, 'part', l_partkey, 'qty', qty) AS i")
+
+
+def part_baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parts of each order in one array, by their first position."""
+    return order_parts(spark, sf_dir).groupBy("l_orderkey").agg(F.array_sort(F.collect_list("i")).alias("basket"))
 
 
 CENTS = "(90000 + pmod(i.part, 1000) * 10)"
@@ -108,8 +116,17 @@ def homes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customer.join(places, customer.c_nationkey == places.n_nationkey, "left")
 
 
-def web_events(spark: SparkSession, sf_dir: str, items: bool = False, geo: bool = False) -> DataFrame:
-    """Nested web events. ``items`` and ``geo`` add the joins only their readers need."""
+def web_item_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item rows of the web events: an event beside one line of its order. Both sides of the join are exchanged by the
+    order alone, so an order with many lines is split."""
+    return web_events(spark, sf_dir, items="rows")
+
+
+def web_events(spark: SparkSession, sf_dir: str, items: bool | str = False, geo: bool = False) -> DataFrame:
+    """Nested web events. ``items`` and ``geo`` add the joins only their readers need.
+
+    Items are an array (True), just counted ("count"), or rows ("rows": ``web_item_rows``).
+    """
     name = f"""CASE event_type WHEN 'view' THEN 'view_item' WHEN 'click' THEN 'add_to_cart'
                  WHEN 'signup' THEN 'begin_checkout'
                  WHEN 'error' THEN {pick('k', 'scroll', 'click', 'page_view', 'page_view')}
@@ -125,7 +142,15 @@ def web_events(spark: SparkSession, sf_dir: str, items: bool = False, geo: bool
     else:
         e = e.selectExpr("*", "CAST(NULL AS STRING) AS r_name", "CAST(NULL AS STRING) AS n_name",
                          "CAST(NULL AS INT) AS n_nationkey", "CAST(NULL AS STRING) AS c_mktsegment")
-    if items:
+    items_column = f"transform(IF(k % 10 = 9, slice(basket, 1, 0), basket), i -> {WEB_ITEM}) AS items"
+    if items == "rows":
+        lines = order_lines(spark, sf_dir)
+        e, items_column = e.filter("k % 10 <> 9").join(lines, e.event_id == lines.l_orderkey), f"{WEB_ITEM} AS item"
+    elif items == "count":
+        counts = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
+        e = e.join(counts, e.event_id == counts.l_orderkey, "left")
+        items_column = "IF(k % 10 = 9, 0L, coalesce(n_lines, 0L)) AS item_count"
+    elif items:
         folded = line_baskets(spark, sf_dir)
         e = e.join(folded, e.event_id == folded.l_orderkey, "left")
     else:
@@ -149,33 +174,40 @@ def web_events(spark: SparkSession, sf_dir: str, items: bool = False, geo: bool
                          'name', {pick('k', '(organic)', 'spring', 'summer', 'autumn', 'winter', None)}) AS traffic_source""",
         f"""CASE WHEN k = 99 THEN NULL WHEN k = 49 THEN slice(array_compact(array({WEB_PARAMS})), 1, 0)
                  ELSE array_compact(array({WEB_PARAMS})) END AS event_params""",
-        f"transform(IF(k % 10 = 9, slice(basket, 1, 0), basket), i -> {WEB_ITEM}) AS items",
+        items_column,
     )
 
 
-def commerce_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested commerce events; order amounts are whole cents until the last step."""
-    home, folded = homes(spark, sf_dir), part_baskets(spark, sf_dir)
+PRODUCT = f"""named_struct('id', CAST(i.part AS INT), 'name', 'Part ' || i.part,
+                           'category', 'Category ' || i.part % 10, 'price', {CENTS} / 100D)"""
+ITEM_OF_ORDER = f"named_struct('product', {PRODUCT}, 'quantity', CAST(i.qty AS INT))"
+
+
+def _commerce_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbered events with the customer's home, their kind and a time stamp."""
+    home = homes(spark, sf_dir)
     e = numbered_events(
         spark, sf_dir,
         "date_format(ts, 'yyyyMMdd') AS day",
         """date_format(ts, "yyyy-MM-dd'T'HH:mm:ss") AS stamp""",
     )
-    e = e.join(home, e.user_id == home.c_custkey, "left").join(folded, e.event_id == folded.l_orderkey, "left")
-    product = f"""named_struct('id', CAST(i.part AS INT), 'name', 'Part ' || i.part,
-                               'category', 'Category ' || i.part % 10, 'price', {CENTS} / 100D)"""
-    e = e.selectExpr(
+    return e.join(home, e.user_id == home.c_custkey, "left").selectExpr(
         "*",
         "event_type = 'purchase' AS bought",
         f"""CASE event_type WHEN 'view' THEN 'product_view' WHEN 'click' THEN 'cart_add'
               WHEN 'signup' THEN 'checkout_start' WHEN 'purchase'
               THEN {pick('k', 'order_create', 'order_paid', 'order_paid', 'order_fulfilled', 'order_cancelled')}
               ELSE 'cart_abandon' END AS kind""",
-        f"transform(basket, i -> named_struct('product', {product}, 'quantity', CAST(i.qty AS INT))) AS lines",
-        f"aggregate(coalesce(basket, {EMPTY_BASKET}), 0L, (total, i) -> total + {CENTS} * i.qty) AS subtotal",
         "coalesce(c_nationkey % 4, 0) + 5 AS rate",
-    ).selectExpr("*", "floor((subtotal * rate + 50) / 100) AS tax", "500 + k * 10 AS shipping")
-    return e.selectExpr(
+        "500 + k * 10 AS shipping",
+    )
+
+
+def _commerce_columns(product: str, cart_items: str, order_items: str) -> list[str]:
+    """The event layout over rows with a ``subtotal``; the arguments are SQL, empty for a list that is left out."""
+    cart_list, order_list = (f"'items', {x}," if x else "" for x in (cart_items, order_items))
+    tax = "floor((subtotal * rate + 50) / 100)"
+    return [
         "IF(event_id % 97 <> 0, 'E' || event_id, NULL) AS event_id",
         "kind AS event_type",
         "'S' || user_id || '-' || day AS session_id",
@@ -185,22 +217,54 @@ def commerce_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                         'created_at', '2025-12-01T00:00:00.000Z', 'tax_rate', rate / 100D) AS customer""",
         f"""named_struct('channel', {pick('k', 'Google', 'Facebook', 'Email', 'Direct')},
                          'device', {pick('k', 'mobile', 'desktop', 'tablet')}) AS session""",
-        "IF(event_type = 'view', get(lines, 0).product, NULL) AS product",
-        """IF(event_type IN ('click', 'signup', 'error') OR (bought AND k % 20 = 2),
-              named_struct('cart_id', 'C' || event_id, 'items', lines, 'created_at', stamp), NULL) AS cart""",
+        *([f"IF(event_type = 'view', {product}, NULL) AS product"] if product else []),
+        f"""IF(event_type IN ('click', 'signup', 'error') OR (bought AND k % 20 = 2),
+              named_struct('cart_id', 'C' || event_id, {cart_list} 'created_at', stamp), NULL) AS cart""",
         # Some orders state an empty list next to a filled cart; every tenth total is one unit too high.
-        """IF(bought, named_struct(
-             'order_id', 'O' || event_id, 'customer_id', CAST(user_id AS INT),
-             'items', IF(k % 20 = 2, slice(lines, 1, 0), lines),
-             'subtotal', subtotal / 100D, 'tax', tax / 100D, 'tax_rate', rate / 100D, 'shipping', shipping / 100D,
-             'total_amount', (subtotal + tax + shipping + IF(k % 10 = 3, 100, 0)) / 100D,
+        f"""IF(bought, named_struct(
+             'order_id', 'O' || event_id, 'customer_id', CAST(user_id AS INT), {order_list}
+             'subtotal', subtotal / 100D, 'tax', {tax} / 100D, 'tax_rate', rate / 100D, 'shipping', shipping / 100D,
+             'total_amount', (subtotal + {tax} + shipping + IF(k % 10 = 3, 100, 0)) / 100D,
              'currency', 'USD', 'status', 'fulfilled', 'created_at', stamp,
              'paid_at', IF(kind <> 'order_create', stamp, NULL),
              'fulfilled_at', IF(kind = 'order_fulfilled', stamp, NULL),
              'cancelled_at', IF(kind = 'order_cancelled', stamp, NULL),
              'cancel_reason', IF(kind = 'order_cancelled', 'changed mind', NULL)), NULL) AS order""",
         f"IF(event_type = 'error', {pick('k', 'cart', 'checkout')}, NULL) AS abandon_stage",
+    ]
+
+
+def commerce_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested commerce events; order amounts are whole cents until the last step."""
+    folded = part_baskets(spark, sf_dir)
+    e = _commerce_base(spark, sf_dir)
+    e = e.join(folded, e.event_id == folded.l_orderkey, "left").selectExpr(
+        "*",
+        f"transform(basket, i -> {ITEM_OF_ORDER}) AS lines",
+        f"aggregate(coalesce(basket, {EMPTY_BASKET}), 0L, (total, i) -> total + {CENTS} * i.qty) AS subtotal",
+    )
+    return e.selectExpr(*_commerce_columns("get(lines, 0).product", "lines", "IF(k % 20 = 2, slice(lines, 1, 0), lines)"))
+
+
+def commerce_item_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Item rows of the commerce events: an event beside one item of the list that counts, or beside none.
+
+    Amounts come from sums per order and items from a join by the order, so no order's parts meet in an array.
+    """
+    parts = order_parts(spark, sf_dir)
+    sums = parts.groupBy("l_orderkey").agg(F.expr(f"sum({CENTS} * i.qty) AS cents"), F.min("i").alias("first"))
+    e = _commerce_base(spark, sf_dir)
+    e = e.join(sums.withColumnRenamed("l_orderkey", "o"), e.event_id == F.col("o"), "left").selectExpr(
+        "*", "coalesce(cents, 0L) AS subtotal",
+        # Orders with an empty list have no item, views one, all others those of the order.
+        "cents IS NOT NULL AND event_type <> 'view' AND NOT (bought AND k % 20 = 2) AS listed",
     )
+    columns = _commerce_columns("", "", "")
+    many = e.filter("listed").join(parts, F.col("event_id") == F.col("l_orderkey")).selectExpr(
+        *columns, f"{ITEM_OF_ORDER} AS item")
+    lone = e.filter("NOT listed").withColumn("i", F.expr("IF(event_type = 'view', first, NULL)")).selectExpr(
+        *columns, f"IF(i IS NOT NULL, named_struct('product', {PRODUCT}, 'quantity', 1), NULL) AS item")
+    return many.unionByName(lone)
 
 
 def station_status(spark: SparkSession, sf_dir: str) -> DataFrame:
