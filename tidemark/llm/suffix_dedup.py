@@ -1,16 +1,17 @@
 """Suffix-array dedup: bytes covered by long strings that start anywhere else are removed.
 
-A 400-byte window is filed under its anchor, the 64-byte gram in it of least hash (the leftmost of equals):
-equal windows have equal anchors, wherever they lie. Neighbouring windows with one anchor form a segment, so
-all windows are cut into segments once and every window is in exactly one.
+A window (400 bytes, unless asked otherwise) is filed under its anchor, the gram in it of least hash (the leftmost
+of equals): equal windows have equal anchors, wherever they lie. Neighbouring windows with one anchor form a segment,
+so all windows are cut into segments once and every window is in exactly one.
 
 1. Anchors are counted over the corpus; only texts with an anchor met twice go on.
-2. Segments of such anchors are folded by content. Copies are repeats throughout and need no index.
+2. Segments of such anchors are counted by content, without their bytes. Copies are repeats throughout and need no
+   index; one row of each content goes on, found by its number, so a content with many copies is no hot key.
 3. Anchors left with several different segments go, a few megabytes at a time, through a run-length index
    (``run_index``), whose matching statistics mark the windows that start elsewhere too.
-4. An anchor with very many different segments is filed anew: its windows by their distance from the anchor,
-   in eight ranges, and by the bytes that all windows of the range share. Each round divides the range by
-   eight until a group is small or its windows are equal. No group grows with the corpus.
+4. An anchor with very many different segments, or very long ones, is filed anew: its windows by their distance from
+   the anchor, in eight ranges, and by the bytes that all windows of the range share. Each round divides the range
+   by eight until a group is small or its windows are equal. No group grows with the corpus.
 """
 
 from __future__ import annotations
@@ -28,8 +29,9 @@ from tidemark.llm.common import stash, store, text_key
 from tidemark.llm.run_index import repeated_windows
 
 LENGTH = 400               # bytes of a string that counts as repeated
-GRAM = 64                  # bytes of an anchor, a power of two
+SHORTEST = 48              # bytes of the shortest string that can be asked for
 CROWD = 2000               # different segments of an anchor that one task takes
+CROWD_BYTES = 1 << 22      # and their bytes
 WAYS = 8                   # ranges an overfull anchor is split into
 GROUP_BYTES = 1 << 20      # bytes hashed at once
 INDEX_BYTES = 1 << 21      # bytes indexed at once
@@ -41,10 +43,15 @@ SEGMENTS = ("tid binary, start bigint, last bigint, h bigint, copies bigint, tur
             "spot bigint, digest binary, seg binary")
 
 
-def gram_hashes(text: np.ndarray) -> np.ndarray:
-    """Hash of every ``GRAM`` bytes, by doubling."""
+def gram_of(length: int) -> int:
+    """Bytes of an anchor: the largest power of two of at most a sixth of ``length``."""
+    return 1 << (length // 6).bit_length() - 1
+
+
+def gram_hashes(text: np.ndarray, gram: int) -> np.ndarray:
+    """Hash of every ``gram`` bytes, by doubling."""
     h, width, power = CODES[text], 1, BASE
-    while width < GRAM:
+    while width < gram:
         h = h[:-width] * np.uint64(power) + h[width:]
         width, power = width * 2, power * power % (1 << 64)
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -60,8 +67,9 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 def anchors(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
     """For each window of ``length`` bytes its anchor's place and hash."""
-    h = gram_hashes(np.frombuffer(text, np.uint8))
-    least = sliding_min((h & ~SPOT) | np.arange(len(h), dtype=np.uint64), length - GRAM + 1)
+    gram = gram_of(length)
+    h = gram_hashes(np.frombuffer(text, np.uint8), gram)
+    least = sliding_min((h & ~SPOT) | np.arange(len(h), dtype=np.uint64), length - gram + 1)
     spot = (least & SPOT).astype(np.int64)
     return spot, h[spot].view(np.int64)
 
@@ -100,18 +108,17 @@ def _emit(rows: Iterator[tuple], names: list[str], types: list[pa.DataType], mos
 
 
 def _anchor_counts(texts: DataFrame, length: int) -> DataFrame:
-    """(tid, h, n): the anchors of every text."""
+    """(key, h, n): the anchors of every text (key, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for batch in batches:
-                for tid, text in zip(batch.column(0), batch.column(1)):
-                    key = tid.as_py()
+                for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                     for _, _, h, n in segments(text.as_py(), length):
                         yield key, h, n
-        yield from _emit(rows(), ["tid", "h", "n"], [pa.binary(), pa.int64(), pa.int64()], 50_000)
+        yield from _emit(rows(), ["key", "h", "n"], [pa.int64()] * 3, 50_000)
 
-    return texts.mapInArrow(run, "tid binary, h bigint, n bigint")
+    return texts.mapInArrow(run, "key bigint, h bigint, n bigint")
 
 
 NAMES = [c.split()[0] for c in SEGMENTS.split(", ")]
@@ -129,7 +136,7 @@ def _segments_of(wanted: DataFrame, length: int) -> DataFrame:
                     for first, last, h, n in segments(whole, length):
                         if h in shared:
                             seg = whole[first:last + length]
-                            yield key, first, last, h, 1, n, 0, length - GRAM, -1, _digest(seg), seg
+                            yield key, first, last, h, 1, n, 0, length - gram_of(length), -1, _digest(seg), seg
         yield from _emit(rows(), NAMES, TYPES)
 
     return wanted.mapInArrow(run, SEGMENTS)
@@ -210,24 +217,26 @@ def _marks(rows: DataFrame, length: int) -> DataFrame:
     """(tid, first, last): ranges of repeated windows among segments filed by anchor."""
     marks = []
     while True:
-        rows = store(rows, "suffix-segments")
+        rows = store(rows.withColumn("row", F.monotonically_increasing_id()), "suffix-segments")
         kinds = rows.filter("digest is not null").groupBy("h", "digest").agg(
-            F.sum("copies").alias("n"), F.max("turns").alias("most_turns"))
-        groups = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"))
-        labels = store(kinds.join(loose(groups), "h").filter("n > 1 or kinds > 1 or most_turns > 1"), "suffix-kinds")
-        held = rows.join(loose(labels), ["h", "digest"])
+            F.sum("copies").alias("n"), F.max("turns").alias("most_turns"), F.min("row").alias("row"),
+            F.max(F.col("last") - F.col("start") + length).alias("bytes"))
+        groups = kinds.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"), F.sum("bytes").alias("all_bytes"))
+        crowded = (F.col("kinds") > CROWD) | (F.col("all_bytes") > CROWD_BYTES)
+        labels = store(kinds.join(loose(groups), "h").filter("n > 1 or kinds > 1 or most_turns > 1").select(
+            "h", "digest", "n", "kinds", "most_turns", "row", crowded.alias("crowded")), "suffix-kinds")
         marks.append(rows.filter("seg is null").select("tid", F.col("start").alias("first"), "last"))
-        marks.append(held.filter("n > 1 and tid is not null").select("tid", F.col("start").alias("first"), "last"))
-        lone = held.filter("n = 1")
-        alike = held.filter("n > 1 and (kinds > 1 or most_turns > 1)").groupBy("h", "digest").agg(
-            F.first(F.struct("start", "last", "low", "high", "spot", "seg", "kinds", "turns", "n")).alias("r"))
-        whole = lone.select(*NAMES, "kinds").unionByName(alike.select(
-            F.lit(None).cast("binary").alias("tid"), "r.start", "r.last", "h", F.col("r.n").alias("copies"), "r.turns",
-            "r.low", "r.high", "r.spot", "digest", "r.seg", "r.kinds"))
-        marks.append(_indexed(whole.filter(F.col("kinds") <= CROWD), length))
-        if labels.filter(F.col("kinds") > CROWD).isEmpty():
+        copied = labels.filter("n > 1").select("h", "digest")
+        marks.append(rows.filter("tid is not null").select("h", "digest", "tid", F.col("start").alias("first"), "last").join(
+            loose(copied), ["h", "digest"]).select("tid", "first", "last"))
+        # One row of each content; of a copied one the windows need no marks, they are there for the others.
+        picked = labels.filter("n = 1 or kinds > 1 or most_turns > 1").select("row", "n", "crowded")
+        whole = rows.join(loose(picked), "row").withColumns({
+            "tid": F.when(F.col("n") == 1, F.col("tid")), "copies": F.col("n")})
+        marks.append(_indexed(whole.filter("not crowded"), length))
+        if picked.filter("crowded").isEmpty():
             break
-        rows = _refile(whole.filter(F.col("kinds") > CROWD).select(*NAMES), length)
+        rows = _refile(whole.filter("crowded").select(*NAMES), length)
     out = marks[0]
     for m in marks[1:]:
         out = out.union(m)
@@ -236,36 +245,38 @@ def _marks(rows: DataFrame, length: int) -> DataFrame:
 
 def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """(tid, spans): for each text (tid, text binary) the ranges of its windows that start elsewhere too."""
-    counted = store(_anchor_counts(texts, length), "suffix-anchors")
+    keyed = texts.withColumn("key", F.xxhash64("tid"))
+    counted = store(_anchor_counts(keyed.select("key", "text"), length), "suffix-anchors")
     shared = counted.groupBy("h").agg(F.sum("n").alias("n")).filter("n > 1").select("h")
-    wanted = counted.select("tid", "h").join(loose(shared), "h").groupBy("tid").agg(F.collect_set("h").alias("hs"))
-    rows = _segments_of(texts.join(loose(wanted), "tid").select("tid", "text", "hs"), length)
+    wanted = counted.select("key", "h").join(loose(shared), "h").groupBy("key").agg(F.collect_set("h").alias("hs"))
+    rows = _segments_of(keyed.join(loose(wanted), "key").select("tid", "text", "hs"), length)
     return _marks(rows, length).groupBy("tid").agg(
         F.sort_array(F.collect_set(F.struct("first", "last"))).alias("spans"))
 
 
-def _covered(spans: list[dict] | None, length: int) -> list[tuple[int, int]]:
-    """Maximal byte ranges covered by ranges of windows, given in order."""
+def _covered(spans: list[dict] | None, length: int, text: bytes, words: int) -> list[tuple[int, int]]:
+    """Maximal byte ranges covered by ranges of windows, given in order, that hold ``words`` words or more."""
     out: list[tuple[int, int]] = []
     for s in spans or []:
         if out and s["first"] <= out[-1][1]:
             out[-1] = (out[-1][0], max(out[-1][1], s["last"] + length))
         else:
             out.append((s["first"], s["last"] + length))
-    return out
+    return [(a, b) for a, b in out if len(text[a:b].split()) >= words] if words else out
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, as_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, as_text: bool = False, words: int = 0) -> DataFrame:
     """``docs`` with n_bytes, n_removed, n_spans and ``kept`` (the bytes that are left), all rows.
 
     With ``as_text``, ``kept`` is a string; of a character that a removed span cuts through nothing is left.
+    With ``words``, a removed span holds at least so many words; shorter ones stay.
 
     A byte goes if a ``length``-byte string over it starts anywhere else, in the same text or another one,
     as judged on the input. Null texts count as empty; texts shorter than ``length`` stay whole. A repeated
     row repeats its text. Other columns pass through, whatever they are called but the four above.
     """
-    if length < GRAM:
-        raise ValueError(f"length must be {GRAM} or more")
+    if length < SHORTEST:
+        raise ValueError(f"length must be {SHORTEST} or more")
     keyed = stash(docs, tid=text_key(F.col("text")), text=F.coalesce(F.col("text"), F.lit("")).cast("binary"))
     spans = repeated_spans(keyed.select("tid", "text").filter(F.octet_length("text") >= length), length)
     held = keyed.join(loose(spans), "tid", "left").drop("tid")
@@ -276,7 +287,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, as_text: bool = False)
                 batch = whole.slice(at, 500)
                 made = []
                 for text, spans in zip(batch.column("text"), batch.column("spans")):
-                    full, gone = text.as_py(), _covered(spans.as_py(), length)
+                    full = text.as_py()
+                    gone = _covered(spans.as_py(), length, full, words)
                     edges = [0, *[e for span in gone for e in span], len(full)]
                     kept = b"".join(full[a:b] for a, b in zip(edges[::2], edges[1::2]))
                     made.append((len(full), len(full) - len(kept), len(gone),
