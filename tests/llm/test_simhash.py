@@ -72,6 +72,16 @@ def test_links_are_exact(spark, bits):
     assert got == want
 
 
+def test_candidates_grow_with_the_fingerprints_not_their_square(spark):
+    """Pairs that meet in a cell, of unlike fingerprints: at either size far fewer than fingerprints."""
+    rng = random.Random(11)
+    for n in (2000, 20_000):
+        prints = [(int(np.uint64(rng.getrandbits(64)).astype(np.int64)),) for _ in range(n)]
+        cells = simhash._cells(spark.createDataFrame(prints, "fp bigint"), simhash.BITS // 2)
+        met = cells.groupBy("cell").count().agg(F.sum(F.expr("count * (count - 1) div 2"))).first()[0]
+        assert met < n / 100
+
+
 def test_manhattan_distance_is_a_lower_bound(spark):
     rng = random.Random(3)
     pairs = [(int(np.uint64(rng.getrandbits(64)).astype(np.int64)), int(np.uint64(rng.getrandbits(64)).astype(np.int64))) for _ in range(200)]
