@@ -3,11 +3,12 @@
 A fingerprint is mapped to the bit counts (0 to 2) of its 32 two-bit segments, written in unary so that the
 Manhattan distance of two embeddings is the number of bits in which they differ. It never exceeds the
 Hamming distance of the fingerprints. The embedding is cut in two halves of 16 segments: of a pair within
-``bits``, one half differs in ``bits // 2`` segments at most. Each half is a grid whose cells leave so many
-segments open and hold the patterns, and with them the counts, of all others; a fingerprint is in the cells of
-every choice of open segments. So a pair meets if its patterns agree outside of them, and what the open segments
-may add is bounded by the Manhattan distance of the whole embeddings, tested before the differing bits, inside
-the join. Cells agree in 30 of 64 bits (for 3 bits apart), so of 10^9 unlike fingerprints each meets about 30 others.
+``bits``, one half differs in ``bits // 2`` bits at most. Each half is a grid, refined by the patterns of its
+segments. Halves one bit apart differ by one step of one count and agree in all other patterns: the higher one
+is in the cell of its counts, the lower one is put one step *up* in each segment in turn. So a pair that meets
+agrees in 30 bits or more, once for each half, and of 10^9 unlike fingerprints each meets a few others. Further
+apart (4 bits and more) the segments that may differ are left open instead. Pairs that meet are tested by the whole
+embeddings' Manhattan distance and then by the differing bits, inside the join.
 
 Only different fingerprints are joined (copies are folded first), so a fingerprint has at most
 ``C(64,1) + .. + C(64,bits)`` partners however many rows there are, and the links stay linear in the rows.
@@ -77,25 +78,52 @@ def apart(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def _cells(prints: DataFrame, open_segments: int) -> DataFrame:
-    """(fp, cell): each fingerprint in the cells of either half, for every choice of open segments."""
-    low = F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))
-    high = F.shiftrightunsigned("fp", 32)
-    cells = []
-    for k, chosen in enumerate(combinations(range(16), open_segments)):
-        kept = 0xFFFFFFFF & ~sum(3 << (2 * s) for s in chosen)
-        for side, half in enumerate((low, high)):
-            cells.append(half.bitwiseAND(F.lit(kept)).bitwiseOR(F.lit((2 * k + side) << 32)))
-    return prints.select("fp", F.explode(F.array(*cells)).alias("cell"))
+def _halves() -> list[tuple[int, Column]]:
+    return [(0, F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))), (1, F.shiftrightunsigned("fp", 32))]
+
+
+def _without(half: Column, *segments: int) -> Column:
+    return half.bitwiseAND(F.lit(0xFFFFFFFF & ~sum(3 << (2 * s) for s in segments)))
+
+
+def _tag(kind: int, side: int, count: Column | None = None) -> Column:
+    named = F.lit((2 * kind + side) << 34)
+    return named if count is None else named.bitwiseOR(F.shiftleft(count.cast("bigint"), 32))
+
+
+def _open_cells(open_segments: int) -> list[Column]:
+    """The half's patterns but for each choice of open segments."""
+    return [_without(half, *chosen).bitwiseOR(_tag(k, side))
+            for k, chosen in enumerate(combinations(range(16), open_segments)) for side, half in _halves()]
+
+
+def _count_cells(steps: int) -> list[Column]:
+    """For each segment the patterns of the others and its own count, ``steps`` up (null beyond two)."""
+    out = []
+    for side, half in _halves():
+        for s in range(16):
+            count = F.bit_count(half.bitwiseAND(F.lit(3 << (2 * s)))) + steps
+            cell = _without(half, s).bitwiseOR(_tag(1 + s, side, count))
+            out.append(F.when(count <= 2, cell) if steps else cell)
+    return out
+
+
+def _cells(prints: DataFrame, cells: list[Column], name: str) -> DataFrame:
+    return prints.select(F.col("fp").alias(name), F.explode(F.array_compact(F.array(*cells))).alias("cell"))
 
 
 def links(prints: DataFrame, bits: int = BITS) -> DataFrame:
     """(a, b) with a < b: all pairs of different fingerprints at ``bits`` or fewer differing bits, once each."""
-    cells = _cells(prints, bits // 2)
-    left, right = cells.select(F.col("fp").alias("a"), "cell"), cells.select(F.col("fp").alias("b"), "cell")
+    radius = bits // 2
+    here = _open_cells(0 if radius < 2 else radius)
+    left = _cells(prints, here + (_count_cells(0) if radius == 1 else []), "a")
+    right = _cells(prints, here + (_count_cells(1) if radius == 1 else []), "b")
     a, b = F.col("a"), F.col("b")
-    near = (a < b) & (apart(embedding(a), embedding(b)) <= bits) & (apart(a, b) <= bits)
-    return left.hint("merge").join(right, (left["cell"] == right["cell"]) & near).select("a", "b").distinct()
+    # Cells that both sides fill alike bring a pair twice, one order is enough; raised ones bring each pair once.
+    once = (a < b) | (F.shiftright(left["cell"], 35) > 0) if radius == 1 else a < b
+    near = once & (apart(embedding(a), embedding(b)) <= bits) & (apart(a, b) <= bits)
+    met = left.hint("merge").join(right, (left["cell"] == right["cell"]) & near)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _rooted(docs: DataFrame, shingle: int, bits: int) -> tuple[DataFrame, DataFrame]:
