@@ -69,6 +69,30 @@ def test_whole_web_build(spark, exported):
     assert built["fct_events"].count() == spark.read.parquet(exported).count()
 
 
+def test_a_window_leaves_other_days_as_they_are(spark, exported, tmp_path):
+    pipelines.build_web(spark, exported)
+
+    def state():
+        return {name: sorted(map(str, spark.table(f"marts.{name}").collect())) for name in (
+            "dim_product_daily", "agg_daily_sessions", "agg_daily_geo", "fct_purchases", "dim_funnel_daily", "dim_views")}
+
+    whole, sessions_before = state(), spark.table("staging.int_sessions").count()
+    # An export that has only two days: the others must come from the tables.
+    part = str(tmp_path / "part")
+    readers.web_events(spark, exported, "20240105", "20240106").write.partitionBy("event_suffix").parquet(part)
+    built = pipelines.build_web(spark, part, "20240105", "20240106", window=True)
+    assert "rpt_sessions_wide" not in built and "int_sessions" in built
+    assert state() == whole and spark.table("staging.int_sessions").count() == sessions_before
+    # One of the days loses half of its events: its rows change, those of other days do not.
+    less = str(tmp_path / "less")
+    readers.web_events(spark, part, "20240105", "20240105").filter("event_name <> 'purchase'").write.partitionBy("event_suffix").parquet(less)
+    pipelines.build_web(spark, less, "20240105", "20240105", window=True)
+    rows = spark.table("marts.agg_daily_sessions")
+    assert sorted(map(str, rows.collect())) != whole["agg_daily_sessions"]
+    other = [r for r in whole["agg_daily_sessions"] if "2024, 1, 5)" not in r]
+    assert [r for r in sorted(map(str, rows.collect())) if "2024, 1, 5)" not in r] == other
+
+
 def test_null_checks_read_each_raw_table_once(spark, sf_dir, monkeypatch):
     """The check's raw scans: the job that stores the events; what it returns reads stored models only."""
     stored = []

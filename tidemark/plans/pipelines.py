@@ -34,9 +34,14 @@ def counted(table: DataFrame, name: str) -> tuple[DataFrame, Observation]:
 
 
 def build_web(spark: SparkSession, path: str, start: str | None = None, end: str | None = None,
-              default_schema: str = "default", checks: quality.Checks | None = None) -> dict[str, DataFrame]:
+              default_schema: str = "default", checks: quality.Checks | None = None,
+              window: bool = False) -> dict[str, DataFrame]:
     """Build every web model from the event export.
 
+    With ``window``, only the days from ``start`` to ``end`` are read: tables by day keep their other days, what is
+    made from those tables is made anew from all of them, and models that need every event are left as they are.
+    A day that no longer gives a table any row keeps the rows it had there.
+
     With ``checks``, declared NOT NULL columns of the tables are counted while those are written.
 
     Early layers are views. Session rows, purchase lines and the parameter pivot
@@ -47,10 +52,14 @@ def build_web(spark: SparkSession, path: str, start: str | None = None, end: str
     events = readers.web_events(spark, path, start, end)
     built: dict[str, DataFrame] = {}
 
-    def publish(name: str, table: DataFrame, layer: str, kind: str | None = None, by: list[str] | None = None):
+    def publish(name: str, table: DataFrame, layer: str, kind: str | None = None, by: list[str] | None = None,
+                every: bool = False):
+        """``every``: the model is made from all events, whichever day they are of."""
+        if every and window:
+            return table
         if checks and name in quality.NOT_NULL and sinks.is_table(layer, kind):
             table = checks.watch(table, name)
-        built[name] = sinks.materialize(table, name, layer, kind, by, default_schema)
+        built[name] = sinks.materialize(table, name, layer, kind, by, default_schema, window)
         return built[name]
 
     def publish_bag(name: str, weighted: DataFrame, layer: str, by: list[str] | None = None):
@@ -58,17 +67,17 @@ def build_web(spark: SparkSession, path: str, start: str | None = None, end: str
         held = publish(f"{name}_weighted", weighted, layer, by=by)
         return publish(name, unrolled(held), layer, "view")
 
-    publish("stg_events", staging.stg_events(events), "staging")
-    publish("stg_event_params", staging.stg_event_params(events), "staging")
-    publish("stg_items", staging.stg_items(events), "staging")
+    publish("stg_events", staging.stg_events(events), "staging", every=True)
+    publish("stg_event_params", staging.stg_event_params(events), "staging", every=True)
+    publish("stg_items", staging.stg_items(events), "staging", every=True)
     publish("stg_event_param_pivot", staging.stg_event_param_pivot(events), "staging", "table", ["event_date"])
 
-    publish("int_event_param_pivot", staging.int_event_param_pivot(events), "intermediate")
-    publish("int_geo", staging.int_geo(events), "intermediate")
-    publish("int_platform", staging.int_platform(events), "intermediate")
-    views = publish("int_page_views", staging.int_page_views(events), "intermediate")
-    publish("int_users", staging.int_users(events), "intermediate")
-    publish("int_purchase", purchases.int_purchase(events), "intermediate")
+    publish("int_event_param_pivot", staging.int_event_param_pivot(events), "intermediate", every=True)
+    publish("int_geo", staging.int_geo(events), "intermediate", every=True)
+    publish("int_platform", staging.int_platform(events), "intermediate", every=True)
+    views = publish("int_page_views", staging.int_page_views(events), "intermediate", every=True)
+    publish("int_users", staging.int_users(events), "intermediate", every=True)
+    publish("int_purchase", purchases.int_purchase(events), "intermediate", every=True)
     lines = publish("purchase_lines", purchases.purchase_lines(events), "intermediate", "table", ["event_date"])
     publish_bag("int_purchase_items", purchases.int_purchase_items(lines), "intermediate")
     rows = publish("int_sessions", sessions.int_sessions(events), "intermediate", "table", ["session_date"])
@@ -81,21 +90,22 @@ def build_web(spark: SparkSession, path: str, start: str | None = None, end: str
     publish("agg_daily_geo", marts.agg_daily_geo(rows), "marts")
     publish("agg_daily_product_revenue", purchases.agg_daily_product_revenue(lines), "marts")
     publish_bag("analysis_incomplete_purchases", purchases.analysis_incomplete_purchases(lines), "marts")
-    publish("dim_geo", built["int_geo"], "marts")
-    publish("dim_platform", built["int_platform"], "marts")
-    publish("dim_users", built["int_users"], "marts")
+    publish("dim_geo", staging.int_geo(events), "marts", every=True)
+    publish("dim_platform", staging.int_platform(events), "marts", every=True)
+    publish("dim_users", staging.int_users(events), "marts", every=True)
     publish_bag("dim_items", purchases.dim_items(lines), "marts")
     publish("dim_products", purchases.dim_products(lines), "marts")
-    publish("dim_views", marts.dim_views(views), "marts")
+    publish("dim_views", marts.dim_views(views), "marts", by=["event_date"])
     publish("fct_events", sessions.fct_events(events), "marts", by=["event_date"])
     bought = publish("fct_purchases", purchases.fct_purchases(lines), "marts")
     facts = publish("fct_sessions", sessions.fct_sessions(rows), "marts", "view")
     publish("fct_daily_web_metrics", marts.fct_daily_web_metrics(facts, bought), "marts")
     publish("dim_funnel_daily", marts.dim_funnel_daily(rows), "marts")
-    publish("dim_product_daily", purchases.dim_product_daily(events), "marts")
+    publish("dim_product_daily", purchases.dim_product_daily(events), "marts", by=["event_date"])
     publish("rpt_funnel_sessions", marts.rpt_funnel_sessions(rows), "marts")
-    publish("rpt_sessions_wide", marts.rpt_sessions_wide(events, facts, lines), "marts")
-    publish_bag("rpt_product_sales", marts.rpt_product_sales(lines, events, facts), "marts")
+    publish("rpt_sessions_wide", marts.rpt_sessions_wide(events, facts, lines), "marts", every=True)
+    if not window:
+        publish_bag("rpt_product_sales", marts.rpt_product_sales(lines, events, facts), "marts")
     publish_bag("rpt_purchase_dq_analysis", purchases.rpt_purchase_dq(lines), "marts")
     return built
 

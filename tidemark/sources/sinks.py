@@ -7,6 +7,8 @@ value that holds a large share of the rows over several tasks.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -79,15 +81,26 @@ def ensure_table(spark: SparkSession, name: str, schema: StructType, partition_b
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY ({by})")
 
 
+@contextmanager
+def overwriting(spark: SparkSession, mode: str):
+    """Overwrites within replace the whole target ("static") or the partitions at hand ("dynamic").
+
+    The session's setting is used, because an option would become the table's own and bind later writes.
+    """
+    key = "spark.sql.sources.partitionOverwriteMode"
+    held = spark.conf.get(key)
+    spark.conf.set(key, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, held)
+
+
 def replace_partitions(table: DataFrame, name: str, by: list[str]) -> None:
     """Write into a catalog table; partitions that ``table`` has rows for are replaced, the others stay."""
     spark = table.sparkSession
-    held = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
+    with overwriting(spark, "dynamic"):
         balanced(table, *by).select(*[f"`{c}`" for c in spark.table(name).columns]).write.insertInto(name, overwrite=True)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", held)
 
 
 def replace_table(table: DataFrame, name: str, partition_by: list[str] | None = None,
@@ -95,11 +108,12 @@ def replace_table(table: DataFrame, name: str, partition_by: list[str] | None =
     """Create or replace a managed Parquet table and return it as read back."""
     by = partition_by or []
     writer = (balanced(table, *by) if by else table).write.format("parquet").mode("overwrite")
-    # A full refresh drops partitions that no longer occur, whatever the session default is.
-    writer = writer.options(**{"partitionOverwriteMode": "static", **(options or {})})
+    writer = writer.options(**(options or {}))
     if by:
         writer = writer.partitionBy(*by)
-    writer.saveAsTable(name)
+    # A full refresh drops partitions that no longer occur, whatever the session default is.
+    with overwriting(table.sparkSession, "static"):
+        writer.saveAsTable(name)
     return table.sparkSession.table(name)
 
 
@@ -109,12 +123,19 @@ def is_table(layer: str, kind: str | None = None) -> bool:
 
 
 def materialize(table: DataFrame, name: str, layer: str, kind: str | None = None,
-                partition_by: list[str] | None = None, default_schema: str = "default") -> DataFrame:
-    """Publish a model as its layer prescribes: a view for early layers, a table for marts."""
+                partition_by: list[str] | None = None, default_schema: str = "default", window: bool = False) -> DataFrame:
+    """Publish a model as its layer prescribes: a view for early layers, a table for marts.
+
+    With ``window``, the rows are those of some partitions: an existing partitioned table keeps its others.
+    """
     layer_kind, layer_schema = LAYERS.get(layer, ("view", None))
     if (kind or layer_kind) == "view":
         table.createOrReplaceTempView(name)
         return table.sparkSession.table(name)
     schema = schema_name(layer_schema, default_schema)
     create_schema(table.sparkSession, schema)
-    return replace_table(table, f"`{schema}`.`{name}`", partition_by)
+    full = f"`{schema}`.`{name}`"
+    if window and partition_by and table.sparkSession.catalog.tableExists(full):
+        replace_partitions(table, full, partition_by)
+        return table.sparkSession.table(full)
+    return replace_table(table, full, partition_by)
