@@ -16,7 +16,8 @@ from tidemark.llm.common import fresh_path, table
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 MIN_LANGUAGE = 0.4          # share of the words that a text's language has to hold
 SHINGLE, BITS = 3, 3        # SimHash: words per shingle, differing bits at most
-REPEAT = 400                # bytes of a passage that may not repeat
+REPEAT = 200                # bytes of a string that may not start twice,
+REPEAT_WORDS = 50           # where a run of such strings has this many words
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 # The language field learns from the labels, the decision is made from the text; no SQL can say that.
@@ -34,8 +35,8 @@ def keep_one_near_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the passages that start anywhere else; n_chars follows the text."""
-    out = suffix_dedup.remove_repeats(docs.select(*COLUMNS), REPEAT, as_text=True)
+    """All documents, without the passages of 50 words or more that start anywhere else; n_chars follows the text."""
+    out = suffix_dedup.remove_repeats(docs.select(*COLUMNS), REPEAT, as_text=True, words=REPEAT_WORDS)
     text = F.when(F.col("text").isNotNull(), F.col("kept"))
     return out.select("doc_id", text.alias("text"), "lang", "source",
                       F.when(F.col("n_removed") > 0, F.length("kept").cast("bigint")).otherwise(F.col("n_chars")).alias("n_chars"))
