@@ -45,7 +45,8 @@ def test_one_near_copy_stays(stages):
 
 def test_repeats_are_cut(stages):
     before = list(zip(stages["simhash"].doc_id, stages["simhash"].text))
-    want = {int(i): kept.decode("utf-8", "ignore") for i, _, _, _, kept in plain(before, corpus_pipeline.REPEAT)}
+    want = {int(i): kept.decode("utf-8", "ignore")
+            for i, _, _, _, kept in plain(before, corpus_pipeline.REPEAT, corpus_pipeline.REPEAT_WORDS)}
     after = stages["suffix_dedup"]
     assert dict(zip(after.doc_id, after.text)) == want
     assert all(n == len(t) for n, t in zip(after.n_chars, after.text))
