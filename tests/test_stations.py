@@ -6,7 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality, stations
-from tidemark.plans import pipelines
+from tidemark.plans import jobs, pipelines
 from tidemark.sources import readers, snapshots
 
 NOON = 1_764_849_600  # 2025-12-04 12:00:00 UTC
@@ -157,3 +157,33 @@ def test_the_checkpoint_is_the_look_back(spark, feed, tmp_path):
     pipelines.run_stations_stream(spark, info, live, out, mark)
     rows = spark.read.parquet(out).collect()
     assert len(rows) == 4 and sum(r.timestamp is None and r.electric == 5 for r in rows) == 1
+
+
+def test_fields_of_many_files_are_found_in_several_tasks(spark, tmp_path):
+    """Pretty-printed documents, lists of them, a byte order mark and UTF-16; one of 60 files has a field of its own."""
+    for i in range(60):
+        more = {"capacity": 9} if i == 41 else {}
+        write(tmp_path, f"d{i % 3}", f"{i}.json", [{"station_id": "a", "lat": i / 2, **more}])
+    (tmp_path / "list.json").write_text(json.dumps([{"data": {"stations": [{"region": {"id": 1}}]}}, {"data": None}], indent=1))
+    (tmp_path / "mark.json").write_text(json.dumps({"data": {"stations": [{"marked": "\u4100A"}]}}), encoding="utf-8-sig")
+    (tmp_path / "wide.json").write_text(json.dumps({"data": {"stations": [{"wide": "\u4100A"}]}}, ensure_ascii=False), encoding="utf-16")
+    tracker, tasks = spark.sparkContext.statusTracker(), []
+    spark.sparkContext.setJobGroup("fields", "fields")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(16 << 20))
+    try:
+        ddl = readers.document_ddl(spark, str(tmp_path))
+        for job in tracker.getJobIdsForGroup("fields"):
+            tasks += [tracker.getStageInfo(s).numTasks for s in tracker.getJobInfo(job).stageIds]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    found = spark.read.option("multiLine", "true").option("recursiveFileLookup", "true").json(str(tmp_path))
+    assert ddl == found.select("data").schema.toDDL() and {"capacity", "marked", "wide", "region"} <= set(ddl.replace(":", " ").replace("<", " ").split())
+    assert max(tasks) > 1
+
+
+def test_landed_documents_are_as_many_files_as_their_number_asks_for(spark, tmp_path):
+    rows = spark.range(3000).selectExpr("named_struct('stations', array(named_struct('station_id', CAST(id AS STRING)))) AS data", "id % 6 AS file")
+    jobs._land_documents(rows, str(tmp_path / "landed"))
+    files = [p for p in (tmp_path / "landed").iterdir() if p.name.startswith("part-")]
+    assert len(files) == 6 and readers.station_status(spark, str(tmp_path / "landed"), pattern="*").count() == 3000
