@@ -11,6 +11,7 @@ from tidemark.operators import web_marts as marts
 from tidemark.operators import web_purchases as purchases
 from tidemark.operators import web_sessions as sessions
 from tidemark.operators import web_staging as staging
+from tidemark.plans.catalog import QUERIES
 from tidemark.sources import schemas
 
 DAY = 86_400_000_000
@@ -227,6 +228,29 @@ def test_lists_of_transactions_on_request(frame):
     assert found == {"u1": (["T1", "T2"], 2), "u2": (None, None)}
 
 
+def test_session_rows_hold_the_ids(frame):
+    """Sorted, each once, and NULL without any: the same lists as from the relation of transactions."""
+    def buy(t):
+        return [param("transaction_id", string_value=t)]
+    events = frame(event(), event(at=1, name="purchase", params=buy("T2")), event(at=2, name="purchase", params=buy("T1")),
+                   event(at=3, name="purchase", params=buy("T1")), event(at=3, name="purchase", params=buy("T1")), event(at=4, user="u2"))
+    rows = sessions.int_sessions(events, transaction_ids=True)
+    for table in (rows,):
+        found = {r.user_pseudo_id: (r.transaction_ids, r.transaction_count) for r in table.collect()}
+        assert found == {"u1": (["T1", "T2"], 2), "u2": (None, None)}
+    plain = sessions.int_sessions(events)
+    assert bag(rows, plain.columns) == bag(plain, plain.columns)
+
+
+@pytest.mark.parametrize("name", ["int_sessions"])
+def test_queries_give_the_ids(spark, sf_dir, name):
+    rows = QUERIES[name](spark, sf_dir)
+    bridge = QUERIES["int_session_transactions"](spark, sf_dir)
+    ids = rows.select("session_key", "session_date", F.explode(F.split("transaction_ids", ",")).alias("transaction_id"))
+    keys = ["session_key", "session_date", "transaction_id"]
+    assert bag(ids, keys) == bag(bridge, keys) != []
+
+
 def test_audit_counts_the_sources(copies):
     audit = {r.position: r["count"] for r in purchases.filter_loss_audit(copies).collect()}
     assert audit[6] == copies.count() and audit[5] is None
