@@ -228,21 +228,21 @@ def test_lists_of_transactions_on_request(frame):
     assert found == {"u1": (["T1", "T2"], 2), "u2": (None, None)}
 
 
-def test_session_rows_hold_the_ids(frame):
+def test_session_rows_and_their_report_hold_the_ids(frame):
     """Sorted, each once, and NULL without any: the same lists as from the relation of transactions."""
     def buy(t):
         return [param("transaction_id", string_value=t)]
     events = frame(event(), event(at=1, name="purchase", params=buy("T2")), event(at=2, name="purchase", params=buy("T1")),
                    event(at=3, name="purchase", params=buy("T1")), event(at=3, name="purchase", params=buy("T1")), event(at=4, user="u2"))
     rows = sessions.int_sessions(events, transaction_ids=True)
-    for table in (rows,):
+    for table in (rows, marts.rpt_funnel_sessions(rows)):
         found = {r.user_pseudo_id: (r.transaction_ids, r.transaction_count) for r in table.collect()}
         assert found == {"u1": (["T1", "T2"], 2), "u2": (None, None)}
     plain = sessions.int_sessions(events)
     assert bag(rows, plain.columns) == bag(plain, plain.columns)
 
 
-@pytest.mark.parametrize("name", ["int_sessions"])
+@pytest.mark.parametrize("name", ["int_sessions", "rpt_funnel_sessions"])
 def test_queries_give_the_ids(spark, sf_dir, name):
     rows = QUERIES[name](spark, sf_dir)
     bridge = QUERIES["int_session_transactions"](spark, sf_dir)
