@@ -3,7 +3,7 @@ import json
 import pytest
 
 from tidemark.operators import commerce, quality
-from tidemark.plans import inputs
+from tidemark.plans import inputs, jobs
 from tidemark.sources import readers, sinks
 
 KETTLE = {"id": 11, "name": "Tin kettle", "category": "Kitchen", "price": 20.25}
@@ -108,3 +108,16 @@ def test_item_rows_give_what_lists_give(spark, sf_dir):
     rows = commerce.commerce_silver(inputs.commerce_item_rows(spark, sf_dir), processed_at=False)
     assert nested.columns == rows.columns
     assert sorted(map(str, nested.collect())) == sorted(map(str, rows.collect()))
+
+
+def test_the_job_lands_packed_files(spark, sf_dir, tmp_path, monkeypatch):
+    """All rows, in files of less than a third of the plain ones."""
+    monkeypatch.setattr(jobs, "fresh", lambda _, what: str(tmp_path / what))
+    jobs.commerce_append_job(spark, sf_dir).collect()
+    sinks.land_json(inputs.commerce_events(spark, sf_dir), str(tmp_path / "plain"))
+    landed = [p for drop in range(jobs.DROPS) for p in (tmp_path / "commerce" / f"landing-{drop}").glob("part-*")]
+    plain = sum(p.stat().st_size for p in (tmp_path / "plain").glob("part-*"))
+    assert landed and 3 * sum(p.stat().st_size for p in landed) < plain
+    every = readers.commerce_events(spark, [str(tmp_path / "commerce" / f"landing-{drop}") for drop in range(jobs.DROPS)])
+    whole = readers.commerce_events(spark, str(tmp_path / "plain"))
+    assert every.count() == whole.count() and every.exceptAll(whole).isEmpty()
