@@ -293,3 +293,18 @@ def test_declared_checks(frame):
 
 def test_key_needs_all_parts(frame):
     assert one(frame(event(user=None)).select(event_key().alias("id"))).id is None
+
+
+def test_the_id_is_hashed_behind_the_fold(frame):
+    """Events with the same user, time and name are one event: the fold's exchange carries those and no hash of them."""
+    buy = [param("transaction_id", string_value="T1"), param("transaction_id", string_value="T0"), param("transaction_id"), param("page_title", string_value="Z")]
+    events = frame(event(params=buy), event(params=buy), event(at=7, user="u2"), event(name=None, params=buy), event(name="scroll", user=None, params=buy))
+    for table in (staging.stg_event_param_pivot(events), sessions.distinct_events(events)):
+        text = table._jdf.queryExecution().executedPlan().toString()
+        exchanged = text[text.index("Exchange hashpartitioning("):].split(")", 1)[0]
+        assert "event_name" in exchanged and "event_id" not in exchanged
+    rows = staging.stg_event_param_pivot(events).collect()
+    known = {(r.event_id, r.user_pseudo_id, r.event_name) for r in events.select(event_key().alias("event_id"), "user_pseudo_id", "event_name").collect()}
+    assert {(r.event_id, r.user_pseudo_id, r.event_name) for r in rows} <= known and len(rows) == 4
+    assert {r.transaction_id for r in rows if r.user_pseudo_id is None or r.event_name is None} == {"T1"}
+    assert sorted((r.user_pseudo_id, r.copies) for r in sessions.distinct_events(events).collect()) == [("u1", 2), ("u2", 1)]
