@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,3 +116,19 @@ def test_words_of_a_long_line_keep_their_places(table):
     text = "  ".join(["the", "Über", "house"] * 60) + "\n\nthing"
     found = field.label_words(text)
     assert [text[a:b] for a, b, _, _ in found] == ["the", "Über", "house"] * 60 + ["thing"]
+
+
+def test_groups_are_bounded_by_their_characters():
+    """Many long texts: no group holds more than the bound and one text; none is lost, null and empty ones neither."""
+    size = crf.GROUP_CHARS // 4
+    texts = [None, "", "a"] + ["b" * size] * 9 + [None]
+    found = list(crf.groups(pa.array(texts, pa.string())))
+    assert [t for _, held in found for t in held] == texts
+    assert [at for at, _ in found] == [0, 7, 11] and max(sum(len(t or "") for t in held) for _, held in found) < crf.GROUP_CHARS + size
+    assert list(crf.groups(pa.array([], pa.string()))) == []
+
+
+def test_the_filter_sends_texts_only(table):
+    """Rows stay in Spark; what comes back from Python is a verdict each."""
+    text = crf.confident(table, 0.4)._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in text and "MapInArrow" not in text

@@ -260,6 +260,17 @@ def _parts(field: Field | None) -> tuple | None:
         tuple(field.labels), field.lexicon, field.w.astype(np.float32).tobytes(), field.move.tobytes(), field.start.tobytes())
 
 
+def groups(texts: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
+    """Texts to be labelled at a time and where they begin: ``GROUP_CHARS`` of them, and what the last has beyond."""
+    held, chars, at = [], 0, 0
+    for i, text in enumerate(texts):
+        held.append(text.as_py())
+        chars += len(held[-1] or "")
+        if chars >= GROUP_CHARS or i + 1 == len(texts):
+            yield at, held
+            at, held, chars = i + 1, [], 0
+
+
 def predict(docs: DataFrame, field: Field | None) -> DataFrame:
     """(doc_id, lang_pred, score) of every row by its whole text; ``und`` with score 0 for null or no letter.
 
@@ -271,17 +282,11 @@ def predict(docs: DataFrame, field: Field | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = None if shared.value is None else _rebuild(*shared.value)
         for batch in batches:
-            held, chars, at = [], 0, 0
-            for i in range(batch.num_rows):
-                held.append(batch.column(1)[i].as_py())
-                chars += len(held[-1] or "")
-                if chars < GROUP_CHARS and i + 1 < batch.num_rows:
-                    continue
+            for at, held in groups(batch.column(1)):
                 made = [(None, 0.0, [])] * len(held) if own is None else own.label(held)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, len(held)), pa.array([m[0] or "und" for m in made], pa.string()),
                      pa.array([min(1.0, m[1]) for m in made], pa.float64())], names=["doc_id", "lang_pred", "score"])
-                at, held, chars = at + len(held), [], 0
 
     return bare(docs, "doc_id", "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
 
@@ -326,18 +331,13 @@ def confident(docs: DataFrame, least: float, folds: int = FOLDS, held: int = HEL
     if field is None:
         return lettered
     shared = docs.sparkSession.sparkContext.broadcast(_parts(field))
-    place = docs.columns.index("text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # Only texts go to Python and only verdicts come back; the rows wait in Spark's own memory.
+    @F.arrow_udf("boolean")
+    def keeps(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = _rebuild(*shared.value)
-        for batch in batches:
-            at, held = 0, []
-            for i in range(batch.num_rows):
-                held.append(batch.column(place)[i].as_py())
-                if sum(map(len, held[-1:])) < GROUP_CHARS and len(held) < 300 and i + 1 < batch.num_rows:
-                    continue
-                keep = [m[0] is not None and m[1] >= least for m in own.label(held)]
-                yield batch.slice(at, len(held)).filter(pa.array(keep, pa.bool_()))
-                at, held = at + len(held), []
-
-    return lettered.mapInArrow(run, docs.schema)
+        for texts in batches:
+            found = [m[0] is not None and m[1] >= least for _, held in groups(texts) for m in own.label(held)]
+            yield pa.array(found, pa.bool_())
+
+    return lettered.filter(keeps("text"))
