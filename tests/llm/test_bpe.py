@@ -69,3 +69,14 @@ def test_a_small_memory_forgets_and_stays_right(codec, library, monkeypatch):
     texts = [f"word{i} other{i}" for i in range(50)]
     for t in texts:
         assert ids(codec.encode([t])[0]) == library.encode_ordinary(t)
+
+
+def test_a_decoder_makes_no_pairs(spark):
+    """What only encoding needs is made when it encodes."""
+    path, pattern = P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN
+    with open(path, "rb") as f:
+        ranks = f.read()
+    own = bpe.Codec(ranks, pattern, bpe.late_letters(ranks, pattern))
+    whole = own.id_of[b"the"].to_bytes(4, "little")
+    assert own.decode(whole) == b"the" and "pairs" not in vars(own)
+    assert own.decode(own.encode(["the housezq"])[0]) == b"the housezq" and "pairs" in vars(own)

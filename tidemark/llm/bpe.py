@@ -13,7 +13,7 @@ import base64
 import heapq
 import unicodedata
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -94,12 +94,16 @@ class Codec:
         self.pattern = regex.compile(pattern)
         self.late = frozenset(late)
         self.masks = dict.fromkeys(map(ord, late), "\u0378")     # unassigned: neither letter, number nor space
-        triples = [(self.id_of[t[:k]], self.id_of[t[k:]], i) for t, i in self.id_of.items()
-                   for k in range(1, len(t)) if t[:k] in self.id_of and t[k:] in self.id_of]
-        self.pairs = PairTable(*np.array(triples, np.int64).reshape(-1, 3).T)
         self.of_byte = np.array([self.id_of[bytes([b])] for b in range(256)], np.int64)
         self.known: dict[str, bytes] = {}
 
+    @cached_property
+    def pairs(self) -> PairTable:
+        """Made by who encodes only."""
+        triples = [(self.id_of[t[:k]], self.id_of[t[k:]], i) for t, i in self.id_of.items()
+                   for k in range(1, len(t)) if t[:k] in self.id_of and t[k:] in self.id_of]
+        return PairTable(*np.array(triples, np.int64).reshape(-1, 3).T)
+
     def merge(self, ids: np.ndarray) -> list[np.ndarray]:
         """The final ids of each row of a padded matrix."""
         done: list = [None] * len(ids)
@@ -240,6 +244,8 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, len(ids)), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
                 at += len(ids)
+        # A worker that waits, or goes on with another operator's tasks, keeps nothing of this one.
+        codec.cache_clear()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return bare(docs, "doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids binary")
@@ -257,6 +263,7 @@ def decode(tokens: DataFrame, path: str, pattern: str) -> DataFrame:
                 texts = [own.decode(i.as_py() or b"") for i in part.column(1)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(texts, pa.binary())], names=["doc_id", "ids", "decoded"])
+        codec.cache_clear()
 
     kind = tokens.schema["doc_id"].dataType.simpleString()
     return bare(tokens, "doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids binary, decoded binary")

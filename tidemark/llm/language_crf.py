@@ -245,7 +245,7 @@ def train(docs: DataFrame, folds: int = FOLDS, held: int = HELD, rows: int = TRA
     return field
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)    # with its words it is large, and no task needs two
 def _rebuild(labels: tuple, lexicon: frozenset, weights: bytes, move: bytes, start: bytes) -> Field:
     field = Field(list(labels), lexicon)
     k = len(labels)
@@ -339,5 +339,7 @@ def confident(docs: DataFrame, least: float, folds: int = FOLDS, held: int = HEL
         for texts in batches:
             found = [m[0] is not None and m[1] >= least for _, held in groups(texts) for m in own.label(held)]
             yield pa.array(found, pa.bool_())
+        # Other operators' tasks follow in the same workers.
+        _rebuild.cache_clear()
 
     return lettered.filter(keeps("text"))
