@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -132,3 +133,18 @@ def test_the_filter_sends_texts_only(table):
     """Rows stay in Spark; what comes back from Python is a verdict each."""
     text = crf.confident(table, 0.4)._jdf.queryExecution().executedPlan().toString()
     assert "ArrowEvalPython" in text and "MapInArrow" not in text
+
+
+def test_many_new_words_are_scored_in_pieces():
+    rng = random.Random(3)
+    field = crf.Field(["de", "en"], frozenset())
+    field.w[:] = np.random.default_rng(3).random(field.w.shape)
+    words = list({"".join(rng.choice("abcdefghijklmnop") for _ in range(9)) for _ in range(30_000)})
+    tracemalloc.start()
+    try:
+        found = field.emissions(words)
+        assert tracemalloc.get_traced_memory()[1] < 12_000_000
+    finally:
+        tracemalloc.stop()
+    assert found.shape == (len(words), 2)
+    assert np.array_equal(found[::5000], np.concatenate([field.emissions([w]) for w in words[::5000]]))

@@ -79,6 +79,12 @@ def test_run_equals_the_stages(spark, stages):
     assert Counter(zip(out.doc_id, out.ids_sha256)) == Counter(zip(stages["byte_bpe"].doc_id, stages["byte_bpe"].ids_sha256))
 
 
+def test_a_task_of_the_tokeniser_needs_one_python_worker(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(*corpus_pipeline.COLUMNS)
+    plan = corpus_pipeline.tokenise(spark, docs, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_all_operators_are_registered():
     found = Counter(m[1] for n in catalog.QUERIES if (m := re.match(r"op(\d+)_", n)))
     assert found == Counter(map(str, range(1, 14))) and catalog.QUERIES["pipeline"] is corpus_pipeline.run

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -136,3 +137,15 @@ def test_run_index_is_compressed_by_repetition():
     once = bytes(rng.choice(b"abcdefgh") for _ in range(500))
     index = run_index.RunIndex(np.frombuffer(once * 20, np.uint8))
     assert len(index.runs) < 700 and index.lengths.sum() == 10_000
+
+
+def test_run_index_takes_few_bytes_for_each_byte():
+    rng = random.Random(8)
+    once = [bytes(rng.choice(b"abcdefgh ") for _ in range(300)) for _ in range(20)]
+    texts = [rng.choice(once)[:k] + b"#" + rng.choice(once)[k:] for k in (rng.randint(1, 299) for _ in range(3000))]
+    tracemalloc.start()
+    try:
+        assert sum(w.any() for w in run_index.repeated_windows(texts, 200)) > 1000
+        assert tracemalloc.get_traced_memory()[1] < 64 * sum(map(len, texts))
+    finally:
+        tracemalloc.stop()

@@ -33,6 +33,7 @@ BATCH = 256               # chains of a gradient step
 RATE, PENALTY = 0.3, 1e-6
 SPLICE = 0.3              # share of training chains that switch language
 KNOWN = 200_000           # words a worker remembers
+SCORED = 4096             # words whose features are listed at once
 GROUP_CHARS = 1 << 20
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}'’]*|\n")
 WORDS, FOUND = WORD.findall, WORD.finditer
@@ -99,8 +100,11 @@ class Field:
         self.held = np.zeros((0, k))
 
     def emissions(self, words: list[str]) -> np.ndarray:
-        flat, _, begin = _flat([features(x, self.lexicon) for x in words])
-        return np.add.reduceat(self.w[flat], begin, axis=0)
+        out = np.empty((len(words), len(self.labels)))
+        for at in range(0, len(words), SCORED):
+            flat, _, begin = _flat([features(x, self.lexicon) for x in words[at:at + SCORED]])
+            out[at:at + SCORED] = np.add.reduceat(self.w[flat], begin, axis=0)
+        return out
 
     def fit(self, data: list[tuple[list[str], list[int]]], rng: np.random.Generator) -> None:
         vocabulary = {w: i for i, w in enumerate(dict.fromkeys(w for words, _ in data for w in words))}
