@@ -19,6 +19,7 @@ from tidemark.llm.common import bare, share_of_hashes, store
 RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TRAIN_ROWS = 20_000      # labelled URLs the trees are fitted on, about (by hash of the URL)
+FIT_ROWS = 25_000        # of them in a partition; a fit runs some 200 stages over all its partitions
 TREES, DEPTH, SEED = 20, 4, 7
 CUT = 0.5                # chance of "block" from which the trees block
 
@@ -98,8 +99,9 @@ def train(featured: DataFrame, rows: int = TRAIN_ROWS) -> GBTClassificationModel
     drawn = store(known.filter(F.xxhash64("url") <= share_of_hashes(rows, n)).select("url", *LEXICAL, *SUFFIX, "label"), "url-train")
     if drawn.select("label").distinct().count() < 2:
         return None
-    # few rows: one order and few partitions make the trees the same from run to run
-    few = drawn.repartitionByRange(4, "url").sortWithinPartitions("url", *LEXICAL[:3])
+    # As many partitions as the sample's rows ask for, however many the cluster deals to: the trees are grown level by
+    # level, two stages each. One order in few partitions makes them the same from run to run.
+    few = drawn.coalesce(max(1, -(-min(n, rows) // FIT_ROWS))).sortWithinPartitions("url", *LEXICAL[:3])
     vectors = VectorAssembler(inputCols=LEXICAL + SUFFIX, outputCol="features").transform(few).select("features", "label")
     return GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, stepSize=0.2).fit(vectors)
 
