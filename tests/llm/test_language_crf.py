@@ -1,5 +1,6 @@
 import random
 import tracemalloc
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -148,3 +149,52 @@ def test_many_new_words_are_scored_in_pieces():
         tracemalloc.stop()
     assert found.shape == (len(words), 2)
     assert np.array_equal(found[::5000], np.concatenate([field.emissions([w]) for w in words[::5000]]))
+
+
+def plain_features(word, lexicon):
+    own = f"^{word}$"
+    names = [f"p{word[:n]}" for n in (1, 2, 3)] + [f"s{word[-n:]}" for n in (1, 2, 3)]
+    names += [f"g{own[i:i + n]}" for n in (2, 3) for i in range(len(own) - n + 1)] + [f"w{word}"] * (word in lexicon)
+    return sorted({zlib.crc32(x.encode("utf-8", "replace")) % (1 << crf.BITS) for x in names})
+
+
+WORDS = ["a", "ab", "abc", "été", "d’où", "straße", "日本", "x𠀀y𠀁", "ñ", "mañana", "z" * 700, "aaaa", "b\ud800"]
+
+
+def test_features_equal_the_plain_ones():
+    lexicon = frozenset(WORDS[::2])
+    found, sizes = crf.features(WORDS, lexicon)
+    assert [x.tolist() for x in np.split(found, np.cumsum(sizes)[:-1])] == [plain_features(w, lexicon) for w in WORDS]
+
+
+def test_words_are_hashed_side_by_side(monkeypatch):
+    """No Python call for each feature of a new word: unknown words, which a corpus brings without end, took two dozen."""
+    calls, real = [], zlib.crc32
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(8)) for _ in range(3000)]
+    field = crf.Field(["de", "en"], frozenset())
+    monkeypatch.setattr(crf.zlib, "crc32", lambda *x: calls.append(1) or real(*x))
+    found = field.label([" ".join(words)])
+    assert len(calls) < 100 and found[0][0] in ("de", "en")
+
+
+def test_forgotten_words_are_scored_again(table, rows, monkeypatch):
+    """More words than a worker remembers: the same labels, and no more held than the bound or one group's words."""
+    whole, field = crf.train(table), crf.train(table)
+    texts = [text for _, text, _ in rows]
+    want = whole.label(texts)
+    monkeypatch.setattr(crf, "KNOWN", 8)
+    got = []
+    for text in texts:
+        got += field.label([text])
+        own = {w for c in crf.chains(text) for w in c}
+        assert len(field.known) == len(field.held) <= max(8, len(own))
+    assert [g[0] for g in got] == [w[0] for w in want]
+    assert np.allclose([g[2] for g in got], [w[2] for w in want])
+
+
+def test_lines_are_cut_into_chains():
+    line = [f"w{'x' * (i % 5)}" for i in range(2 * crf.CHAIN + 1)]
+    text = " ".join(line) + "\n\n" + " ".join(line[:crf.CHAIN]) + "\r\n12\nEnd"
+    assert crf.chains(text) == [line[:crf.CHAIN], line[crf.CHAIN:2 * crf.CHAIN], line[-1:], line[:crf.CHAIN], ["end"]]
+    assert crf.chains(None) == crf.chains("\n \n") == []

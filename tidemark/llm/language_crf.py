@@ -10,9 +10,10 @@ language is the one with most of them.
 from __future__ import annotations
 
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -33,60 +34,96 @@ BATCH = 256               # chains of a gradient step
 RATE, PENALTY = 0.3, 1e-6
 SPLICE = 0.3              # share of training chains that switch language
 KNOWN = 200_000           # words a worker remembers
-SCORED = 4096             # words whose features are listed at once
+SIDE = 1024               # chains gone through side by side
+SCORED = 4096             # words whose features are made at once
 GROUP_CHARS = 1 << 20
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}'’]*|\n")
 WORDS, FOUND = WORD.findall, WORD.finditer
 
 
-def features(word: str, lexicon: frozenset) -> list[int]:
-    """Hashed features of a lower-cased word, each once: its affixes, its 2- and 3-grams and itself if it is known."""
-    own, mask = f"^{word}$", (1 << BITS) - 1
-    names = [f"p{word[:1]}", f"p{word[:2]}", f"p{word[:3]}", f"s{word[-1:]}", f"s{word[-2:]}", f"s{word[-3:]}"]
-    names += [f"g{own[i:i + 2]}" for i in range(len(own) - 1)]
-    names += [f"g{own[i:i + 3]}" for i in range(len(own) - 2)]
-    if word in lexicon:
-        names.append(f"w{word}")
-    return sorted({zlib.crc32(x.encode("utf-8", "replace")) & mask for x in names})
+def _crc_table() -> np.ndarray:
+    out = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        out = np.where(out & 1, out >> 1 ^ 0xEDB88320, out >> 1)
+    return out.astype(np.uint32)
 
 
-def _flat(found: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All features after one another, how many each word has, and where they begin."""
-    sizes = np.fromiter(map(len, found), np.int64, len(found))
-    return np.fromiter(chain.from_iterable(found), np.int64, int(sizes.sum())), sizes, np.cumsum(sizes) - sizes
+CRC = _crc_table()
+
+
+def features(words: list[str], lexicon: frozenset) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed features of lower-cased words, after one another, and how many each word has.
+
+    A word's are its affixes (``p``, ``s``) of up to three letters, the 2- and 3-grams (``g``) of ``^word$`` and
+    itself (``w``) if it is known, each once and in order. The hash is the crc32 of kind and letters; it is made for
+    all words side by side.
+    """
+    text, mask = "".join([f"^{w}$" for w in words]), (1 << BITS) - 1
+    size = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    last = np.cumsum(size) - 1
+    first, own = last - size + 1, np.repeat(np.arange(len(words)), size)
+    letters = sorted(set(text))
+    raw = [c.encode("utf-8", "replace") for c in letters]
+    width, octets = np.array(list(map(len, raw))), np.array([list(x.ljust(4, b"\0")) for x in raw], np.uint32)
+    codes = np.searchsorted(np.array(list(map(ord, letters)), np.uint32),
+                            np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4"))
+
+    def kind(name: bytes, n: int) -> np.ndarray:
+        return np.full(n, zlib.crc32(name) ^ 0xFFFFFFFF, np.uint32)
+
+    def then(state: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The hashes' registers behind one more letter, that at each place ``at``."""
+        c = codes[at]
+        for j in range(width.max()):
+            live = width[c] > j
+            state = np.where(live, CRC[(state ^ octets[c, j]) & 255] ^ (state >> 8), state)
+        return state
+
+    at = np.flatnonzero(np.arange(len(codes)) < last[own])
+    pair = then(then(kind(b"g", len(at)), at), at + 1)
+    longer = at + 2 <= last[own[at]]
+    found = [(own[at], pair), (own[at[longer]], then(pair[longer], at[longer] + 2))]
+    for n in (1, 2, 3):
+        has = np.flatnonzero(size - 2 >= n)
+        head, tail = kind(b"p", len(has)), kind(b"s", len(has))
+        for i in range(n):
+            head, tail = then(head, first[has] + 1 + i), then(tail, last[has] - n + i)
+        found += [(has, head), (has, tail)]
+    keys = [of << BITS | (state ^ 0xFFFFFFFF) & mask for of, state in found]
+    keys.append(np.array([i << BITS | zlib.crc32(f"w{w}".encode("utf-8", "replace")) & mask
+                          for i, w in enumerate(words) if w in lexicon], np.int64))
+    key = np.sort(np.concatenate(keys))
+    key = key[np.append(True, key[1:] != key[:-1])]
+    return key & mask, np.bincount(key >> BITS, minlength=len(words))
 
 
 def chains(text: str | None) -> list[list[str]]:
     """The words of each line, in pieces of ``CHAIN``; case is folded."""
-    out, held = [], []
-    for w in WORDS((text or "").lower()):
-        if w == "\n" or len(held) == CHAIN:
-            if held:
-                out.append(held)
-            held = []
-        if w != "\n":
-            held.append(w)
-    if held:
-        out.append(held)
-    return out
+    lines = map(WORDS, (text or "").lower().split("\n"))
+    return [words[i:i + CHAIN] for words in lines for i in range(0, len(words), CHAIN)]
 
 
-def marginals(emission: np.ndarray, move: np.ndarray, start: np.ndarray, mask: np.ndarray):
-    """Forward-backward over padded chains (chain, place, label): word marginals and summed pair marginals."""
-    n, t, k = emission.shape
-    e = np.exp(emission - emission.max(axis=2, keepdims=True))
-    a, b, m = np.empty((t, n, k)), np.ones((t, n, k)), np.exp(move)
-    now = np.exp(start) * e[:, 0]
-    a[0] = now / now.sum(axis=1, keepdims=True)
+def _passes(e: np.ndarray, m: np.ndarray, start: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Forward and backward shares of padded chains, all by (label, place, chain): chains lie side by side in memory."""
+    a, b, t = np.empty(e.shape), np.ones(e.shape), e.shape[1]
+    now = np.exp(start)[:, None] * e[:, 0]
+    np.divide(now, now.sum(axis=0), out=a[:, 0])
     for i in range(1, t):
-        now = (a[i - 1] @ m) * e[:, i]
-        a[i] = now / now.sum(axis=1, keepdims=True)
+        now = (m.T @ a[:, i - 1]) * e[:, i]
+        np.divide(now, now.sum(axis=0), out=a[:, i])
     for i in range(t - 2, -1, -1):
-        now = (b[i + 1] * e[:, i + 1]) @ m.T
-        b[i] = np.where(mask[:, i + 1, None], now / now.sum(axis=1, keepdims=True), 1.0)
+        now = m @ (b[:, i + 1] * e[:, i + 1])
+        np.divide(now, now.sum(axis=0), out=b[:, i], where=mask[i + 1])
+    return a, b
+
+
+def marginals(emission: np.ndarray, move: np.ndarray, start: np.ndarray, mask: np.ndarray):
+    """Forward-backward over padded chains (chain, place, label): word marginals and summed pair marginals."""
+    e, m = np.exp(emission - emission.max(axis=2, keepdims=True)), np.exp(move)
+    a, b = _passes(np.ascontiguousarray(e.transpose(2, 1, 0)), m, start, np.ascontiguousarray(mask.T))
     word = a * b
-    word /= word.sum(axis=2, keepdims=True)
-    return word.transpose(1, 0, 2), a, b, e, m
+    word /= word.sum(axis=0)
+    return word.transpose(2, 1, 0), a.transpose(1, 2, 0), b.transpose(1, 2, 0), e, m
 
 
 class Field:
@@ -96,19 +133,26 @@ class Field:
         self.labels, self.lexicon = labels, lexicon
         k = len(labels)
         self.w, self.move, self.start = np.zeros((1 << BITS, k)), np.zeros((k, k)), np.zeros(k)
-        self.known: dict[str, int] = {}
-        self.held = np.zeros((0, k))
+        self.forget()
+
+    def forget(self) -> None:
+        """Words get numbers as they come; ``held`` has their emissions, as factors of at most 1, by number."""
+        self.known: dict[str, int] = defaultdict(count().__next__)
+        self.held = np.zeros((0, len(self.labels)))
 
     def emissions(self, words: list[str]) -> np.ndarray:
         out = np.empty((len(words), len(self.labels)))
         for at in range(0, len(words), SCORED):
-            flat, _, begin = _flat([features(x, self.lexicon) for x in words[at:at + SCORED]])
-            out[at:at + SCORED] = np.add.reduceat(self.w[flat], begin, axis=0)
+            flat, sizes = features(words[at:at + SCORED], self.lexicon)
+            out[at:at + SCORED] = np.add.reduceat(self.w[flat], np.cumsum(sizes) - sizes, axis=0)
         return out
 
     def fit(self, data: list[tuple[list[str], list[int]]], rng: np.random.Generator) -> None:
         vocabulary = {w: i for i, w in enumerate(dict.fromkeys(w for words, _ in data for w in words))}
-        flat, sizes, begin = _flat([features(w, self.lexicon) for w in vocabulary])
+        words = list(vocabulary)
+        found = [features(words[at:at + SCORED], self.lexicon) for at in range(0, len(words), SCORED)]
+        flat, sizes = (np.concatenate(x) for x in zip(*found))
+        begin = np.cumsum(sizes) - sizes
         grad2 = np.full(self.w.shape, 1e-3)
         move2, start2, k = np.full(self.move.shape, 1e-3), np.full(self.start.shape, 1e-3), len(self.labels)
         data = [(np.array([vocabulary[w] for w in words]), np.array(y)) for words, y in data]
@@ -149,23 +193,31 @@ class Field:
                 self.move += RATE * pair / np.sqrt(move2)
                 self.start += RATE * first_gap / np.sqrt(start2)
 
+    def numbers(self, words: list[str]) -> np.ndarray:
+        """The words' places in ``held``, which is made to have them all."""
+        ids = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        if len(self.known) > KNOWN and len(self.held):
+            self.forget()
+            return self.numbers(words)
+        if len(self.known) > len(self.held):
+            new = self.emissions(list(islice(self.known, len(self.held), None)))
+            self.held = np.concatenate((self.held, np.exp(new - new.max(axis=1, keepdims=True))))
+        return ids
+
     def word_marginals(self, flat: list[list[str]]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(chains, mask, marginals) of some of the chains at a time: by chain, place and label, padded."""
-        new = list({w for c in flat for w in c}.difference(self.known))
-        if len(self.known) + len(new) > KNOWN:
-            self.known, self.held = {}, self.held[:0]
-            new = list({w for c in flat for w in c})
-        if new:
-            self.known.update(zip(new, range(len(self.held), len(self.held) + len(new))))
-            self.held = np.concatenate((self.held, self.emissions(new)))
+        """(chains, mask, marginals) of some of the chains at a time: by label, place and chain, padded."""
         size = np.array([len(c) for c in flat])
+        ids, begin, m = self.numbers(list(chain.from_iterable(flat))), np.cumsum(size) - size, np.exp(self.move)
         by = np.argsort(size, kind="stable")
-        for at in range(0, len(by), 2048):
-            part = by[at:at + 2048]
-            mask = np.arange(size[part].max()) < size[part][:, None]
-            ids = np.zeros(mask.shape, np.int64)
-            ids[mask] = np.fromiter((self.known[w] for i in part for w in flat[i]), np.int64, int(size[part].sum()))
-            yield part, mask, marginals(np.where(mask[..., None], self.held[ids], 0.0), self.move, self.start, mask)[0]
+        for at in range(0, len(by), SIDE):
+            part = by[at:at + SIDE]
+            place = np.arange(size[part].max())[:, None]
+            mask = place < size[part]
+            e = self.held[ids[np.where(mask, begin[part] + place, 0)]]
+            a, b = _passes(np.ascontiguousarray(e.transpose(2, 0, 1)), m, self.start, mask)
+            a *= b
+            a /= a.sum(axis=0)
+            yield part, mask, a
 
     def label(self, texts: list[str | None]) -> list[tuple[str | None, float, list[float]]]:
         """For each text its language (null without words), that language's share, and all shares."""
@@ -175,7 +227,7 @@ class Field:
             return [(None, 0.0, [])] * len(texts)
         shares = np.zeros((len(flat), len(self.labels)))
         for part, mask, word in self.word_marginals(flat):
-            shares[part] = (word * mask[..., None]).sum(axis=1)
+            shares[part] = (word * mask).sum(axis=1).T
         out, at = [], 0
         for own in cut:
             total = shares[at:at + len(own)].sum(axis=0)
@@ -202,9 +254,9 @@ class Field:
             places.append(m.span())
         rows: list[list] = [[] for _ in flat]
         for part, mask, word in self.word_marginals(flat) if flat else ():
-            for chain_, live, p in zip(part.tolist(), mask, word):
-                best = p[live].argmax(axis=1)
-                rows[chain_] = list(zip(best.tolist(), p[live][np.arange(len(best)), best].tolist()))
+            best, most = word.argmax(axis=0).T, word.max(axis=0).T
+            for chain_, live, k, score in zip(part.tolist(), mask.T, best, most):
+                rows[chain_] = list(zip(k[live].tolist(), score[live].tolist()))
         found = chain.from_iterable(rows)
         return [(a, b, self.labels[k], min(1.0, score)) for (a, b), (k, score) in zip(places, found)]
 
